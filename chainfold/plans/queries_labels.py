@@ -1 +1,412 @@
-"""Queries over the lineitem mapping (label step)."""
+"""Queries over the ``lineitem`` mapping: the label step (SURVEY §2 keys
+A9, C12-C15, D1-D7, E4, E5, I8-I12, J1-J9)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from chainfold.operators import labels as L
+from chainfold.operators import rules as R
+from chainfold.operators.joins import membership_flag
+from chainfold.plans import oracle as O
+from chainfold.plans.registry import query
+from chainfold.plans.testdata import label_inputs
+
+RUN_DATE = "1998-05-15"  # the daily slice is the day before the run date
+
+
+def _inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return label_inputs(spark, sf_dir)
+
+
+def _safe(inp: dict[str, DataFrame]) -> DataFrame:
+    return L.wallet_transfers(inp["transfers"], inp["wallets"])
+
+
+def _sql(*blocks: str, select: str) -> str:
+    return O.with_(O.LABEL_INPUTS, *blocks) + "\n" + select
+
+
+# ------------------------------------------------------------------- J1-J9
+
+
+@query("wallet_transfers", _sql(O.SAFE_TRANSFERS, select="SELECT * FROM safe_transfers"))
+def q_wallet_transfers(spark, sf_dir):
+    return _safe(_inputs(spark, sf_dir))
+
+
+@query("receiver_labels", _sql(O.SAFE_TRANSFERS, O.RECEIVER_LABELS, select="SELECT * FROM receiver_labels"))
+def q_receiver_labels(spark, sf_dir):
+    inp = _inputs(spark, sf_dir)
+    return L.receiver_labels(L.receivers(_safe(inp)), inp["ens"], inp["contracts"], inp["addresses"])
+
+
+@query("event_names", _sql(O.SAFE_TRANSFERS, O.EVT_NAMES, select="SELECT * FROM evt_names"))
+def q_event_names(spark, sf_dir):
+    inp = _inputs(spark, sf_dir)
+    return L.event_names(inp["logs"], _safe(inp))
+
+
+@query(
+    "token_category",
+    _sql(
+        O.SAFE_TRANSFERS,
+        select="""SELECT t.tx_hash, t.evt_index, t.blockchain, t.contract_address,
+  CASE WHEN s.stablecoin_address IS NOT NULL THEN 'stablecoin' ELSE t.token_standard END AS token_category
+FROM safe_transfers t LEFT JOIN stablecoins s
+  ON s.blockchain = t.blockchain AND s.stablecoin_address = t.contract_address""",
+    ),
+)
+def q_token_category(spark, sf_dir):
+    inp = _inputs(spark, sf_dir)
+    j = L.stablecoin_flag(_safe(inp), inp["stablecoins"])
+    return j.select(
+        "tx_hash",
+        "evt_index",
+        "blockchain",
+        "contract_address",
+        R.token_category(F.col("is_stablecoin"), F.col("token_standard")).alias("token_category"),
+    )
+
+
+def _flags_joined(spark, sf_dir):
+    inp = _inputs(spark, sf_dir)
+    t = _safe(inp)
+    recv = L.receivers(t)
+    flags = L.receiver_flags(recv, inp["wallets"], inp["burn"], inp["creation"], inp["stakers"])
+    return t.join(flags.withColumnRenamed("address", "to"), "to", "left")
+
+
+@query(
+    "receiver_type",
+    _sql(
+        O.SAFE_TRANSFERS,
+        select="""SELECT tx_hash, evt_index, "to",
+  CASE WHEN "to" IN (SELECT address FROM safes) THEN 'Safe'
+       WHEN "to" IN (SELECT address FROM burn_addresses) THEN 'Burner address'
+       WHEN "to" IN (SELECT address FROM creation_traces) THEN 'Smart contract'
+       ELSE 'EOA' END AS receiver_type
+FROM safe_transfers""",
+    ),
+)
+def q_receiver_type(spark, sf_dir):
+    j = _flags_joined(spark, sf_dir)
+    f = lambda c: F.coalesce(F.col(c), F.lit(False))
+    return j.select(
+        "tx_hash", "evt_index", "to", R.receiver_type(f("is_safe"), f("is_burn"), f("is_contract")).alias("receiver_type")
+    )
+
+
+_PER_RECEIVER_SQL = """SELECT DISTINCT blockchain, receiver, receiver_contract_name, receiver_name{extra} FROM labelled"""
+
+
+def _per_receiver(spark, sf_dir, cols):
+    lab = L.label_transfers(_inputs(spark, sf_dir))
+    return lab.select("blockchain", "receiver", *cols).distinct()
+
+
+@query("receiver_name", O.LABEL_ALL + "\n" + _PER_RECEIVER_SQL.format(extra=""))
+def q_receiver_name(spark, sf_dir):
+    return _per_receiver(spark, sf_dir, ["receiver_contract_name", "receiver_name"])
+
+
+@query(
+    "classify_vertical",
+    O.LABEL_ALL + "\nSELECT DISTINCT blockchain, receiver, receiver_type, receiver_name, vertical FROM labelled",
+)
+def q_classify_vertical(spark, sf_dir):
+    return _per_receiver(spark, sf_dir, ["receiver_type", "vertical"]).select(
+        "blockchain", "receiver", "receiver_type", "vertical"
+    ).distinct().join(
+        _per_receiver(spark, sf_dir, ["receiver_name"]).select("blockchain", "receiver", "receiver_name").distinct(),
+        ["blockchain", "receiver"],
+    )
+
+
+@query(
+    "derive_protocol",
+    O.LABEL_ALL + "\nSELECT DISTINCT blockchain, receiver, receiver_type, protocol FROM labelled",
+)
+def q_derive_protocol(spark, sf_dir):
+    return _per_receiver(spark, sf_dir, ["receiver_type", "protocol"]).select(
+        "blockchain", "receiver", "receiver_type", "protocol"
+    )
+
+
+@query("labelled_transfers", O.LABEL_ALL + "\n" + O.LABELLED_21)
+def q_labelled_transfers(spark, sf_dir):
+    return L.to_labelled_schema(L.label_transfers(_inputs(spark, sf_dir)))
+
+
+@query(
+    "vertical_counts",
+    O.LABEL_ALL
+    + "\nSELECT vertical, receiver_type, COUNT(*) AS n_transfers, CAST(SUM(amount_usd) AS DECIMAL(38,2)) AS usd"
+    " FROM labelled GROUP BY vertical, receiver_type",
+)
+def q_vertical_counts(spark, sf_dir):
+    lab = L.label_transfers(_inputs(spark, sf_dir))
+    return lab.groupBy("vertical", "receiver_type").agg(
+        F.count(F.lit(1)).alias("n_transfers"), F.sum(F.col("amount_usd").cast("decimal(38,2)")).alias("usd")
+    )
+
+
+# -------------------------------------------------------- single operators
+
+
+@query(
+    "filter_previous_day",
+    _sql(select=f"SELECT * FROM tr WHERE block_date = DATE '{RUN_DATE}' - INTERVAL 1 DAY"),
+)
+def q_filter_previous_day(spark, sf_dir):
+    return L.previous_day_transfers(_inputs(spark, sf_dir)["transfers"], RUN_DATE)
+
+
+@query("filter_in_list", _sql(select="SELECT la.* FROM addresses la WHERE " + O.LABEL_KEPT))
+def q_filter_in_list(spark, sf_dir):
+    return _inputs(spark, sf_dir)["addresses"].where(R.label_kept())
+
+
+@query(
+    "filter_like",
+    _sql(select="SELECT * FROM contracts WHERE name LIKE '%Gnosis_safe%' OR lower(name) LIKE '%swap%'"),
+)
+def q_filter_like(spark, sf_dir):
+    c = _inputs(spark, sf_dir)["contracts"]
+    return c.where(F.col("name").like(R.SAFE_CONTRACT_PATTERN) | F.lower("name").like(R.SWAP_PATTERN))
+
+
+@query(
+    "case_when",
+    _sql(
+        select="""SELECT address, blockchain, name,
+  CASE WHEN model_name = 'burn_addresses' THEN 'burn address' WHEN model_name = 'cex_ethereum' THEN 'CEX'
+       WHEN category = 'bridge' THEN 'bridge' ELSE 'other' END AS kind
+FROM addresses""",
+    ),
+)
+def q_case_when(spark, sf_dir):
+    a = _inputs(spark, sf_dir)["addresses"]
+    kind = (
+        F.when(F.col("model_name") == R.BURN_MODEL, F.lit(R.BURN_VERTICAL))
+        .when(F.col("model_name") == R.CEX_MODEL, F.lit(R.CEX_VERTICAL))
+        .when(F.col("category") == R.BRIDGE_CATEGORY, F.lit("bridge"))
+        .otherwise(F.lit("other"))
+    )
+    return a.select("address", "blockchain", "name", kind.alias("kind"))
+
+
+@query(
+    "join_left_single_key",
+    _sql(
+        O.SAFE_TRANSFERS,
+        select='SELECT t.tx_hash, t.evt_index, t."to", e.name AS ens FROM safe_transfers t LEFT JOIN ens e ON e.address = t."to"',
+    ),
+)
+def q_join_left_single_key(spark, sf_dir):
+    inp = _inputs(spark, sf_dir)
+    e = inp["ens"].select(F.col("address").alias("to"), F.col("name").alias("ens"))
+    return _safe(inp).join(e, "to", "left").select("tx_hash", "evt_index", "to", "ens")
+
+
+@query(
+    "join_left_multi_key",
+    _sql(
+        O.SAFE_TRANSFERS,
+        select="""SELECT t.tx_hash, t.evt_index, t."to", t.blockchain, c.name AS contract_name
+FROM safe_transfers t LEFT JOIN contracts c ON c.address = t."to" AND c.blockchain = t.blockchain""",
+    ),
+)
+def q_join_left_multi_key(spark, sf_dir):
+    inp = _inputs(spark, sf_dir)
+    c = inp["contracts"].select(
+        F.col("address").alias("to"), "blockchain", F.col("name").alias("contract_name")
+    )
+    return _safe(inp).join(c, ["to", "blockchain"], "left").select(
+        "tx_hash", "evt_index", "to", "blockchain", "contract_name"
+    )
+
+
+@query(
+    "join_left_filtered_right",
+    _sql(
+        O.SAFE_TRANSFERS,
+        select=f"""SELECT t.tx_hash, t.evt_index, t."to", t.blockchain, la.name AS label_name, la.model_name
+FROM safe_transfers t LEFT JOIN addresses la ON la.address = t."to" AND la.blockchain = t.blockchain AND {O.LABEL_KEPT}""",
+    ),
+)
+def q_join_left_filtered_right(spark, sf_dir):
+    inp = _inputs(spark, sf_dir)
+    la = (
+        inp["addresses"]
+        .where(R.label_kept())
+        .select(F.col("address").alias("to"), "blockchain", F.col("name").alias("label_name"), "model_name")
+    )
+    return _safe(inp).join(la, ["to", "blockchain"], "left").select(
+        "tx_hash", "evt_index", "to", "blockchain", "label_name", "model_name"
+    )
+
+
+@query("join_semi", _sql(select='SELECT * FROM tr WHERE "from" IN (SELECT address FROM safes)'))
+def q_join_semi(spark, sf_dir):
+    inp = _inputs(spark, sf_dir)
+    w = inp["wallets"].select(F.col("address").alias("from"))
+    return inp["transfers"].join(w, "from", "left_semi")
+
+
+@query(
+    "join_existence",
+    _sql(
+        select="""SELECT tx_hash, evt_index, "to", COALESCE("to" IN (SELECT address FROM creation_traces), false) AS is_contract
+FROM tr""",
+    ),
+)
+def q_join_existence(spark, sf_dir):
+    inp = _inputs(spark, sf_dir)
+    t = inp["transfers"].select("tx_hash", "evt_index", "to")
+    return membership_flag(t, "to", inp["creation"], "address", "is_contract").select(
+        "tx_hash", "evt_index", "to", "is_contract"
+    )
+
+
+@query(
+    "join_star",
+    _sql(
+        O.SAFE_TRANSFERS,
+        O.RECEIVER_LABELS,
+        O.EVT_NAMES,
+        select="""SELECT t.tx_hash, t.evt_index, t.blockchain, t."to", s.stablecoin_address IS NOT NULL AS is_stablecoin,
+  l.label_names, l.contract_name, l.ens, e.event_name
+FROM safe_transfers t
+LEFT JOIN stablecoins s ON s.blockchain = t.blockchain AND s.stablecoin_address = t.contract_address
+LEFT JOIN receiver_labels l ON l.address = t."to" AND l.blockchain = t.blockchain
+LEFT JOIN evt_names e ON e.tx_hash = t.tx_hash AND e."index" = t.evt_index""",
+    ),
+)
+def q_join_star(spark, sf_dir):
+    inp = _inputs(spark, sf_dir)
+    t = _safe(inp)
+    lab = L.receiver_labels(L.receivers(t), inp["ens"], inp["contracts"], inp["addresses"]).withColumnRenamed(
+        "address", "to"
+    )
+    evt = L.event_names(inp["logs"], t).withColumnRenamed("index", "evt_index")
+    j = L.stablecoin_flag(t, inp["stablecoins"]).join(lab, ["blockchain", "to"], "left")
+    j = j.join(evt, ["tx_hash", "evt_index"], "left")
+    return j.select(
+        "tx_hash", "evt_index", "blockchain", "to", "is_stablecoin", "label_names", "contract_name", "ens", "event_name"
+    )
+
+
+@query(
+    "agg_min_strings",
+    _sql(
+        select="""SELECT blockchain, address, MIN(name) AS min_name, MIN(category) AS min_category,
+  MIN(model_name) AS min_model_name, MIN(label_type) AS min_label_type
+FROM addresses GROUP BY blockchain, address""",
+    ),
+)
+def q_agg_min_strings(spark, sf_dir):
+    a = _inputs(spark, sf_dir)["addresses"]
+    return a.groupBy("blockchain", "address").agg(
+        *[F.min(c).alias(f"min_{c}") for c in ("name", "category", "model_name", "label_type")]
+    )
+
+
+@query("select_distinct", _sql(select='SELECT DISTINCT tx_hash, "index", event_name FROM logs'))
+def q_select_distinct(spark, sf_dir):
+    return _inputs(spark, sf_dir)["logs"].select("tx_hash", "index", "event_name").distinct()
+
+
+@query("str_lower", _sql(select="SELECT address, blockchain, lower(name) AS name_lower FROM contracts"))
+def q_str_lower(spark, sf_dir):
+    c = _inputs(spark, sf_dir)["contracts"]
+    return c.select("address", "blockchain", F.lower("name").alias("name_lower"))
+
+
+@query(
+    "str_concat",
+    _sql(
+        select="""SELECT address, blockchain, 'Safe: ' || split_part(name, ':', 1) AS dao_name,
+  'unclassified transfer to ' || CASE WHEN category = 'x' THEN NULL ELSE category END AS strict_concat
+FROM addresses""",
+    ),
+)
+def q_str_concat(spark, sf_dir):
+    a = _inputs(spark, sf_dir)["addresses"]
+    cat = F.when(F.col("category") == "x", F.lit(None).cast("string")).otherwise(F.col("category"))
+    return a.select(
+        "address",
+        "blockchain",
+        F.concat(F.lit(R.DAO_NAME_PREFIX), F.split_part("name", F.lit(":"), F.lit(1))).alias("dao_name"),
+        R.unclassified(cat).alias("strict_concat"),
+    )
+
+
+@query(
+    "str_split_part",
+    _sql(select="SELECT address, blockchain, split_part(name, ': ', 1) AS project, split_part(name, ':', 1) AS head FROM contracts"),
+)
+def q_str_split_part(spark, sf_dir):
+    c = _inputs(spark, sf_dir)["contracts"]
+    return c.select(
+        "address",
+        "blockchain",
+        F.split_part("name", F.lit(": "), F.lit(1)).alias("project"),
+        F.split_part("name", F.lit(":"), F.lit(1)).alias("head"),
+    )
+
+
+@query(
+    "coalesce_cols",
+    _sql(
+        O.SAFE_TRANSFERS,
+        O.RECEIVER_LABELS,
+        select="SELECT blockchain, address, COALESCE(contract_name, label_names, ens) AS any_name FROM receiver_labels",
+    ),
+)
+def q_coalesce_cols(spark, sf_dir):
+    inp = _inputs(spark, sf_dir)
+    lab = L.receiver_labels(L.receivers(_safe(inp)), inp["ens"], inp["contracts"], inp["addresses"])
+    return lab.select("blockchain", "address", F.coalesce("contract_name", "label_names", "ens").alias("any_name"))
+
+
+@query(
+    "str_trim",
+    _sql(select="SELECT address, trim(' ' || name || '  ') AS name_trimmed FROM ens"),
+)
+def q_str_trim(spark, sf_dir):
+    e = _inputs(spark, sf_dir)["ens"]
+    return e.select("address", F.trim(F.concat(F.lit(" "), "name", F.lit("  "))).alias("name_trimmed"))
+
+
+_COUNT_TABLES = ("transfers", "wallets", "ens", "contracts", "addresses", "logs", "burn", "creation", "stablecoins", "stakers")
+_COUNT_SQL = {
+    "transfers": "tr",
+    "wallets": "safes",
+    "ens": "ens",
+    "contracts": "contracts",
+    "addresses": "addresses",
+    "logs": "logs",
+    "burn": "burn_addresses",
+    "creation": "creation_traces",
+    "stablecoins": "stablecoins",
+    "stakers": "eth_stakers",
+}
+
+
+@query(
+    "scan_label_tables",
+    _sql(
+        select="\nUNION ALL\n".join(
+            f"SELECT '{k}' AS table_name, COUNT(*) AS n_rows FROM {v}" for k, v in _COUNT_SQL.items()
+        )
+    ),
+)
+def q_scan_label_tables(spark, sf_dir):
+    inp = _inputs(spark, sf_dir)
+    out = None
+    for k in _COUNT_TABLES:
+        c = inp[k].agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(k).alias("table_name"), "n_rows")
+        out = c if out is None else out.unionByName(c)
+    return out
