@@ -107,3 +107,17 @@ def membership_flag(
         .withColumn(flag, F.lit(True))
     )
     return df.join(m, key, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and cut its lineage (reliable checkpoint).
+
+    The rows are written to the session's checkpoint folder, which on a
+    cluster is shared storage named by ``spark.checkpoint.dir``, so a lost
+    executor costs no recomputation of the upstream plan. Used where one
+    intermediate result feeds several later steps or a size check.
+    """
+    from chainfold.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -18,6 +18,11 @@ Plan, for ``transfers`` with one day (or many) of rows:
 5. One join of the transfers to the per-receiver table, one to the
    stablecoin list (broadcast after a size check) and one to the event
    names; then the classification columns, row by row, as expressions.
+
+The wallet transfers, the receivers and the per-receiver table each feed
+several later steps and size checks, so ``label_transfers`` materializes
+them once (reliable checkpoint in the shared checkpoint folder) instead of
+re-running the plan above them for every use.
 """
 
 from __future__ import annotations
@@ -30,7 +35,9 @@ from chainfold.operators.joins import (
     DEFAULT_BROADCAST_ROWS,
     DEFAULT_SALT_BUCKETS,
     broadcast_if_bounded,
+    has_at_most,
     join_small_side,
+    materialize,
     salt_column,
 )
 from chainfold.schemas import LABELLED
@@ -71,16 +78,20 @@ def receivers(transfers: DataFrame) -> DataFrame:
     )
 
 
-def _restrict(table: DataFrame, keys: DataFrame, on: list[str], max_rows: int) -> DataFrame:
+def _restrict(table: DataFrame, keys: DataFrame, on: list[str], small: bool) -> DataFrame:
     """Keep rows of a (large) label table whose key occurs in ``keys``.
 
-    Broadcast semi join when ``keys`` is proven small, so the label table is
-    filtered where it is read; otherwise the table is left as is and the
-    later key join does the filtering.
+    When ``keys`` is proven small (``small``), a broadcast semi join filters
+    the label table where it is read, so only matching rows are shuffled;
+    otherwise the table is left as is and the later key join filters it.
     """
-    k = keys.select(*on).distinct()
-    hinted, ok = broadcast_if_bounded(k, max_rows)
-    return table.join(hinted, on, "left_semi") if ok else table
+    if not small:
+        return table
+    return table.join(F.broadcast(keys.select(*on).distinct()), on, "left_semi")
+
+
+def _is_small(df: DataFrame, small: bool | None, max_rows: int) -> bool:
+    return has_at_most(df, max_rows) if small is None else small
 
 
 def receiver_labels(
@@ -89,14 +100,20 @@ def receiver_labels(
     contracts: DataFrame,
     addresses: DataFrame,
     *,
+    recv_is_small: bool | None = None,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """One row per receiver (blockchain, address): MIN of label name,
     category and model (usable labels only), MIN contract name of the same
-    chain, MIN ENS name of the address."""
+    chain, MIN ENS name of the address.
+
+    Each label table is reduced to one row per key with MIN before it is
+    joined, which equals MIN over the joined rows but never multiplies the
+    rows of one table by those of another."""
     ck = ["blockchain", "address"]
+    small = _is_small(recv, recv_is_small, max_broadcast_rows)
     la = (
-        _restrict(addresses.where(R.label_kept()), recv, ck, max_broadcast_rows)
+        _restrict(addresses.where(R.label_kept()), recv, ck, small)
         .groupBy(*ck)
         .agg(
             F.min("name").alias("label_names"),
@@ -105,11 +122,11 @@ def receiver_labels(
         )
     )
     lc = (
-        _restrict(contracts, recv, ck, max_broadcast_rows)
+        _restrict(contracts, recv, ck, small)
         .groupBy(*ck)
         .agg(F.min("name").alias("contract_name"))
     )
-    en = _restrict(ens, recv, ["address"], max_broadcast_rows).groupBy("address").agg(F.min("name").alias("ens"))
+    en = _restrict(ens, recv, ["address"], small).groupBy("address").agg(F.min("name").alias("ens"))
     return (
         recv.select(*ck)
         .join(la, ck, "left")
@@ -126,9 +143,14 @@ def receiver_flags(
     creation: DataFrame,
     stakers: DataFrame,
     *,
+    recv_is_small: bool | None = None,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
-    """One row per receiver address: is_safe, is_burn, is_contract, is_staker."""
+    """One row per receiver address: is_safe, is_burn, is_contract, is_staker.
+
+    The four address lists are tagged and unioned, then reduced with MAX per
+    address: one shuffle for all four membership tests."""
+    small = _is_small(recv, recv_is_small, max_broadcast_rows)
     flags = ("is_safe", "is_burn", "is_contract", "is_staker")
     parts = []
     for i, src in enumerate((wallets, burn, creation, stakers)):
@@ -141,7 +163,7 @@ def receiver_flags(
     tagged = parts[0]
     for p in parts[1:]:
         tagged = tagged.unionByName(p)
-    tagged = _restrict(tagged.where(F.col("address").isNotNull()), recv, ["address"], max_broadcast_rows)
+    tagged = _restrict(tagged.where(F.col("address").isNotNull()), recv, ["address"], small)
     per_address = tagged.groupBy("address").agg(*[F.max(f).alias(f) for f in flags])
     return (
         recv.select("address")
@@ -163,7 +185,8 @@ def event_names(
 ) -> DataFrame:
     """Distinct (tx_hash, index, event_name) of the transfers' transactions."""
     tx = transfers.select("tx_hash").where(F.col("tx_hash").isNotNull())
-    return _restrict(logs, tx, ["tx_hash"], max_broadcast_rows).select("tx_hash", "index", "event_name").distinct()
+    small = has_at_most(tx.distinct(), max_broadcast_rows)
+    return _restrict(logs, tx, ["tx_hash"], small).select("tx_hash", "index", "event_name").distinct()
 
 
 def stablecoin_flag(
@@ -194,6 +217,7 @@ def attach_receiver_info(
     info: DataFrame,
     *,
     same_chain: bool = True,
+    info_is_small: bool | None = None,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Left-join per-receiver info to the transfers.
@@ -210,8 +234,8 @@ def attach_receiver_info(
         extra = F.col("blockchain").eqNullSafe(F.col("label_chain"))
     else:
         cond, extra = ["to"], None
-    hinted, ok = broadcast_if_bounded(i, max_broadcast_rows)
-    if ok:
+    if _is_small(i, info_is_small, max_broadcast_rows):
+        hinted = F.broadcast(i)
         j = transfers.join(hinted, [transfers["to"] == hinted["to"]] + ([extra] if extra is not None else []), "left")
         j = j.drop(hinted["to"])
     else:
@@ -258,6 +282,7 @@ def label_transfers(
     *,
     same_chain: bool = True,
     order_by_date: bool = False,
+    materialize_steps: bool = True,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """The whole label step; returns the 21 labelled columns.
@@ -265,14 +290,20 @@ def label_transfers(
     ``inputs`` holds DataFrames under the keys transfers, wallets, ens,
     contracts, addresses, logs, burn, creation, stablecoins, stakers.
     The result keeps the input types (see ``to_labelled_schema``).
+
+    ``materialize_steps`` checkpoints the wallet transfers, the receivers
+    and the per-receiver table (see the module docstring); without it every
+    size check re-runs the plan above it.
     """
     kw = {"max_broadcast_rows": max_broadcast_rows}
-    t = wallet_transfers(inputs["transfers"], inputs["wallets"], first_day, last_day, **kw)
-    recv = receivers(t)
-    info = receiver_info(recv, inputs, **kw)
+    keep = materialize if materialize_steps else (lambda df: df)
+    t = keep(wallet_transfers(inputs["transfers"], inputs["wallets"], first_day, last_day, **kw))
+    recv = keep(receivers(t))
+    small = has_at_most(recv, max_broadcast_rows)
+    info = keep(receiver_info(recv, inputs, recv_is_small=small, **kw))
     evt = event_names(inputs["logs"], t, **kw).withColumnRenamed("index", "evt_index")
     j = stablecoin_flag(t, inputs["stablecoins"], **kw)
-    j = attach_receiver_info(j, info, same_chain=same_chain, **kw)
+    j = attach_receiver_info(j, info, same_chain=same_chain, info_is_small=small, **kw)
     j = j.join(evt, ["tx_hash", "evt_index"], "left")
     j = classify(j).withColumn("token_category", R.token_category(F.col("is_stablecoin"), F.col("token_standard")))
     out = j.select(

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chainfold.sources.tables import literal_table
+
 # Fixed values of the fixture mapping (test data only, not library logic).
 # Blockchains each label row is repeated for:
 BLOCKCHAINS = ("F", "O", "P")
@@ -140,8 +142,9 @@ def label_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             F.element_at(F.array(*[F.lit(n) for n in CONTRACT_NAMES]), slot + 1).alias("name"),
         )
     ).select("address", "blockchain", "name")
-    label_rows = spark.createDataFrame(
-        list(ADDRESS_LABELS),
+    label_rows = literal_table(
+        spark,
+        ADDRESS_LABELS,
         T.StructType(
             [
                 T.StructField("slot", T.IntegerType()),
