@@ -336,13 +336,17 @@ TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSS 'UTC'"
 
 
 def to_labelled_schema(df: DataFrame) -> DataFrame:
-    """Cast to the fixed 21-column schema (strings and doubles), by name.
-    A timestamp ``block_time`` is written as ``yyyy-MM-dd HH:mm:ss.SSS UTC``."""
+    """Cast to the fixed 21-column schema (strings and doubles), by name;
+    absent columns become NULL. A timestamp ``block_time`` is written as
+    ``yyyy-MM-dd HH:mm:ss.SSS UTC``."""
     types = dict(df.dtypes)
     cols = []
     for f in LABELLED.fields:
+        if f.name not in types:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+            continue
         c = F.col(f.name)
-        if f.name == "block_time" and types.get(f.name, "").startswith("timestamp"):
+        if f.name == "block_time" and types[f.name].startswith("timestamp"):
             c = F.date_format(c, TIME_FORMAT)
         cols.append(c.cast(f.dataType).alias(f.name))
     return df.select(*cols)

@@ -46,7 +46,8 @@ def quarantine(
     of the same day.
 
     ``amount_usd`` is cast to double before it is compared, so a string
-    column read from CSV is compared as a number.
+    column read from CSV is compared as a number; the other columns are cast
+    to string (the silver schema).
 
     ``dedupe_keys`` restricts de-duplication to those columns (default: all
     output columns, i.e. whole-row ``distinct``).
@@ -57,7 +58,11 @@ def quarantine(
     else:
         day = parse_date(F.lit(str(block_date)))
     cleaned = (
-        df.select(*SILVER_INPUT[:5], amount.alias("amount_usd"), day.alias("block_date"))
+        df.select(
+            *[F.col(c).cast("string").alias(c) for c in SILVER_INPUT[:5]],
+            amount.alias("amount_usd"),
+            day.alias("block_date"),
+        )
         .where(F.col("event_name") == F.lit(event_name))
         .where(F.col("amount_usd") > 0)
         .where(F.col("tx_hash").isNotNull() & F.col("vertical").isNotNull() & F.col("protocol").isNotNull())

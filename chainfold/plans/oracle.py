@@ -209,3 +209,34 @@ SELECT amount, amount_usd, CAST(block_date AS VARCHAR) AS block_date,
        CAST(safe_sender AS VARCHAR) AS safe_sender, symbol, CAST(token_address AS VARCHAR) AS token_address,
        token_category, CAST(tx_hash AS VARCHAR) AS tx_hash, vertical
 FROM labelled"""
+
+
+def silver_from(src: str, event_name: str, name: str = "silver_l") -> str:
+    """Quarantine over any CTE with the transfer columns."""
+    where = QUARANTINE_WHERE.replace("'Transfer'", f"'{event_name}'")
+    return f"""
+{name} AS (
+  SELECT token_category, event_name, tx_hash, vertical, protocol, amount_usd, block_date,
+  {CALENDAR_COLS}
+  FROM (SELECT DISTINCT token_category, event_name, CAST(tx_hash AS VARCHAR) AS tx_hash, vertical, protocol,
+               amount_usd, CAST(block_date AS DATE) AS block_date
+        FROM {src} WHERE {where}))
+"""
+
+
+# Silver over the label step's output (events named 'A' in that mapping).
+SILVER_L = silver_from("labelled", "A")
+
+
+def labelled_as_bronze(src: str = "transfers_ev") -> str:
+    """A transfer CTE conformed to the 21 labelled columns (NULL where absent)."""
+    return f"""
+SELECT CAST(NULL AS DOUBLE) AS amount, amount_usd, CAST(block_date AS VARCHAR) AS block_date,
+       CAST(NULL AS VARCHAR) AS block_time, CAST(NULL AS VARCHAR) AS blockchain, event_name, protocol,
+       CAST(NULL AS VARCHAR) AS receiver, CAST(NULL AS VARCHAR) AS receiver_contract_name,
+       CAST(NULL AS VARCHAR) AS receiver_ens, CAST(NULL AS VARCHAR) AS receiver_label_categories,
+       CAST(NULL AS VARCHAR) AS receiver_label_models, CAST(NULL AS VARCHAR) AS receiver_label_names,
+       CAST(NULL AS VARCHAR) AS receiver_name, CAST(NULL AS VARCHAR) AS receiver_type,
+       CAST(NULL AS VARCHAR) AS safe_sender, CAST(NULL AS VARCHAR) AS symbol, CAST(NULL AS VARCHAR) AS token_address,
+       token_category, tx_hash, vertical
+FROM {src}"""
