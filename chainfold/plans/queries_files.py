@@ -238,3 +238,46 @@ def q_daily_run(spark, sf_dir):
     root = scratch_dir(spark, "root")
     labelled = to_labelled_schema(event_transfers(spark, sf_dir))
     return M.top_k_table(M.daily_run(spark, labelled, root))
+
+
+# -------------------------------------------------------------- streaming
+
+
+def _streamed_root(spark: SparkSession, sf_dir: str) -> str:
+    """Land the events mapping as bronze in two halves, running the ingest
+    stream after each; a third run finds no new file and changes nothing."""
+    from chainfold.streaming.ingest import run_ingest
+
+    root = scratch_dir(spark, "stream")
+    ckpt = scratch_dir(spark, "stream-ckpt")
+    ev = event_transfers(spark, sf_dir)
+    mid = F.dayofmonth("block_date") <= 15
+    M.land_bronze(ev.where(mid), root)
+    run_ingest(spark, root, ckpt)
+    M.land_bronze(ev.where(~mid), root)
+    run_ingest(spark, root, ckpt)
+    run_ingest(spark, root, ckpt)
+    return root
+
+
+@query("stream_ingest_silver", O.with_(O.EVENTS, O.SILVER) + "\nSELECT * FROM silver")
+def q_stream_ingest_silver(spark, sf_dir):
+    root = _streamed_root(spark, sf_dir)
+    return read_table(spark, M.silver_path(root)).select(*[f.name for f in SILVER.fields])
+
+
+@query("stream_ingest_gold", O.with_(O.EVENTS, O.SILVER, O.gold("protocol")) + "\nSELECT * FROM gold_protocol")
+def q_stream_ingest_gold(spark, sf_dir):
+    root = _streamed_root(spark, sf_dir)
+    g = M.read_gold(spark, root, "protocol")
+    return g.select(
+        "week_of_month",
+        "week_of_year",
+        "protocol",
+        "unique_safes",
+        "safe_account",
+        "total_transactions_per_safe",
+        "total_amount_usd_per_safe",
+        "year",
+        "month",
+    )
