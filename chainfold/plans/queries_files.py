@@ -177,13 +177,17 @@ def q_sink_partition_overwrite(spark, sf_dir):
     return read_table(spark, path).select(*[f.name for f in SILVER.fields])
 
 
-@query("sink_merge_month", _LABEL_SILVER + "\nSELECT * FROM silver_l")
+@query("sink_merge_month", O.with_(O.EVENTS, O.SILVER) + "\nSELECT * FROM silver")
 def q_sink_merge_month(spark, sf_dir):
+    """One month (January 2024) merged as the daily job does it: the first
+    half of the month, then the whole month (overlapping the first batch),
+    then the whole month again; the table must hold each row once."""
     path = scratch_dir(spark, "silver")
-    silver = _silver_l(spark, sf_dir)
-    merge_months(silver.where(F.col("block_date") < F.lit("1998-01-01").cast("date")), path)
-    merge_months(silver, path)  # overlaps the first batch: merged without duplicates
-    merge_months(silver, path)  # and merging again changes nothing
+    ev = event_transfers(spark, sf_dir)
+    first_half = quarantine(ev.where(F.dayofmonth("block_date") <= 15))
+    merge_months(first_half, path, year=2024, month=1)
+    merge_months(quarantine(ev), path, year=2024, month=1)
+    merge_months(quarantine(ev), path, year=2024, month=1)
     return read_table(spark, path).select(*[f.name for f in SILVER.fields])
 
 

@@ -95,9 +95,14 @@ def _is_missing(err: AnalysisException) -> bool:
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None, fmt: str = "parquet") -> DataFrame:
-    """A lake table; a missing path gives an empty frame of ``schema``."""
+    """A lake table. With ``schema`` the files are read with it (no schema
+    inference, so a table that holds no file yet reads as empty) and a
+    missing path gives an empty frame of ``schema``."""
+    reader = spark.read.format(fmt)
+    if schema is not None:
+        reader = reader.schema(schema)
     try:
-        return spark.read.format(fmt).load(path)
+        return reader.load(path)
     except AnalysisException as err:
         if schema is not None and _is_missing(err):
             return empty_frame(spark, schema)
