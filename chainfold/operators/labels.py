@@ -8,13 +8,13 @@ Plan, for ``transfers`` with one day (or many) of rows:
    per-receiver fact is computed on this table, not per transfer, so a hot
    receiver (one address may get a third of all transfers) costs one row
    here; partial aggregation collapses it before the shuffle.
-3. ``receiver_labels``: label tables pre-aggregated by their key with MIN
-   (so their rows never multiply each other), restricted to the receivers
-   by a broadcast semi join when the receiver set is proven small, then
-   left-joined to the receivers.
-4. ``receiver_flags``: one row per address with four booleans (is a
-   wallet, burn address, created contract, staker), from one union of the
-   four address lists and one aggregation, instead of four joins.
+3. ``receiver_info``: the label tables are pre-aggregated by their key with
+   MIN/MAX (so their rows never multiply each other), restricted to the
+   receivers by a broadcast semi join when the receiver set is proven
+   small, then left-joined to the receivers. Two aggregations cover all six
+   tables: address labels and contract names per (blockchain, address);
+   ENS names and the four address lists (wallet, burn address, created
+   contract, staker) per address.
 5. One join of the transfers to the per-receiver table, one to the
    stablecoin list (broadcast after a size check) and one to the event
    names; then the classification columns, row by row, as expressions.
@@ -94,6 +94,62 @@ def _is_small(df: DataFrame, small: bool | None, max_rows: int) -> bool:
     return has_at_most(df, max_rows) if small is None else small
 
 
+def _chain_labels(
+    recv: DataFrame, contracts: DataFrame, addresses: DataFrame, small: bool
+) -> DataFrame:
+    """Per (blockchain, address): MIN label name, category, model (usable
+    labels only) and MIN contract name, from one aggregation over the union
+    of both label tables (each leaves the other's columns NULL, which MIN
+    ignores)."""
+    ck = ["blockchain", "address"]
+    null = F.lit(None).cast("string")
+    la = addresses.where(R.label_kept()).select(
+        *ck,
+        F.col("name").alias("label_names"),
+        F.col("category").alias("label_categories"),
+        F.col("model_name").alias("label_models"),
+        null.alias("contract_name"),
+    )
+    lc = contracts.select(
+        *ck,
+        null.alias("label_names"),
+        null.alias("label_categories"),
+        null.alias("label_models"),
+        F.col("name").alias("contract_name"),
+    )
+    both = _restrict(la.unionByName(lc), recv, ck, small)
+    return both.groupBy(*ck).agg(
+        *[F.min(c).alias(c) for c in ("label_names", "label_categories", "label_models", "contract_name")]
+    )
+
+
+FLAGS = ("is_safe", "is_burn", "is_contract", "is_staker")
+
+
+def _address_facts(
+    recv: DataFrame,
+    ens: DataFrame | None,
+    lists: dict[str, DataFrame],
+    small: bool,
+) -> DataFrame:
+    """Per address: MIN ENS name and one boolean per address list in
+    ``lists`` (flag name to a frame with ``address``), from one aggregation
+    over the union of all of them."""
+    flags = list(lists)
+    parts = []
+    if ens is not None:
+        parts.append(ens.select("address", F.col("name").alias("ens"), *[F.lit(False).alias(f) for f in flags]))
+    for flag, src in lists.items():
+        parts.append(
+            src.select("address", F.lit(None).cast("string").alias("ens"), *[F.lit(f == flag).alias(f) for f in flags])
+        )
+    tagged = parts[0]
+    for p in parts[1:]:
+        tagged = tagged.unionByName(p)
+    tagged = _restrict(tagged.where(F.col("address").isNotNull()), recv, ["address"], small)
+    return tagged.groupBy("address").agg(F.min("ens").alias("ens"), *[F.max(f).alias(f) for f in flags])
+
+
 def receiver_labels(
     recv: DataFrame,
     ens: DataFrame,
@@ -110,28 +166,13 @@ def receiver_labels(
     Each label table is reduced to one row per key with MIN before it is
     joined, which equals MIN over the joined rows but never multiplies the
     rows of one table by those of another."""
-    ck = ["blockchain", "address"]
     small = _is_small(recv, recv_is_small, max_broadcast_rows)
-    la = (
-        _restrict(addresses.where(R.label_kept()), recv, ck, small)
-        .groupBy(*ck)
-        .agg(
-            F.min("name").alias("label_names"),
-            F.min("category").alias("label_categories"),
-            F.min("model_name").alias("label_models"),
-        )
-    )
-    lc = (
-        _restrict(contracts, recv, ck, small)
-        .groupBy(*ck)
-        .agg(F.min("name").alias("contract_name"))
-    )
-    en = _restrict(ens, recv, ["address"], small).groupBy("address").agg(F.min("name").alias("ens"))
+    chain = _chain_labels(recv, contracts, addresses, small)
+    addr = _address_facts(recv, ens, {}, small)
     return (
-        recv.select(*ck)
-        .join(la, ck, "left")
-        .join(lc, ck, "left")
-        .join(en, "address", "left")
+        recv.select("blockchain", "address")
+        .join(chain, ["blockchain", "address"], "left")
+        .join(addr, "address", "left")
         .select("blockchain", "address", "label_names", "label_categories", "label_models", "contract_name", "ens")
     )
 
@@ -151,33 +192,34 @@ def receiver_flags(
     The four address lists are tagged and unioned, then reduced with MAX per
     address: one shuffle for all four membership tests."""
     small = _is_small(recv, recv_is_small, max_broadcast_rows)
-    flags = ("is_safe", "is_burn", "is_contract", "is_staker")
-    parts = []
-    for i, src in enumerate((wallets, burn, creation, stakers)):
-        parts.append(
-            src.select(
-                "address",
-                *[F.lit(j == i).alias(f) for j, f in enumerate(flags)],
-            )
-        )
-    tagged = parts[0]
-    for p in parts[1:]:
-        tagged = tagged.unionByName(p)
-    tagged = _restrict(tagged.where(F.col("address").isNotNull()), recv, ["address"], small)
-    per_address = tagged.groupBy("address").agg(*[F.max(f).alias(f) for f in flags])
+    lists = dict(zip(FLAGS, (wallets, burn, creation, stakers), strict=True))
+    per_address = _address_facts(recv, None, lists, small)
     return (
         recv.select("address")
         .distinct()
         .join(per_address, "address", "left")
-        .select("address", *[F.coalesce(F.col(f), F.lit(False)).alias(f) for f in flags])
+        .select("address", *[F.coalesce(F.col(f), F.lit(False)).alias(f) for f in FLAGS])
     )
 
 
-def receiver_info(recv: DataFrame, inputs: dict[str, DataFrame], **kw) -> DataFrame:
-    """Labels and flags per receiver (blockchain, address)."""
-    labels = receiver_labels(recv, inputs["ens"], inputs["contracts"], inputs["addresses"], **kw)
-    flags = receiver_flags(recv, inputs["wallets"], inputs["burn"], inputs["creation"], inputs["stakers"], **kw)
-    return labels.join(flags, "address", "left")
+def receiver_info(
+    recv: DataFrame,
+    inputs: dict[str, DataFrame],
+    *,
+    recv_is_small: bool | None = None,
+    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+) -> DataFrame:
+    """Labels, ENS name and the four flags per receiver (blockchain, address):
+    two aggregations (chain level, address level) and two joins."""
+    small = _is_small(recv, recv_is_small, max_broadcast_rows)
+    chain = _chain_labels(recv, inputs["contracts"], inputs["addresses"], small)
+    lists = dict(zip(FLAGS, (inputs["wallets"], inputs["burn"], inputs["creation"], inputs["stakers"]), strict=True))
+    addr = _address_facts(recv, inputs["ens"], lists, small)
+    return (
+        recv.select("blockchain", "address")
+        .join(chain, ["blockchain", "address"], "left")
+        .join(addr, "address", "left")
+    )
 
 
 def event_names(
