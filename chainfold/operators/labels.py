@@ -19,10 +19,10 @@ Plan, for ``transfers`` with one day (or many) of rows:
    stablecoin list (broadcast after a size check) and one to the event
    names; then the classification columns, row by row, as expressions.
 
-The wallet transfers, the receivers and the per-receiver table each feed
-several later steps and size checks, so ``label_transfers`` materializes
-them once (reliable checkpoint in the shared checkpoint folder) instead of
-re-running the plan above them for every use.
+The wallet transfers and the receivers each feed several later steps and
+size checks, so ``label_transfers`` materializes them once (reliable
+checkpoint in the shared checkpoint folder) instead of re-running the plan
+above them for every use.
 """
 
 from __future__ import annotations
@@ -87,7 +87,9 @@ def _restrict(table: DataFrame, keys: DataFrame, on: list[str], small: bool) ->
     """
     if not small:
         return table
-    return table.join(F.broadcast(keys.select(*on).distinct()), on, "left_semi")
+    # No distinct: duplicate keys do not change a semi join, and the size
+    # check already bounds the broadcast by the rows of ``keys``.
+    return table.join(F.broadcast(keys.select(*on)), on, "left_semi")
 
 
 def _is_small(df: DataFrame, small: bool | None, max_rows: int) -> bool:
@@ -227,7 +229,7 @@ def event_names(
 ) -> DataFrame:
     """Distinct (tx_hash, index, event_name) of the transfers' transactions."""
     tx = transfers.select("tx_hash").where(F.col("tx_hash").isNotNull())
-    small = has_at_most(tx.distinct(), max_broadcast_rows)
+    small = has_at_most(tx, max_broadcast_rows)
     return _restrict(logs, tx, ["tx_hash"], small).select("tx_hash", "index", "event_name").distinct()
 
 
@@ -333,16 +335,16 @@ def label_transfers(
     contracts, addresses, logs, burn, creation, stablecoins, stakers.
     The result keeps the input types (see ``to_labelled_schema``).
 
-    ``materialize_steps`` checkpoints the wallet transfers, the receivers
-    and the per-receiver table (see the module docstring); without it every
-    size check re-runs the plan above it.
+    ``materialize_steps`` checkpoints the wallet transfers and the receivers
+    (see the module docstring); without it every size check re-runs the
+    plan above it.
     """
     kw = {"max_broadcast_rows": max_broadcast_rows}
     keep = materialize if materialize_steps else (lambda df: df)
     t = keep(wallet_transfers(inputs["transfers"], inputs["wallets"], first_day, last_day, **kw))
     recv = keep(receivers(t))
     small = has_at_most(recv, max_broadcast_rows)
-    info = keep(receiver_info(recv, inputs, recv_is_small=small, **kw))
+    info = receiver_info(recv, inputs, recv_is_small=small, **kw)
     evt = event_names(inputs["logs"], t, **kw).withColumnRenamed("index", "evt_index")
     j = stablecoin_flag(t, inputs["stablecoins"], **kw)
     j = attach_receiver_info(j, info, same_chain=same_chain, info_is_small=small, **kw)
