@@ -224,6 +224,42 @@ def receiver_info(
     )
 
 
+def receiver_types(
+    transfers: DataFrame,
+    inputs: dict[str, DataFrame],
+    *,
+    materialize_steps: bool = True,
+    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+) -> DataFrame:
+    """``transfers`` with ``receiver_type`` added (Safe, Burner address,
+    Smart contract, EOA, tested in that order).
+
+    The flags are computed once per distinct receiver address and joined
+    back by broadcast when the receiver set is proven small, else by a
+    shuffle join salted by transaction.
+    """
+    keep = materialize if materialize_steps else (lambda df: df)
+    t = keep(transfers)
+    recv = keep(receivers(t))
+    small = has_at_most(recv, max_broadcast_rows)
+    flags = receiver_flags(
+        recv, inputs["wallets"], inputs["burn"], inputs["creation"], inputs["stakers"], recv_is_small=small
+    ).withColumnRenamed("address", "to")
+    if small:
+        j = t.join(F.broadcast(flags), "to", "left")
+    else:
+        j = _salted_left(t, flags, "to")
+    f = lambda c: F.coalesce(F.col(c), F.lit(False))
+    return j.withColumn("receiver_type", R.receiver_type(f("is_safe"), f("is_burn"), f("is_contract"))).drop(*FLAGS)
+
+
+def _salted_left(t: DataFrame, side: DataFrame, key: str) -> DataFrame:
+    salt, b = "__salt", DEFAULT_SALT_BUCKETS
+    tt = t.withColumn(salt, salt_column(["tx_hash", "evt_index"], b))
+    ss = side.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(b - 1))))
+    return tt.join(ss, [key, salt], "left").drop(salt)
+
+
 def event_names(
     logs: DataFrame, transfers: DataFrame, *, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS
 ) -> DataFrame:

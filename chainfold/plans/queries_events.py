@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from chainfold.operators import gold as G
+from chainfold.operators.joins import materialize
 from chainfold.operators.silver import quarantine
 from chainfold.operators.topk import top_k
 from chainfold.plans import oracle as O
@@ -18,7 +19,10 @@ def silver_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_of(spark: SparkSession, sf_dir: str, dim: str) -> DataFrame:
-    return G.weekly_activity(silver_of(spark, sf_dir), dim)
+    """Gold from silver, with silver materialized first, as the flow reads
+    gold's input from the stored silver table (one silver computation feeds
+    the size probe and both aggregation branches)."""
+    return G.weekly_activity(materialize(silver_of(spark, sf_dir)), dim)
 
 
 # ------------------------------------------------------------------ J10-J15

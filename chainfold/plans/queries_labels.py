@@ -70,14 +70,6 @@ def q_token_category(spark, sf_dir):
     )
 
 
-def _flags_joined(spark, sf_dir):
-    inp = _inputs(spark, sf_dir)
-    t = _safe(inp)
-    recv = L.receivers(t)
-    flags = L.receiver_flags(recv, inp["wallets"], inp["burn"], inp["creation"], inp["stakers"])
-    return t.join(flags.withColumnRenamed("address", "to"), "to", "left")
-
-
 @query(
     "receiver_type",
     _sql(
@@ -91,11 +83,8 @@ FROM safe_transfers""",
     ),
 )
 def q_receiver_type(spark, sf_dir):
-    j = _flags_joined(spark, sf_dir)
-    f = lambda c: F.coalesce(F.col(c), F.lit(False))
-    return j.select(
-        "tx_hash", "evt_index", "to", R.receiver_type(f("is_safe"), f("is_burn"), f("is_contract")).alias("receiver_type")
-    )
+    inp = _inputs(spark, sf_dir)
+    return L.receiver_types(_safe(inp), inp).select("tx_hash", "evt_index", "to", "receiver_type")
 
 
 _PER_RECEIVER_SQL = """SELECT DISTINCT blockchain, receiver, receiver_contract_name, receiver_name{extra} FROM labelled"""
@@ -116,12 +105,7 @@ def q_receiver_name(spark, sf_dir):
     O.LABEL_ALL + "\nSELECT DISTINCT blockchain, receiver, receiver_type, receiver_name, vertical FROM labelled",
 )
 def q_classify_vertical(spark, sf_dir):
-    return _per_receiver(spark, sf_dir, ["receiver_type", "vertical"]).select(
-        "blockchain", "receiver", "receiver_type", "vertical"
-    ).distinct().join(
-        _per_receiver(spark, sf_dir, ["receiver_name"]).select("blockchain", "receiver", "receiver_name").distinct(),
-        ["blockchain", "receiver"],
-    )
+    return _per_receiver(spark, sf_dir, ["receiver_type", "receiver_name", "vertical"])
 
 
 @query(

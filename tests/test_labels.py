@@ -166,3 +166,14 @@ def test_plan_paths_agree(spark):
     b = L.label_transfers(inp, max_broadcast_rows=0, materialize_steps=False)
     assert a.count() == 15970
     assert same_rows(a, b).count() == 0
+
+
+def test_receiver_types_paths_agree(spark):
+    inp = label_inputs(spark, CHECK_DIR)
+    t = L.wallet_transfers(inp["transfers"], inp["wallets"])
+    a = L.receiver_types(t, inp).select("tx_hash", "evt_index", "to", "receiver_type")
+    b = L.receiver_types(t, inp, max_broadcast_rows=0, materialize_steps=False).select(
+        "tx_hash", "evt_index", "to", "receiver_type"
+    )
+    assert a.count() == 11930
+    assert same_rows(a, b).count() == 0
