@@ -1,18 +1,18 @@
 """Gold layer: per week and dimension, distinct accounts, counts and USD volume.
 
-Physical plan (one scan of the silver slice):
+Physical plan (two scans of the silver slice, each with pruned columns):
 
 1. ``per_entity``: group by (year, month, week keys, dimension, account);
    partial aggregation on the map side collapses a hot account before the
    only large shuffle.
-2. ``totals``: ``count(account)`` per group, computed from ``per_entity``,
-   whose rows are already distinct per account. Built from the same
-   DataFrame, so Spark reuses the exchange of step 1; its own shuffle holds
-   at most one row per group and map task.
+2. ``totals``: distinct accounts per group, from a pruned scan (no
+   amount) with partial aggregation at both levels; computed first as its
+   own job and materialized (it has one row per group, so it is small).
 3. ``per_entity`` joined to ``totals`` on the group keys. ``totals`` is
-   broadcast once a run-time check has shown the number of groups to be
-   bounded; otherwise the join is salted by account, so a hot group (one
-   vertical may hold a third of all rows) is split over many tasks.
+   broadcast once the run-time check on its materialized rows has shown
+   the number of groups to be bounded; otherwise the join is salted by
+   account, so a hot group (one vertical may hold a third of all rows) is
+   split over many tasks.
 
 A window ``count(...) over (partition by group)`` would save a join but put
 a whole group into one task, so it is not used.
@@ -29,6 +29,7 @@ from chainfold.operators.joins import (
     DEFAULT_BROADCAST_ROWS,
     DEFAULT_SALT_BUCKETS,
     broadcast_if_bounded,
+    materialize,
     salted_join,
 )
 from chainfold.schemas import MONEY, PARTITION_KEYS, WEEK_KEYS
@@ -82,10 +83,12 @@ def weekly_activity(
     count 0.
     """
     per_entity, keys = per_entity_totals(silver, dimension, entity_col, amount_col)
-    totals = per_entity.groupBy(*keys).agg(F.count("safe_account").alias("unique_safes"))
-    # The distinct group keys on a pruned scan bound the size of ``totals``.
-    probe = silver.select(*keys).distinct()
-    hinted, small = broadcast_if_bounded(totals, max_broadcast_groups, probe)
+    # Totals first, as their own small job: distinct accounts per group, read
+    # from a pruned scan (no amount column). Materialized, so the size check
+    # and the join read a handful of rows instead of recomputing them.
+    accounts = silver.select(*keys, F.col(entity_col).alias("safe_account"))
+    totals = materialize(accounts.distinct().groupBy(*keys).agg(F.count("safe_account").alias("unique_safes")))
+    hinted, small = broadcast_if_bounded(totals, max_broadcast_groups)
     if small:
         joined = per_entity.join(hinted, keys, "inner")
     else:
