@@ -105,21 +105,21 @@ def _chain_labels(
     ignores)."""
     ck = ["blockchain", "address"]
     null = F.lit(None).cast("string")
-    la = addresses.where(R.label_kept()).select(
+    label_rows = addresses.where(R.label_kept()).select(
         *ck,
         F.col("name").alias("label_names"),
         F.col("category").alias("label_categories"),
         F.col("model_name").alias("label_models"),
         null.alias("contract_name"),
     )
-    lc = contracts.select(
+    contract_rows = contracts.select(
         *ck,
         null.alias("label_names"),
         null.alias("label_categories"),
         null.alias("label_models"),
         F.col("name").alias("contract_name"),
     )
-    both = _restrict(la.unionByName(lc), recv, ck, small)
+    both = _restrict(label_rows.unionByName(contract_rows), recv, ck, small)
     return both.groupBy(*ck).agg(
         *[F.min(c).alias(c) for c in ("label_names", "label_categories", "label_models", "contract_name")]
     )

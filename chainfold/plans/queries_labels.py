@@ -31,18 +31,18 @@ def _sql(*blocks: str, select: str) -> str:
 # ------------------------------------------------------------------- J1-J9
 
 
-@query("wallet_transfers", _sql(O.SAFE_TRANSFERS, select="SELECT * FROM safe_transfers"))
+@query("wallet_transfers", _sql(O.SAFE_TRANSFERS, select="SELECT * FROM wallet_tx"))
 def q_wallet_transfers(spark, sf_dir):
     return _safe(_inputs(spark, sf_dir))
 
 
-@query("receiver_labels", _sql(O.SAFE_TRANSFERS, O.RECEIVER_LABELS, select="SELECT * FROM receiver_labels"))
+@query("receiver_labels", _sql(O.SAFE_TRANSFERS, O.RECEIVER_LABELS, select="SELECT * FROM recv_info"))
 def q_receiver_labels(spark, sf_dir):
     inp = _inputs(spark, sf_dir)
     return L.receiver_labels(L.receivers(_safe(inp)), inp["ens"], inp["contracts"], inp["addresses"])
 
 
-@query("event_names", _sql(O.SAFE_TRANSFERS, O.EVT_NAMES, select="SELECT * FROM evt_names"))
+@query("event_names", _sql(O.SAFE_TRANSFERS, O.EVT_NAMES, select="SELECT * FROM tx_events"))
 def q_event_names(spark, sf_dir):
     inp = _inputs(spark, sf_dir)
     return L.event_names(inp["logs"], _safe(inp))
@@ -54,7 +54,7 @@ def q_event_names(spark, sf_dir):
         O.SAFE_TRANSFERS,
         select="""SELECT t.tx_hash, t.evt_index, t.blockchain, t.contract_address,
   CASE WHEN s.stablecoin_address IS NOT NULL THEN 'stablecoin' ELSE t.token_standard END AS token_category
-FROM safe_transfers t LEFT JOIN stablecoins s
+FROM wallet_tx t LEFT JOIN stablecoins s
   ON s.blockchain = t.blockchain AND s.stablecoin_address = t.contract_address""",
     ),
 )
@@ -75,11 +75,11 @@ def q_token_category(spark, sf_dir):
     _sql(
         O.SAFE_TRANSFERS,
         select="""SELECT tx_hash, evt_index, "to",
-  CASE WHEN "to" IN (SELECT address FROM safes) THEN 'Safe'
-       WHEN "to" IN (SELECT address FROM burn_addresses) THEN 'Burner address'
-       WHEN "to" IN (SELECT address FROM creation_traces) THEN 'Smart contract'
+  CASE WHEN "to" IN (SELECT address FROM wallets) THEN 'Safe'
+       WHEN "to" IN (SELECT address FROM burn_list) THEN 'Burner address'
+       WHEN "to" IN (SELECT address FROM created) THEN 'Smart contract'
        ELSE 'EOA' END AS receiver_type
-FROM safe_transfers""",
+FROM wallet_tx""",
     ),
 )
 def q_receiver_type(spark, sf_dir):
@@ -87,7 +87,7 @@ def q_receiver_type(spark, sf_dir):
     return L.receiver_types(_safe(inp), inp).select("tx_hash", "evt_index", "to", "receiver_type")
 
 
-_PER_RECEIVER_SQL = """SELECT DISTINCT blockchain, receiver, receiver_contract_name, receiver_name{extra} FROM labelled"""
+_PER_RECEIVER_SQL = """SELECT DISTINCT blockchain, receiver, receiver_contract_name, receiver_name{extra} FROM lab_out"""
 
 
 def _per_receiver(spark, sf_dir, cols):
@@ -102,7 +102,7 @@ def q_receiver_name(spark, sf_dir):
 
 @query(
     "classify_vertical",
-    O.LABEL_ALL + "\nSELECT DISTINCT blockchain, receiver, receiver_type, receiver_name, vertical FROM labelled",
+    O.LABEL_ALL + "\nSELECT DISTINCT blockchain, receiver, receiver_type, receiver_name, vertical FROM lab_out",
 )
 def q_classify_vertical(spark, sf_dir):
     return _per_receiver(spark, sf_dir, ["receiver_type", "receiver_name", "vertical"])
@@ -110,7 +110,7 @@ def q_classify_vertical(spark, sf_dir):
 
 @query(
     "derive_protocol",
-    O.LABEL_ALL + "\nSELECT DISTINCT blockchain, receiver, receiver_type, protocol FROM labelled",
+    O.LABEL_ALL + "\nSELECT DISTINCT blockchain, receiver, receiver_type, protocol FROM lab_out",
 )
 def q_derive_protocol(spark, sf_dir):
     return _per_receiver(spark, sf_dir, ["receiver_type", "protocol"]).select(
@@ -127,7 +127,7 @@ def q_labelled_transfers(spark, sf_dir):
     "vertical_counts",
     O.LABEL_ALL
     + "\nSELECT vertical, receiver_type, COUNT(*) AS n_transfers, CAST(SUM(amount_usd) AS DECIMAL(38,2)) AS usd"
-    " FROM labelled GROUP BY vertical, receiver_type",
+    " FROM lab_out GROUP BY vertical, receiver_type",
 )
 def q_vertical_counts(spark, sf_dir):
     lab = L.label_transfers(_inputs(spark, sf_dir))
@@ -147,7 +147,7 @@ def q_filter_previous_day(spark, sf_dir):
     return L.previous_day_transfers(_inputs(spark, sf_dir)["transfers"], RUN_DATE)
 
 
-@query("filter_in_list", _sql(select="SELECT la.* FROM addresses la WHERE " + O.LABEL_KEPT))
+@query("filter_in_list", _sql(select="SELECT al.* FROM addresses al WHERE " + O.LABEL_KEPT))
 def q_filter_in_list(spark, sf_dir):
     return _inputs(spark, sf_dir)["addresses"].where(R.label_kept())
 
@@ -185,7 +185,7 @@ def q_case_when(spark, sf_dir):
     "join_left_single_key",
     _sql(
         O.SAFE_TRANSFERS,
-        select='SELECT t.tx_hash, t.evt_index, t."to", e.name AS ens FROM safe_transfers t LEFT JOIN ens e ON e.address = t."to"',
+        select='SELECT t.tx_hash, t.evt_index, t."to", e.name AS ens FROM wallet_tx t LEFT JOIN ens e ON e.address = t."to"',
     ),
 )
 def q_join_left_single_key(spark, sf_dir):
@@ -199,7 +199,7 @@ def q_join_left_single_key(spark, sf_dir):
     _sql(
         O.SAFE_TRANSFERS,
         select="""SELECT t.tx_hash, t.evt_index, t."to", t.blockchain, c.name AS contract_name
-FROM safe_transfers t LEFT JOIN contracts c ON c.address = t."to" AND c.blockchain = t.blockchain""",
+FROM wallet_tx t LEFT JOIN contracts c ON c.address = t."to" AND c.blockchain = t.blockchain""",
     ),
 )
 def q_join_left_multi_key(spark, sf_dir):
@@ -216,8 +216,8 @@ def q_join_left_multi_key(spark, sf_dir):
     "join_left_filtered_right",
     _sql(
         O.SAFE_TRANSFERS,
-        select=f"""SELECT t.tx_hash, t.evt_index, t."to", t.blockchain, la.name AS label_name, la.model_name
-FROM safe_transfers t LEFT JOIN addresses la ON la.address = t."to" AND la.blockchain = t.blockchain AND {O.LABEL_KEPT}""",
+        select=f"""SELECT t.tx_hash, t.evt_index, t."to", t.blockchain, al.name AS label_name, al.model_name
+FROM wallet_tx t LEFT JOIN addresses al ON al.address = t."to" AND al.blockchain = t.blockchain AND {O.LABEL_KEPT}""",
     ),
 )
 def q_join_left_filtered_right(spark, sf_dir):
@@ -232,7 +232,7 @@ def q_join_left_filtered_right(spark, sf_dir):
     )
 
 
-@query("join_semi", _sql(select='SELECT * FROM tr WHERE "from" IN (SELECT address FROM safes)'))
+@query("join_semi", _sql(select='SELECT * FROM tr WHERE "from" IN (SELECT address FROM wallets)'))
 def q_join_semi(spark, sf_dir):
     inp = _inputs(spark, sf_dir)
     w = inp["wallets"].select(F.col("address").alias("from"))
@@ -242,7 +242,7 @@ def q_join_semi(spark, sf_dir):
 @query(
     "join_existence",
     _sql(
-        select="""SELECT tx_hash, evt_index, "to", COALESCE("to" IN (SELECT address FROM creation_traces), false) AS is_contract
+        select="""SELECT tx_hash, evt_index, "to", COALESCE("to" IN (SELECT address FROM created), false) AS is_contract
 FROM tr""",
     ),
 )
@@ -261,11 +261,11 @@ def q_join_existence(spark, sf_dir):
         O.RECEIVER_LABELS,
         O.EVT_NAMES,
         select="""SELECT t.tx_hash, t.evt_index, t.blockchain, t."to", s.stablecoin_address IS NOT NULL AS is_stablecoin,
-  l.label_names, l.contract_name, l.ens, e.event_name
-FROM safe_transfers t
+  ri.label_names, ri.contract_name, ri.ens, ev.event_name
+FROM wallet_tx t
 LEFT JOIN stablecoins s ON s.blockchain = t.blockchain AND s.stablecoin_address = t.contract_address
-LEFT JOIN receiver_labels l ON l.address = t."to" AND l.blockchain = t.blockchain
-LEFT JOIN evt_names e ON e.tx_hash = t.tx_hash AND e."index" = t.evt_index""",
+LEFT JOIN recv_info ri ON ri.address = t."to" AND ri.blockchain = t.blockchain
+LEFT JOIN tx_events ev ON ev.tx_hash = t.tx_hash AND ev."index" = t.evt_index""",
     ),
 )
 def q_join_star(spark, sf_dir):
@@ -346,7 +346,7 @@ def q_str_split_part(spark, sf_dir):
     _sql(
         O.SAFE_TRANSFERS,
         O.RECEIVER_LABELS,
-        select="SELECT blockchain, address, COALESCE(contract_name, label_names, ens) AS any_name FROM receiver_labels",
+        select="SELECT blockchain, address, COALESCE(contract_name, label_names, ens) AS any_name FROM recv_info",
     ),
 )
 def q_coalesce_cols(spark, sf_dir):
@@ -367,15 +367,15 @@ def q_str_trim(spark, sf_dir):
 _COUNT_TABLES = ("transfers", "wallets", "ens", "contracts", "addresses", "logs", "burn", "creation", "stablecoins", "stakers")
 _COUNT_SQL = {
     "transfers": "tr",
-    "wallets": "safes",
+    "wallets": "wallets",
     "ens": "ens",
     "contracts": "contracts",
     "addresses": "addresses",
     "logs": "logs",
-    "burn": "burn_addresses",
-    "creation": "creation_traces",
+    "burn": "burn_list",
+    "creation": "created",
     "stablecoins": "stablecoins",
-    "stakers": "eth_stakers",
+    "stakers": "stakers",
 }
 
 
