@@ -308,23 +308,18 @@ def attach_receiver_info(
     behaviour). Broadcast when the receiver table is proven small, else a
     shuffle join salted by transaction, so a hot receiver is split.
     """
-    i = info.withColumnRenamed("address", "to").withColumnRenamed("blockchain", "label_chain")
+    i = info.withColumnRenamed("address", "label_to").withColumnRenamed("blockchain", "label_chain")
+    conds = [F.col("to") == F.col("label_to")]
     if same_chain:
-        cond = ["to"]
-        extra = F.col("blockchain").eqNullSafe(F.col("label_chain"))
-    else:
-        cond, extra = ["to"], None
+        conds.append(F.col("blockchain").eqNullSafe(F.col("label_chain")))
     if _is_small(i, info_is_small, max_broadcast_rows):
-        hinted = F.broadcast(i)
-        j = transfers.join(hinted, [transfers["to"] == hinted["to"]] + ([extra] if extra is not None else []), "left")
-        j = j.drop(hinted["to"])
+        j = transfers.join(F.broadcast(i), conds, "left")
     else:
-        salt, B = "__salt", DEFAULT_SALT_BUCKETS
-        t = transfers.withColumn(salt, salt_column(["tx_hash", "evt_index"], B))
-        s = i.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(B - 1))))
-        conds = [t["to"] == s["to"], t[salt] == s[salt]] + ([extra] if extra is not None else [])
-        j = t.join(s, conds, "left").drop(s["to"]).drop(t[salt]).drop(s[salt])
-    return j.drop("label_chain")
+        b = DEFAULT_SALT_BUCKETS
+        t = transfers.withColumn("__salt", salt_column(["tx_hash", "evt_index"], b))
+        s = i.withColumn("label_salt", F.explode(F.sequence(F.lit(0), F.lit(b - 1))))
+        j = t.join(s, conds + [F.col("__salt") == F.col("label_salt")], "left").drop("__salt", "label_salt")
+    return j.drop("label_to", "label_chain")
 
 
 def classify(df: DataFrame) -> DataFrame:
