@@ -87,11 +87,10 @@ def topk(dim: str, measure: str, k: int = 5, src: str | None = None) -> str:
 def _label_inputs() -> str:
     from chainfold.plans.testdata import ADDRESS_LABELS, BLOCKCHAINS, CONTRACT_NAMES
 
-    chains = ", ".join(f"('{b}')" for b in BLOCKCHAINS)
+    chains = "unnest([" + ", ".join(f"'{b}'" for b in BLOCKCHAINS) + "])"
     names = ", ".join(f"'{n}'" for n in CONTRACT_NAMES)
     slots = ", ".join(f"({s}, '{n}', '{c}', '{m}', '{t}')" for s, n, c, m, t in ADDRESS_LABELS)
     return f"""
-chains AS (SELECT * FROM (VALUES {chains}) v(blockchain)),
 tr AS (
   SELECT o.o_orderstatus AS blockchain, CAST(l.l_shipdate AS DATE) AS block_date, l.l_shipdate AS block_time,
          l.l_orderkey AS tx_hash, l.l_linenumber AS evt_index, o.o_custkey AS "from", l.l_suppkey AS "to",
@@ -102,15 +101,16 @@ wallets AS (SELECT c_custkey AS address FROM customer WHERE c_mktsegment = 'BUIL
 burn_list AS (SELECT s_suppkey AS address FROM supplier WHERE s_acctbal < 0),
 created AS (SELECT s_suppkey AS address FROM supplier WHERE s_nationkey % 2 = 0),
 stakers AS (SELECT s_suppkey AS address FROM supplier WHERE s_suppkey % 20 = 18),
-stablecoins AS (SELECT c.blockchain, p.p_partkey AS stablecoin_address FROM part p, chains c WHERE p.p_type = 'PROMO'),
+stablecoins AS (SELECT {chains} AS blockchain, p_partkey AS stablecoin_address FROM part WHERE p_type = 'PROMO'),
 ens AS (SELECT s_suppkey AS address, lower(s_name) || '.eth' AS name FROM supplier WHERE s_suppkey % 3 = 0),
 contracts AS (
-  SELECT s.s_suppkey AS address, c.blockchain, list_extract([{names}], CAST(s.s_suppkey % 20 AS INTEGER) + 1) AS name
-  FROM supplier s, chains c WHERE s.s_suppkey % 20 < {len(CONTRACT_NAMES)}),
+  SELECT s_suppkey AS address, {chains} AS blockchain,
+         list_extract([{names}], CAST(s_suppkey % 20 AS INTEGER) + 1) AS name
+  FROM supplier WHERE s_suppkey % 20 < {len(CONTRACT_NAMES)}),
 label_slots AS (SELECT * FROM (VALUES {slots}) v(slot, name, category, model_name, label_type)),
 addresses AS (
-  SELECT s.s_suppkey AS address, c.blockchain, a.name, a.category, a.model_name, a.label_type
-  FROM supplier s JOIN label_slots a ON s.s_suppkey % 20 = a.slot, chains c),
+  SELECT s.s_suppkey AS address, {chains} AS blockchain, a.name, a.category, a.model_name, a.label_type
+  FROM supplier s JOIN label_slots a ON s.s_suppkey % 20 = a.slot),
 logs AS (SELECT l_orderkey AS tx_hash, l_linenumber AS "index", l_returnflag AS event_name FROM lineitem)
 """
 

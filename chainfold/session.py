@@ -45,20 +45,27 @@ def build_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder; set one under /tmp only if unset.
+    """The session's checkpoint folder, read from the session.
 
     On a cluster ``spark.checkpoint.dir`` names a shared, reliable folder
-    and is used as is. Only a local session without one (tests) gets a
-    fresh temporary folder.
+    and is used as is; a cluster session without one is an error, since a
+    machine-local folder would not survive a lost executor. Only a local
+    session without one (tests) gets a fresh temporary folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    path = conf_dir or tempfile.mkdtemp(prefix="chainfold-ckpt-")
-    sc.setCheckpointDir(path)
-    return sc.getCheckpointDir() or path
+    if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: name a shared, reliable folder "
+                "(for example on the cluster's object store or HDFS)"
+            )
+        conf_dir = tempfile.mkdtemp(prefix="chainfold-ckpt-")
+    sc.setCheckpointDir(conf_dir)
+    return sc.getCheckpointDir() or conf_dir
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
