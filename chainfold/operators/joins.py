@@ -1,11 +1,13 @@
 """Join helpers: size-checked broadcast, salted shuffle joins, flag joins.
 
 A side is broadcast only after a run-time check has proven that it holds at
-most ``max_rows`` rows. The check is ``limit(max_rows + 1).count()``, so
-each task stops after ``max_rows + 1`` rows and a large table costs no full
-scan. Beyond the bound the join is a shuffle join; where one key may hold a
-large share of the rows, the big side is salted so that a hot key is spread
-over ``buckets`` tasks instead of landing in one.
+most ``max_rows`` rows. The check is ``limit(max_rows + 1).count()``: each
+task reads at most ``max_rows + 1`` rows of its partition. It is applied to
+input lists (wallets, stablecoins) and to small materialized intermediates
+(receivers, per-group totals), never to a fact table. Beyond the bound the
+join is a shuffle join; where one key may hold a large share of the rows,
+the big side is salted so that a hot key is spread over ``buckets`` tasks
+instead of landing in one.
 """
 
 from __future__ import annotations
@@ -22,7 +24,8 @@ DEFAULT_SALT_BUCKETS = 32
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True if ``df`` has no more than ``max_rows`` rows (bounded work)."""
+    """True if ``df`` has no more than ``max_rows`` rows (each task reads at
+    most ``max_rows + 1`` rows; one number reaches the driver)."""
     return df.limit(max_rows + 1).count() <= max_rows
 
 
