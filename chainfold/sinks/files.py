@@ -11,7 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chainfold.operators.joins import materialize
 from chainfold.sources.files import read_table
 from chainfold.schemas import PARTITION_KEYS
 
@@ -98,21 +97,27 @@ def merge_months(
     the partition columns, which dynamic partition pruning applies at the
     scan.
 
-    The merged rows are materialized (reliable checkpoint) before the write,
-    so the write no longer depends on the files it replaces. A table with a
+    One job reads the old month files, merges and writes: dynamic overwrite
+    stages the new files and swaps the month directories only when every
+    task has finished, so a retried task still finds the old files. The
+    rows returned are a fresh read of the touched months from the table,
+    whose lineage no longer refers to the replaced files. A table with a
     single writer is assumed: readers may briefly see a half-replaced month.
-    Returns the merged rows of the touched months.
     """
     spark = new.sparkSession
-    existing = read_table(spark, path, new.schema, fmt)
-    if year is not None and month is not None:
-        existing = existing.where((F.col("year") == int(year)) & (F.col("month") == int(month)))
-    else:
+
+    def touched(df: DataFrame) -> DataFrame:
+        if year is not None and month is not None:
+            return df.where((F.col("year") == int(year)) & (F.col("month") == int(month)))
         months = new.select(*PARTITION_KEYS).distinct()
-        existing = existing.join(months, list(PARTITION_KEYS), "left_semi")
-    merged = materialize(new.unionByName(existing.select(*new.columns)).dropDuplicates())
+        return df.join(months, list(PARTITION_KEYS), "left_semi")
+
+    existing = touched(read_table(spark, path, new.schema, fmt))
+    merged = new.unionByName(existing.select(*new.columns)).dropDuplicates()
     write_partitions(merged, path, fmt=fmt)
-    return merged
+    # A fresh read of the months just written: its lineage starts at the new
+    # files, not at the replaced ones.
+    return touched(read_table(spark, path, new.schema, fmt)).select(*new.columns)
 
 
 def write_result_pages(df: DataFrame, path: str, rows_per_page: int = 1000) -> None:
