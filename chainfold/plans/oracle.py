@@ -201,6 +201,14 @@ lab_out AS (
 
 LABEL_ALL = with_(LABEL_INPUTS, SAFE_TRANSFERS, RECEIVER_LABELS, EVT_NAMES, LABELLED)
 
+# The original join of receiver labels: on the address only, so a receiver
+# seen on several chains meets every chain's label row.
+LABELLED_ADDRESS_JOIN = LABELLED.replace(
+    'ON ri.address = w."to" AND ri.blockchain IS NOT DISTINCT FROM w.blockchain', 'ON ri.address = w."to"'
+)
+assert LABELLED_ADDRESS_JOIN != LABELLED
+LABEL_ALL_ADDRESS_JOIN = with_(LABEL_INPUTS, SAFE_TRANSFERS, RECEIVER_LABELS, EVT_NAMES, LABELLED_ADDRESS_JOIN)
+
 LABELLED_21 = """
 SELECT amount, amount_usd, CAST(block_date AS VARCHAR) AS block_date,
        strftime(block_time, '%Y-%m-%d %H:%M:%S.%g UTC') AS block_time, blockchain, event_name, protocol,

@@ -123,6 +123,13 @@ def q_labelled_transfers(spark, sf_dir):
     return L.to_labelled_schema(L.label_transfers(_inputs(spark, sf_dir)))
 
 
+@query("labelled_transfers_address_join", O.LABEL_ALL_ADDRESS_JOIN + "\n" + O.LABELLED_21)
+def q_labelled_transfers_address_join(spark, sf_dir):
+    """The label step with the original address-only label join (fan-out
+    across chains kept)."""
+    return L.to_labelled_schema(L.label_transfers(_inputs(spark, sf_dir), same_chain=False))
+
+
 @query(
     "vertical_counts",
     O.LABEL_ALL
