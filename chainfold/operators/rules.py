@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from chainfold.functions.text import concat_strict, first_non_null, first_part
+
 # ----------------------------------------------------------------------------
 # Fixed values. These must equal the original rules for equal results.
 #
@@ -146,8 +148,8 @@ def receiver_name(label_models: Column, label_names: Column, contract_name: Colu
     project (text before ``": "``), else the label, else the ENS name."""
     return F.when(
         label_models == F.lit(DAO_MODEL),
-        F.concat(F.lit(DAO_NAME_PREFIX), F.split_part(label_names, F.lit(":"), F.lit(1))),
-    ).otherwise(F.coalesce(F.split_part(contract_name, F.lit(": "), F.lit(1)), label_names, ens))
+        concat_strict(DAO_NAME_PREFIX, first_part(label_names, ":")),
+    ).otherwise(first_non_null(first_part(contract_name, ": "), label_names, ens))
 
 
 def unclassified(rtype: Column) -> Column:

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chainfold.functions import text as X
 from chainfold.operators import labels as L
 from chainfold.operators import rules as R
 from chainfold.operators.joins import membership_flag
@@ -165,7 +166,7 @@ def q_filter_in_list(spark, sf_dir):
 )
 def q_filter_like(spark, sf_dir):
     c = _inputs(spark, sf_dir)["contracts"]
-    return c.where(F.col("name").like(R.SAFE_CONTRACT_PATTERN) | F.lower("name").like(R.SWAP_PATTERN))
+    return c.where(X.contains_like("name", R.SAFE_CONTRACT_PATTERN) | X.contains_like(X.lower("name"), R.SWAP_PATTERN))
 
 
 @query(
@@ -312,7 +313,7 @@ def q_select_distinct(spark, sf_dir):
 @query("str_lower", _sql(select="SELECT address, blockchain, lower(name) AS name_lower FROM contracts"))
 def q_str_lower(spark, sf_dir):
     c = _inputs(spark, sf_dir)["contracts"]
-    return c.select("address", "blockchain", F.lower("name").alias("name_lower"))
+    return c.select("address", "blockchain", X.lower("name").alias("name_lower"))
 
 
 @query(
@@ -329,7 +330,7 @@ def q_str_concat(spark, sf_dir):
     return a.select(
         "address",
         "blockchain",
-        F.concat(F.lit(R.DAO_NAME_PREFIX), F.split_part("name", F.lit(":"), F.lit(1))).alias("dao_name"),
+        X.concat_strict(R.DAO_NAME_PREFIX, X.first_part("name", ":")).alias("dao_name"),
         R.unclassified(cat).alias("strict_concat"),
     )
 
@@ -343,8 +344,8 @@ def q_str_split_part(spark, sf_dir):
     return c.select(
         "address",
         "blockchain",
-        F.split_part("name", F.lit(": "), F.lit(1)).alias("project"),
-        F.split_part("name", F.lit(":"), F.lit(1)).alias("head"),
+        X.first_part("name", ": ").alias("project"),
+        X.first_part("name", ":").alias("head"),
     )
 
 
@@ -359,7 +360,7 @@ def q_str_split_part(spark, sf_dir):
 def q_coalesce_cols(spark, sf_dir):
     inp = _inputs(spark, sf_dir)
     lab = L.receiver_labels(L.receivers(_safe(inp)), inp["ens"], inp["contracts"], inp["addresses"])
-    return lab.select("blockchain", "address", F.coalesce("contract_name", "label_names", "ens").alias("any_name"))
+    return lab.select("blockchain", "address", X.first_non_null("contract_name", "label_names", "ens").alias("any_name"))
 
 
 @query(
@@ -368,7 +369,7 @@ def q_coalesce_cols(spark, sf_dir):
 )
 def q_str_trim(spark, sf_dir):
     e = _inputs(spark, sf_dir)["ens"]
-    return e.select("address", F.trim(F.concat(F.lit(" "), "name", F.lit("  "))).alias("name_trimmed"))
+    return e.select("address", X.trim(X.concat_strict(" ", F.col("name"), "  ")).alias("name_trimmed"))
 
 
 _COUNT_TABLES = ("transfers", "wallets", "ens", "contracts", "addresses", "logs", "burn", "creation", "stablecoins", "stakers")
