@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from chainfold.operators import labels as L
 from chainfold.operators.compare import same_rows
 from chainfold.plans.testdata import label_inputs
@@ -166,6 +168,11 @@ def test_plan_paths_agree(spark):
     b = L.label_transfers(inp, max_broadcast_rows=0, materialize_steps=False)
     assert a.count() == 15970
     assert same_rows(a, b).count() == 0
+    # Every transfer gets a receiver type, and with it a vertical and a protocol.
+    missing = a.where(
+        F.col("receiver_type").isNull() | F.col("vertical").isNull() | F.col("protocol").isNull()
+    ).count()
+    assert missing == 0
 
 
 def test_receiver_types_paths_agree(spark):
