@@ -281,12 +281,14 @@ def stablecoin_flag(
     )
     # A token contract may carry a large share of all transfers, so the list
     # is broadcast when small and otherwise joined with the transfers salted.
+    # The raw list bounds its distinct rows, so it is what the check counts.
     out = join_small_side(
         transfers,
         stb,
         ["blockchain", "contract_address"],
         "left",
         max_rows=max_broadcast_rows,
+        probe=stablecoins,
         salt_by=["tx_hash", "evt_index"],
     )
     return out.withColumn("is_stablecoin", F.coalesce(F.col("is_stablecoin"), F.lit(False)))
