@@ -61,3 +61,26 @@ def test_month_read_is_pruned(spark):
     write_partitions(quarantine(event_transfers(spark, SMOKE_DIR)), path)
     plan = _plan(read_month(spark, path, 2024, 1, SILVER))
     assert "PartitionFilters: [isnotnull(year" in plan and "(month" in plan
+
+
+def test_merge_reads_only_touched_months(spark):
+    """Without an explicit month, the merge's semi join on the partition
+    columns becomes dynamic partition pruning at the existing table's scan."""
+    from pyspark.sql import functions as F
+
+    from chainfold.schemas import PARTITION_KEYS
+    from chainfold.sources.files import read_table
+
+    path = scratch_dir(spark, "t-plan-dpp")
+    base = quarantine(event_transfers(spark, SMOKE_DIR))
+    shifted = base
+    for k in (1, 2, 3):
+        shifted = shifted.unionByName(
+            quarantine(event_transfers(spark, SMOKE_DIR).withColumn("block_date", F.add_months("block_date", k)))
+        )
+    write_partitions(shifted, path)
+    new = quarantine(event_transfers(spark, SMOKE_DIR).withColumn("block_date", F.add_months("block_date", 2)))
+    months = new.select(*PARTITION_KEYS).distinct()
+    existing = read_table(spark, path, SILVER).join(months, list(PARTITION_KEYS), "left_semi")
+    plan = _plan(existing)
+    assert "dynamicpruningexpression(year" in plan and "dynamicpruningexpression(month" in plan
