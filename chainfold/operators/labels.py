@@ -261,11 +261,15 @@ def _salted_left(t: DataFrame, side: DataFrame, key: str) -> DataFrame:
 
 
 def event_names(
-    logs: DataFrame, transfers: DataFrame, *, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS
+    logs: DataFrame,
+    transfers: DataFrame,
+    *,
+    tx_is_small: bool | None = None,
+    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Distinct (tx_hash, index, event_name) of the transfers' transactions."""
     tx = transfers.select("tx_hash").where(F.col("tx_hash").isNotNull())
-    small = has_at_most(tx, max_broadcast_rows)
+    small = _is_small(tx, tx_is_small, max_broadcast_rows)
     return _restrict(logs, tx, ["tx_hash"], small).select("tx_hash", "index", "event_name").distinct()
 
 
@@ -376,9 +380,13 @@ def label_transfers(
     keep = materialize if materialize_steps else (lambda df: df)
     t = keep(wallet_transfers(inputs["transfers"], inputs["wallets"], first_day, last_day, **kw))
     recv = keep(receivers(t))
-    small = has_at_most(recv, max_broadcast_rows)
+    # The transfers bound both their transaction ids and their receivers, so
+    # one check usually answers both; the receivers are counted on their own
+    # only when the transfers exceed the bound.
+    t_small = has_at_most(t, max_broadcast_rows)
+    small = t_small or has_at_most(recv, max_broadcast_rows)
     info = receiver_info(recv, inputs, recv_is_small=small, **kw)
-    evt = event_names(inputs["logs"], t, **kw).withColumnRenamed("index", "evt_index")
+    evt = event_names(inputs["logs"], t, tx_is_small=t_small, **kw).withColumnRenamed("index", "evt_index")
     j = stablecoin_flag(t, inputs["stablecoins"], **kw)
     j = attach_receiver_info(j, info, same_chain=same_chain, info_is_small=small, **kw)
     j = j.join(evt, ["tx_hash", "evt_index"], "left")
