@@ -70,8 +70,8 @@ g as materialized (
   select doc_id, words, unnest(range(1, len(words) - 11)) as p from d),
 k as materialized (select doc_id, p, array_to_string(words[p:p + 12], ' ') as w from g),
 m as materialized (select w, min(doc_id) as first_id from k group by w),
-gone as (select distinct doc_id, unnest(range(p, p + 13)) as at from k join m using (w) where first_id < doc_id),
-c as (select doc_id, count(*) as n, list(at) as places from gone group by doc_id)
+gone as (select distinct doc_id, unnest(range(p, p + 13)) as place from k join m using (w) where first_id < doc_id),
+c as (select doc_id, count(*) as n, list(place) as places from gone group by doc_id)
 select doc_id, len(words)::bigint as n_words, coalesce(c.n, 0)::bigint as n_removed,
   sha256(array_to_string(list_transform(list_filter(range(1, len(words) + 1),
     lambda i: not list_contains(coalesce(c.places, []), i)), lambda i: words[i]), ' ')) as kept_sha256
