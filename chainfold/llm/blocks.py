@@ -14,6 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import types as T
 
 BLOCK_BYTES = 2 << 20
 
@@ -102,9 +103,8 @@ def split_words(offsets: np.ndarray, data: np.ndarray, lower: bool = False) -> W
     first &= word
     starts = np.flatnonzero(first)
     body = data[word]
-    # position of each word among the word bytes
-    rank = np.cumsum(word, dtype=np.int64)
-    at = rank[starts] - 1 if len(starts) else np.zeros(0, np.int64)
+    # each word's place among the word bytes
+    at = np.flatnonzero(first[word])
     lengths = np.diff(np.append(at, len(body)))
     hashes = hash_runs(body, at, lengths)
     bounds = np.searchsorted(starts, offsets)
@@ -117,8 +117,11 @@ def hash_runs(body: np.ndarray, at: np.ndarray, lengths: np.ndarray) -> np.ndarr
         return np.zeros(0, _U)
     with np.errstate(over="ignore"):
         power = np.cumprod(np.full(int(lengths.max()), _STEP))
-        place = np.arange(len(body), dtype=np.int64) - np.repeat(at, lengths)
-        return mix(np.add.reduceat(_BYTE[body] * power[place], at) + lengths.astype(_U))
+        place = np.arange(len(body), dtype=np.int32)
+        place -= np.repeat(at.astype(np.int32), lengths)
+        codes = _BYTE[body]
+        codes *= power[place]
+        return mix(np.add.reduceat(codes, at) + lengths.astype(_U))
 
 
 def ngrams(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -147,3 +150,8 @@ def long_array(values: list[np.ndarray]) -> pa.Array:
     offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
     flat = np.concatenate(values) if values else np.zeros(0, _U)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64)))
+
+
+def with_field(schema: T.StructType, name: str, kind: T.DataType) -> T.StructType:
+    """A copy of ``schema`` with one more field."""
+    return T.StructType([*schema.fields, T.StructField(name, kind)])

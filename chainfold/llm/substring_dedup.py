@@ -34,6 +34,7 @@ from chainfold.llm import blocks as B
 from chainfold.storage import discard, write_intermediate
 
 GROUP_BYTES = 12 << 20
+PACK_BYTES = 16 << 20
 LEAST_RANGES = 256
 MOST_RANGES = 1 << 18
 _PACKED = "slot int, docs binary, sizes binary, hashes binary"
@@ -47,6 +48,11 @@ def _ranges(docs: DataFrame, text: str) -> int:
     return 1 << (int(want) - 1).bit_length()
 
 
+def _within(offsets: np.ndarray, i: int, j: int) -> Iterator[tuple[int, int]]:
+    for a, b in B.spans(offsets[i : j + 1]):
+        yield i + a, i + b
+
+
 def _pack(slots: np.ndarray, rest: np.ndarray, docs: np.ndarray) -> Iterator[tuple[int, bytes, bytes, bytes]]:
     """(slot, ids, run lengths, remainders) of each slot; ``docs`` ascends in runs."""
     order = np.argsort(slots, kind="stable")
@@ -122,22 +128,26 @@ def repeated_windows(docs: DataFrame, id_col: str, text_col: str, window: int) -
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     known = texts.where("doc_id is not null")
 
+    def mark(offsets: np.ndarray, data: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(range, remainder, document) of every rolling window; the last bit marks a reference block."""
+        words = B.split_words(offsets, data)
+        count = np.diff(words.bounds)
+        owner = np.repeat(np.arange(len(ids), dtype=np.int32), count)
+        grams = B.ngrams(words.hashes, block)
+        owner = owner[: len(grams)]
+        place = np.arange(len(owner)) - words.bounds[owner]
+        fits = place + block <= count[owner]
+        grams, owner, place = grams[fits], owner[fits], place[fits]
+        marked = ((grams >> np.uint64(32 - bits)) & np.uint64(0xFFFFFFFE)) | (place % block == 0)
+        return (grams >> np.uint64(64 - bits)).astype(np.int32), marked.astype(np.uint32), ids[owner]
+
     def probe(batches):
-        # Of the block hash: the top bits are the range, the next 31 the remainder, the last bit marks a reference block.
         for batch in batches:
             offsets, data = B.text_arrays(batch.column(1))
             ids = batch.column(0).to_numpy()
-            for i, j in B.spans(offsets, 8 * B.BLOCK_BYTES):
-                words = B.split_words(offsets[i : j + 1], data[offsets[i] : offsets[j]])
-                count = np.diff(words.bounds)
-                owner = np.repeat(np.arange(j - i), count)
-                place = np.arange(len(owner)) - words.bounds[owner]
-                grams = B.ngrams(words.hashes, block)
-                fits = (place[: len(grams)] + block) <= count[owner[: len(grams)]]
-                grams, owner, place = grams[fits], owner[: len(fits)][fits], place[: len(fits)][fits]
-                marked = ((grams >> np.uint64(32 - bits)) & np.uint64(0xFFFFFFFE)) | (place % block == 0)
-                slots = (grams >> np.uint64(64 - bits)).astype(np.int32)
-                rows = list(_pack(slots, marked.astype(np.uint32), ids[i:j][owner]))
+            for i, j in B.spans(offsets, PACK_BYTES):
+                parts = [mark(offsets[a : b + 1], data[offsets[a] : offsets[b]], ids[a:b]) for a, b in _within(offsets, i, j)]
+                rows = list(_pack(*(np.concatenate(p) for p in zip(*parts, strict=True))))
                 yield _batch(rows, ["slot", "docs", "sizes", "hashes"])
 
     def match(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
