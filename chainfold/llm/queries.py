@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chainfold.llm import ngram_join, substring_dedup
+from chainfold.llm import byte_bpe, chat, html_text, ngram_join, quality, substring_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -81,3 +82,81 @@ from d left join c using (doc_id)
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"), window=13)
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@_query()
+def op2_html_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages).withColumn("n_chars", F.length("text").cast("long"))
+
+
+RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+@_query()
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    tokens = byte_bpe.encode(docs, RANK_FILE, public_tokenizers.PATTERN)
+    return byte_bpe.decode(tokens, RANK_FILE).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@_query(
+    """
+with c as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -1, 0, 'user', '</s>[INST] ok [/INST]' union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+g as (
+  select *, case when lag(role) over w = role then 1 else 0 end as goes_on,
+    length(text) + length(text) - length(replace(replace(replace(text, '~', ''), '[', ''), '<', '')) as escaped
+  from c window w as (partition by conv_id order by turn, role, text))
+select conv_id, count(*)::bigint as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+  coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
+  sum(escaped + case role when 'system' then 5 when 'user' then 6 when 'assistant' then 5
+        else 7 + length(role) + length(role) - length(replace(replace(replace(role, '~', ''), '[', ''), '<', '')) end
+      + case when goes_on = 1 then 1
+        else case role when 'system' then 6 when 'user' then 7 when 'assistant' then 4 else 7 end end)::bigint as formatted_chars
+from g group by conv_id
+"""
+)
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hard = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", hard), (-1, 1, "assistant", hard)], "conv_id long, turn long, role string, text string")
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    read = chat.format_chats(turns).select(
+        "conv_id",
+        F.length("formatted").cast("long").alias("formatted_chars"),
+        chat.read_turns(F.col("formatted")).alias("turns"),
+        chat.read_loss(F.col("formatted"), F.col("loss_mask")).alias("loss"),
+    )
+    line = F.transform("turns", lambda t: F.concat(t.getField("role"), F.lit("\n"), t.getField("text"), F.lit("\n")))
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(line, "").cast("binary"), 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
+@_query()
+def op7_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return quality.measure(docs).select("doc_id", "quality.*")
+
+
+@_query()
+def op8_toxicity_subwords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"), learn=~held_out)
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")
+    )
