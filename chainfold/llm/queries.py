@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chainfold.llm import byte_bpe, chat, html_text, ngram_join, quality, substring_dedup, toxicity
+from chainfold.llm import byte_bpe, chat, html_text, mixing, ngram_join, quality, substring_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -105,6 +105,29 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Weights of the mix: tokens of clean, junk and toxic text.
+MIX_TARGETS = {"clean": 0.97, "junk": 0.02, "toxic": 0.01}
+
+
+def domain_labels(labels: DataFrame) -> DataFrame:
+    """doc_id, domain of the labelled rows."""
+    return labels.select(
+        "doc_id", F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "junk").when(F.col("quality") == 1, "clean").alias("domain")
+    )
+
+
+@_query()
+def op5_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mixing.fit_rates(_table(spark, sf_dir, "documents"), domain_labels(_table(spark, sf_dir, "labels")), MIX_TARGETS)
+    return mix.units.select(
+        F.col("id").alias("doc_id"),
+        "n_tokens",
+        *(F.col("posteriors")[d].alias(f"p_{d}") for d in sorted(MIX_TARGETS)),
+        "rate",
+        mixing.copies(F.col("rate"), F.col("id"), F.col("text_hash")).alias("copies"),
+    )
+
+
 @_query(
     """
 with c as (
