@@ -36,6 +36,7 @@ separate rows; rows with equal sets share a node.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import log
 
 import numpy as np
 import pyarrow as pa
@@ -170,13 +171,17 @@ def near_duplicates(
         raise ValueError("the prefix bounds hold for thresholds from 0.75 to 1")
     sketch = write_intermediate(_sketches(docs, id_col, text_col, shingle, num, den, lower), "ngram-sketch")
     rows = sketch.where("n_shingles > 0 and doc_id is not null")
-    nodes = rows.groupBy("set_id").agg(
-        F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sigs").alias("sigs")
-    )
-    nodes = write_intermediate(nodes, "ngram-nodes")
-    entries = nodes.select("set_id", "n", F.explode("sigs").alias("sig"))
-    shared = entries.groupBy("sig").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("sig")
-    buckets = write_intermediate(entries.join(shared, "sig"), "ngram-buckets")
+    nodes = write_intermediate(rows.groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n")), "ngram-nodes")
+    first = nodes.select("set_id", F.col("rep").alias("doc_id"))
+    entries = rows.join(first, ["set_id", "doc_id"], "left_semi").select("set_id", F.col("n_shingles").alias("n"), F.explode("sigs").alias("token"))
+    shared = entries.groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("token")
+    # Linked sets differ in size by at most den / num, so they meet in the size class of one of them or the next.
+    size_class = F.floor(F.log(F.col("n").cast("double")) / log(den / num)) if num < den else F.col("n")
+    sized = entries.join(shared, "token").withColumn("size_class", F.explode(F.array(size_class, size_class + 1)))
+    sized = write_intermediate(sized.select(F.xxhash64("token", "size_class").alias("sig"), "set_id", "n"), "ngram-sized")
+    met = sized.groupBy("sig").agg(F.min("set_id").alias("lo"), F.max("set_id").alias("hi")).where("lo < hi").select("sig")
+    buckets = write_intermediate(sized.join(met, "sig"), "ngram-buckets")
+    discard(sized)
 
     wanted = nodes.select("set_id", "rep").join(buckets.select("set_id").distinct(), "set_id", "left_semi")
     sets = write_intermediate(_sets(docs, id_col, text_col, wanted, shingle, lower), "ngram-sets")
