@@ -9,10 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chainfold.llm import byte_bpe, chat, html_text, mixing, ngram_join, quality, substring_dedup, toxicity
+from chainfold.llm import byte_bpe, chat, html_text, mixing, ngram_join, pii, quality, substring_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -183,3 +183,22 @@ def op8_toxicity_subwords(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")
     )
+
+
+def _count(values: Column, value: str) -> Column:
+    return F.size(F.filter(values, lambda v: v == value)).cast("long")
+
+
+@_query()
+def op10_pii_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(_table(spark, sf_dir, "documents"))
+    line = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s.getField("kind"), s.getField("start"), s.getField("end"))), ",")
+    base = F.filter("spans", lambda s: s.getField("kind") != "term")
+    base_line = F.array_join(F.transform(base, lambda s: F.concat_ws(":", s.getField("kind"), s.getField("start"), s.getField("end"))), ",")
+    kinds = F.transform("spans", lambda s: s.getField("kind"))
+    return found.select(
+        "doc_id",
+        *(_count(kinds, kind).alias(f"n_{kind}") for kind in pii.KINDS),
+        F.sha2(base_line.cast("binary"), 256).alias("base_sha256"),
+        line.alias("spans"),
+    )
