@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chainfold.llm import byte_bpe, chat, html_text, mixing, ngram_join, pii, quality, substring_dedup, toxicity
+from chainfold.llm import byte_bpe, chat, html_text, mixing, ngram_join, pii, quality, search, substring_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -185,6 +185,30 @@ def op8_toxicity_subwords(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query(
+    r"""
+with d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as words from documents where doc_id is not null),
+stats as (select count(*)::double as n, avg(len(words))::double as mean from d),
+t as materialized (select doc_id, word, count(*)::double as tf from (select doc_id, unnest(words) as word from d) group by all),
+f as materialized (select word, count(*)::double as df from t group by word),
+q as materialized (select distinct doc_id as query_id, word from t where doc_id % 100 = 0),
+s as (
+  select q.query_id, t.doc_id,
+    round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(d.words) / mean))), 6) as score
+  from q join f using (word) join t using (word) join d on d.doc_id = t.doc_id cross join stats
+  group by q.query_id, t.doc_id),
+r as (select *, row_number() over (partition by query_id order by score desc, doc_id) as rank from s)
+select query_id, doc_id, score, rank::int as rank from r where rank <= 10
+"""
+)
+def op9_bm25_block_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = search.top_k(search.build_index(docs), docs.where(F.col("doc_id") % 100 == 0), k=10)
+    return found.withColumn("score", F.round("score", 6))
+
+
 def _count(values: Column, value: str) -> Column:
     return F.size(F.filter(values, lambda v: v == value)).cast("long")
 
