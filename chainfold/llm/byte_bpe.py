@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from chainfold.llm import blocks as B
 
-BLOCK_BYTES = 64 << 20
+BLOCK_BYTES = 6 << 20
 
 # Fixed value: the split pattern of the public byte-level vocabularies.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
