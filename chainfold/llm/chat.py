@@ -8,7 +8,7 @@ one role become one block by array functions, and blocks are concatenated:
 A role other than system, user and assistant is ``[ROLE=name]...[/ROLE]``.
 ``[INST+]`` goes on with the same role, so a merged block still holds its
 turns. Inside texts and names ``~``, ``[`` and ``<`` are written ``~0``,
-``~1`` and ``~2``: a ``[`` or ``<`` of the output is always the template's,
+``~1`` and ``~2``, in names also ``]`` and ``+`` as ``~3`` and ``~4``: a ``[`` or ``<`` of the output is always the template's,
 and reading back gives the exact turns, control strings in texts included.
 
 ``loss_mask`` runs over the formatted string as (n_chars, in_loss) segments;
@@ -40,7 +40,8 @@ def unescape(text: Column) -> Column:
 
 
 def _mark(role: Column) -> Column:
-    out = F.concat(F.lit("ROLE="), escape(role))
+    name = F.replace(F.replace(escape(role), F.lit("]"), F.lit("~3")), F.lit("+"), F.lit("~4"))
+    out = F.concat(F.lit("ROLE="), name)
     for name, mark, _ in MARKS:
         out = F.when(role == name, F.lit(mark)).otherwise(out)
     return out
@@ -110,7 +111,8 @@ def read_turns(formatted: Column) -> Column:
 
     def turn(piece: Column) -> Column:
         mark = F.regexp_extract(piece, r"^\[([^\]]*?)\+?\]", 1)
-        role = unescape(F.regexp_replace(mark, "^ROLE=", ""))
+        name = F.regexp_replace(mark, "^ROLE=", "")
+        role = unescape(F.replace(F.replace(name, F.lit("~4"), F.lit("+")), F.lit("~3"), F.lit("]")))
         for name, known, _ in MARKS:
             role = F.when(mark == known, F.lit(name)).otherwise(role)
         return F.struct(role.alias("role"), unescape(F.regexp_replace(piece, r"^\[[^\]]*\]", "")).alias("text"))

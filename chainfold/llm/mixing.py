@@ -100,7 +100,7 @@ def posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str]) -> Data
         words.join(F.broadcast(slots), "slot", "left")
         .join(F.broadcast(tails), "tail", "left")
         .groupBy("id", "text_hash")
-        .agg(F.count("w").alias("n_tokens"), *(F.coalesce(F.sum(F.col(f"slot{k}") + F.col(f"tail{k}")), F.lit(0.0)).alias(f"s{k}") for k in range(len(domains))))
+        .agg(F.count("w").alias("n_tokens"), *(F.coalesce(F.sum(F.when(F.col("w").isNotNull(), F.col(f"slot{k}") + F.col(f"tail{k}"))), F.lit(0.0)).alias(f"s{k}") for k in range(len(domains))))
     )
     scale = F.pow(F.greatest(F.col("n_tokens"), F.lit(1)).cast("double"), F.lit(TEMPER))
     logs = sums.select("id", "text_hash", "n_tokens", *((F.lit(priors[k]) + F.col(f"s{k}") * scale).alias(f"s{k}") for k in range(len(domains))))
@@ -158,9 +158,8 @@ def copies(rate: Column, *key: Column) -> Column:
 def take_copies(docs: DataFrame, mix: Mix, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with each row as often as its rate says."""
     drawn = write_intermediate(
-        mix.units.select(F.col("id").alias("__id"), F.col("text_hash").alias("__hash"), copies(F.col("rate"), F.col("id"), F.col("text_hash")).alias("__copies")),
-        "mixing-copies",
-    ).where("__copies > 0")
-    rows = docs.withColumn("__text_hash", F.xxhash64(F.col(text_col)))
-    same = F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__hash"))
-    return rows.join(drawn, same).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
+        mix.units.select("id", "text_hash", copies(F.col("rate"), F.col("id"), F.col("text_hash")).alias("n")), "mixing-copies"
+    ).where("n > 0")
+    rows = docs.select(F.struct("*").alias("row"), F.col(f"`{id_col}`").alias("own_id"), F.xxhash64(F.col(f"`{text_col}`")).alias("own_hash"))
+    same = F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_hash") == F.col("text_hash"))
+    return rows.join(drawn, same).select("row", F.explode(F.sequence(F.lit(1), F.col("n")))).select("row.*")

@@ -135,14 +135,14 @@ with c as (
   union all select -1, 0, 'user', '</s>[INST] ok [/INST]' union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
 g as (
   select *, case when lag(role) over w = role then 1 else 0 end as goes_on,
-    length(text) + length(text) - length(replace(replace(replace(text, '~', ''), '[', ''), '<', '')) as escaped
+    length(text) + length(text) - length(translate(text, '~[<', '')) as escaped
   from c window w as (partition by conv_id order by turn, role, text))
 select conv_id, count(*)::bigint as n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
   coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
   sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
   sum(escaped + case role when 'system' then 5 when 'user' then 6 when 'assistant' then 5
-        else 7 + length(role) + length(role) - length(replace(replace(replace(role, '~', ''), '[', ''), '<', '')) end
+        else 7 + length(role) + length(role) - length(translate(role, '~[<]+', '')) end
       + case when goes_on = 1 then 1
         else case role when 'system' then 6 when 'user' then 7 when 'assistant' then 4 else 7 end end)::bigint as formatted_chars
 from g group by conv_id
