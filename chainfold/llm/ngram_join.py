@@ -15,8 +15,9 @@ extended until the combinations suffice. With ``e`` tokens a set may miss and
 ``a <= e`` rare tokens, ``2 (e - a) + f + 2`` frequent ones do, since a
 missing token breaks two neighbour pairs and an added one breaks one. So
 every linked pair of different sets shares a signature, and the number of
-signatures is linear in the set size. Every candidate is then verified on the
-whole sets.
+signatures is linear in the set size. Candidates are first compared by a
+longer prefix, of which linked sets must share half, and what is left is
+verified on the whole sets.
 
 The frequency classes come from a hashed counter table over all shingles of
 all documents; its size is fixed (``COUNTERS``), so it is what gets sent to
@@ -35,7 +36,7 @@ separate rows; rows with equal sets share a node.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from math import log
 
 import numpy as np
@@ -66,21 +67,26 @@ def shingle_sets(offsets: np.ndarray, data: np.ndarray, shingle: int, lower: boo
                 yield row, grams[:0]
 
 
-def signatures(tokens: np.ndarray, counts: np.ndarray, frequent_from: int, num: int, den: int) -> np.ndarray:
-    """The signatures of one set (``counts``: the counter of each token)."""
+def signatures(tokens: np.ndarray, counts: np.ndarray, frequent_from: int, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """(prefix of ``2 miss + 1`` tokens in the global order, signatures) of one set; ``counts``: the counter of each token.
+
+    A set with enough rare tokens has the first ``miss + 1`` tokens of its
+    prefix as signatures; none are returned then.
+    """
     n = len(tokens)
     miss = (den - num) * n // den
     add = (den - num) * (n * den // num) // den
-    order = (np.minimum(counts, (1 << 20) - 1).astype(np.uint64) << np.uint64(44)) | (tokens >> np.uint64(20))
     often = counts >= frequent_from
-    rare = tokens[~often]
-    if len(rare) > miss:
-        return rare[np.argpartition(order[~often], miss)[: miss + 1]]
-    need = 2 * (miss - len(rare)) + add + 2
-    ranked = tokens[often][np.argsort(order[often], kind="stable")][:need]
+    order = (often.astype(np.uint64) << np.uint64(63)) | (np.minimum(counts, (1 << 20) - 1).astype(np.uint64) << np.uint64(43)) | (tokens >> np.uint64(21))
+    n_rare = n - int(np.count_nonzero(often))
+    if n_rare > miss:
+        return tokens[np.argpartition(order, (miss, 2 * miss))[: 2 * miss + 1]], tokens[:0]
+    ranked = tokens[np.argsort(order, kind="stable")]
+    need = n_rare + 2 * (miss - n_rare) + add + 2
+    frequent = ranked[n_rare:need]
     with np.errstate(over="ignore"):
-        pairs = B.mix(ranked[:-1] * np.uint64(0x9E3779B97F4A7C15) + B.mix(ranked[1:]))
-    return np.concatenate([rare, pairs])
+        pairs = B.mix(frequent[:-1] * np.uint64(0x9E3779B97F4A7C15) + B.mix(frequent[1:]))
+    return ranked[: 2 * miss + 1], np.concatenate([ranked[:n_rare], pairs])
 
 
 def _counts(docs: DataFrame, text: str, shingle: int, lower: bool) -> np.ndarray:
@@ -101,7 +107,7 @@ def _counts(docs: DataFrame, text: str, shingle: int, lower: bool) -> np.ndarray
 
 
 def _sketches(docs: DataFrame, id_col: str, text: str, shingle: int, num: int, den: int, lower: bool) -> DataFrame:
-    """doc_id, n_shingles, set_id (hash of the set), sigs of every row."""
+    """doc_id, n_shingles, set_id (hash of the set), prefix and sigs of every row."""
     counts = _counts(docs, text, shingle, lower)
     mean = counts.mean()
     frequent_from = int(mean + 32 + 6 * np.sqrt(mean))
@@ -111,19 +117,21 @@ def _sketches(docs: DataFrame, id_col: str, text: str, shingle: int, num: int, d
         table = shared.value
         for batch in batches:
             offsets, data = B.text_arrays(batch.column(1))
-            sizes, sets, sigs = [], [], []
+            sizes, sets, prefixes, sigs = [], [], [], []
             for _, tokens in shingle_sets(offsets, data, shingle, lower):
                 sizes.append(len(tokens))
                 sets.append(B.whole(tokens))
-                sigs.append(signatures(tokens, table[tokens & np.uint64(COUNTERS - 1)], frequent_from, num, den) if len(tokens) else tokens)
+                found = signatures(tokens, table[tokens & np.uint64(COUNTERS - 1)], frequent_from, num, den) if len(tokens) else (tokens, tokens)
+                prefixes.append(found[0])
+                sigs.append(found[1])
             ids = batch.column(0)
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(sizes, pa.int64()), pa.array(np.array(sets, np.uint64).view(np.int64)), B.long_array(sigs)],
-                ["doc_id", "n_shingles", "set_id", "sigs"],
+                [ids, pa.array(sizes, pa.int64()), pa.array(np.array(sets, np.uint64).view(np.int64)), B.long_array(prefixes), B.long_array(sigs)],
+                ["doc_id", "n_shingles", "set_id", "prefix", "sigs"],
             )
 
     return docs.select(F.col(id_col).cast("long"), text).mapInArrow(
-        sketch, "doc_id long, n_shingles long, set_id long, sigs array<long>"
+        sketch, "doc_id long, n_shingles long, set_id long, prefix array<long>, sigs array<long>"
     )
 
 
@@ -143,18 +151,31 @@ def _sets(docs: DataFrame, id_col: str, text: str, wanted: DataFrame, shingle: i
     return texts.join(wanted, "rep").select("set_id", "text").mapInArrow(expand, "set_id long, tokens array<long>")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs (a, b) whose whole sets pass the threshold."""
-    left = sets.select(F.col("set_id").alias("a"), F.col("tokens").alias("ta"))
-    right = sets.select(F.col("set_id").alias("b"), F.col("tokens").alias("tb"))
-    both = F.size(F.array_intersect("ta", "tb"))
-    return (
-        pairs.join(left, "a")
-        .join(right, "b")
-        .where(both * den >= (F.size("ta") + F.size("tb") - both) * num)
-        .select("a", "b")
-        .distinct()
-    )
+def _with_both(pairs: DataFrame, lists: DataFrame) -> DataFrame:
+    """``pairs`` (a, b) with ``both``, the number of common tokens, and the sizes ``na``, ``nb`` of the lists."""
+    left = lists.select(F.col("set_id").alias("a"), F.col("tokens").alias("ta"))
+    right = lists.select(F.col("set_id").alias("b"), F.col("tokens").alias("tb"))
+    met = pairs.join(left, "a").join(right, "b")
+    return met.select("a", "b", F.size(F.array_intersect("ta", "tb")).alias("both"), F.size("ta").alias("na"), F.size("tb").alias("nb"))
+
+
+def _links(pairs: DataFrame, prefixes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], num: int, den: int) -> DataFrame:
+    """The linked ones among candidate pairs.
+
+    Of two prefixes of ``2 miss + 1`` tokens, the one that ends first in the
+    global order has at most ``miss`` tokens that its partner lacks, so linked
+    sets share ``miss + 1`` prefix tokens or more. What passes is verified on
+    the whole sets.
+    """
+    near = _with_both(pairs, prefixes).where(2 * F.col("both") > F.least("na", "nb")).select("a", "b")
+    near = write_intermediate(near, "ngram-near")
+    nodes = near.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
+    sets = write_intermediate(sets_of(nodes), "ngram-sets")
+    same = F.col("both") * den >= (F.col("na") + F.col("nb") - F.col("both")) * num
+    links = write_intermediate(_with_both(near, sets).where(same).select("a", "b").distinct(), "ngram-links")
+    discard(near)
+    discard(sets)
+    return links
 
 
 def near_duplicates(
@@ -173,7 +194,9 @@ def near_duplicates(
     rows = sketch.where("n_shingles > 0 and doc_id is not null")
     nodes = write_intermediate(rows.groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n")), "ngram-nodes")
     first = nodes.select("set_id", F.col("rep").alias("doc_id"))
-    entries = rows.join(first, ["set_id", "doc_id"], "left_semi").select("set_id", F.col("n_shingles").alias("n"), F.explode("sigs").alias("token"))
+    miss = F.floor(F.col("n_shingles") * (den - num) / den).cast("int")
+    own = F.when(F.size("sigs") > 0, F.col("sigs")).otherwise(F.slice("prefix", F.lit(1), miss + 1))
+    entries = rows.join(first, ["set_id", "doc_id"], "left_semi").select("set_id", F.col("n_shingles").alias("n"), F.explode(own).alias("token"))
     shared = entries.groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("token")
     # Linked sets differ in size by at most den / num, so they meet in the size class of one of them or the next.
     size_class = F.floor(F.log(F.col("n").cast("double")) / log(den / num)) if num < den else F.col("n")
@@ -183,8 +206,12 @@ def near_duplicates(
     buckets = write_intermediate(sized.join(met, "sig"), "ngram-buckets")
     discard(sized)
 
-    wanted = nodes.select("set_id", "rep").join(buckets.select("set_id").distinct(), "set_id", "left_semi")
-    sets = write_intermediate(_sets(docs, id_col, text_col, wanted, shingle, lower), "ngram-sets")
+    members = buckets.select("set_id").distinct()
+    listed = rows.join(first, ["set_id", "doc_id"], "left_semi").join(members, "set_id", "left_semi")
+    prefixes = write_intermediate(listed.select("set_id", F.col("prefix").alias("tokens")), "ngram-prefixes")
+
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        return _sets(docs, id_col, text_col, nodes.select("set_id", "rep").join(wanted, "set_id", "left_semi"), shingle, lower)
 
     links = None
     labels = buckets.select("set_id").distinct().withColumn("label", F.col("set_id"))
@@ -204,7 +231,7 @@ def near_duplicates(
             other = own.select("sig", F.col("set_id").alias("p"), F.col("label").alias("pl"), F.col("n").alias("pn"))
             met = own.join(other, "sig").where((F.col("set_id") < F.col("p")) & (F.col("label") != F.col("pl")) & close)
         pairs = met.select(F.least("set_id", "p").alias("a"), F.greatest("set_id", "p").alias("b")).distinct()
-        found = write_intermediate(_verified(pairs, sets, num, den), "ngram-links")
+        found = _links(pairs, prefixes, sets_of, num, den)
         links = found if links is None else links.unionByName(found)
         labels = component_labels(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
         labels = (
@@ -219,7 +246,7 @@ def near_duplicates(
     merged = linked.join(smallest, "label").select("set_id", "component_id")
     alone = nodes.select("set_id", "rep").join(merged, "set_id", "left")
     component = write_intermediate(alone.select("set_id", F.coalesce("component_id", "rep").alias("component_id")), "ngram-components")
-    discard(sets)
+    discard(prefixes)
     discard(buckets)
     # An empty set has no node: its row keeps its own id.
     return sketch.select("doc_id", "n_shingles", "set_id").join(component, "set_id", "left").select(
