@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 from chainfold.llm import blocks as B
 
 BLOCK_BYTES = 6 << 20
+DECODE_TOKENS = 400_000
 
 # Fixed value: the split pattern of the public byte-level vocabularies.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -285,17 +286,18 @@ def decode(tokens: DataFrame, rank_file: str, ids_col: str = "ids", bytes_col: s
     def run(batches):
         vocab = load_vocabulary(rank_file)
         for batch in batches:
-            column = batch.column(place)
-            sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy()
-            flat = column.flatten()
-            if flat.null_count:
-                raise ValueError("a token id is null")
-            flat = flat.to_numpy().astype(np.int64)
-            if len(flat) and (flat.min() < 0 or flat.max() >= vocab.size or not vocab.known[flat].all()):
-                raise ValueError("a token id is not in the vocabulary")
-            data, lengths = gather(vocab.bytes, vocab.offsets, flat)
-            edge = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(sizes)])]
-            out = pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(edge.astype(np.int64)), pa.py_buffer(data)])
-            yield pa.RecordBatch.from_arrays([*batch.columns, out.cast(pa.binary())], [*others, bytes_col])
+            sizes = pc.fill_null(pc.list_value_length(batch.column(place)), 0).to_numpy()
+            for i, j in B.spans(np.concatenate([[0], np.cumsum(sizes)]), DECODE_TOKENS):
+                part = batch.slice(i, j - i)
+                flat = part.column(place).flatten()
+                if flat.null_count:
+                    raise ValueError("a token id is null")
+                flat = flat.to_numpy()
+                if len(flat) and (flat.min() < 0 or flat.max() >= vocab.size or not vocab.known[flat].all()):
+                    raise ValueError("a token id is not in the vocabulary")
+                data, lengths = gather(vocab.bytes, vocab.offsets, flat)
+                edge = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(sizes[i:j])])]
+                out = pa.Array.from_buffers(pa.large_binary(), j - i, [None, pa.py_buffer(edge.astype(np.int64)), pa.py_buffer(data)])
+                yield pa.RecordBatch.from_arrays([*part.columns, out.cast(pa.binary())], [*others, bytes_col])
 
     return rows.mapInArrow(run, B.with_field(rows.schema, bytes_col, T.BinaryType()))
