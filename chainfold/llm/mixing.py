@@ -11,8 +11,10 @@
    (shares of all tokens). Each step is one distributed sum of one number per
    domain; a document's rate is a function of its posteriors and the few
    gradients so far, so no step writes or shuffles per-document state. The
-   residuals are weighted by one over the domain's mass; in that metric the
-   step size 1 always converges.
+   residuals are weighted by one over the domain's mass or target, whichever
+   is larger; in that metric the step size 1 always converges. Rates end at
+   ``MOST_RATE`` copies, so a domain that hardly exists is not made of one
+   document; what such a target lacks shows in ``Mix.reached``.
 
 Rates are an expected number of copies; ``take_copies`` draws them by a hash
 of the id, at least the whole part of the rate each.
@@ -35,10 +37,12 @@ from pyspark.sql import functions as F
 
 from chainfold.storage import write_intermediate
 
-WORD_BUCKETS = 4096
+WORD_BUCKETS = 1 << 15
 TAILS = 128
 MOST_LABELLED = 20_000
 SMOOTH = 0.5
+SHRINK = 3.0
+MOST_RATE = 8.0
 TEMPER = -0.25
 MOST_STEPS = 60
 TOLERANCE = 1e-4
@@ -73,7 +77,8 @@ def _model(docs: DataFrame, labelled: DataFrame, domains: list[str]) -> tuple[Da
     features = words.select("domain", F.explode(F.array("slot", F.col("tail") + WORD_BUCKETS)).alias("feature"))
     counts = features.groupBy("domain", "feature").agg(F.count(F.lit(1)).alias("n"))
     counts = write_intermediate(counts, "mixing-counts")
-    totals = {r["domain"]: r["n"] for r in counts.where(F.col("feature") < WORD_BUCKETS).groupBy("domain").agg(F.sum("n").alias("n")).collect()}
+    sizes = {r["domain"]: r["n"] for r in counts.where(F.col("feature") < WORD_BUCKETS).groupBy("domain").agg(F.sum("n").alias("n")).collect()}
+    everything = sum(sizes.values())
     shares = {r["domain"]: r["n"] for r in known.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
     size = sum(shares.values())
     priors = [log((shares.get(d, 0) + SMOOTH) / (size + SMOOTH * len(domains))) for d in domains]
@@ -81,12 +86,11 @@ def _model(docs: DataFrame, labelled: DataFrame, domains: list[str]) -> tuple[Da
 
     def table(first: int, features: int, key: str) -> DataFrame:
         rows = docs.sparkSession.range(features).select((F.col("id") + first).cast("int").alias("feature")).join(F.broadcast(wide), "feature", "left")
+        n = [F.coalesce(F.col(f"n{k}"), F.lit(0)) for k in range(len(domains))]
+        common = (sum(n[1:], n[0]) + SMOOTH) / (everything + SMOOTH * features)
         return rows.select(
             (F.col("feature") - first).alias(key),
-            *(
-                F.log((F.coalesce(F.col(f"n{k}"), F.lit(0)) + SMOOTH) / (totals.get(d, 0) + SMOOTH * features)).alias(f"{key}{k}")
-                for k, d in enumerate(domains)
-            ),
+            *(F.log((n[k] + SHRINK * features * common) / (sizes.get(d, 0) + SHRINK * features)).alias(f"{key}{k}") for k, d in enumerate(domains)),
         )
 
     return table(0, WORD_BUCKETS, "slot"), table(WORD_BUCKETS, TAILS, "tail"), priors
@@ -111,11 +115,11 @@ def posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str]) -> Data
 
 
 def _rate(steps: list[list[float]]) -> Column:
-    """The rate after these gradients, from 1, never below 0."""
+    """The rate after these gradients, from 1, kept in [0, MOST_RATE]."""
     rate = F.lit(1.0)
     for step in steps:
         move = sum((F.col(f"p{k}") * g for k, g in enumerate(step)), F.lit(0.0))
-        rate = F.greatest(F.lit(0.0), rate - move)
+        rate = F.least(F.lit(MOST_RATE), F.greatest(F.lit(0.0), rate - move))
     return rate
 
 
@@ -141,7 +145,7 @@ def fit_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], i
     steps: list[list[float]] = []
     now = mass
     while everything and len(steps) < MOST_STEPS and max(abs(a - b) for a, b in zip(now, goal, strict=True)) > TOLERANCE * everything:
-        steps.append([(a - b) / m if m > 0 else 0.0 for a, b, m in zip(now, goal, mass, strict=True)])
+        steps.append([(a - b) / max(m, b, TOLERANCE * everything) for a, b, m in zip(now, goal, mass, strict=True)])
         now = totals(steps)
     named = F.map_from_arrays(F.array(*(F.lit(d) for d in domains)), F.array(*(F.col(f"p{k}") for k in range(len(domains)))))
     rates = units.select("id", "text_hash", "n_tokens", named.alias("posteriors"), _rate(steps).alias("rate"))

@@ -98,41 +98,42 @@ def base_spans(text: Column) -> Column:
 
 
 def _entity_rows(docs: DataFrame, text_col: str) -> DataFrame:
-    """Rows with an entity: the columns of ``docs``, __row, __spans."""
-    spans = base_spans(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
-    rows = docs.withColumn("__spans", spans).where(F.size("__spans") > 0)
-    return write_intermediate(rows.withColumn("__row", F.monotonically_increasing_id()), "pii-rows")
+    """Rows with an entity: row (a number), doc (all columns of ``docs``), text, spans."""
+    text = F.col(f"`{text_col}`")
+    rows = docs.select(F.struct("*").alias("doc"), text.alias("text")).where("text is not null").withColumn("spans", base_spans(F.col("text")))
+    return write_intermediate(rows.where(F.size("spans") > 0).withColumn("row", F.monotonically_increasing_id()), "pii-rows")
+
+
+def _no_entity(docs: DataFrame, text_col: str) -> DataFrame:
+    return docs.where(F.size(base_spans(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))) == 0)
 
 
 def _term(word: Column) -> Column:
     return F.lower(F.btrim(word, F.lit(_TRIM)))
 
 
-def _contexts(hits: DataFrame, text_col: str) -> DataFrame:
-    """__row, text_hash, entity, term, start, end of the words near an entity."""
+def _contexts(hits: DataFrame) -> DataFrame:
+    """row, text_hash, entity, term, start, end of the words near an entity."""
     step = 2 * CONTEXT
-    spans = hits.select("__row", F.explode("__spans").alias("s")).select(
-        "__row",
-        F.concat_ws(":", "s.kind", F.lower("s.value")).alias("entity"),
-        F.col("s.start").alias("s_start"),
-        F.col("s.end").alias("s_end"),
+    spans = hits.select("row", F.explode("spans").alias("s")).select(
+        "row", F.concat_ws(":", "s.kind", F.lower("s.value")).alias("entity"), F.col("s.start").alias("s_start"), F.col("s.end").alias("s_end")
     )
     low = F.greatest(F.lit(0), F.col("s_start") - CONTEXT)
     near = spans.withColumn("cell", F.explode(F.sequence(F.floor(low / step), F.floor((F.col("s_end") + CONTEXT) / step))))
-    words = hits.select("__row", F.xxhash64(text_col).alias("text_hash"), "__spans", F.explode(_positions(F.col(text_col), _SPACED)).alias("w"))
-    words = words.where(~F.exists("__spans", lambda s: (s.getField("start") < F.col("w.end")) & (F.col("w.start") < s.getField("end"))))
+    words = hits.select("row", F.xxhash64("text").alias("text_hash"), "spans", F.explode(_positions(F.col("text"), _SPACED)).alias("w"))
+    words = words.where(~F.exists("spans", lambda s: (s.getField("start") < F.col("w.end")) & (F.col("w.start") < s.getField("end"))))
     words = words.select(
-        "__row", "text_hash", F.col("w.start").alias("start"), F.col("w.end").alias("end"), _term(F.col("w.value")).alias("term"),
+        "row", "text_hash", F.col("w.start").alias("start"), F.col("w.end").alias("end"), _term(F.col("w.value")).alias("term"),
         F.floor(F.col("w.start") / step).alias("cell"),
     ).where(F.length("term") > 1)
     close = (F.col("start") < F.col("s_end") + CONTEXT) & (F.col("end") > F.col("s_start") - CONTEXT)
-    return words.join(near, ["__row", "cell"]).where(close).select("__row", "text_hash", "entity", "term", "start", "end")
+    return words.join(near, ["row", "cell"]).where(close).select("row", "text_hash", "entity", "term", "start", "end")
 
 
-def disclosing_terms(docs: DataFrame, hits: DataFrame, contexts: DataFrame, text_col: str) -> DataFrame:
+def _disclosing_terms(docs: DataFrame, hits: DataFrame, contexts: DataFrame, text_col: str) -> DataFrame:
     """entity, term, disclosure of the pairs at or above the lower threshold."""
     together = (
-        contexts.select("entity", "term", "__row", "text_hash").distinct()
+        contexts.select("entity", "term", "row", "text_hash").distinct()
         .groupBy("entity", "term", "text_hash").agg(F.count(F.lit(1)).alias("n"))
         .groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("texts"))
         .where(F.col("texts") >= LEAST_TEXTS)
@@ -143,9 +144,8 @@ def disclosing_terms(docs: DataFrame, hits: DataFrame, contexts: DataFrame, text
     each = docs.select(F.monotonically_increasing_id().alias("row"), F.explode(words).alias("w")).select("row", F.btrim("w", F.lit(_TRIM)).alias("term"))
     # the same term with other marks around it counts once for its document
     found = each.join(candidates, "term", "left_semi").distinct()
-    frequency = found.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    frequency = write_intermediate(frequency, "pii-frequency")
-    entities = hits.select("__row", F.explode("__spans").alias("s")).select("__row", F.concat_ws(":", "s.kind", F.lower("s.value")).alias("entity"))
+    frequency = write_intermediate(found.groupBy("term").agg(F.count(F.lit(1)).alias("n_term")), "pii-frequency")
+    entities = hits.select("row", F.explode("spans").alias("s")).select("row", F.concat_ws(":", "s.kind", F.lower("s.value")).alias("entity"))
     entities = entities.distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
     size = docs.count()
     information = F.log(F.lit(float(size)) / F.col("n_entity"))
@@ -158,15 +158,15 @@ def disclosing_terms(docs: DataFrame, hits: DataFrame, contexts: DataFrame, text
 
 
 def _marked(docs: DataFrame, text_col: str) -> DataFrame:
-    """Rows with an entity: columns of ``docs``, __spans, __terms (start, end, action), sorted."""
+    """Rows with an entity: doc, text, spans, terms (start, end, action), both in order."""
     hits = _entity_rows(docs, text_col)
-    contexts = write_intermediate(_contexts(hits, text_col), "pii-contexts")
-    telling = write_intermediate(disclosing_terms(docs, hits, contexts, text_col), "pii-disclosing")
+    contexts = write_intermediate(_contexts(hits), "pii-contexts")
+    telling = write_intermediate(_disclosing_terms(docs, hits, contexts, text_col), "pii-disclosing")
     action = F.when(F.max("disclosure") >= REMOVE_FROM, "remove").otherwise("generalise")
-    terms = contexts.join(telling, ["entity", "term"]).groupBy("__row", "start", "end").agg(action.alias("action"))
-    terms = terms.groupBy("__row").agg(F.array_sort(F.collect_list(F.struct("start", "end", "action"))).alias("__terms"))
+    terms = contexts.join(telling, ["entity", "term"]).groupBy("row", "start", "end").agg(action.alias("action"))
+    terms = terms.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end", "action"))).alias("terms"))
     none = F.array().cast("array<struct<start:int,end:int,action:string>>")
-    return hits.join(terms, "__row", "left").withColumn("__terms", F.coalesce("__terms", none)).drop("__row")
+    return hits.join(terms, "row", "left").withColumn("terms", F.coalesce("terms", none)).drop("row")
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -174,35 +174,31 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     marked = write_intermediate(_marked(rows, "text"), "pii-marked")
     kind = "array<struct<kind:string,start:int,end:int>>"
-    base = F.transform("__spans", lambda s: F.struct(s.getField("kind").alias("kind"), s.getField("start").alias("start"), s.getField("end").alias("end")))
-    terms = F.transform("__terms", lambda s: F.struct(F.lit("term").alias("kind"), s.getField("start").alias("start"), s.getField("end").alias("end")))
-    with_spans = marked.select("doc_id", F.concat(base, terms).cast(kind).alias("spans"))
-    without = rows.where(F.size(base_spans(F.coalesce("text", F.lit("")))) == 0).select("doc_id", F.array().cast(kind).alias("spans"))
-    return with_spans.unionByName(without)
+    base = F.transform("spans", lambda s: F.struct(s.getField("kind").alias("kind"), s.getField("start").alias("start"), s.getField("end").alias("end")))
+    terms = F.transform("terms", lambda s: F.struct(F.lit("term").alias("kind"), s.getField("start").alias("start"), s.getField("end").alias("end")))
+    with_spans = marked.select(F.col("doc.doc_id").alias("doc_id"), F.concat(base, terms).cast(kind).alias("spans"))
+    return with_spans.unionByName(_no_entity(rows, "text").select("doc_id", F.array().cast(kind).alias("spans")))
 
 
 def sanitise(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with entities replaced by their kind, telling terms generalised (``[TERM]``) or removed."""
     marked = write_intermediate(_marked(docs, text_col), "pii-marked")
-    base = F.transform(
-        "__spans",
-        lambda s: F.struct(s.getField("start").alias("start"), s.getField("end").alias("end"), F.concat(F.lit("["), F.upper(s.getField("kind")), F.lit("]")).alias("by")),
-    )
-    terms = F.transform(
-        "__terms",
-        lambda s: F.struct(s.getField("start").alias("start"), s.getField("end").alias("end"), F.when(s.getField("action") == "remove", "").otherwise("[TERM]").alias("by")),
-    )
-    text = F.col(f"`{text_col}`")
+
+    def change(span: Column, by: Column) -> Column:
+        return F.struct(span.getField("start").alias("start"), span.getField("end").alias("end"), by.alias("by"))
+
+    base = F.transform("spans", lambda s: change(s, F.concat(F.lit("["), F.upper(s.getField("kind")), F.lit("]"))))
+    terms = F.transform("terms", lambda s: change(s, F.when(s.getField("action") == "remove", "").otherwise("[TERM]")))
     begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
 
     def add(state: Column, span: Column) -> Column:
         at, start = state.getField("at"), span.getField("start")
-        piece = F.concat(F.substring(text, at + 1, F.greatest(F.lit(0), start - at)), F.when(span.getField("end") > at, span.getField("by")).otherwise(""))
+        piece = F.concat(F.substring("text", at + 1, F.greatest(F.lit(0), start - at)), F.when(span.getField("end") > at, span.getField("by")).otherwise(""))
         return F.struct(F.greatest(at, span.getField("end")).alias("at"), F.array_append(state.getField("out"), piece).alias("out"))
 
     def close(state: Column) -> Column:
-        return F.concat(F.array_join(state.getField("out"), ""), F.substring(text, state.getField("at") + 1, F.length(text)))
+        return F.concat(F.array_join(state.getField("out"), ""), F.substring("text", state.getField("at") + 1, F.length("text")))
 
-    changed = marked.withColumn(text_col, F.aggregate(F.array_sort(F.concat(base, terms)), begin, add, close)).select(*docs.columns)
-    clean = docs.where(F.size(base_spans(F.coalesce(text, F.lit("")))) == 0)
-    return changed.unionByName(clean)
+    text = F.aggregate(F.array_sort(F.concat(base, terms)), begin, add, close)
+    changed = marked.select(F.col("doc").withField(f"`{text_col}`", text).alias("doc")).select("doc.*")
+    return changed.unionByName(_no_entity(docs, text_col))

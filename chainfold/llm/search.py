@@ -7,13 +7,15 @@ frequencies are summed over all shards, so every shard scores with the same
 global statistics.
 
 Queries run in blocks of about ``BLOCK_TERMS`` terms; a block is sent to all
-shards. In a shard, postings are cut at document blocks of ``DOC_BLOCK``, each
-with its largest weight. A query's upper bound for a document block is the
-sum of its terms' largest weights there. Blocks are taken in descending order
-of the bound: the first ``FIRST_BLOCKS`` set the threshold, the k-th best score
-so far, and only blocks whose bound reaches it are scored. Nothing below the
-threshold is ever in the result, so pruning is exact. The shards' top k are
-merged by (score descending, id ascending).
+shards. In a shard, terms in a quarter of the documents or more are the
+common lists; they are cut at document blocks of ``DOC_BLOCK``, each with its
+largest weight. A query walks the lists of its rare terms, and a document's
+upper bound is what those gave it plus the common terms' block maxima. The
+``FIRST_DOCS`` documents of the largest bounds are scored first and set the
+threshold, the k-th best score so far; of the others only those whose bound
+reaches it are pivots and are scored in full. Nothing below the threshold is
+ever in the result, so pruning is exact. The shards' top k are merged by
+(score descending, id ascending).
 
 BM25 with ``k1`` and ``b``; idf is ``ln(1 + (N - df + 0.5) / (df + 0.5))``; a
 query is its set of distinct terms, words lower-cased over A-Z. Sums run in
@@ -37,8 +39,9 @@ from chainfold.storage import write_intermediate
 
 K1, LENGTH_B = 1.2, 0.75
 SHARD_BYTES = 64 << 20
-DOC_BLOCK = 64
-FIRST_BLOCKS = 6
+DOC_BLOCK = 8
+COMMON_SHARE = 4
+FIRST_DOCS = 64
 BLOCK_TERMS = 1_000_000
 _INDEX = "shard long, n_docs long, n_words long, ids binary, lengths binary, terms binary, offsets binary, docs binary, counts binary"
 
@@ -127,60 +130,53 @@ class Shard:
         self.ids = np.frombuffer(row["ids"], np.int64)
         lengths = np.frombuffer(row["lengths"], np.int32)
         self.terms = np.frombuffer(row["terms"], np.uint64)
-        offsets = np.frombuffer(row["offsets"], np.int64)
+        self.offsets = np.frombuffer(row["offsets"], np.int64)
         self.docs = np.frombuffer(row["docs"], np.int32)
         counts = np.frombuffer(row["counts"], np.int32)
         norm = K1 * (1 - LENGTH_B + LENGTH_B * lengths / mean_length)
         self.weights = counts * (K1 + 1) / (counts + norm[self.docs])
-        self.n_blocks = (len(self.ids) + DOC_BLOCK - 1) // DOC_BLOCK
-        block = self.docs // DOC_BLOCK
-        cut = np.append(True, np.diff(block) != 0)
-        cut[offsets[:-1]] = True
-        first = np.flatnonzero(cut)
-        self.runs = np.append(first, len(self.docs))  # postings of one term in one block
-        self.run_block = block[first]
-        self.run_top = np.maximum.reduceat(self.weights, first)
-        self.term_runs = np.searchsorted(first, offsets)
+        n = len(self.ids)
+        common = np.flatnonzero(np.diff(self.offsets) * COMMON_SHARE >= n)
+        self.row_of = np.full(len(self.terms), -1)
+        self.row_of[common] = np.arange(len(common))
+        self.dense = np.zeros((len(common), n))
+        for k, t in enumerate(common.tolist()):
+            a, b = self.offsets[t], self.offsets[t + 1]
+            self.dense[k, self.docs[a:b]] = self.weights[a:b]
+        starts = np.arange(0, n, DOC_BLOCK)
+        self.block_top = np.maximum.reduceat(self.dense, starts, axis=1) if len(common) else np.zeros((0, len(starts)))
+        self.block_size = np.diff(np.append(starts, n))
 
     def top(self, terms: np.ndarray, idf: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, scores) of the best ``k`` documents, ties by id."""
         at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
         here = self.terms[at] == terms
         at, idf = at[here], idf[here]
-        if not len(at):
-            return self.ids[:0], self.weights[:0]
-        size = self.term_runs[at + 1] - self.term_runs[at]
-        runs = _ranges(self.term_runs[at], size)
-        by_run = np.repeat(idf, size)
-        block = self.run_block[runs]
-        bound = np.bincount(block, weights=self.run_top[runs] * by_run, minlength=self.n_blocks)
-        order = np.argsort(-bound, kind="stable")
-        head = order[:FIRST_BLOCKS]
-        docs, scores = self._score(runs, by_run, block, head)
-        if len(scores) >= k:
-            floor = np.partition(scores, len(scores) - k)[len(scores) - k]
-            rest = order[FIRST_BLOCKS:]
-            rest = rest[bound[rest] * (1 + 1e-9) >= floor]
-        else:
-            rest = order[FIRST_BLOCKS:]
-        rest = rest[bound[rest] > 0]
-        if len(rest):
-            more, extra = self._score(runs, by_run, block, rest)
-            docs, scores = np.concatenate([docs, more]), np.concatenate([scores, extra])
+        row = self.row_of[at]
+        rare, often = at[row < 0], row[row >= 0]
+        by_often = idf[row >= 0][:, None]
+        size = self.offsets[rare + 1] - self.offsets[rare]
+        places = _ranges(self.offsets[rare], size)
+        partial = np.bincount(self.docs[places], weights=self.weights[places] * np.repeat(idf[row < 0], size), minlength=len(self.ids))
+        bound = partial + np.repeat((self.block_top[often] * by_often).sum(0), self.block_size)
+        bound *= 1 + 1e-9
+
+        def score(docs: np.ndarray) -> np.ndarray:
+            return partial[docs] + (self.dense[often[:, None], docs] * by_often).sum(0)
+
+        first = np.argpartition(-bound, FIRST_DOCS)[:FIRST_DOCS] if len(bound) > FIRST_DOCS else np.arange(len(bound))
+        first = first[bound[first] > 0]
+        scores = score(first)
+        floor = np.partition(scores, len(scores) - k)[len(scores) - k] if len(scores) >= k else 0.0
+        docs = np.flatnonzero((bound >= floor) & (bound > 0))
+        self.scored += len(docs)
+        scores = score(docs)
+        docs, scores = docs[scores > 0], scores[scores > 0]
         ids = self.ids[docs]
         best = np.lexsort((ids, -scores))[:k]
         return ids[best], scores[best]
 
-    def _score(self, runs: np.ndarray, by_run: np.ndarray, block: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        mark = np.zeros(self.n_blocks, bool)
-        mark[wanted] = True
-        use = mark[block]
-        start = self.runs[runs[use]]
-        size = self.runs[runs[use] + 1] - start
-        places = _ranges(start, size)
-        total = np.bincount(self.docs[places], weights=self.weights[places] * np.repeat(by_run[use], size), minlength=len(self.ids))
-        docs = np.flatnonzero(total)
-        return docs, total[docs]
+    scored = 0
 
 
 def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
