@@ -47,7 +47,8 @@ _TRIM = ".,;:!?\"'()[]{}*#$%&|<>-"
 KINDS = {
     "email": ("[@]", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"),
     "ip": (r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]", r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"),
-    "card": (r"[0-9](?:[\x20-]?[0-9]){15}", r"[0-9](?:[\x20-]?[0-9])++"),
+    # a chain of fewer than 16 digits can't pass, nor can a part of it
+    "card": (r"[0-9](?:[\x20-]?[0-9]){15}", r"[0-9](?:[\x20-]?[0-9]){15,}+"),
     "phone": (r"\+[0-9]", r"\+[0-9][\x20().0-9-]+[0-9]"),
 }
 
@@ -113,21 +114,28 @@ def _term(word: Column) -> Column:
 
 
 def _contexts(hits: DataFrame) -> DataFrame:
-    """row, text_hash, entity, term, start, end of the words near an entity."""
-    step = 2 * CONTEXT
-    spans = hits.select("row", F.explode("spans").alias("s")).select(
-        "row", F.concat_ws(":", "s.kind", F.lower("s.value")).alias("entity"), F.col("s.start").alias("s_start"), F.col("s.end").alias("s_end")
+    """row, text_hash, entity, term, start, end of the whole words within CONTEXT characters of an entity."""
+    spans = hits.select("row", "text", "spans", F.explode("spans").alias("s"))
+    low = F.greatest(F.lit(0), F.col("s.start") - CONTEXT - 1)
+    high = F.least(F.length("text"), F.col("s.end") + CONTEXT + 1)
+    pieces = spans.select(
+        "row",
+        F.xxhash64("text").alias("text_hash"),
+        "spans",
+        F.concat_ws(":", "s.kind", F.lower("s.value")).alias("entity"),
+        low.alias("low"),
+        (high - low).alias("size"),
+        (high < F.length("text")).alias("cut"),
+        F.substring("text", low + 1, high - low).alias("piece"),
     )
-    low = F.greatest(F.lit(0), F.col("s_start") - CONTEXT)
-    near = spans.withColumn("cell", F.explode(F.sequence(F.floor(low / step), F.floor((F.col("s_end") + CONTEXT) / step))))
-    words = hits.select("row", F.xxhash64("text").alias("text_hash"), "spans", F.explode(_positions(F.col("text"), _SPACED)).alias("w"))
-    words = words.where(~F.exists("spans", lambda s: (s.getField("start") < F.col("w.end")) & (F.col("w.start") < s.getField("end"))))
-    words = words.select(
-        "row", "text_hash", F.col("w.start").alias("start"), F.col("w.end").alias("end"), _term(F.col("w.value")).alias("term"),
-        F.floor(F.col("w.start") / step).alias("cell"),
-    ).where(F.length("term") > 1)
-    close = (F.col("start") < F.col("s_end") + CONTEXT) & (F.col("end") > F.col("s_start") - CONTEXT)
-    return words.join(near, ["row", "cell"]).where(close).select("row", "text_hash", "entity", "term", "start", "end")
+    words = pieces.withColumn("w", F.explode(_positions(F.col("piece"), _SPACED)))
+    # a word at a cut edge may go on beyond it
+    whole = ~((F.col("w.start") == 0) & (F.col("low") > 0)) & ~((F.col("w.end") == F.col("size")) & F.col("cut"))
+    placed = words.where(whole).select(
+        "row", "text_hash", "spans", "entity", _term(F.col("w.value")).alias("term"), (F.col("low") + F.col("w.start")).alias("start"), (F.col("low") + F.col("w.end")).alias("end")
+    )
+    free = ~F.exists("spans", lambda s: (s.getField("start") < F.col("end")) & (F.col("start") < s.getField("end")))
+    return placed.where((F.length("term") > 1) & free).select("row", "text_hash", "entity", "term", "start", "end").distinct()
 
 
 def _disclosing_terms(docs: DataFrame, hits: DataFrame, contexts: DataFrame, text_col: str) -> DataFrame:
