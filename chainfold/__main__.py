@@ -9,7 +9,8 @@
 Under ``spark-submit`` the session comes from the submit settings; ``--master``
 only applies when none is set. Bronze reads landed query-result pages for
 the day and falls back to staging header CSV files when the pages are
-missing or empty; rows of any other day fail the write.
+missing, empty or broken; rows of any other day fail the write, and a day
+without rows ends the run with status 1 and leaves the lake as it was.
 """
 
 from __future__ import annotations
@@ -22,7 +23,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from chainfold.plans import medallion as M
 from chainfold.schemas import LABELLED, conform
-from chainfold.sinks.files import write_day
 from chainfold.sources.files import read_csv_strings, read_or_fallback, read_result_pages
 
 
@@ -48,7 +48,7 @@ def bronze_rows(spark: SparkSession, pages: str | None, staging: str | None) ->
     def from_staging() -> DataFrame:
         if not staging:
             raise SystemExit("no rows: result pages are missing or empty and no --staging folder was given")
-        return conform(read_csv_strings(spark, staging), LABELLED)
+        return conform(read_csv_strings(spark, staging), LABELLED, strict=True)
 
     try:
         return read_or_fallback(from_pages, from_staging)
@@ -56,12 +56,12 @@ def bronze_rows(spark: SparkSession, pages: str | None, staging: str | None) ->
         return from_staging()
 
 
-def run_bronze(spark: SparkSession, root: str, day: str, pages: str | None, staging: str | None) -> None:
-    write_day(bronze_rows(spark, pages, staging), M.bronze_path(root), day)
+def run_bronze(spark: SparkSession, root: str, day: str, pages: str | None, staging: str | None, fmt: str = "parquet") -> None:
+    M.land_bronze(bronze_rows(spark, pages, staging), root, day=day, fmt=fmt)
 
 
-def run_silver(spark: SparkSession, root: str, day: str, event_name: str = "Transfer") -> DataFrame:
-    return M.build_silver(spark, root, [day], event_name=event_name)
+def run_silver(spark: SparkSession, root: str, day: str, event_name: str = "Transfer", fmt: str = "parquet") -> DataFrame:
+    return M.build_silver(spark, root, [day], event_name=event_name, fmt=fmt)
 
 
 def run_gold(spark: SparkSession, root: str, day: str) -> None:
@@ -86,6 +86,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--date", type=_day, help="block date YYYY-MM-DD")
     ap.add_argument("--pages", help="folder of landed result pages for the day")
     ap.add_argument("--staging", help="folder or glob of staging header CSV files for the day")
+    ap.add_argument("--bronze-format", choices=["parquet", "csv"], default="parquet")
     ap.add_argument("--event-name", default="Transfer")
     ap.add_argument("--k", type=int, default=5)
     ap.add_argument("--master", help="Spark master when not set by spark-submit")
@@ -94,9 +95,13 @@ def main(argv: list[str] | None = None) -> int:
         ap.error("--date is required")
     spark = _session(args.master)
     if args.step in ("bronze", "daily"):
-        run_bronze(spark, args.root, args.date, args.pages, args.staging)
+        try:
+            run_bronze(spark, args.root, args.date, args.pages, args.staging, args.bronze_format)
+        except M.EmptyInput as err:
+            print(f"{err}; nothing was written", file=sys.stderr)
+            return 1
     if args.step in ("silver", "daily"):
-        run_silver(spark, args.root, args.date, args.event_name)
+        run_silver(spark, args.root, args.date, args.event_name, args.bronze_format)
     if args.step in ("gold", "daily"):
         run_gold(spark, args.root, args.date)
     if args.step in ("topk", "daily"):

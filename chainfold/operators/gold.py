@@ -10,9 +10,8 @@ Physical plan (two scans of the silver slice, each with pruned columns):
    own job and materialized (it has one row per group, so it is small).
 3. ``per_entity`` joined to ``totals`` on the group keys. ``totals`` is
    broadcast once the run-time check on its materialized rows has shown
-   the number of groups to be bounded; otherwise the join is salted by
-   account, so a hot group (one vertical may hold a third of all rows) is
-   split over many tasks.
+   the number of groups to be bounded; otherwise the join splits hot groups
+   (one vertical may hold a third of all rows) over all tasks.
 
 A window ``count(...) over (partition by group)`` would save a join but put
 a whole group into one task, so it is not used.
@@ -27,10 +26,9 @@ from pyspark.sql import functions as F
 
 from chainfold.operators.joins import (
     DEFAULT_BROADCAST_ROWS,
-    DEFAULT_SALT_BUCKETS,
     broadcast_if_bounded,
     materialize,
-    salted_join,
+    split_hot_join,
 )
 from chainfold.schemas import MONEY, PARTITION_KEYS, WEEK_KEYS
 
@@ -67,7 +65,6 @@ def weekly_activity(
     amount_col: str = "amount_usd",
     *,
     max_broadcast_groups: int = DEFAULT_BROADCAST_ROWS,
-    salt_buckets: int = DEFAULT_SALT_BUCKETS,
 ) -> DataFrame:
     """One gold table (``dimension`` is ``"vertical"`` or ``"protocol"``).
 
@@ -92,7 +89,7 @@ def weekly_activity(
     if small:
         joined = per_entity.join(hinted, keys, "inner")
     else:
-        joined = salted_join(per_entity, totals, keys, "inner", ["safe_account"], salt_buckets)
+        joined = split_hot_join(materialize(per_entity), totals, keys, "inner")
     out = [
         "week_of_month",
         "week_of_year",

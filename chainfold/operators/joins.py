@@ -1,13 +1,14 @@
-"""Join helpers: size-checked broadcast, salted shuffle joins, flag joins.
-
-A side is broadcast only after a run-time check has proven that it holds at
-most ``max_rows`` rows. The check is ``limit(max_rows + 1).count()``: each
-task reads at most ``max_rows + 1`` rows of its partition. It is applied to
-input lists (wallets, stablecoins) and to small materialized intermediates
-(receivers, per-group totals), never to a fact table. Beyond the bound the
-join is a shuffle join; where one key may hold a large share of the rows,
-the big side is salted so that a hot key is spread over ``buckets`` tasks
-instead of landing in one.
+"""Join helpers: size-checked broadcast, joins that split hot keys, flag joins.
+
+A side is broadcast only after a run-time check has counted its rows and the
+bytes of its strings; the check is one aggregation, of which each task sends
+one row. It is applied to input lists (wallets, stablecoins) and to
+materialized intermediates, never to an unmaterialized plan that would be
+computed twice. Beyond the bound the join is a shuffle join. There, keys that
+hold a thousandth of the rows or more are found by a count with partial
+aggregation; at most a thousand keys can. Their rows are joined with a
+broadcast of just those keys' rows of the other side, so a hot key is spread
+over all tasks and nothing is copied for the others.
 """
 
 from __future__ import annotations
@@ -17,16 +18,23 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Broadcast bound in rows. The sides we broadcast are narrow (a few short
-# columns), so this stays far below the default 8 GB broadcast limit.
+from chainfold.storage import write_intermediate
+
+# Broadcast bounds: rows, and bytes of the columns' values.
 DEFAULT_BROADCAST_ROWS = 1_000_000
-DEFAULT_SALT_BUCKETS = 32
+DEFAULT_BROADCAST_BYTES = 64 << 20
+# A key is hot from one part in this many of all rows.
+HOT_PARTS = 1000
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True if ``df`` has no more than ``max_rows`` rows (each task reads at
-    most ``max_rows + 1`` rows; one number reaches the driver)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def has_at_most(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """True if ``df`` has no more than ``max_rows`` rows and ``max_bytes`` bytes
+    (strings by their length, other columns as 8 bytes)."""
+    width = F.lit(0)
+    for name, kind in df.dtypes:
+        width = width + (F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0)) if kind == "string" else F.lit(8))
+    row = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(width.cast("long")).alias("bytes")).first()
+    return row["rows"] <= max_rows and (row["bytes"] or 0) <= max_bytes
 
 
 def broadcast_if_bounded(
@@ -43,29 +51,41 @@ def broadcast_if_bounded(
     return df, False
 
 
-def salt_column(cols: Sequence[str], buckets: int) -> Column:
-    """Deterministic salt in ``[0, buckets)`` from a hash of ``cols``."""
-    return F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(buckets)).cast("int")
+def _same(keys: Sequence[str]) -> Column:
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(f"big.{k}").eqNullSafe(F.col(f"small.{k}"))
+    return cond
 
 
-def salted_join(
-    big: DataFrame,
-    small: DataFrame,
-    on: Sequence[str],
-    how: str,
-    salt_by: Sequence[str],
-    buckets: int = DEFAULT_SALT_BUCKETS,
+def split_hot_join(
+    big: DataFrame, small: DataFrame, on: Sequence[str], how: str, *, null_safe: bool = False, parts: int = HOT_PARTS
 ) -> DataFrame:
-    """Shuffle join that splits every key of ``big`` over ``buckets`` tasks.
+    """Shuffle join of ``big`` with ``small`` (few rows per key) that splits hot keys of ``big``.
 
-    ``small`` must hold at most one row per key (as totals or labels do); it
-    is copied ``buckets`` times, one copy per salt value. ``salt_by`` are
-    columns of ``big`` that vary inside a key (for example an account).
+    ``how`` is left, inner, left_semi or left_anti; NULL keys match only with
+    ``null_safe``. ``big`` is read three times, so it should be materialized
+    or a plain scan. Columns of the same name other than the keys clash.
     """
-    salt = "__salt"
-    b = big.withColumn(salt, salt_column(salt_by, buckets))
-    s = small.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    return b.join(s, [*on, salt], how).drop(salt)
+    on = list(on)
+    if not null_safe:
+        small = small.dropna(subset=on)
+    counts = big.groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
+    total = big.count()
+    hot = write_intermediate(counts.where(F.col("n") * parts >= total).select(*on), "hot-keys") if total > parts else counts.select(*on).limit(0)
+
+    def joined(left: DataFrame, right: DataFrame) -> DataFrame:
+        out = left.alias("big").join(right.alias("small"), _same(on), how)
+        if how in ("left_semi", "left_anti"):
+            return out.select("big.*")
+        rest = [F.col(f"small.`{c}`") for c in small.columns if c not in on]
+        return out.select("big.*", *rest)
+
+    def of_hot(df: DataFrame, kind: str) -> DataFrame:
+        return df.alias("big").join(F.broadcast(hot).alias("small"), _same(on), kind).select("big.*")
+
+    spread = joined(of_hot(big, "left_semi"), F.broadcast(of_hot(small, "left_semi")))
+    return spread.unionByName(joined(of_hot(big, "left_anti"), small))
 
 
 def join_small_side(
@@ -76,21 +96,16 @@ def join_small_side(
     *,
     max_rows: int = DEFAULT_BROADCAST_ROWS,
     probe: DataFrame | None = None,
-    salt_by: Sequence[str] | None = None,
-    buckets: int = DEFAULT_SALT_BUCKETS,
 ) -> DataFrame:
     """Join ``big`` to a side that is usually small, unique per key.
 
-    Broadcast after the size check; otherwise a salted shuffle join when
-    ``salt_by`` is given, else a plain shuffle join (AQE may still split
-    skewed partitions at run time).
+    Broadcast after the size check; otherwise a shuffle join that splits the
+    hot keys of ``big``. NULL keys match nothing.
     """
     hinted, ok = broadcast_if_bounded(small, max_rows, probe)
     if ok:
         return big.join(hinted, list(on), how)
-    if salt_by:
-        return salted_join(big, small, on, how, salt_by, buckets)
-    return big.join(small, list(on), how)
+    return split_hot_join(big, small, on, how)
 
 
 def membership_flag(
@@ -109,18 +124,13 @@ def membership_flag(
         .distinct()
         .withColumn(flag, F.lit(True))
     )
-    return df.join(m, key, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+    return join_small_side(df, m, [key], "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and cut its lineage (reliable checkpoint).
+    """Compute ``df`` once, as Parquet below the session's checkpoint folder.
 
-    The rows are written to the session's checkpoint folder, which on a
-    cluster is shared storage named by ``spark.checkpoint.dir``, so a lost
-    executor costs no recomputation of the upstream plan. Used where one
-    intermediate result feeds several later steps or a size check.
+    Later reads are pruned, and a lost executor costs no recomputation. Used
+    where one intermediate result feeds several later steps or a size check.
     """
-    from chainfold.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return write_intermediate(df, "step")

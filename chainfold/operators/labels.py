@@ -20,9 +20,9 @@ Plan, for ``transfers`` with one day (or many) of rows:
    names; then the classification columns, row by row, as expressions.
 
 The wallet transfers and the receivers each feed several later steps and
-size checks, so ``label_transfers`` materializes them once (reliable
-checkpoint in the shared checkpoint folder) instead of re-running the plan
-above them for every use.
+size checks, so ``label_transfers`` materializes them once (Parquet below the
+shared checkpoint folder) instead of re-running the plan above them for every
+use.
 """
 
 from __future__ import annotations
@@ -33,12 +33,11 @@ from pyspark.sql import functions as F
 from chainfold.operators import rules as R
 from chainfold.operators.joins import (
     DEFAULT_BROADCAST_ROWS,
-    DEFAULT_SALT_BUCKETS,
     broadcast_if_bounded,
     has_at_most,
     join_small_side,
     materialize,
-    salt_column,
+    split_hot_join,
 )
 from chainfold.schemas import LABELLED
 
@@ -60,8 +59,10 @@ def wallet_transfers(
         t = t.where(F.col("block_date") <= F.lit(last_day).cast("date"))
     t = t.where(F.col("amount_usd") > 0)
     w = wallets.select(F.col("address").alias("from")).where(F.col("from").isNotNull())
-    w, _ = broadcast_if_bounded(w, max_broadcast_rows)
-    return t.join(w, "from", "left_semi")
+    hinted, small = broadcast_if_bounded(w, max_broadcast_rows)
+    if small:
+        return t.join(hinted, "from", "left_semi")
+    return split_hot_join(t, w.distinct(), ["from"], "left_semi")
 
 
 def previous_day_transfers(transfers: DataFrame, run_date: str) -> DataFrame:
@@ -82,14 +83,14 @@ def _restrict(table: DataFrame, keys: DataFrame, on: list[str], small: bool) ->
     """Keep rows of a (large) label table whose key occurs in ``keys``.
 
     When ``keys`` is proven small (``small``), a broadcast semi join filters
-    the label table where it is read, so only matching rows are shuffled;
-    otherwise the table is left as is and the later key join filters it.
+    the label table where it is read; otherwise it is a shuffle semi join
+    with the distinct keys. The rows kept are the same.
     """
-    if not small:
-        return table
-    # No distinct: duplicate keys do not change a semi join, and the size
-    # check already bounds the broadcast by the rows of ``keys``.
-    return table.join(F.broadcast(keys.select(*on)), on, "left_semi")
+    if small:
+        # No distinct: duplicate keys do not change a semi join, and the size
+        # check already bounds the broadcast by the rows of ``keys``.
+        return table.join(F.broadcast(keys.select(*on)), on, "left_semi")
+    return table.join(keys.select(*on).distinct(), on, "left_semi")
 
 
 def _is_small(df: DataFrame, small: bool | None, max_rows: int) -> bool:
@@ -236,7 +237,7 @@ def receiver_types(
 
     The flags are computed once per distinct receiver address and joined
     back by broadcast when the receiver set is proven small, else by a
-    shuffle join salted by transaction.
+    shuffle join that splits hot receivers.
     """
     keep = materialize if materialize_steps else (lambda df: df)
     t = keep(transfers)
@@ -248,18 +249,11 @@ def receiver_types(
     if small:
         j = t.join(F.broadcast(flags), "to", "left")
     else:
-        j = _salted_left(t, flags, "to")
+        j = split_hot_join(t, flags, ["to"], "left")
     f = lambda c: F.coalesce(F.col(c), F.lit(False))
     return j.withColumn("receiver_type", R.receiver_type(f("is_safe"), f("is_burn"), f("is_contract"))).drop(*FLAGS)
 
 
-def _salted_left(t: DataFrame, side: DataFrame, key: str) -> DataFrame:
-    salt, b = "__salt", DEFAULT_SALT_BUCKETS
-    tt = t.withColumn(salt, salt_column(["tx_hash", "evt_index"], b))
-    ss = side.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(b - 1))))
-    return tt.join(ss, [key, salt], "left").drop(salt)
-
-
 def event_names(
     logs: DataFrame,
     transfers: DataFrame,
@@ -284,8 +278,8 @@ def stablecoin_flag(
         .withColumn("is_stablecoin", F.lit(True))
     )
     # A token contract may carry a large share of all transfers, so the list
-    # is broadcast when small and otherwise joined with the transfers salted.
-    # The raw list bounds its distinct rows, so it is what the check counts.
+    # is broadcast when small and otherwise joined with hot keys split. The
+    # raw list bounds its distinct rows, so it is what the check counts.
     out = join_small_side(
         transfers,
         stb,
@@ -293,7 +287,6 @@ def stablecoin_flag(
         "left",
         max_rows=max_broadcast_rows,
         probe=stablecoins,
-        salt_by=["tx_hash", "evt_index"],
     )
     return out.withColumn("is_stablecoin", F.coalesce(F.col("is_stablecoin"), F.lit(False)))
 
@@ -312,20 +305,17 @@ def attach_receiver_info(
     blockchain equality; ``False`` matches on the address only, so a
     receiver seen on several chains gets one row per chain (the original
     behaviour). Broadcast when the receiver table is proven small, else a
-    shuffle join salted by transaction, so a hot receiver is split.
+    shuffle join that splits hot receivers.
     """
-    i = info.withColumnRenamed("address", "label_to").withColumnRenamed("blockchain", "label_chain")
-    conds = [F.col("to") == F.col("label_to")]
-    if same_chain:
-        conds.append(F.col("blockchain").eqNullSafe(F.col("label_chain")))
-    if _is_small(i, info_is_small, max_broadcast_rows):
-        j = transfers.join(F.broadcast(i), conds, "left")
-    else:
-        b = DEFAULT_SALT_BUCKETS
-        t = transfers.withColumn("__salt", salt_column(["tx_hash", "evt_index"], b))
-        s = i.withColumn("label_salt", F.explode(F.sequence(F.lit(0), F.lit(b - 1))))
-        j = t.join(s, conds + [F.col("__salt") == F.col("label_salt")], "left").drop("__salt", "label_salt")
-    return j.drop("label_to", "label_chain")
+    keys = ["to", "blockchain"] if same_chain else ["to"]
+    i = info.withColumnRenamed("address", "to").where(F.col("to").isNotNull())
+    if not same_chain:
+        i = i.drop("blockchain")
+    if not _is_small(i, info_is_small, max_broadcast_rows):
+        return split_hot_join(transfers, i, keys, "left", null_safe=True)
+    i = F.broadcast(i.withColumnsRenamed({k: f"label_{k}" for k in keys}))
+    conds = [F.col(k).eqNullSafe(F.col(f"label_{k}")) for k in keys]
+    return transfers.join(i, conds, "left").drop(*[f"label_{k}" for k in keys])
 
 
 def classify(df: DataFrame) -> DataFrame:
@@ -372,7 +362,7 @@ def label_transfers(
     contracts, addresses, logs, burn, creation, stablecoins, stakers.
     The result keeps the input types (see ``to_labelled_schema``).
 
-    ``materialize_steps`` checkpoints the wallet transfers and the receivers
+    ``materialize_steps`` writes the wallet transfers and the receivers
     (see the module docstring); without it every size check re-runs the
     plan above it.
     """

@@ -8,21 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chainfold.functions.calendar import parse_date, with_calendar
+from chainfold.schemas import SILVER
 
 SILVER_INPUT = ("token_category", "event_name", "tx_hash", "vertical", "protocol", "amount_usd")
-SILVER_ORDER = (
-    "token_category",
-    "event_name",
-    "tx_hash",
-    "vertical",
-    "protocol",
-    "amount_usd",
-    "block_date",
-    "week_of_year",
-    "week_of_month",
-    "year",
-    "month",
-)
+SILVER_ORDER = tuple(SILVER.fieldNames())
 REQUIRED = ("tx_hash", "vertical", "protocol")
 
 
@@ -43,7 +32,8 @@ def quarantine(
     ``block_date``: a ``YYYY-MM-DD`` string stamps every row with that day
     (the input is one day); ``None`` keeps each row's own ``block_date``, so
     many days are cleaned in one job and a row is only a duplicate of a row
-    of the same day.
+    of the same day. A row that is kept but has no valid date fails the job:
+    it would belong to no month.
 
     ``amount_usd`` is cast to double before it is compared, so a string
     column read from CSV is compared as a number; the other columns are cast
@@ -54,7 +44,9 @@ def quarantine(
     """
     amount = F.col("amount_usd").try_cast("double")
     if block_date is None:
-        day = F.col("block_date").cast("date")
+        own = F.col("block_date").try_cast("date")
+        text = F.coalesce(F.col("block_date").cast("string"), F.lit("NULL"))
+        day = F.when(own.isNotNull(), own).otherwise(F.raise_error(F.concat(F.lit("block_date is not a date: "), text)))
     else:
         day = parse_date(F.lit(str(block_date)))
     cleaned = (
@@ -72,14 +64,13 @@ def quarantine(
 
 
 def filter_event(df: DataFrame, event_name: str = "Transfer") -> DataFrame:
-    """``event_name IS NOT NULL AND event_name = <event_name>``."""
-    return df.where(F.col("event_name").isNotNull() & (F.col("event_name") == F.lit(event_name)))
+    """Rows of that event; NULL is none."""
+    return df.where(F.col("event_name") == F.lit(event_name))
 
 
 def filter_positive(df: DataFrame, col: str = "amount_usd") -> DataFrame:
-    """``col IS NOT NULL AND col > 0`` on the numeric value of ``col``."""
-    v = F.col(col).try_cast("double")
-    return df.where(v.isNotNull() & (v > 0))
+    """Rows whose numeric value of ``col`` is above 0; NULL and text are not."""
+    return df.where(F.col(col).try_cast("double") > 0)
 
 
 def filter_required(df: DataFrame, cols: Sequence[str] = REQUIRED) -> DataFrame:

@@ -2,7 +2,7 @@
 
 Layout under a root folder (each table partitioned as shown)::
 
-    bronze/block_date=<day>/part-*.csv       labelled transfers, header CSV
+    bronze/block_date=<day>/part-*            labelled transfers, Parquet (or header CSV)
     silver/year=<y>/month=<m>/part-*.parquet  cleaned transfers
     gold/vertical/year=<y>/month=<m>/...      weekly activity per vertical
     gold/protocol/year=<y>/month=<m>/...      weekly activity per protocol
@@ -22,9 +22,10 @@ from chainfold.operators.gold import weekly_activity
 from chainfold.operators.labels import to_labelled_schema
 from chainfold.operators.silver import quarantine
 from chainfold.operators.topk import top_k
-from chainfold.schemas import LABELLED, SILVER, gold_schema
+from chainfold.schemas import LABELLED, SILVER, conform, gold_schema
 from chainfold.sinks.files import merge_months, write_days, write_partitions
-from chainfold.sources.files import read_csv_schema, read_table_view
+from chainfold.sources.files import CSV_FORMAT, read_csv_strings, read_table_view, unescape_lines
+from chainfold.storage import discard, write_intermediate
 
 DIMENSIONS = ("vertical", "protocol")
 QUESTIONS = (
@@ -47,17 +48,45 @@ def gold_path(root: str, dimension: str) -> str:
     return f"{root.rstrip('/')}/gold/{dimension}"
 
 
-def land_bronze(labelled: DataFrame, root: str, *, max_files: int | None = None) -> None:
-    """Write labelled transfers (any number of days) as bronze day files."""
-    write_days(to_labelled_schema(labelled), bronze_path(root), max_files=max_files)
+class EmptyInput(ValueError):
+    """There is no row to land; nothing was written."""
 
 
-def read_bronze(spark: SparkSession, root: str, block_dates: Sequence[str] | None = None) -> DataFrame:
+def land_bronze(
+    labelled: DataFrame, root: str, *, day: str | None = None, fmt: str = "parquet", max_files: int | None = None
+) -> list[str]:
+    """Write labelled transfers as bronze day files; returns their days.
+
+    The rows are computed once, into an intermediate table. Rows without a
+    valid ``block_date``, or of another day than ``day`` if it is given,
+    raise ValueError, and no rows raise ``EmptyInput``, before anything is
+    written.
+    """
+    batch = write_intermediate(to_labelled_schema(labelled), "bronze-batch")
+    found = batch.groupBy(F.col("block_date").try_cast("date").cast("string").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    days = sorted((r["day"] for r in found.collect()), key=str)
+    if not days:
+        raise EmptyInput("no labelled transfers to land")
+    if None in days:
+        raise ValueError("labelled transfers without a valid block_date")
+    if day is not None and days != [day]:
+        raise ValueError(f"labelled transfers of other days than {day}: {days[:5]}")
+    write_days(batch, bronze_path(root), max_files=max_files, fmt=fmt)
+    discard(batch)
+    return days
+
+
+def read_bronze(
+    spark: SparkSession, root: str, block_dates: Sequence[str] | None = None, *, fmt: str = "parquet"
+) -> DataFrame:
     """Bronze rows with the fixed labelled schema (``block_date`` from the
     directory names). ``block_dates`` lists the days to read (default all)."""
     base = bronze_path(root)
     paths = [f"{base}/block_date={d}" for d in block_dates] if block_dates else base
-    return read_csv_schema(spark, paths, LABELLED, base_path=base)
+    if fmt == "csv":
+        return conform(unescape_lines(read_csv_strings(spark, paths, base, CSV_FORMAT)), LABELLED, strict=True)
+    rows = spark.read.format(fmt).option("basePath", base).load(paths)
+    return conform(rows, LABELLED, strict=True)
 
 
 def build_silver(
@@ -66,10 +95,11 @@ def build_silver(
     block_dates: Sequence[str] | None = None,
     *,
     event_name: str = "Transfer",
+    fmt: str = "parquet",
 ) -> DataFrame:
     """Clean bronze days and merge them into the silver table (idempotent).
     Returns the merged rows of the months touched."""
-    raw = read_bronze(spark, root, block_dates)
+    raw = read_bronze(spark, root, block_dates, fmt=fmt)
     clean = quarantine(raw, event_name=event_name)
     return merge_months(clean, silver_path(root))
 
@@ -141,22 +171,24 @@ def top_k_table(report: dict[tuple[str, str], DataFrame]) -> DataFrame:
     return out
 
 
-def daily_run(
+def daily_pipeline(
     spark: SparkSession,
     labelled: DataFrame,
     root: str,
     *,
-    block_dates: Sequence[str] | None = None,
+    day: str | None = None,
     event_name: str = "Transfer",
+    fmt: str = "parquet",
     k: int = 5,
 ) -> dict[tuple[str, str], DataFrame]:
     """Bronze, silver, gold and top-k for the days in ``labelled``.
 
-    ``labelled`` holds one day (the daily case) or many (a backfill);
-    ``block_dates`` names them so that only those bronze days are read
-    (default: all bronze days). Gold is rebuilt for the months touched.
+    With ``day`` (the daily case) rows of any other day fail; without it
+    ``labelled`` may hold many days (a backfill). Only the days landed are
+    read back, and gold is rebuilt for the months touched. No rows raise
+    ``EmptyInput`` and change nothing.
     """
-    land_bronze(labelled, root)
-    merged = build_silver(spark, root, block_dates, event_name=event_name)
+    days = land_bronze(labelled, root, day=day, fmt=fmt)
+    merged = build_silver(spark, root, days, event_name=event_name, fmt=fmt)
     build_gold(spark, root, silver_rows=merged)
     return top_k_report(spark, root, k)

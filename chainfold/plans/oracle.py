@@ -43,17 +43,15 @@ CAST(weekofyear(block_date) AS INTEGER) AS week_of_year,
 CAST(year(block_date) AS INTEGER) AS year,
 CAST(month(block_date) AS INTEGER) AS month"""
 
-QUARANTINE_WHERE = """
-event_name IS NOT NULL AND event_name = 'Transfer'
-AND amount_usd IS NOT NULL AND amount_usd > 0
-AND tx_hash IS NOT NULL AND vertical IS NOT NULL AND protocol IS NOT NULL"""
+# A concatenation is NULL if one of its parts is.
+CLEAN = "event_name = '{event}' AND amount_usd > 0 AND (tx_hash || vertical || protocol) IS NOT NULL"
 
 SILVER = f"""
 silver AS (
   SELECT token_category, event_name, tx_hash, vertical, protocol, amount_usd, block_date,
   {CALENDAR_COLS}
   FROM (SELECT DISTINCT token_category, event_name, tx_hash, vertical, protocol, amount_usd, block_date
-        FROM transfers_ev WHERE {QUARANTINE_WHERE}))
+        FROM transfers_ev WHERE {CLEAN.format(event='Transfer')}))
 """
 
 
@@ -117,97 +115,130 @@ logs AS (SELECT l_orderkey AS tx_hash, l_linenumber AS "index", l_returnflag AS
 
 LABEL_INPUTS = _label_inputs()
 
-LABEL_KEPT = """al.category NOT IN ('contracts', 'social') AND al.model_name <> 'validators_ethereum'
-  AND (al.label_type NOT IN ('persona', 'usage') OR al.model_name IN ('dex_pools', 'dao_framework', 'mev', 'flashbots'))"""
-
 SAFE_TRANSFERS = """
 wallet_tx AS (SELECT * FROM tr WHERE amount_usd > 0 AND "from" IN (SELECT address FROM wallets))
 """
 
-RECEIVER_LABELS = f"""
+# What is known of each receiver, as (fact, value) rows; a receiver's fact is its least value.
+USABLE_LABELS = """
+usable AS (
+  SELECT * FROM addresses
+  WHERE NOT list_contains(['contracts', 'social'], category)
+    AND NOT list_contains(['validators_ethereum'], model_name)
+    AND CASE WHEN list_contains(['persona', 'usage'], label_type)
+        THEN list_contains(['dao_framework', 'dex_pools', 'flashbots', 'mev'], model_name) ELSE true END)"""
+
+RECEIVER_FACTS = USABLE_LABELS + """,
+facts AS (
+  SELECT blockchain, address, unnest(['label', 'category', 'model']) AS fact, unnest([name, category, model_name]) AS value FROM usable
+  UNION ALL SELECT blockchain, address, 'contract', name FROM contracts),
 recv_info AS (
-  SELECT r.blockchain, r."to" AS address,
-         MIN(al.name) AS label_names, MIN(al.category) AS label_categories, MIN(al.model_name) AS label_models,
-         MIN(cn.name) AS contract_name, MIN(en.name) AS ens
-  FROM (SELECT DISTINCT blockchain, "to" FROM wallet_tx WHERE "to" IS NOT NULL) r
-  LEFT JOIN ens en ON en.address = r."to"
-  LEFT JOIN contracts cn ON cn.address = r."to" AND cn.blockchain = r.blockchain
-  LEFT JOIN addresses al ON al.address = r."to" AND al.blockchain = r.blockchain AND {LABEL_KEPT}
-  GROUP BY r.blockchain, r."to")
-"""
-
-EVT_NAMES = """
-tx_events AS (SELECT DISTINCT tx_hash, "index", event_name FROM logs
-              WHERE tx_hash IN (SELECT tx_hash FROM wallet_tx))
+  SELECT k.blockchain, k."to" AS address,
+    (SELECT min(value) FROM facts f WHERE fact = 'label' AND f.address = k."to" AND f.blockchain = k.blockchain) AS label_names,
+    (SELECT min(value) FROM facts f WHERE fact = 'category' AND f.address = k."to" AND f.blockchain = k.blockchain) AS label_categories,
+    (SELECT min(value) FROM facts f WHERE fact = 'model' AND f.address = k."to" AND f.blockchain = k.blockchain) AS label_models,
+    (SELECT min(value) FROM facts f WHERE fact = 'contract' AND f.address = k."to" AND f.blockchain = k.blockchain) AS contract_name,
+    (SELECT min(name) FROM ens WHERE ens.address = k."to") AS ens
+  FROM (SELECT blockchain, "to" FROM wallet_tx WHERE "to" IS NOT NULL GROUP BY ALL) k),
+tx_events AS (SELECT tx_hash, "index", event_name FROM logs SEMI JOIN wallet_tx USING (tx_hash) GROUP BY ALL),
+kinds AS (
+  SELECT address, arg_min(kind, place) AS kind
+  FROM (SELECT address, 1 AS place, 'Safe' AS kind FROM wallets
+        UNION ALL SELECT address, 2, 'Burner address' FROM burn_list
+        UNION ALL SELECT address, 3, 'Smart contract' FROM created)
+  GROUP BY address)
 """
 
-
-def _in_list(names) -> str:
-    return ", ".join("'" + n.replace("'", "''") + "'" for n in names)
-
-
-def _vertical_case() -> str:
-    from chainfold.operators.rules import VERTICAL_NAMES
-
-    v = dict(VERTICAL_NAMES)
-    n = "receiver_name"
-    lines = [
-        "CASE",
-        "  WHEN receiver_label_models = 'burn_addresses' THEN 'burn address'",
-        "  WHEN receiver_contract_name = 'Myname: WETH9' THEN 'eth wrapping'",
-        "  WHEN receiver_label_models = 'cex_ethereum' THEN 'CEX'",
-        f"  WHEN receiver_label_categories = 'bridge' OR {n} IN ({_in_list(v['bridge'])}) THEN 'bridge'",
-        f"  WHEN receiver_label_categories = 'dex' OR {n} IN ({_in_list(v['DEX'])})"
-        f" OR (receiver_type = 'Smart contract' AND lower({n}) LIKE '%swap%') THEN 'DEX'",
+# Place of each vertical among the rules, and the receiver names that belong to it.
+PLACES = {
+    "burn address": 1, "eth wrapping": 2, "CEX": 3, "bridge": 4, "DEX": 5, "lending": 6, "liquid staking": 7, "restaking": 8,
+    "liquid restaking": 9, "ETH staking": 10, "yield": 11, "CDP": 12, "derivatives": 13, "rwa": 14, "farm": 15, "payments": 16,
+}
+NAMES = {
+    "bridge": "Across_v2 Hop_protocol Stargate Stargate_v2 Zklink",
+    "DEX": "Balancer_v2 Curvefi Curve Gnosis_protocol_v2 Lifi Oneinch Sushi",
+    "lending": "Aave Aave_v2 Aave_v3 Clearpool_finance Clearpool Compound_v2 Compound_v3 Curve_lend Echelon Euler Fluid Fluxfinance "
+    "Fraxfinance Maplefinance_v2 Midas Morpho Morpho_blue Morpho_aave_v2 Morpho_compound Silo Spark_protocol Uwulend Yearn",
+    "liquid staking": "Etherfi Etherfiliquiditypool Frax Lido Mantle Meveth Pirex Rocketpool Rockx_liquid_staking Stader Stakewise "
+    "Stakewise_v3 Swell_v3",
+    "restaking": "Eigenlayer Symbiotic",
+    "liquid restaking": "Kelpdao Mellow_lrt Renzo",
+    "yield": "Aura_finance Apecoin Convex Ethena_labs Eth_fox_vault Instadapp_lite Origin_protocol Pendle Redacted Tokemak Usual",
+    "CDP": "Abracadabra Amp Lybra_finance Maker Threshold_network",
+    "derivatives": "Contango_v2 Dydx",
+    "rwa": "Anzen_finance_v2",
+    "farm": "Zircuit_staking",
+    "payments": "Llamapay",
+}
+
+
+def _name_rules() -> str:
+    return ", ".join(f"({PLACES[v]}, '{v}', '{n}')" for v, names in NAMES.items() for n in names.split())
+
+
+def _hit(vertical: str, condition: str) -> str:
+    return f"SELECT profile, {PLACES[vertical]} AS place, '{vertical}' AS vertical FROM lab_profiles WHERE {condition}"
+
+
+_HITS = "\n  UNION ALL ".join(
+    [
+        "SELECT profile, place, r.vertical FROM lab_profiles JOIN name_rules r ON r.name = receiver_name",
+        _hit("ETH staking", "receiver_type = 'Smart contract' AND receiver IN (FROM stakers)"),
+        _hit("DEX", "receiver_label_categories = 'dex'"),
+        _hit("DEX", "receiver_type = 'Smart contract' AND contains(lower(receiver_name), 'swap')"),
+        _hit("bridge", "receiver_label_categories = 'bridge'"),
+        _hit("CEX", "receiver_label_models = 'cex_ethereum'"),
+        _hit("eth wrapping", "receiver_contract_name = 'Myname: WETH9'"),
+        _hit("burn address", "receiver_label_models = 'burn_addresses'"),
     ]
-    for key in ("lending", "liquid staking", "restaking", "liquid restaking"):
-        lines.append(f"  WHEN {n} IN ({_in_list(v[key])}) THEN '{key}'")
-    lines.append(
-        "  WHEN receiver_type = 'Smart contract' AND receiver IN (SELECT address FROM stakers) THEN 'ETH staking'"
-    )
-    for key in ("yield", "CDP", "derivatives", "rwa", "farm", "payments"):
-        lines.append(f"  WHEN {n} IN ({_in_list(v[key])}) THEN '{key}'")
-    lines.append("  ELSE 'unclassified transfer to ' || receiver_type END")
-    return "\n".join(lines)
+)
 
 
-VERTICAL_CASE = _vertical_case()
+def labelled(same_chain: bool = True) -> str:
+    """The label step: verticals come from the rule of the lowest place that a receiver's profile hits.
 
-LABELLED = f"""
+    ``same_chain=False`` joins receiver facts on the address only, so a
+    receiver seen on several chains meets every chain's facts.
+    """
+    chain = "AND i.blockchain IS NOT DISTINCT FROM w.blockchain" if same_chain else ""
+    return f"""
+lab_rows AS (
+  SELECT w.*, i.label_names, i.label_categories, i.label_models, i.ens, coalesce(kinds.kind, 'EOA') AS receiver_type,
+    if(i.contract_name LIKE '%Gnosis_safe%', 'Safe', i.contract_name) AS shown,
+    'Safe: ' || string_split(i.label_names, ':')[1] AS dao,
+    coalesce(string_split(i.contract_name, ': ')[1], i.label_names, i.ens) AS usual,
+    e.event_name,
+    EXISTS (FROM stablecoins c WHERE c.blockchain = w.blockchain AND c.stablecoin_address = w.contract_address) AS stable
+  FROM tx_events e RIGHT JOIN wallet_tx w ON e.tx_hash = w.tx_hash AND e."index" = w.evt_index
+  LEFT JOIN kinds ON kinds.address = w."to"
+  LEFT JOIN recv_info i ON i.address = w."to" {chain}),
 lab_base AS (
-  SELECT w.blockchain, w.block_date, w.block_time, w.tx_hash, w.evt_index,
-         CASE WHEN sc.stablecoin_address IS NOT NULL THEN 'stablecoin' ELSE w.token_standard END AS token_category,
-         w."from" AS safe_sender, w."to" AS receiver,
-         CASE WHEN w."to" IN (SELECT address FROM wallets) THEN 'Safe'
-              WHEN w."to" IN (SELECT address FROM burn_list) THEN 'Burner address'
-              WHEN w."to" IN (SELECT address FROM created) THEN 'Smart contract'
-              ELSE 'EOA' END AS receiver_type,
-         CASE WHEN ri.contract_name LIKE '%Gnosis_safe%' THEN 'Safe' ELSE ri.contract_name END AS receiver_contract_name,
-         ri.label_names AS receiver_label_names, ri.label_categories AS receiver_label_categories,
-         ri.label_models AS receiver_label_models, ri.ens AS receiver_ens,
-         CASE WHEN ri.label_models = 'dao_multisig' THEN 'Safe: ' || split_part(ri.label_names, ':', 1)
-              ELSE COALESCE(split_part(ri.contract_name, ': ', 1), ri.label_names, ri.ens) END AS receiver_name,
-         ev.event_name, w.symbol, w.contract_address AS token_address, w.amount, w.amount_usd
-  FROM wallet_tx w
-  LEFT JOIN stablecoins sc ON sc.blockchain = w.blockchain AND sc.stablecoin_address = w.contract_address
-  LEFT JOIN recv_info ri ON ri.address = w."to" AND ri.blockchain IS NOT DISTINCT FROM w.blockchain
-  LEFT JOIN tx_events ev ON ev.tx_hash = w.tx_hash AND ev."index" = w.evt_index
-  WHERE w.amount_usd IS NOT NULL),
-lab_vert AS (SELECT *, {VERTICAL_CASE} AS vertical FROM lab_base),
+  SELECT blockchain, block_date, block_time, tx_hash, evt_index, event_name, symbol, amount, amount_usd,
+    "from" AS safe_sender, "to" AS receiver, contract_address AS token_address, if(stable, 'stablecoin', token_standard) AS token_category,
+    receiver_type, shown AS receiver_contract_name, label_names AS receiver_label_names, label_categories AS receiver_label_categories,
+    label_models AS receiver_label_models, ens AS receiver_ens,
+    CASE WHEN label_models = 'dao_multisig' THEN dao ELSE usual END AS receiver_name
+  FROM lab_rows),
+lab_numbered AS (
+  SELECT *, dense_rank() OVER (ORDER BY receiver, receiver_type, receiver_contract_name, receiver_label_models,
+    receiver_label_categories, receiver_name) AS profile FROM lab_base),
+lab_profiles AS (
+  SELECT profile, receiver, receiver_type, receiver_contract_name, receiver_label_models, receiver_label_categories, receiver_name
+  FROM lab_numbered GROUP BY ALL),
+name_rules AS (FROM (VALUES {_name_rules()}) t(place, vertical, name)),
+lab_hits AS (
+  {_HITS}),
+lab_verdicts AS (SELECT profile, arg_min(vertical, place) AS vertical FROM lab_hits GROUP BY profile),
 lab_out AS (
-  SELECT *, COALESCE(receiver_contract_name, 'unclassified transfer to ' || receiver_type) AS protocol
-  FROM lab_vert)
+  SELECT n.* EXCLUDE (profile), coalesce(v.vertical, 'unclassified transfer to ' || receiver_type) AS vertical,
+    coalesce(receiver_contract_name, 'unclassified transfer to ' || receiver_type) AS protocol
+  FROM lab_numbered n LEFT JOIN lab_verdicts v USING (profile))
 """
 
-LABEL_ALL = with_(LABEL_INPUTS, SAFE_TRANSFERS, RECEIVER_LABELS, EVT_NAMES, LABELLED)
 
-# The original join of receiver labels: on the address only, so a receiver
-# seen on several chains meets every chain's label row.
-LABELLED_ADDRESS_JOIN = LABELLED.replace(
-    'ON ri.address = w."to" AND ri.blockchain IS NOT DISTINCT FROM w.blockchain', 'ON ri.address = w."to"'
-)
-assert LABELLED_ADDRESS_JOIN != LABELLED
-LABEL_ALL_ADDRESS_JOIN = with_(LABEL_INPUTS, SAFE_TRANSFERS, RECEIVER_LABELS, EVT_NAMES, LABELLED_ADDRESS_JOIN)
+LABELLED = labelled()
+LABEL_ALL = with_(LABEL_INPUTS, SAFE_TRANSFERS, RECEIVER_FACTS, LABELLED)
+LABEL_ALL_ADDRESS_JOIN = with_(LABEL_INPUTS, SAFE_TRANSFERS, RECEIVER_FACTS, labelled(same_chain=False))
 
 LABELLED_21 = """
 SELECT amount, amount_usd, CAST(block_date AS VARCHAR) AS block_date,
@@ -221,7 +252,7 @@ FROM lab_out"""
 
 def silver_from(src: str, event_name: str, name: str = "silver_l") -> str:
     """Quarantine over any CTE with the transfer columns."""
-    where = QUARANTINE_WHERE.replace("'Transfer'", f"'{event_name}'")
+    where = CLEAN.format(event=event_name)
     return f"""
 {name} AS (
   SELECT token_category, event_name, tx_hash, vertical, protocol, amount_usd, block_date,

@@ -7,11 +7,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from chainfold.operators import gold as G
 from chainfold.operators.joins import materialize
+from chainfold.operators.labels import label_transfers
 from chainfold.operators.silver import quarantine
 from chainfold.operators.topk import top_k
 from chainfold.plans import oracle as O
 from chainfold.plans.registry import query
-from chainfold.plans.testdata import event_transfers
+from chainfold.plans.testdata import event_transfers, label_inputs
+from chainfold.schemas import SILVER
+from chainfold.session import scratch_dir
+from chainfold.sinks.files import write_partitions
+from chainfold.sources.files import read_table
 
 
 def silver_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,9 +161,15 @@ def q_filter_required_columns(spark, sf_dir):
     return filter_required(_ev(spark, sf_dir))
 
 
-@query("filter_partition", _EV_SILVER + "\nSELECT * FROM silver WHERE year = 2024 AND month = 1")
+@query(
+    "filter_partition",
+    O.with_(O.LABEL_INPUTS, O.SAFE_TRANSFERS, O.RECEIVER_FACTS, O.LABELLED, O.SILVER_L) + "\nSELECT * FROM silver_l WHERE year = 1997 AND month = 3",
+)
 def q_filter_partition(spark, sf_dir):
-    return silver_of(spark, sf_dir).where("year = 2024 AND month = 1")
+    """One partition of a written table of many months."""
+    path = scratch_dir(spark, "silver")
+    write_partitions(quarantine(label_transfers(label_inputs(spark, sf_dir)), event_name="A"), path)
+    return read_table(spark, path, SILVER).where("year = 1997 AND month = 3")
 
 
 @query(

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chainfold.operators.gold import weekly_activity
+from chainfold.operators.joins import materialize
 from chainfold.operators.labels import label_transfers, to_labelled_schema
 from chainfold.operators.silver import quarantine
 from chainfold.plans import medallion as M
@@ -23,6 +24,7 @@ from chainfold.schemas import LABELLED, SILVER, conform
 from chainfold.session import scratch_dir
 from chainfold.sinks.files import merge_months, write_days, write_partitions, write_result_pages
 from chainfold.sources.files import (
+    CSV_FORMAT,
     read_csv_inferred,
     read_csv_schema,
     read_csv_strings,
@@ -51,13 +53,13 @@ LABEL_EVENT = "A"  # event names of the lineitem mapping come from l_returnflag
 
 _EV = O.with_(O.EVENTS)
 _EV_COLS = "tx_hash, event_name, vertical, protocol, amount_usd, token_category, block_date"
-_LABEL_SILVER = O.with_(O.LABEL_INPUTS, O.SAFE_TRANSFERS, O.RECEIVER_LABELS, O.EVT_NAMES, O.LABELLED, O.SILVER_L)
+_LABEL_SILVER = O.with_(O.LABEL_INPUTS, O.SAFE_TRANSFERS, O.RECEIVER_FACTS, O.LABELLED, O.SILVER_L)
 
 
 def _events_days(spark: SparkSession, sf_dir: str) -> str:
     """Write the events mapping as header CSV day files; return the root."""
     root = scratch_dir(spark, "days")
-    write_days(event_transfers(spark, sf_dir).select(*FILE_ORDER), root)
+    write_days(event_transfers(spark, sf_dir).select(*FILE_ORDER), root, fmt="csv")
     return root
 
 
@@ -81,7 +83,7 @@ SELECT tx_hash, event_name, vertical, protocol, CAST(amount_usd AS VARCHAR) AS a
 )
 def q_scan_csv_strings(spark, sf_dir):
     root = _events_days(spark, sf_dir)
-    df = read_csv_strings(spark, root, base_path=root)
+    df = read_csv_strings(spark, root, base_path=root, options=CSV_FORMAT)
     return df.select(*[F.col(f.name).cast("string").alias(f.name) for f in EVENT_SCHEMA.fields])
 
 
@@ -94,14 +96,14 @@ FROM transfers_ev""",
 )
 def q_scan_csv_inferred(spark, sf_dir):
     root = _events_days(spark, sf_dir)
-    df = read_csv_inferred(spark, root, base_path=root)
+    df = read_csv_inferred(spark, root, base_path=root, options=CSV_FORMAT)
     return df.select(*[f.name for f in EVENT_SCHEMA.fields])
 
 
 @query("scan_csv_schema", _EV + f"\nSELECT {_EV_COLS} FROM transfers_ev")
 def q_scan_csv_schema(spark, sf_dir):
     root = _events_days(spark, sf_dir)
-    return read_csv_schema(spark, root, EVENT_SCHEMA, base_path=root)
+    return read_csv_schema(spark, root, EVENT_SCHEMA, base_path=root, options=CSV_FORMAT)
 
 
 @query("scan_result_rows", _EV + O.labelled_as_bronze())
@@ -118,7 +120,7 @@ def q_scan_with_fallback(spark, sf_dir):
     root = _events_days(spark, sf_dir)
     return read_or_fallback(
         lambda: conform(read_result_pages(spark, missing, LABELLED), EVENT_SCHEMA),
-        lambda: read_csv_schema(spark, root, EVENT_SCHEMA, base_path=root),
+        lambda: read_csv_schema(spark, root, EVENT_SCHEMA, base_path=root, options=CSV_FORMAT),
     )
 
 
@@ -131,7 +133,7 @@ def q_scan_month(spark, sf_dir):
 
 @query(
     "scan_full_view",
-    O.with_(O.LABEL_INPUTS, O.SAFE_TRANSFERS, O.RECEIVER_LABELS, O.EVT_NAMES, O.LABELLED, O.SILVER_L, O.gold("protocol", "silver_l"))
+    O.with_(O.LABEL_INPUTS, O.SAFE_TRANSFERS, O.RECEIVER_FACTS, O.LABELLED, O.SILVER_L, O.gold("protocol", "silver_l"))
     + "\nSELECT * FROM gold_protocol",
 )
 def q_scan_full_view(spark, sf_dir):
@@ -155,8 +157,8 @@ def q_scan_missing_as_empty(spark, sf_dir):
 @query("sink_day_csv", _EV + O.labelled_as_bronze())
 def q_sink_day_csv(spark, sf_dir):
     root = scratch_dir(spark, "root")
-    M.land_bronze(event_transfers(spark, sf_dir), root)
-    return M.read_bronze(spark, root).select(*[f.name for f in LABELLED.fields])
+    M.land_bronze(event_transfers(spark, sf_dir), root, fmt="csv")
+    return M.read_bronze(spark, root, fmt="csv").select(*[f.name for f in LABELLED.fields])
 
 
 @query(
@@ -177,17 +179,22 @@ def q_sink_partition_overwrite(spark, sf_dir):
     return read_table(spark, path).select(*[f.name for f in SILVER.fields])
 
 
-@query("sink_merge_month", O.with_(O.EVENTS, O.SILVER) + "\nSELECT * FROM silver")
+# The label step's silver covers many months; two of them are merged.
+_TWO_MONTHS = "(year = 1998 AND month IN (4, 5))"
+
+
+@query("sink_merge_month", _LABEL_SILVER + f"\nSELECT * FROM silver_l WHERE {_TWO_MONTHS}")
 def q_sink_merge_month(spark, sf_dir):
-    """One month (January 2024) merged as the daily job does it: the first
-    half of the month, then the whole month (overlapping the first batch),
-    then the whole month again; the table must hold each row once."""
+    """Two months merged as the daily job does it: the first half of one
+    month, then that whole month (overlapping the first batch), then both
+    months, then the second again; the table must hold each row once."""
     path = scratch_dir(spark, "silver")
-    ev = event_transfers(spark, sf_dir)
-    first_half = quarantine(ev.where(F.dayofmonth("block_date") <= 15))
-    merge_months(first_half, path, year=2024, month=1)
-    merge_months(quarantine(ev), path, year=2024, month=1)
-    merge_months(quarantine(ev), path, year=2024, month=1)
+    silver = materialize(_silver_l(spark, sf_dir).where(_TWO_MONTHS))
+    april, may = silver.where("month = 4"), silver.where("month = 5")
+    merge_months(april.where(F.dayofmonth("block_date") <= 15), path, year=1998, month=4)
+    merge_months(april, path, year=1998, month=4)
+    merge_months(silver, path)
+    merge_months(may, path, year=1998, month=5)
     return read_table(spark, path).select(*[f.name for f in SILVER.fields])
 
 
@@ -203,26 +210,24 @@ def q_silver_merge(spark, sf_dir):
     return read_table(spark, M.silver_path(root)).select(*[f.name for f in SILVER.fields])
 
 
-@query(
-    "gold_month",
-    O.with_(O.LABEL_INPUTS, O.SAFE_TRANSFERS, O.RECEIVER_LABELS, O.EVT_NAMES, O.LABELLED, O.SILVER_L, O.gold("vertical", "silver_l"))
-    + "\nSELECT * FROM gold_vertical",
-)
+def _gold_month_sql() -> str:
+    parts = [O.LABEL_INPUTS, O.SAFE_TRANSFERS, O.RECEIVER_FACTS, O.LABELLED, O.SILVER_L, "slice AS (SELECT * FROM silver_l WHERE year = 1998 AND month = 5)"]
+    rows = [
+        f"SELECT '{dim}' AS dimension, {dim} AS name, week_of_month, week_of_year, unique_safes, safe_account,"
+        f" total_transactions_per_safe, total_amount_usd_per_safe, year, month FROM gold_{dim}"
+        for dim in M.DIMENSIONS
+    ]
+    return O.with_(*parts, O.gold("vertical", "slice"), O.gold("protocol", "slice")) + "\n" + "\nUNION ALL\n".join(rows)
+
+
+@query("gold_month", _gold_month_sql())
 def q_gold_month(spark, sf_dir):
+    """Both gold tables of one month of a table of many months."""
     root = scratch_dir(spark, "root")
     write_partitions(_silver_l(spark, sf_dir), M.silver_path(root))
-    M.build_gold(spark, root)
-    return M.read_gold(spark, root, "vertical").select(
-        "week_of_month",
-        "week_of_year",
-        "vertical",
-        "unique_safes",
-        "safe_account",
-        "total_transactions_per_safe",
-        "total_amount_usd_per_safe",
-        "year",
-        "month",
-    )
+    M.build_gold(spark, root, year=1998, month=5)
+    both = [M.read_gold(spark, root, dim).withColumnRenamed(dim, "name").withColumn("dimension", F.lit(dim)) for dim in M.DIMENSIONS]
+    return both[0].unionByName(both[1])
 
 
 def _daily_sql() -> str:
@@ -237,11 +242,11 @@ def _daily_sql() -> str:
     return O.with_(O.EVENTS, O.SILVER, O.gold("vertical"), O.gold("protocol")) + "\n" + "\nUNION ALL\n".join(parts)
 
 
-@query("daily_run", _daily_sql())
-def q_daily_run(spark, sf_dir):
+@query("daily_pipeline", _daily_sql())
+def q_daily_pipeline(spark, sf_dir):
     root = scratch_dir(spark, "root")
     labelled = to_labelled_schema(event_transfers(spark, sf_dir))
-    return M.top_k_table(M.daily_run(spark, labelled, root))
+    return M.top_k_table(M.daily_pipeline(spark, labelled, root))
 
 
 # -------------------------------------------------------------- streaming

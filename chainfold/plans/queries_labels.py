@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 from chainfold.functions import text as X
 from chainfold.operators import labels as L
 from chainfold.operators import rules as R
-from chainfold.operators.joins import membership_flag
+from chainfold.operators.joins import materialize, membership_flag
 from chainfold.plans import oracle as O
 from chainfold.plans.registry import query
 from chainfold.plans.testdata import label_inputs
+from chainfold.session import scratch_dir
+from chainfold.sources.tables import label_tables
 
 RUN_DATE = "1998-05-15"  # the daily slice is the day before the run date
 
@@ -22,7 +24,8 @@ def _inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def _safe(inp: dict[str, DataFrame]) -> DataFrame:
-    return L.wallet_transfers(inp["transfers"], inp["wallets"])
+    """The wallets' transfers, computed once: they feed several steps and size checks."""
+    return materialize(L.wallet_transfers(inp["transfers"], inp["wallets"]))
 
 
 def _sql(*blocks: str, select: str) -> str:
@@ -37,13 +40,13 @@ def q_wallet_transfers(spark, sf_dir):
     return _safe(_inputs(spark, sf_dir))
 
 
-@query("receiver_labels", _sql(O.SAFE_TRANSFERS, O.RECEIVER_LABELS, select="SELECT * FROM recv_info"))
+@query("receiver_labels", _sql(O.SAFE_TRANSFERS, O.RECEIVER_FACTS, select="SELECT * FROM recv_info"))
 def q_receiver_labels(spark, sf_dir):
     inp = _inputs(spark, sf_dir)
     return L.receiver_labels(L.receivers(_safe(inp)), inp["ens"], inp["contracts"], inp["addresses"])
 
 
-@query("event_names", _sql(O.SAFE_TRANSFERS, O.EVT_NAMES, select="SELECT * FROM tx_events"))
+@query("event_names", _sql(O.SAFE_TRANSFERS, O.RECEIVER_FACTS, select="SELECT * FROM tx_events"))
 def q_event_names(spark, sf_dir):
     inp = _inputs(spark, sf_dir)
     return L.event_names(inp["logs"], _safe(inp))
@@ -155,7 +158,7 @@ def q_filter_previous_day(spark, sf_dir):
     return L.previous_day_transfers(_inputs(spark, sf_dir)["transfers"], RUN_DATE)
 
 
-@query("filter_in_list", _sql(select="SELECT al.* FROM addresses al WHERE " + O.LABEL_KEPT))
+@query("filter_in_list", _sql(O.USABLE_LABELS, select="FROM usable"))
 def q_filter_in_list(spark, sf_dir):
     return _inputs(spark, sf_dir)["addresses"].where(R.label_kept())
 
@@ -224,8 +227,9 @@ def q_join_left_multi_key(spark, sf_dir):
     "join_left_filtered_right",
     _sql(
         O.SAFE_TRANSFERS,
+        O.USABLE_LABELS,
         select=f"""SELECT t.tx_hash, t.evt_index, t."to", t.blockchain, al.name AS label_name, al.model_name
-FROM wallet_tx t LEFT JOIN addresses al ON al.address = t."to" AND al.blockchain = t.blockchain AND {O.LABEL_KEPT}""",
+FROM wallet_tx t LEFT JOIN usable al ON al.address = t."to" AND al.blockchain = t.blockchain""",
     ),
 )
 def q_join_left_filtered_right(spark, sf_dir):
@@ -266,8 +270,7 @@ def q_join_existence(spark, sf_dir):
     "join_star",
     _sql(
         O.SAFE_TRANSFERS,
-        O.RECEIVER_LABELS,
-        O.EVT_NAMES,
+        O.RECEIVER_FACTS,
         select="""SELECT t.tx_hash, t.evt_index, t.blockchain, t."to", s.stablecoin_address IS NOT NULL AS is_stablecoin,
   ri.label_names, ri.contract_name, ri.ens, ev.event_name
 FROM wallet_tx t
@@ -353,7 +356,7 @@ def q_str_split_part(spark, sf_dir):
     "coalesce_cols",
     _sql(
         O.SAFE_TRANSFERS,
-        O.RECEIVER_LABELS,
+        O.RECEIVER_FACTS,
         select="SELECT blockchain, address, COALESCE(contract_name, label_names, ens) AS any_name FROM recv_info",
     ),
 )
@@ -372,7 +375,6 @@ def q_str_trim(spark, sf_dir):
     return e.select("address", X.trim(X.concat_strict(" ", F.col("name"), "  ")).alias("name_trimmed"))
 
 
-_COUNT_TABLES = ("transfers", "wallets", "ens", "contracts", "addresses", "logs", "burn", "creation", "stablecoins", "stakers")
 _COUNT_SQL = {
     "transfers": "tr",
     "wallets": "wallets",
@@ -387,18 +389,27 @@ _COUNT_SQL = {
 }
 
 
+_KEYS = {"transfers": "tx_hash", "logs": "tx_hash", "stablecoins": "stablecoin_address"}
+
+
 @query(
     "scan_label_tables",
     _sql(
         select="\nUNION ALL\n".join(
-            f"SELECT '{k}' AS table_name, COUNT(*) AS n_rows FROM {v}" for k, v in _COUNT_SQL.items()
+            f"SELECT '{k}' AS table_name, COUNT(*) AS n_rows, COUNT(DISTINCT {_KEYS.get(k, 'address')}) AS n_keys FROM {v}"
+            for k, v in _COUNT_SQL.items()
         )
     ),
 )
 def q_scan_label_tables(spark, sf_dir):
-    inp = _inputs(spark, sf_dir)
+    """All ten tables, written and read back by role."""
+    paths = {}
+    for role, df in _inputs(spark, sf_dir).items():
+        paths[role] = scratch_dir(spark, f"label-{role}")
+        df.write.parquet(paths[role])
     out = None
-    for k in _COUNT_TABLES:
-        c = inp[k].agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(k).alias("table_name"), "n_rows")
+    for role, df in label_tables(spark, paths).items():
+        c = df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(_KEYS.get(role, "address")).alias("n_keys"))
+        c = c.select(F.lit(role).alias("table_name"), "n_rows", "n_keys")
         out = c if out is None else out.unionByName(c)
     return out

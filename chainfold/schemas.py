@@ -39,6 +39,16 @@ LABELLED = T.StructType(
     ]
 )
 
+# Columns that a landed file may lack; they are then NULL.
+OPTIONAL = (
+    "receiver_contract_name",
+    "receiver_ens",
+    "receiver_label_categories",
+    "receiver_label_models",
+    "receiver_label_names",
+    "receiver_name",
+)
+
 # Bronze day files hold the labelled columns without block_date, which is
 # part of the directory name.
 BRONZE = T.StructType([f for f in LABELLED.fields if f.name != "block_date"])
@@ -85,8 +95,8 @@ def gold_schema(dimension: str) -> T.StructType:
 def conform(df: DataFrame, schema: T.StructType, *, strict: bool = False) -> DataFrame:
     """Select the schema's columns by name and cast them to its types.
 
-    Columns missing from ``df`` become typed NULLs unless ``strict``; extra
-    columns are dropped. Casts use ``try_cast`` so a malformed value turns
+    Columns missing from ``df`` become typed NULLs; with ``strict`` only the
+    ``OPTIONAL`` ones may be missing. Extra columns are dropped. Casts use ``try_cast`` so a malformed value turns
     into NULL instead of failing the whole job.
     """
     have = set(df.columns)
@@ -94,7 +104,7 @@ def conform(df: DataFrame, schema: T.StructType, *, strict: bool = False) -> Dat
     for f in schema.fields:
         if f.name in have:
             cols.append(F.col(f.name).try_cast(f.dataType).alias(f.name))
-        elif strict:
+        elif strict and f.name not in OPTIONAL:
             raise ValueError(f"column {f.name!r} is missing; have {sorted(have)}")
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))

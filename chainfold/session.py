@@ -58,7 +58,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
-        if not sc.master.startswith("local"):
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set: name a shared, reliable folder "
                 "(for example on the cluster's object store or HDFS)"

@@ -11,8 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chainfold.sources.files import read_table
 from chainfold.schemas import PARTITION_KEYS
+from chainfold.sources.files import CSV_FORMAT, escape_lines, read_table
+from chainfold.storage import discard, write_intermediate
 
 
 def _writer(df: DataFrame, keys: Sequence[str], max_files: int | None):
@@ -22,27 +23,31 @@ def _writer(df: DataFrame, keys: Sequence[str], max_files: int | None):
     directory gets few, large files instead of one file per task and key;
     AQE sizes the shuffle partitions and splits a skewed key (a day or month
     holding a large share of the rows) over several tasks. ``max_files``
-    instead caps the number of output tasks with ``coalesce``.
+    instead caps the number of output tasks; the rows are shuffled to them,
+    so the work before keeps its own parallelism.
     """
     if max_files:
-        return df.coalesce(max_files).write
+        return df.repartition(max_files).write
     return df.hint("rebalance", *keys).write
 
 
-def write_days(df: DataFrame, root: str, *, max_files: int | None = None, fmt: str = "csv") -> None:
-    """Land rows as ``root/block_date=<day>/part-*`` header files, one
-    directory per day present; days not present are left untouched.
+def write_days(df: DataFrame, root: str, *, max_files: int | None = None, fmt: str = "parquet") -> None:
+    """Land rows as ``root/block_date=<day>/part-*`` files, one directory per
+    day present; days not present are left untouched.
 
-    ``block_date`` is stored in the directory name, not in the files.
+    ``block_date`` is stored in the directory name, not in the files. CSV
+    files have a header and keep every string value (see ``CSV_FORMAT``).
     """
+    if fmt == "csv":
+        df = escape_lines(df)
     w = _writer(df, ["block_date"], max_files).mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if fmt == "csv":
-        w = w.option("header", True)
+        w = w.options(**CSV_FORMAT)
     w.partitionBy("block_date").format(fmt).save(root)
 
 
 def write_day(
-    df: DataFrame, root: str, block_date: str, *, max_files: int | None = None, fmt: str = "csv"
+    df: DataFrame, root: str, block_date: str, *, max_files: int | None = None, fmt: str = "parquet"
 ) -> None:
     """Land one day. A row of any other day fails the write (checked inside
     the write's own tasks, so no separate pass over the data)."""
@@ -88,14 +93,13 @@ def merge_months(
 ) -> DataFrame:
     """Merge ``new`` rows into a (year, month)-partitioned table; idempotent.
 
-    The existing rows of every month present in ``new`` are read, unioned
-    with ``new`` by column name, de-duplicated and written back, replacing
-    just those months. Merging the same rows twice changes nothing; a
-    missing table is created. With ``year``/``month`` the existing slice is
-    pruned statically to that month (``new`` must lie in it); otherwise the
-    months of ``new`` select the existing partitions through a semi join on
-    the partition columns, which dynamic partition pruning applies at the
-    scan.
+    ``new`` is computed once, into an intermediate table; a row without a
+    year or month, or outside ``year``/``month`` if they are given, fails
+    that step, before the table is touched. Its months (few values) then
+    select the existing partitions by literal predicates. Their rows are
+    unioned with ``new`` by column name, de-duplicated and written back,
+    replacing just those months, so a merge never loses a row. Merging the
+    same rows twice changes nothing; a missing table is created.
 
     One job reads the old month files, merges and writes: dynamic overwrite
     stages the new files and swaps the month directories only when every
@@ -105,18 +109,26 @@ def merge_months(
     single writer is assumed: readers may briefly see a half-replaced month.
     """
     spark = new.sparkSession
+    y, m = (F.col(k).cast("int") for k in PARTITION_KEYS)
+    wrong = y.isNull() | m.isNull()
+    if year is not None:
+        wrong = wrong | (y != int(year))
+    if month is not None:
+        wrong = wrong | (m != int(month))
+    guarded = F.when(wrong, F.raise_error(F.concat(F.lit("row outside the months to merge: "), F.concat_ws("-", y, m)))).otherwise(y)
+    batch = write_intermediate(new.withColumn("year", guarded), "merge-batch")
+    months = [tuple(r) for r in batch.select(*PARTITION_KEYS).distinct().collect()]
 
     def touched(df: DataFrame) -> DataFrame:
-        if year is not None and month is not None:
-            return df.where((F.col("year") == int(year)) & (F.col("month") == int(month)))
-        months = new.select(*PARTITION_KEYS).distinct()
-        return df.join(months, list(PARTITION_KEYS), "left_semi")
+        cond = F.lit(False)
+        for a, b in months:
+            cond = cond | ((F.col("year") == a) & (F.col("month") == b))
+        return df.where(cond)
 
     existing = touched(read_table(spark, path, new.schema, fmt))
-    merged = new.unionByName(existing.select(*new.columns)).dropDuplicates()
-    write_partitions(merged, path, fmt=fmt)
-    # A fresh read of the months just written: its lineage starts at the new
-    # files, not at the replaced ones.
+    if months:
+        write_partitions(batch.unionByName(existing.select(*new.columns)).dropDuplicates(), path, fmt=fmt)
+    discard(batch)
     return touched(read_table(spark, path, new.schema, fmt)).select(*new.columns)
 
 

@@ -1,19 +1,26 @@
 """File sources: day CSV files, landed query-result pages, lake table slices.
 
-Every typed read binds columns by name (never by position): files are read
-with their header as strings and then cast to the wanted schema.
+Every typed read binds columns by name: CSV files are read with their header
+as strings and then cast to the wanted schema. The first file's header names
+the columns, and a file with another header fails the read, since Spark binds
+CSV values by position within a file set.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import logging
+from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chainfold.schemas import LABELLED, conform
+from chainfold.storage import write_intermediate
+
+log = logging.getLogger(__name__)
 
 
 def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -21,24 +28,59 @@ def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def read_csv_strings(spark: SparkSession, path: str | list[str], base_path: str | None = None) -> DataFrame:
+# How our own CSV day files are written and read: NULL and the empty string
+# differ, and white space is kept.
+CSV_FORMAT = {"header": True, "nullValue": "\\N", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
+def escape_lines(df: DataFrame) -> DataFrame:
+    """String columns with backslash, line feed and carriage return written as
+    ``\\b``, ``\\n`` and ``\\r``, so that a row is one line of the file."""
+    return _map_strings(df, (("\\", "\\b"), ("\n", "\\n"), ("\r", "\\r")))
+
+
+def unescape_lines(df: DataFrame) -> DataFrame:
+    """Undo ``escape_lines``."""
+    return _map_strings(df, (("\\n", "\n"), ("\\r", "\r"), ("\\b", "\\")))
+
+
+def _map_strings(df: DataFrame, steps: Sequence[tuple[str, str]]) -> DataFrame:
+    cols = []
+    for name, kind in df.dtypes:
+        c = F.col(f"`{name}`")
+        if kind == "string":
+            for old, new in steps:
+                c = F.replace(c, F.lit(old), F.lit(new))
+        cols.append(c.alias(name))
+    return df.select(*cols)
+
+
+def read_csv_strings(
+    spark: SparkSession, path: str | list[str], base_path: str | None = None, options: dict | None = None
+) -> DataFrame:
     """Header CSV files (a directory, glob or list); every column a string.
 
     ``base_path`` keeps ``key=value`` directories below it as partition
-    columns (for example ``block_date`` of day directories).
+    columns (for example ``block_date`` of day directories). All files must
+    have the first file's header.
     """
-    reader = spark.read.option("header", True).option("inferSchema", False)
+    reader = spark.read.options(**{"header": True, "inferSchema": False, **(options or {})})
     if base_path:
         reader = reader.option("basePath", base_path)
-    return reader.csv(path)
+    names = reader.csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    return reader.schema(schema).option("enforceSchema", False).csv(path)
 
 
-def read_csv_inferred(spark: SparkSession, path: str | list[str], base_path: str | None = None) -> DataFrame:
+def read_csv_inferred(
+    spark: SparkSession, path: str | list[str], base_path: str | None = None, options: dict | None = None
+) -> DataFrame:
     """Header CSV with type inference (costs one extra pass over the files)."""
-    reader = spark.read.option("header", True).option("inferSchema", True)
+    reader = spark.read.options(**{"header": True, "inferSchema": True, **(options or {})})
     if base_path:
         reader = reader.option("basePath", base_path)
-    return reader.csv(path)
+    schema = reader.csv(path).schema
+    return reader.schema(schema).option("inferSchema", False).option("enforceSchema", False).csv(path)
 
 
 def read_csv_schema(
@@ -46,11 +88,13 @@ def read_csv_schema(
     path: str | list[str],
     schema: T.StructType,
     base_path: str | None = None,
-    strict: bool = False,
+    strict: bool = True,
+    options: dict | None = None,
 ) -> DataFrame:
     """Header CSV cast to ``schema`` by column name; a column order in the
-    file that differs from the schema is harmless."""
-    return conform(read_csv_strings(spark, path, base_path), schema, strict=strict)
+    files that differs from the schema is harmless. A column that is missing
+    fails unless it is optional (``schemas.OPTIONAL``) or ``strict`` is off."""
+    return conform(read_csv_strings(spark, path, base_path, options), schema, strict=strict)
 
 
 def envelope_schema(rows: T.StructType = LABELLED) -> T.StructType:
@@ -67,24 +111,26 @@ def read_result_pages(
 
     Each JSON document is one page ``{"result": {"rows": [...]}}``; pages are
     one per line (splittable) or, with ``multi_line``, one per file. The rows
-    are flattened with ``inline`` inside the scan's stage.
+    are flattened with ``inline`` inside the scan's stage. A torn page or a
+    value of the wrong type fails the read.
     """
-    raw = spark.read.schema(envelope_schema(schema)).option("multiLine", multi_line).json(path)
+    reader = spark.read.schema(envelope_schema(schema)).option("multiLine", multi_line)
+    raw = reader.option("mode", "FAILFAST").json(path)
     return raw.select(F.inline(F.col("result.rows")))
 
 
 def read_or_fallback(primary: Callable[[], DataFrame], fallback: Callable[[], DataFrame]) -> DataFrame:
     """``primary()`` unless it cannot be read or holds no row; then ``fallback()``.
 
-    Only analysis errors (missing path, unreadable schema) select the
-    fallback; anything else is raised.
+    The primary is read in full, into an intermediate table, so that an error
+    in the middle of its files selects the fallback too.
     """
     try:
-        df = primary()
+        df = write_intermediate(primary(), "primary")
         if not df.isEmpty():
             return df
-    except AnalysisException:
-        pass
+    except (PySparkException, Py4JJavaError) as err:
+        log.warning("reading the primary source failed, using the fallback: %s", str(err).splitlines()[0])
     return fallback()
 
 

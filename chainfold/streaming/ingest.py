@@ -19,26 +19,28 @@ from chainfold.operators.silver import quarantine
 from chainfold.plans import medallion as M
 from chainfold.schemas import BRONZE, LABELLED, conform
 from chainfold.sinks.files import merge_months
+from chainfold.sources.files import CSV_FORMAT, unescape_lines
 
 
-def bronze_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def bronze_stream(
+    spark: SparkSession, root: str, max_files_per_trigger: int | None = None, fmt: str = "parquet"
+) -> DataFrame:
     """Stream of bronze rows (fixed labelled schema, ``block_date`` from the
     folder names).
 
-    Header names are validated against the bronze column list
+    For CSV, header names are validated against the bronze column list
     (``enforceSchema`` off), so a file with other columns fails instead of
     binding values to the wrong columns.
     """
-    schema = T.StructType([T.StructField(f.name, T.StringType()) for f in BRONZE.fields])
-    schema = schema.add("block_date", T.StringType())
-    reader = (
-        spark.readStream.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", False)
-    )
+    fields = BRONZE.fields if fmt != "csv" else [T.StructField(f.name, T.StringType()) for f in BRONZE.fields]
+    schema = T.StructType([*fields, T.StructField("block_date", T.StringType())])
+    reader = spark.readStream.schema(schema).format(fmt)
+    if fmt == "csv":
+        reader = reader.options(**CSV_FORMAT).option("enforceSchema", False)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return conform(reader.csv(M.bronze_path(root)), LABELLED)
+    rows = reader.load(M.bronze_path(root))
+    return conform(unescape_lines(rows) if fmt == "csv" else rows, LABELLED)
 
 
 def process_batch(spark: SparkSession, root: str, batch: DataFrame, event_name: str = "Transfer") -> None:
@@ -57,10 +59,11 @@ def start_ingest(
     available_now: bool = True,
     processing_time: str | None = None,
     max_files_per_trigger: int | None = None,
+    fmt: str = "parquet",
 ) -> StreamingQuery:
     """Start the bronze-to-gold stream; ``checkpoint`` must be on shared,
     reliable storage (it holds the stream's progress)."""
-    stream = bronze_stream(spark, root, max_files_per_trigger)
+    stream = bronze_stream(spark, root, max_files_per_trigger, fmt)
     writer = (
         stream.writeStream.foreachBatch(lambda df, _epoch: process_batch(spark, root, df, event_name))
         .option("checkpointLocation", checkpoint)

@@ -16,7 +16,7 @@ CHECK_DIR = "/root/testdata/sf0.01"
 def spark():
     from chainfold.session import build_session
 
-    s = build_session(master="local[*]", shuffle_partitions=8, app_name="chainfold-tests")
+    s = build_session(master=os.environ.get("CHAINFOLD_TEST_MASTER", "local[*]"), shuffle_partitions=8, app_name="chainfold-tests")
     yield s
     s.stop()
 

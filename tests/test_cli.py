@@ -43,3 +43,10 @@ def test_daily_from_staging_then_pages(spark, capsys):
     assert same_rows(again.select(*expected.columns), expected).count() == 0
     assert main(["topk", "--root", root, "--date", DAY, "--k", "3"]) == 0
     assert "top 3 protocol by total_transactions_per_safe" in capsys.readouterr().out
+
+
+def test_a_day_without_rows_ends_with_status_1(spark, capsys):
+    root, staging = scratch_dir(spark, "t-cli-none"), scratch_dir(spark, "t-stg-none")
+    conform(event_transfers(spark, SMOKE_DIR).limit(0), LABELLED).write.option("header", True).csv(staging)
+    assert main(["daily", "--root", root, "--date", DAY, "--staging", staging]) == 1
+    assert "nothing was written" in capsys.readouterr().err

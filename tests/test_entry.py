@@ -5,11 +5,12 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as E
+from chainfold.plans import registry
 from chainfold.plans.check import compare, duckdb_views
 from tests.conftest import SMOKE_DIR
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+registry.load_all()
+QUERIES, ORACLE = registry.QUERIES, registry.ORACLE
 
 
 def test_entry_smoke(spark):
@@ -22,6 +23,7 @@ def test_entry_smoke(spark):
 def test_every_query_has_an_oracle():
     assert len(QUERIES) >= 85
     assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 @pytest.fixture(scope="module")

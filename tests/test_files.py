@@ -18,7 +18,9 @@ from chainfold.session import scratch_dir
 from chainfold.sinks.files import merge_months, write_day, write_days, write_partitions, write_result_pages
 from chainfold.sources.files import (
     empty_frame,
+    read_csv_inferred,
     read_csv_schema,
+    read_csv_strings,
     read_month,
     read_or_fallback,
     read_result_pages,
@@ -39,7 +41,7 @@ SCHEMA = T.StructType(
 def test_csv_binds_by_name(spark):
     root = scratch_dir(spark, "t-csv")
     df = spark.createDataFrame([("0.75", "a", "2024-11-23"), ("12", "b", "2024-11-24")], "amount_usd string, tx_hash string, block_date string")
-    write_days(df.withColumn("block_date", F.col("block_date").cast("date")), root)
+    write_days(df.withColumn("block_date", F.col("block_date").cast("date")), root, fmt="csv")
     back = read_csv_schema(spark, root, SCHEMA, base_path=root)
     assert rows(back) == [("a", 0.75, dt.date(2024, 11, 23)), ("b", 12.0, dt.date(2024, 11, 24))]
 
@@ -50,7 +52,54 @@ def test_write_day_rejects_other_days(spark):
     with pytest.raises(Exception, match="another day"):
         write_day(df, root, "2024-11-23")
     write_day(df.where("tx_hash = 'a'"), root, "2024-11-23")
-    assert read_csv_schema(spark, root, SCHEMA, base_path=root).count() == 1
+    assert spark.read.parquet(root).count() == 1
+
+
+def test_a_file_with_another_header_fails(spark):
+    root = scratch_dir(spark, "t-order")
+    spark.createDataFrame([("h1", "v", 1.5)], "tx_hash string, vertical string, amount_usd double").coalesce(1).write.option("header", True).csv(root)
+    spark.createDataFrame([(2.5, "h2", "v")], "amount_usd double, tx_hash string, vertical string").coalesce(1).write.mode("append").option("header", True).csv(root)
+    for read in (read_csv_strings, read_csv_inferred):
+        with pytest.raises(Exception, match="(?i)header"):
+            read(spark, root).collect()
+    with pytest.raises(ValueError, match="missing"):
+        read_csv_schema(spark, root, T.StructType([T.StructField("protocol", T.StringType())]))
+
+
+ODD = ["line\nfeed", "car\rriage", "  spaces ", "", None, 'quo"te', "com,ma", "back\\slash\\n", "\\N", "\\b", "é\u2028x", "\\"]
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_bronze_round_trip_keeps_every_value(spark, fmt):
+    root = scratch_dir(spark, "t-odd")
+    data = [(f"h{i}", v, v, float(i), "2024-11-23") for i, v in enumerate(ODD)]
+    df = spark.createDataFrame(data, "tx_hash string, vertical string, symbol string, amount_usd double, block_date string")
+    assert M.land_bronze(df, root, fmt=fmt) == ["2024-11-23"]
+    back = M.read_bronze(spark, root, fmt=fmt)
+    assert rows(back.select("tx_hash", "vertical", "symbol", "amount_usd")) == sorted([(a, b, c, d) for a, b, c, d, _ in data], key=repr)
+
+
+def test_landing_checks_its_days(spark):
+    root = scratch_dir(spark, "t-land")
+    df = spark.createDataFrame([("a", "2024-11-23"), ("b", "2024-11-24")], "tx_hash string, block_date string")
+    with pytest.raises(ValueError, match="other days"):
+        M.land_bronze(df, root, day="2024-11-23")
+    with pytest.raises(ValueError, match="valid block_date"):
+        M.land_bronze(df.withColumn("block_date", F.lit("soon")), root)
+    with pytest.raises(M.EmptyInput):
+        M.daily_pipeline(spark, df.limit(0), root)
+    assert read_table(spark, M.bronze_path(root), LABELLED).count() == 0
+
+
+def test_torn_and_malformed_pages_fail(spark, tmp_path):
+    for name, line in {"torn": '{"result": {"rows": [{"tx_hash": "a", "amount_usd": 1.0}', "number": '{"result": {"rows": [{"tx_hash": "a", "amount_usd": "x"}]}}'}.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "page.json").write_text('{"result": {"rows": [{"tx_hash": "b", "amount_usd": 2.0}]}}\n' + line + "\n")
+        path = f"file://{tmp_path}/{name}"
+        with pytest.raises(Exception, match="(?i)malformed|FAILFAST"):
+            read_result_pages(spark, path).collect()
+        # An error in the middle of the primary source selects the fallback.
+        assert read_or_fallback(lambda path=path: read_result_pages(spark, path), lambda: spark.range(3)).count() == 3
 
 
 def test_pages_and_fallback(spark):
@@ -109,6 +158,21 @@ def _silver_rows(spark, data):
     return quarantine(df)
 
 
+def test_merge_guards_its_months(spark):
+    path = scratch_dir(spark, "t-guard")
+    jan = _silver_rows(spark, [(f"j{i}", 1.0, "2024-01-05") for i in range(6)])
+    feb = _silver_rows(spark, [(f"f{i}", 1.0, "2024-02-05") for i in range(6)])
+    merge_months(jan.unionByName(feb), path)
+    mixed = jan.limit(3).unionByName(feb.limit(2))
+    with pytest.raises(Exception, match="outside the months"):
+        merge_months(mixed, path, year=2024, month=1)
+    with pytest.raises(Exception, match="outside the months"):
+        merge_months(jan.withColumn("month", F.lit(None).cast("int")), path)
+    merge_months(mixed, path)
+    merge_months(feb.limit(0), path)
+    assert read_table(spark, path, SILVER).count() == 12
+
+
 ROW = st.tuples(
     st.sampled_from(["a", "b", "c"]),
     st.sampled_from([1.0, 2.5, 7.25]),
@@ -149,7 +213,7 @@ def test_medallion_and_stream_agree(spark):
 
     ev = event_transfers(spark, SMOKE_DIR)
     batch_root = scratch_dir(spark, "t-batch")
-    report = M.daily_run(spark, ev, batch_root)
+    report = M.daily_pipeline(spark, ev, batch_root)
     stream_root = scratch_dir(spark, "t-stream")
     ckpt = scratch_dir(spark, "t-ckpt")
     early = F.dayofmonth("block_date") <= 10

@@ -184,3 +184,9 @@ def test_receiver_types_paths_agree(spark):
     )
     assert a.count() == 11930
     assert same_rows(a, b).count() == 0
+
+
+def test_ordered_result(spark):
+    inputs = label_inputs(spark, CHECK_DIR)
+    dates = [r[0] for r in L.label_transfers(inputs, order_by_date=True).select("block_date").collect()]
+    assert len(set(dates)) > 10 and dates == sorted(dates)

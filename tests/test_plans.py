@@ -63,24 +63,50 @@ def test_month_read_is_pruned(spark):
     assert "PartitionFilters: [isnotnull(year" in plan and "(month" in plan
 
 
-def test_merge_reads_only_touched_months(spark):
-    """Without an explicit month, the merge's semi join on the partition
-    columns becomes dynamic partition pruning at the existing table's scan."""
+def test_merge_computes_its_batch_once(spark, tmp_path):
+    """The merge reads the batch into an intermediate table once; its result,
+    and gold over it, read only the touched months of the Parquet table."""
     from pyspark.sql import functions as F
 
-    from chainfold.schemas import PARTITION_KEYS
-    from chainfold.sources.files import read_table
-
-    path = scratch_dir(spark, "t-plan-dpp")
-    base = quarantine(event_transfers(spark, SMOKE_DIR))
-    shifted = base
-    for k in (1, 2, 3):
-        shifted = shifted.unionByName(
-            quarantine(event_transfers(spark, SMOKE_DIR).withColumn("block_date", F.add_months("block_date", k)))
-        )
-    write_partitions(shifted, path)
-    new = quarantine(event_transfers(spark, SMOKE_DIR).withColumn("block_date", F.add_months("block_date", 2)))
-    months = new.select(*PARTITION_KEYS).distinct()
-    existing = read_table(spark, path, SILVER).join(months, list(PARTITION_KEYS), "left_semi")
-    plan = _plan(existing)
-    assert "dynamicpruningexpression(year" in plan and "dynamicpruningexpression(month" in plan
+    from chainfold.sinks.files import merge_months
+
+    ev = event_transfers(spark, SMOKE_DIR)
+    path = scratch_dir(spark, "t-plan-merge")
+    for k in (0, 1, 2):
+        merge_months(quarantine(ev.withColumn("block_date", F.add_months("block_date", k))), path)
+    csv = scratch_dir(spark, "t-plan-csv")
+    ev.write.option("header", True).csv(csv)
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(x):
+        reads.add(1)
+        return x
+
+    raw = spark.read.option("header", True).csv(csv)
+    counted = raw.withColumn("tx_hash", F.udf(seen, "string")("tx_hash"))
+    clean = quarantine(counted.withColumn("block_date", F.add_months(F.col("block_date").cast("date"), 2)))
+    clean.write.format("noop").mode("overwrite").save()
+    once = reads.value
+    merged = merge_months(clean, path)
+    assert once > 0 and reads.value == 2 * once
+    plan = _plan(weekly_activity(merged, "vertical"))
+    assert reads.value == 2 * once
+    assert "csv" not in plan.lower().replace("t-plan-csv", "csv") and "PartitionFilters: [" in plan and "year" in plan
+
+
+def test_size_check_sends_no_rows_to_one_task(spark):
+    from chainfold.operators.joins import has_at_most
+
+    lines = []
+    real = type(spark.range(0)).first
+
+    def first(self):
+        lines.append(_plan(self))
+        return real(self)
+
+    type(spark.range(0)).first = first
+    try:
+        has_at_most(event_transfers(spark, SMOKE_DIR), 5)
+    finally:
+        type(spark.range(0)).first = real
+    assert "GlobalLimit" not in lines[0] and "partial_count" in lines[0]

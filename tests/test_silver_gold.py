@@ -5,12 +5,14 @@ from __future__ import annotations
 import datetime as dt
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from chainfold.operators import gold as G
 from chainfold.operators.compare import assert_same_rows, same_rows
 from chainfold.operators.silver import quarantine
 from chainfold.operators.topk import top_k
+from chainfold.schemas import gold_schema
 from tests.conftest import rows
 
 RAW_COLS = "tx_hash string, event_name string, vertical string, protocol string, amount_usd string, token_category string, block_date string"
@@ -79,40 +81,51 @@ def _silver(spark, data):
     )
 
 
-GOLDEN = [
-    ("t1", EOA, EOA, 100.00, "2024-11-23"),
-    ("t2", "unclassified transfer to Safe", "Safe", 150.00, "2024-11-23"),
-    ("t3", "unclassified transfer to Safe", "Safe", 15500.00, "2024-11-23"),
-    ("t4", EOA, EOA, 3600.5, "2024-11-23"),
-    ("t9", SC, SC, 0.75, "2024-11-23"),
-    ("t9", SC, SC, 0.25, "2024-11-23"),
-    ("t9", SC, SC, 1.00, "2024-11-23"),
+# Three weeks of two months; two accounts come back within a week, one in another week.
+ACTIVITY = [
+    ("alpha", "DEX", "Curvefi", 12.345, "2023-03-06"),
+    ("alpha", "DEX", "Curvefi", 7.655, "2023-03-08"),
+    ("beta", "DEX", "Sushi", 1000.0, "2023-03-09"),
+    ("beta", "lending", "Aave", 0.4, "2023-03-10"),
+    ("gamma", "lending", "Aave", 55.5, "2023-03-14"),
+    ("gamma", "lending", "Aave", 44.5, "2023-03-15"),
+    ("alpha", "DEX", "Sushi", 3.0, "2023-03-15"),
+    ("delta", "DEX", "Curvefi", 8.0, "2023-04-01"),
 ]
 
 
-def test_gold_golden_rows(spark):
-    gold = G.weekly_activity(_silver(spark, GOLDEN), "vertical")
-    got = {r.safe_account: r for r in gold.collect()}
-    # Three transfers of one transaction: one account, three transactions, 2.00.
-    assert got["t9"].unique_safes == 1
-    assert got["t9"].total_transactions_per_safe == 3
-    assert got["t9"].total_amount_usd_per_safe == Decimal("2.00")
-    assert got["t1"].unique_safes == 2 and got["t4"].total_amount_usd_per_safe == Decimal("3600.50")
-    assert got["t2"].unique_safes == 2
-    assert (got["t1"].week_of_month, got["t1"].week_of_year, got["t1"].year, got["t1"].month) == (4, 47, 2024, 11)
-    assert gold.columns == [
-        "week_of_month",
-        "week_of_year",
-        "vertical",
-        "unique_safes",
-        "safe_account",
-        "total_transactions_per_safe",
-        "total_amount_usd_per_safe",
-        "year",
-        "month",
+def test_gold_rows_of_several_weeks(spark):
+    gold = G.weekly_activity(_silver(spark, ACTIVITY), "vertical")
+    got = sorted(
+        (r.month, r.week_of_year, r.week_of_month, r.vertical, r.safe_account, r.unique_safes, r.total_transactions_per_safe, r.total_amount_usd_per_safe)
+        for r in gold.collect()
+    )
+    # Money is rounded per row: 12.345 -> 12.35 and 7.655 -> 7.66.
+    assert got == [
+        (3, 10, 2, "DEX", "alpha", 2, 2, Decimal("20.01")),
+        (3, 10, 2, "DEX", "beta", 2, 1, Decimal("1000.00")),
+        (3, 10, 2, "lending", "beta", 1, 1, Decimal("0.40")),
+        (3, 11, 3, "DEX", "alpha", 1, 1, Decimal("3.00")),
+        (3, 11, 3, "lending", "gamma", 1, 2, Decimal("100.00")),
+        (4, 13, 1, "DEX", "delta", 1, 1, Decimal("8.00")),
     ]
-    prot = {r.safe_account: r for r in G.weekly_activity(_silver(spark, GOLDEN), "protocol").collect()}
-    assert prot["t2"].protocol == "Safe" and prot["t2"].unique_safes == 2
+    assert gold.columns == [f.name for f in gold_schema("vertical").fields]
+    by_protocol = {(r.week_of_year, r.protocol): r.unique_safes for r in G.weekly_activity(_silver(spark, ACTIVITY), "protocol").collect()}
+    assert by_protocol == {(10, "Curvefi"): 1, (10, "Sushi"): 1, (10, "Aave"): 1, (11, "Aave"): 1, (11, "Sushi"): 1, (13, "Curvefi"): 1}
+
+
+def test_top_k_cuts_and_breaks_ties_by_name(spark):
+    rows_ = [(f"t{i}", name, name, amount, "2023-03-06") for i, (name, amount) in enumerate([("g", 1), ("f", 2), ("e", 5), ("d", 5), ("c", 9), ("b", 3), ("a", 3)])]
+    gold = G.weekly_activity(_silver(spark, [(a, b, c, float(d), e) for a, b, c, d, e in rows_]), "vertical")
+    assert [r[0] for r in top_k(gold, "vertical", "total_amount_usd_per_safe", 5).collect()] == ["c", "d", "e", "a", "b"]
+
+
+def test_a_kept_row_without_a_date_fails(spark):
+    raw = _raw(spark, [("a", "Transfer", EOA, EOA, "1", "erc20", None)])
+    with pytest.raises(Exception, match="block_date is not a date"):
+        quarantine(raw).collect()
+    dropped = _raw(spark, [("a", "Approval", EOA, EOA, "1", "erc20", None)])
+    assert quarantine(dropped).collect() == []
 
 
 def test_gold_null_keys(spark):
@@ -129,14 +142,14 @@ def test_gold_null_keys(spark):
     assert got == [("a", 1, 1), (None, 1, 0)] or got == [(None, 1, 0), ("a", 1, 1)]
 
 
-def test_gold_salted_path_equals_broadcast(spark):
+def test_gold_shuffle_path_equals_broadcast(spark):
     from tests.conftest import CHECK_DIR
     from chainfold.plans.testdata import event_transfers
 
     silver = quarantine(event_transfers(spark, CHECK_DIR))
     fast = G.weekly_activity(silver, "protocol")
-    salted = G.weekly_activity(silver, "protocol", max_broadcast_groups=0, salt_buckets=7)
-    assert same_rows(fast, salted).count() == 0
+    split = G.weekly_activity(silver, "protocol", max_broadcast_groups=0)
+    assert same_rows(fast, split).count() == 0
     # Every silver row is counted once in gold (no NULL keys here).
     assert fast.agg(F.sum("total_transactions_per_safe")).first()[0] == silver.count()
 

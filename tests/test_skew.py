@@ -1,18 +1,21 @@
 """Hot keys: one vertical and one receiver hold most of the rows.
 
-The salted fallback paths (forced with a zero broadcast bound) must give
-exactly the rows of the broadcast paths; these are the plans a cluster uses
-when a side is too large to broadcast.
+The shuffle paths (forced with a zero broadcast bound) must give exactly the
+rows of the broadcast paths; these are the plans a cluster uses when a side
+is too large to broadcast.
 """
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from chainfold.operators import gold as G
 from chainfold.operators import labels as L
 from chainfold.operators.compare import same_rows
-from chainfold.operators.joins import salted_join
+from chainfold.operators.joins import has_at_most, materialize, split_hot_join
+from chainfold.plans.testdata import label_inputs
+from tests.conftest import SMOKE_DIR
 
 
 def _skewed_silver(spark, n=60_000):
@@ -34,29 +37,69 @@ def _skewed_silver(spark, n=60_000):
 def test_gold_hot_vertical(spark):
     s = _skewed_silver(spark)
     fast = G.weekly_activity(s, "vertical")
-    salted = G.weekly_activity(s, "vertical", max_broadcast_groups=0, salt_buckets=16)
-    assert same_rows(fast, salted).count() == 0
+    split = G.weekly_activity(s, "vertical", max_broadcast_groups=0)
+    assert same_rows(fast, split).count() == 0
     hot = fast.where("vertical = 'hot'").agg(F.sum("total_transactions_per_safe")).first()[0]
     assert hot == 30_000
 
 
-def test_salted_join_spreads_a_hot_key(spark):
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_split_join_equals_a_plain_join(spark, how, null_safe):
     big = spark.range(40_000).select(
-        F.when(F.col("id") % 3 != 0, F.lit(0)).otherwise(F.col("id") % 50).alias("k"),
+        F.when(F.col("id") % 3 != 0, F.lit(0)).when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.col("id") % 5000).alias("k"),
         F.col("id").alias("row"),
     )
-    small = spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
-    joined = salted_join(big, small, ["k"], "left", ["row"], buckets=8)
-    plain = big.join(small, ["k"], "left")
-    assert same_rows(joined.select("k", "row", "v"), plain.select("k", "row", "v")).count() == 0
-    # The salt takes every value on the hot key, so its rows are split.
-    salts = (
-        big.where("k = 0")
-        .select(F.pmod(F.xxhash64("row"), F.lit(8)).alias("s"))
-        .distinct()
-        .count()
-    )
-    assert salts == 8
+    small = spark.range(2000).select(F.when(F.col("id") == 5, None).otherwise(F.col("id")).alias("k"), (F.col("id") * 10).alias("v"))
+    got = split_hot_join(big, small, ["k"], how, null_safe=null_safe)
+    other = small.withColumnRenamed("k", "j")
+    cond = F.col("k").eqNullSafe(F.col("j")) if null_safe else F.col("k") == F.col("j")
+    plain = big.join(other, cond, how).drop("j")
+    assert same_rows(got.select(*plain.columns), plain).count() == 0
+
+
+def test_hot_key_rows_stay_where_they_are(spark):
+    """The rows of a hot key meet their partner by broadcast; only the others are shuffled, and nothing is copied."""
+    big = spark.range(60_000, numPartitions=6).select(F.when(F.col("id") % 3 != 0, F.lit(-1)).otherwise(F.col("id")).alias("k"), F.col("id").alias("row"))
+    small = spark.range(-10, 60_000).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    got = split_hot_join(big, small, ["k"], "left")
+    hot = got.where("k = -1").select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    assert len(hot) == 6 and sum(r["count"] for r in hot) == 40_000
+
+
+BOUNDED = {
+    "wallet_transfers": lambda i, t, **kw: L.wallet_transfers(i["transfers"], i["wallets"], **kw),
+    "receiver_labels": lambda i, t, **kw: L.receiver_labels(L.receivers(t), i["ens"], i["contracts"], i["addresses"], **kw),
+    "receiver_flags": lambda i, t, **kw: L.receiver_flags(L.receivers(t), i["wallets"], i["burn"], i["creation"], i["stakers"], **kw),
+    "receiver_types": lambda i, t, **kw: L.receiver_types(t, i, **kw),
+    "event_names": lambda i, t, **kw: L.event_names(i["logs"], t, **kw),
+    "stablecoin_flag": lambda i, t, **kw: L.stablecoin_flag(t, i["stablecoins"], **kw),
+    "attach_same_chain": lambda i, t, **kw: L.attach_receiver_info(t, L.receiver_info(L.receivers(t), i), **kw),
+    "attach_any_chain": lambda i, t, **kw: L.attach_receiver_info(t, L.receiver_info(L.receivers(t), i), same_chain=False, **kw),
+    "label_transfers": lambda i, t, **kw: L.label_transfers(i, **kw),
+}
+
+
+@pytest.fixture(scope="module")
+def label_case(spark):
+    inputs = label_inputs(spark, SMOKE_DIR)
+    odd = inputs["transfers"].limit(40).withColumn("to", F.lit(None).cast(inputs["transfers"].schema["to"].dataType))
+    inputs["transfers"] = materialize(inputs["transfers"].unionByName(odd))
+    return inputs, materialize(L.wallet_transfers(inputs["transfers"], inputs["wallets"]))
+
+
+@pytest.mark.parametrize("name", sorted(BOUNDED))
+def test_no_bound_changes_a_result(label_case, name):
+    inputs, transfers = label_case
+    plain, beyond = (BOUNDED[name](inputs, transfers, **kw) for kw in ({}, {"max_broadcast_rows": 0}))
+    assert plain.count() > 0
+    assert same_rows(plain, beyond.select(*plain.columns)).count() == 0
+
+
+def test_byte_bound(spark):
+    wide = spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("s"), F.col("id"))
+    assert has_at_most(wide, 10) and not has_at_most(wide, 9)
+    assert has_at_most(wide, 10, max_bytes=10_080) and not has_at_most(wide, 10, max_bytes=10_079)
 
 
 def test_label_step_hot_receiver(spark):
@@ -93,9 +136,9 @@ def test_label_step_hot_receiver(spark):
         "stakers": df([], "address string"),
     }
     fast = L.label_transfers(inputs)
-    salted = L.label_transfers(inputs, max_broadcast_rows=0, materialize_steps=False)
+    split = L.label_transfers(inputs, max_broadcast_rows=0, materialize_steps=False)
     assert fast.count() == n
-    assert same_rows(fast, salted).count() == 0
+    assert same_rows(fast, split).count() == 0
     counts = {r.vertical: r[1] for r in fast.groupBy("vertical").count().collect()}
     assert counts["lending"] == n - (n + 2) // 3
     assert counts["liquid staking"] == len(range(7, n, 100)) - len([i for i in range(7, n, 100) if i % 3 != 0])
