@@ -34,10 +34,10 @@ from chainfold.llm import blocks as B
 BUCKETS = 1 << 16
 DIMENSION = 8
 GRAMS = (3, 4, 5, 6)
-SCALE = 40.0
+SCALE = 100.0
 SAMPLE_PER_CLASS = 2000
 SAMPLE_BYTES = 16 << 10
-EPOCHS = 12
+EPOCHS = 20
 BATCH = 32
 RATE = 0.15
 DECAY = 1e-4
@@ -88,9 +88,8 @@ def train(texts: pa.Array, labels: np.ndarray, prior: float) -> Model:
         pieces, which = _distinct_words(words)
         owner, bucket = word_buckets(pieces)
         share = 1 / np.bincount(owner, minlength=max(1, len(pieces)))
-        first = np.searchsorted(owner_sorted := np.sort(owner, kind="stable"), np.arange(len(pieces) + 1))
         order = np.argsort(owner, kind="stable")
-        del owner_sorted
+        first = np.searchsorted(owner[order], np.arange(len(pieces) + 1))
         for d in range(j - i):
             own, n = np.unique(which[words.bounds[d] : words.bounds[d + 1]], return_counts=True)
             if not len(own):
