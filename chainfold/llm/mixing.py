@@ -12,7 +12,8 @@
    domain; a document's rate is a function of its posteriors and the few
    gradients so far, so no step writes or shuffles per-document state. The
    residuals are weighted by one over the domain's mass or target, whichever
-   is larger; in that metric the step size 1 always converges. Rates end at
+   is larger; in that metric the step size 1 always converges. Steps end when the targets are met, or when
+   a step moves no total any more. Rates end at
    ``MOST_RATE`` copies, so a domain that hardly exists is not made of one
    document; what such a target lacks shows in ``Mix.reached``.
 
@@ -144,9 +145,15 @@ def fit_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], i
     goal = [everything * targets[d] / weight for d in domains]
     steps: list[list[float]] = []
     now = mass
-    while everything and len(steps) < MOST_STEPS and max(abs(a - b) for a, b in zip(now, goal, strict=True)) > TOLERANCE * everything:
+    moved = everything
+
+    def gap(a: list[float], b: list[float]) -> float:
+        return max(abs(x - y) for x, y in zip(a, b, strict=True))
+
+    while everything and len(steps) < MOST_STEPS and gap(now, goal) > TOLERANCE * everything and moved > TOLERANCE / 4 * everything:
         steps.append([(a - b) / max(m, b, TOLERANCE * everything) for a, b, m in zip(now, goal, mass, strict=True)])
-        now = totals(steps)
+        before, now = now, totals(steps)
+        moved = gap(before, now)
     named = F.map_from_arrays(F.array(*(F.lit(d) for d in domains)), F.array(*(F.col(f"p{k}") for k in range(len(domains)))))
     rates = units.select("id", "text_hash", "n_tokens", named.alias("posteriors"), _rate(steps).alias("rate"))
     size = sum(now)

@@ -107,6 +107,8 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: Weights of the mix: tokens of clean, junk and toxic text.
 MIX_TARGETS = {"clean": 0.97, "junk": 0.02, "toxic": 0.01}
+#: The same for documents that passed the quality rules, among which there is no junk to take from.
+FILTERED_TARGETS = {"clean": 0.98, "toxic": 0.02}
 
 
 def domain_labels(labels: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chainfold.llm import byte_bpe, mixing, ngram_join, pii, quality
-from chainfold.llm.queries import MIX_TARGETS, RANK_FILE, domain_labels
+from chainfold.llm.queries import FILTERED_TARGETS, RANK_FILE, domain_labels
 from chainfold.storage import write_intermediate
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -42,7 +42,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are taken as often as their rate says, so that domains reach their target weights."""
-    mix = mixing.fit_rates(docs, domain_labels(spark.read.parquet(f"{sf_dir}/labels.parquet")), MIX_TARGETS)
+    mix = mixing.fit_rates(docs, domain_labels(spark.read.parquet(f"{sf_dir}/labels.parquet")), FILTERED_TARGETS)
     return mixing.take_copies(docs, mix)
 
 
