@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chainfold.llm import blocks as B
+from chainfold.storage import write_intermediate
 
 BUCKETS = 1 << 16
 DIMENSION = 8
@@ -162,7 +163,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
     # at most 4 * SAMPLE_PER_CLASS ids, so the documents need no shuffle
     wanted = F.broadcast(picked[0].unionByName(picked[1]))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where(F.octet_length("text") <= SAMPLE_BYTES)
-    found = texts.join(wanted, "id").dropDuplicates(["id"])
+    found = write_intermediate(texts.join(wanted, "id").dropDuplicates(["id"]), "toxicity-sample")
     parts = [found.where(F.col("label") == k).orderBy(F.xxhash64("id"), "id").limit(SAMPLE_PER_CLASS).toArrow() for k in (0, 1)]
     sample = pa.concat_tables(parts)
     return train(sample["text"].combine_chunks(), sample["label"].to_numpy().astype(np.int64), prior)
