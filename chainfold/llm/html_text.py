@@ -43,7 +43,7 @@ BLOCK = frozenset(
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog".split())
 MARKS = re.compile(
-    r"(?:^|[^a-z])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|cookies?|consent|disqus|footer|gdpr|header|masthead|menu|modal|nav|navbar|"
+    r"(?:^|[^a-z])(?:ads?|alerts?|advert\w*|banner|breadcrumbs?|comments?|cookies?|consent|disqus|footer|gdpr|header|masthead|menu|modal|nav|navbar|"
     r"navigation|newsletter|notices?|popup|promo\w*|related|replies|reply|share|sharing|sidebar|side|social|sponsor\w*|subscribe|"
     r"toolbar|widget|disclaimer|legal|copyright|login|signup|pagination|pager|tags)(?:$|[^a-z])"
 )
