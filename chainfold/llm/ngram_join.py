@@ -27,7 +27,10 @@ token to the frequent class and never loses a link.
 Hot groups: equal sets are one node, so copies are never expanded. A bucket
 of a signature is first compared with one pivot per round, and members that
 already share a component are not compared again; what is still apart after
-the pivot rounds is compared in full.
+the pivot rounds is compared in full, once for a run of common signatures.
+That last step is quadratic in texts that are near each other but not linked
+(similarities just below the threshold within one group): being exact, it has
+to look at each of their pairs.
 
 Null ids: such rows get their ``n_shingles`` and a null component, and link
 with nothing. Null or empty texts are empty sets. Rows that repeat an id are
@@ -80,7 +83,8 @@ def signatures(tokens: np.ndarray, counts: np.ndarray, frequent_from: int, num:
     order = (often.astype(np.uint64) << np.uint64(63)) | (np.minimum(counts, (1 << 20) - 1).astype(np.uint64) << np.uint64(43)) | (tokens >> np.uint64(21))
     n_rare = n - int(np.count_nonzero(often))
     if n_rare > miss:
-        return tokens[np.argpartition(order, (miss, 2 * miss))[: 2 * miss + 1]], tokens[:0]
+        least = np.argpartition(order, 2 * miss)[: 2 * miss + 1]
+        return tokens[least[np.argsort(order[least], kind="stable")]], tokens[:0]
     ranked = tokens[np.argsort(order, kind="stable")]
     need = n_rare + 2 * (miss - n_rare) + add + 2
     frequent = ranked[n_rare:need]
@@ -196,19 +200,22 @@ def near_duplicates(
     first = nodes.select("set_id", F.col("rep").alias("doc_id"))
     miss = F.floor(F.col("n_shingles") * (den - num) / den).cast("int")
     own = F.when(F.size("sigs") > 0, F.col("sigs")).otherwise(F.slice("prefix", F.lit(1), miss + 1))
-    entries = rows.join(first, ["set_id", "doc_id"], "left_semi").select("set_id", F.col("n_shingles").alias("n"), F.explode(own).alias("token"))
+    # Each signature comes with the one before it, the first with the set's own number.
+    listed = rows.join(first, ["set_id", "doc_id"], "left_semi").select("set_id", F.col("n_shingles").alias("n"), own.alias("own"))
+    chain = F.arrays_zip(F.col("own").alias("token"), F.concat(F.array("set_id"), F.slice("own", F.lit(1), F.size("own") - 1)).alias("before"))
+    entries = listed.select("set_id", "n", F.inline(chain))
     shared = entries.groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("token")
     # Linked sets differ in size by at most den / num, so they meet in the size class of one of them or the next.
     size_class = F.floor(F.log(F.col("n").cast("double")) / log(den / num)) if num < den else F.col("n")
     sized = entries.join(shared, "token").withColumn("size_class", F.explode(F.array(size_class, size_class + 1)))
-    sized = write_intermediate(sized.select(F.xxhash64("token", "size_class").alias("sig"), "set_id", "n"), "ngram-sized")
+    sized = write_intermediate(sized.select(F.xxhash64("token", "size_class").alias("sig"), "set_id", "n", "before"), "ngram-sized")
     met = sized.groupBy("sig").agg(F.min("set_id").alias("lo"), F.max("set_id").alias("hi")).where("lo < hi").select("sig")
     buckets = write_intermediate(sized.join(met, "sig"), "ngram-buckets")
     discard(sized)
 
     members = buckets.select("set_id").distinct()
-    listed = rows.join(first, ["set_id", "doc_id"], "left_semi").join(members, "set_id", "left_semi")
-    prefixes = write_intermediate(listed.select("set_id", F.col("prefix").alias("tokens")), "ngram-prefixes")
+    of_members = rows.join(first, ["set_id", "doc_id"], "left_semi").join(members, "set_id", "left_semi")
+    prefixes = write_intermediate(of_members.select("set_id", F.col("prefix").alias("tokens")), "ngram-prefixes")
 
     def sets_of(wanted: DataFrame) -> DataFrame:
         return _sets(docs, id_col, text_col, nodes.select("set_id", "rep").join(wanted, "set_id", "left_semi"), shingle, lower)
@@ -228,8 +235,10 @@ def near_duplicates(
             met = met.where((F.col("label") != F.col("pl")) & close)
         else:
             own = named.join(apart.select("sig"), "sig")
-            other = own.select("sig", F.col("set_id").alias("p"), F.col("label").alias("pl"), F.col("n").alias("pn"))
-            met = own.join(other, "sig").where((F.col("set_id") < F.col("p")) & (F.col("label") != F.col("pl")) & close)
+            other = own.select("sig", F.col("set_id").alias("p"), F.col("label").alias("pl"), F.col("n").alias("pn"), F.col("before").alias("pb"))
+            # A pair that also shares the signature before this one meets there.
+            new = (F.col("set_id") < F.col("p")) & (F.col("label") != F.col("pl")) & (F.col("before") != F.col("pb"))
+            met = own.join(other, "sig").where(new & close)
         pairs = met.select(F.least("set_id", "p").alias("a"), F.greatest("set_id", "p").alias("b")).distinct()
         found = _links(pairs, prefixes, sets_of, num, den)
         links = found if links is None else links.unionByName(found)
