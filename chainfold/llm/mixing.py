@@ -61,20 +61,21 @@ class Mix:
 
 
 def _words(docs: DataFrame, *keep: Column) -> DataFrame:
-    words = F.filter(F.split(F.coalesce(F.col("text"), F.lit("")), _SPLIT), lambda w: w != "")
-    return docs.select(*keep, F.explode_outer(words).alias("w")).select(
-        *[c for c in docs.select(*keep).columns],
-        "w",
-        F.pmod(F.xxhash64(F.lower("w")), F.lit(WORD_BUCKETS)).cast("int").alias("slot"),
+    """The kept columns, w, slot and tail of every word; a text without words gives one row with a null or empty w."""
+    words = F.split(F.lower(F.coalesce(F.col("text"), F.lit(""))), _SPLIT)
+    rows = docs.select(*keep, F.explode(words).alias("w"))
+    return rows.select(
+        "*",
+        F.pmod(F.xxhash64("w"), F.lit(WORD_BUCKETS)).cast("int").alias("slot"),
         F.least(F.ascii(F.substring("w", -1, 1)), F.lit(TAILS - 1)).alias("tail"),
     )
 
 
 def _model(docs: DataFrame, labelled: DataFrame, domains: list[str]) -> tuple[DataFrame, DataFrame, list[float]]:
-    """Log likelihoods by word slot and by tail (one column per domain), and the log priors."""
+    """Log likelihoods against the first domain by word slot and by tail (one column per other domain), and the log priors."""
     known = labelled.where(F.col("domain").isin(domains) & F.col("id").isNotNull()).groupBy("id").agg(F.min("domain").alias("domain"))
     known = known.orderBy(F.xxhash64("id"), "id").limit(MOST_LABELLED)
-    words = _words(docs.join(F.broadcast(known), "id"), F.col("domain")).where("w is not null")
+    words = _words(docs.join(F.broadcast(known), "id"), F.col("domain")).where("w != ''")
     features = words.select("domain", F.explode(F.array("slot", F.col("tail") + WORD_BUCKETS)).alias("feature"))
     counts = features.groupBy("domain", "feature").agg(F.count(F.lit(1)).alias("n"))
     counts = write_intermediate(counts, "mixing-counts")
@@ -89,10 +90,8 @@ def _model(docs: DataFrame, labelled: DataFrame, domains: list[str]) -> tuple[Da
         rows = docs.sparkSession.range(features).select((F.col("id") + first).cast("int").alias("feature")).join(F.broadcast(wide), "feature", "left")
         n = [F.coalesce(F.col(f"n{k}"), F.lit(0)) for k in range(len(domains))]
         common = (sum(n[1:], n[0]) + SMOOTH) / (everything + SMOOTH * features)
-        return rows.select(
-            (F.col("feature") - first).alias(key),
-            *(F.log((n[k] + SHRINK * features * common) / (sizes.get(d, 0) + SHRINK * features)).alias(f"{key}{k}") for k, d in enumerate(domains)),
-        )
+        likely = [F.log((n[k] + SHRINK * features * common) / (sizes.get(d, 0) + SHRINK * features)) for k, d in enumerate(domains)]
+        return rows.select((F.col("feature") - first).alias(key), *((likely[k] - likely[0]).alias(f"{key}{k}") for k in range(1, len(domains))))
 
     return table(0, WORD_BUCKETS, "slot"), table(WORD_BUCKETS, TAILS, "tail"), priors
 
@@ -105,9 +104,14 @@ def posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str]) -> Data
         words.join(F.broadcast(slots), "slot", "left")
         .join(F.broadcast(tails), "tail", "left")
         .groupBy("id", "text_hash")
-        .agg(F.count("w").alias("n_tokens"), *(F.coalesce(F.sum(F.when(F.col("w").isNotNull(), F.col(f"slot{k}") + F.col(f"tail{k}"))), F.lit(0.0)).alias(f"s{k}") for k in range(len(domains))))
+        .agg(
+            F.count_if(F.col("w") != "").alias("n_tokens"),
+            *(F.coalesce(F.sum(F.when(F.col("w") != "", F.col(f"slot{k}") + F.col(f"tail{k}"))), F.lit(0.0)).alias(f"s{k}") for k in range(1, len(domains))),
+        )
     )
     scale = F.pow(F.greatest(F.col("n_tokens"), F.lit(1)).cast("double"), F.lit(TEMPER))
+    # log odds against the first domain
+    sums = sums.withColumn("s0", F.lit(0.0))
     logs = sums.select("id", "text_hash", "n_tokens", *((F.lit(priors[k]) + F.col(f"s{k}") * scale).alias(f"s{k}") for k in range(len(domains))))
     top = F.greatest(*(F.col(f"s{k}") for k in range(len(domains)))) if len(domains) > 1 else F.col("s0")
     odds = logs.select("id", "text_hash", "n_tokens", *(F.exp(F.col(f"s{k}") - top).alias(f"e{k}") for k in range(len(domains))))
