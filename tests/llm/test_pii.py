@@ -107,3 +107,10 @@ def test_sanitise(spark):
     assert "Zabrinsky" not in by[100][0] and "[EMAIL]" in by[100][0] and "the" in by[100][0]
     assert all(by[i][0] == t for i, t in rows if i is not None and i < 100)
     assert pii.sanitise(docs.where(F.lit(False))).collect() == [] and pii.find(docs.where(F.lit(False))).collect() == []
+
+
+def test_one_meeting_in_a_larger_corpus(spark):
+    rows = [(i, f"the and of to in with filler{i} words") for i in range(400)]
+    rows += [(500, "the Quimby wrote to solo@mail.example.org with words")] * 3
+    found = {r["doc_id"]: r["spans"] for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [(s["start"], s["end"]) for s in found[500] if s["kind"] == "term"] == [(4, 10), (11, 16)]
