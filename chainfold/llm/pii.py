@@ -3,27 +3,29 @@
 Base spans are leftmost, non-overlapping matches per kind (email, ip, card,
 phone) that pass the kind's test. They are the protected entities. Corpus
 co-occurrence then tells which other terms give an entity away: with ``N``
-documents, a term ``t`` near an entity ``e`` discloses the share
+texts, a term ``t`` beside an entity ``e`` discloses the share
 
     PMI(t, e) / IC(e) = log(n(t, e) N / ((n(t) + s) (n(e) + s))) / log(N / n(e))
 
 of the entity's information. All counts are different texts of the whole
-corpus, so copies prove nothing more; ``n(t, e)`` counts those with the term
-within ``CONTEXT`` characters of the entity. ``SMOOTH`` (s) discounts pairs of
-few meetings: a single one loses log 2.25 of its PMI, which weighs less the
-more information the entity has, so from some 220 texts on it can tell.
-Terms from ``REMOVE_FROM`` are removed, from ``GENERALISE_FROM`` generalised,
-both only next to the entity. Documents without a protected entity are never
-changed.
+corpus, so copies prove nothing more; ``n(t, e)`` counts those with both,
+however far apart. ``SMOOTH`` (s) discounts pairs of few meetings: a single
+one loses log 2.25 of its PMI, which weighs less the more information the
+entity has, so from some 220 texts on it can tell. Terms from ``REMOVE_FROM``
+are removed, from ``GENERALISE_FROM`` generalised, at every occurrence in
+every document that holds the entity. Documents without a protected entity
+are never changed.
 
 Positions come from the matches and the gaps between them, in code points,
 end exclusive. The patterns are possessive and start at ``\\G`` or outside
 their own character class, which finds the same matches as plain ones in
 linear time and without recursion.
 
-Only rows with an entity are written out and joined. The document frequency
-of the candidate terms is one pass over all words, joined with the candidate
-list; Spark broadcasts it while it is small and shuffles otherwise.
+Only rows with an entity are written out and joined, one of each text. The
+document frequency is one pass over all words; the words of a text with n
+copies count 1 / n, so that partial sums give different texts. A pair is
+counted only if it could tell with every possible meeting, which drops no
+telling pair and leaves the common words out.
 
 Edge cases: null and empty texts have no spans (sanitised texts keep null);
 rows with null or repeated ids are handled one by one; an entity in every
@@ -32,18 +34,17 @@ document has no information and discloses nothing.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chainfold.storage import write_intermediate
 
-CONTEXT = 80
 REMOVE_FROM = 0.95
 GENERALISE_FROM = 0.85
 SMOOTH = 0.5
 LEAST_TEXTS = 3  # no floor here: the brute-force test on 71 texts takes it, where the discount has the same effect
 
-_SPACED = r"[^\x20\x09-\x0D]+"
+_SPACE = r"[\x20\x09-\x0D]"
 _TRIM = ".,;:!?\"'()[]{}*#$%&|<>-"
 
 # The kinds in order, a cheap test whether a text can hold one, and the pattern.
@@ -102,10 +103,11 @@ def base_spans(text: Column) -> Column:
 
 
 def _entity_rows(docs: DataFrame, text_col: str) -> DataFrame:
-    """Rows with an entity: row (a number), doc (all columns of ``docs``), text, spans."""
+    """Rows with an entity: row (a number), doc (all columns of ``docs``), text, text_hash, spans."""
     text = F.col(f"`{text_col}`")
     rows = docs.select(F.struct("*").alias("doc"), text.alias("text")).where("text is not null").withColumn("spans", base_spans(F.col("text")))
-    return write_intermediate(rows.where(F.size("spans") > 0).withColumn("row", F.monotonically_increasing_id()), "pii-rows")
+    rows = rows.where(F.size("spans") > 0).select(F.monotonically_increasing_id().alias("row"), "doc", "text", F.xxhash64("text").alias("text_hash"), "spans")
+    return write_intermediate(rows, "pii-rows")
 
 
 def _no_entity(docs: DataFrame, text_col: str) -> DataFrame:
@@ -116,67 +118,68 @@ def _term(word: Column) -> Column:
     return F.lower(F.btrim(word, F.lit(_TRIM)))
 
 
-def _contexts(hits: DataFrame) -> DataFrame:
-    """row, text_hash, entity, term, start, end of the whole words within CONTEXT characters of an entity."""
-    spans = hits.select("row", "text", "spans", F.explode("spans").alias("s"))
-    low = F.greatest(F.lit(0), F.col("s.start") - CONTEXT - 1)
-    high = F.least(F.length("text"), F.col("s.end") + CONTEXT + 1)
-    pieces = spans.select(
-        "row",
-        F.xxhash64("text").alias("text_hash"),
-        "spans",
-        F.concat_ws(":", "s.kind", F.lower("s.value")).alias("entity"),
-        low.alias("low"),
-        (high - low).alias("size"),
-        (high < F.length("text")).alias("cut"),
-        F.substring("text", low + 1, high - low).alias("piece"),
-    )
-    words = pieces.withColumn("w", F.explode(_positions(F.col("piece"), _SPACED)))
-    # a word at a cut edge may go on beyond it
-    whole = ~((F.col("w.start") == 0) & (F.col("low") > 0)) & ~((F.col("w.end") == F.col("size")) & F.col("cut"))
-    placed = words.where(whole).select(
-        "row", "text_hash", "spans", "entity", _term(F.col("w.value")).alias("term"), (F.col("low") + F.col("w.start")).alias("start"), (F.col("low") + F.col("w.end")).alias("end")
-    )
-    free = ~F.exists("spans", lambda s: (s.getField("start") < F.col("end")) & (F.col("start") < s.getField("end")))
-    return placed.where((F.length("term") > 1) & free).select("row", "text_hash", "entity", "term", "start", "end").distinct()
-
-
-def _disclosing_terms(docs: DataFrame, hits: DataFrame, contexts: DataFrame, text_col: str) -> DataFrame:
-    """entity, term, disclosure of the pairs at or above the lower threshold."""
-    together = (
-        contexts.select("entity", "term", "text_hash").distinct()
-        .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
-    )
-    together = write_intermediate(together, "pii-pairs")
-    candidates = write_intermediate(together.select("term").distinct(), "pii-terms")
-    words = F.array_distinct(F.split(F.lower(F.col(f"`{text_col}`")), r"[\x20\x09-\x0D]+"))
-    text_hash = F.xxhash64(F.col(f"`{text_col}`")).alias("text_hash")
-    each = docs.select(text_hash, F.explode(words).alias("w")).select("text_hash", F.btrim("w", F.lit(_TRIM)).alias("term"))
-    # the same term with other marks around it counts once for its text
-    found = each.join(candidates, "term", "left_semi").distinct()
-    frequency = write_intermediate(found.groupBy("term").agg(F.count(F.lit(1)).alias("n_term")), "pii-frequency")
-    entities = hits.select(F.xxhash64("text").alias("text_hash"), F.explode("spans").alias("s")).select("text_hash", F.concat_ws(":", "s.kind", F.lower("s.value")).alias("entity"))
-    entities = entities.distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    size = docs.select(text_hash).distinct().count()
-    information = F.log(F.lit(float(size)) / F.col("n_entity"))
-    shared = F.log(F.col("n_both") * float(size) / ((F.col("n_term") + SMOOTH) * (F.col("n_entity") + SMOOTH)))
-    return (
-        together.join(frequency, "term").join(entities, "entity").where(F.col("n_entity") < size)
-        .select("entity", "term", (shared / information).alias("disclosure"))
-        .where(F.col("disclosure") >= GENERALISE_FROM)
-    )
+def _terms(text: Column) -> Column:
+    """The distinct terms of a text."""
+    words = F.array_distinct(F.split(F.lower(text), _SPACE))
+    return F.array_distinct(F.filter(F.transform(words, _term), lambda t: F.length(t) > 1))
+
+
+def _frequency(docs: DataFrame, text_col: str) -> tuple[DataFrame, int]:
+    """term, n_term of all terms, and the number of texts."""
+    texts = docs.select(F.col(f"`{text_col}`").alias("text")).where("text is not null").select(F.xxhash64("text").alias("text_hash"), "text")
+    copies = write_intermediate(texts.groupBy("text_hash").agg(F.count(F.lit(1)).alias("n")), "pii-copies")
+    repeated = copies.where("n > 1")
+    each = texts.join(repeated, "text_hash", "left").select((1 / F.coalesce("n", F.lit(1))).alias("share"), F.explode(_terms(F.col("text"))).alias("term"))
+    return each.groupBy("term").agg(F.round(F.sum("share")).cast("long").alias("n_term")), copies.count()
+
+
+def _disclosing_terms(docs: DataFrame, hits: DataFrame, firsts: DataFrame, text_col: str) -> DataFrame:
+    """text_hash, term, disclosure (the largest of the text's entities) at or above the lower threshold."""
+    entities = hits.select("text_hash", F.explode("spans").alias("s")).select("text_hash", F.concat_ws(":", "s.kind", F.lower("s.value")).alias("entity"))
+    entities = write_intermediate(entities.distinct(), "pii-entities")
+    counts = entities.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
+    frequency, size = _frequency(docs, text_col)
+    most = counts.agg(F.max("n_entity")).first()[0] or 0
+
+    def disclosure(n_both: Column) -> Column:
+        shared = F.log(n_both * float(size) / ((F.col("n_term") + SMOOTH) * (F.col("n_entity") + SMOOTH)))
+        return shared / F.log(F.lit(float(size)) / F.col("n_entity"))
+
+    # n(t, e) <= n(e) and PMI >= GENERALISE_FROM * IC bound n(t), the more loosely the larger n(e)
+    bound = max(most, size ** (1 - GENERALISE_FROM) * most**GENERALISE_FROM) + 1
+    rarer = write_intermediate(frequency.where(F.col("n_term") <= bound), "pii-frequency")
+    words = hits.join(firsts, "row", "left_semi").select("text_hash", F.explode(_terms(F.col("text"))).alias("term")).join(rarer, "term")
+    sized = entities.join(counts, "entity").where(F.col("n_entity") < size)
+    able = disclosure(F.least("n_term", "n_entity")) >= GENERALISE_FROM
+    pairs = write_intermediate(words.join(sized, "text_hash").where(able), "pii-pairs")
+    telling = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"), F.first("n_term").alias("n_term"), F.first("n_entity").alias("n_entity"))
+    telling = telling.select("entity", "term", disclosure(F.col("n_both")).alias("disclosure")).where(F.col("disclosure") >= GENERALISE_FROM)
+    return pairs.join(telling, ["entity", "term"]).groupBy("text_hash", "term").agg(F.max("disclosure").alias("disclosure"))
+
+
+def _places(hits: DataFrame, firsts: DataFrame, telling: DataFrame) -> DataFrame:
+    """text_hash, terms (start, end, action in order): every occurrence of a text's telling terms."""
+    texts = hits.join(firsts, "row", "left_semi").join(telling.select("text_hash").distinct(), "text_hash", "left_semi")
+    words = texts.select("text_hash", F.posexplode(F.split("text", _SPACE, -1)).alias("at", "word"))
+    end = F.sum(F.length("word") + 1).over(Window.partitionBy("text_hash").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)) - 1
+    placed = words.withColumn("end", end.cast("int")).withColumn("term", _term(F.col("word"))).where(F.length("term") > 1)
+    action = F.when(F.col("disclosure") >= REMOVE_FROM, "remove").otherwise("generalise").alias("action")
+    found = placed.join(telling, ["text_hash", "term"]).select("text_hash", F.struct((F.col("end") - F.length("word")).alias("start"), "end", action).alias("t"))
+    return found.groupBy("text_hash").agg(F.array_sort(F.collect_list("t")).alias("terms"))
 
 
 def _marked(docs: DataFrame, text_col: str) -> DataFrame:
     """Rows with an entity: doc, text, spans, terms (start, end, action), both in order."""
     hits = _entity_rows(docs, text_col)
-    contexts = write_intermediate(_contexts(hits), "pii-contexts")
-    telling = write_intermediate(_disclosing_terms(docs, hits, contexts, text_col), "pii-disclosing")
-    action = F.when(F.max("disclosure") >= REMOVE_FROM, "remove").otherwise("generalise")
-    terms = contexts.join(telling, ["entity", "term"]).groupBy("row", "start", "end").agg(action.alias("action"))
-    terms = terms.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end", "action"))).alias("terms"))
+    firsts = write_intermediate(hits.groupBy("text_hash").agg(F.min("row").alias("row")).select("row"), "pii-firsts")
+    telling = write_intermediate(_disclosing_terms(docs, hits, firsts, text_col), "pii-disclosing")
+    places = _places(hits, firsts, telling)
     none = F.array().cast("array<struct<start:int,end:int,action:string>>")
-    return hits.join(terms, "row", "left").withColumn("terms", F.coalesce("terms", none)).drop("row")
+
+    def free(term: Column) -> Column:
+        return ~F.exists("spans", lambda s: (s.getField("start") < term.getField("end")) & (term.getField("start") < s.getField("end")))
+
+    return hits.join(places, "text_hash", "left").withColumn("terms", F.filter(F.coalesce("terms", none), free)).drop("row", "text_hash")
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

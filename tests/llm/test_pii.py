@@ -114,3 +114,16 @@ def test_one_meeting_in_a_larger_corpus(spark):
     rows += [(500, "the Quimby wrote to solo@mail.example.org with words")] * 3
     found = {r["doc_id"]: r["spans"] for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert [(s["start"], s["end"]) for s in found[500] if s["kind"] == "term"] == [(4, 10), (11, 16)]
+
+
+def test_telling_terms_anywhere_in_the_document(spark):
+    far = "and of to in " * 90
+    rows = [(i, f"the and of to in with filler{i} words") for i in range(300)]
+    rows += [(400 + i, f"Zabrinsky {far} kay@mail.example.org {far} \t(zabrinsky), the end{i}") for i in range(4)]
+    rows += [(500, "the Zabrinsky without an address")]
+    found = {r["doc_id"]: r["spans"] for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i in range(400, 404):
+        text = dict(rows)[i]
+        terms = [text[s["start"] : s["end"]] for s in found[i] if s["kind"] == "term"]
+        assert terms[:2] == ["Zabrinsky", "(zabrinsky),"] and "the" not in terms
+    assert found[500] == []
