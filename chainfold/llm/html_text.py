@@ -7,10 +7,12 @@ notices, adverts, forms, comments; by element, role, class or id) counts
 nothing. Lengths are summed over sliding windows of ``WINDOW`` lines. A
 region lies between the points where the sum leaves zero and dives back to
 it, and is kept if the sum surges to ``SURGE`` characters in it; if none
-does, the longest is kept, so a short text is not lost. If the page marks its
-article (``article`` or ``main``), only lines there have a length, and every
-region is kept. Within the kept regions all counted lines are joined in page
-order.
+does, the longest is kept, so a short text is not lost. Within the kept
+regions all counted lines are joined in page order. Marks of an article
+(``article`` or ``main``) are a check afterwards: if the kept lines of one
+marked element have at least ``MARKED_SHARE`` of the text of the longest
+unmarked run, unmarked lines go; else the marks are teasers or quotes and
+mean nothing.
 
 Character references are decoded, white space inside a block becomes one
 space, ends are trimmed, blocks are joined by one space. Null, empty and
@@ -23,6 +25,7 @@ from __future__ import annotations
 import html
 import re
 from dataclasses import dataclass, field
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,6 +35,7 @@ from chainfold.llm import blocks as B
 
 WINDOW = 3
 SURGE = 80
+MARKED_SHARE = 0.5
 
 # Elements of the HTML standard by their role in a page.
 RAW = frozenset("script style noscript template svg math iframe object canvas audio video textarea select option title head".split())
@@ -63,7 +67,7 @@ class Line:
     pieces: list[str] = field(default_factory=list)
     plain: int = 0
     linked: int = 0
-    article: bool = False
+    article: int = 0  # number of the outermost article element, 0 outside
 
     def text(self) -> str:
         return " ".join(html.unescape("".join(self.pieces)).split())
@@ -91,7 +95,7 @@ def page_lines(page: str) -> list[Line]:
     """The lines of a page that are not furniture."""
     lines, line = [], Line()
     open_tags: list[tuple[str, bool, bool]] = []  # name, furniture, article
-    furniture = articles = links = 0
+    furniture = articles = links = outermost = 0
     at, end = 0, len(page)
 
     def close(k: int) -> None:
@@ -111,7 +115,7 @@ def page_lines(page: str) -> list[Line]:
             size = len(text.strip())
             line.plain += 0 if links else size
             line.linked += size if links else 0
-            line.article = line.article or bool(articles and size)
+            line.article = line.article or (outermost if articles and size else 0)
         if not found:
             break
         at = found.end()
@@ -141,6 +145,7 @@ def page_lines(page: str) -> list[Line]:
                 close(len(open_tags) - 1)
             open_tags.append((name, aside, article))
             furniture += aside
+            outermost += article and not articles
             articles += article
             links += name == "a"
     if line.pieces:
@@ -151,11 +156,7 @@ def page_lines(page: str) -> list[Line]:
 def main_text(page: str | None) -> str:
     """The article of a page; see the module text."""
     lines = page_lines(page or "")
-    marked = any(x.article for x in lines)
-    if marked:
-        sizes = [x.plain + x.linked if x.article else 0 for x in lines]
-    else:
-        sizes = [x.plain if x.plain >= x.linked else 0 for x in lines]
+    sizes = [x.plain if x.plain >= x.linked else 0 for x in lines]
     sums = [sum(sizes[i : i + WINDOW]) for i in range(len(sizes))]
     regions, k = [], 0
     while k < len(lines):
@@ -165,9 +166,14 @@ def main_text(page: str | None) -> str:
         if end > k:
             regions.append((k, end, max(sums[k:end])))
         k = max(end, k + 1)
-    kept = [r for r in regions if marked or r[2] >= SURGE]
+    kept = [r for r in regions if r[2] >= SURGE]
     kept = kept or sorted(regions, key=lambda r: (-sum(sizes[r[0] : r[1]]), r[0]))[:1]
-    return " ".join(t for a, b, _ in kept for x, n in zip(lines[a:b], sizes[a:b], strict=True) if n and (t := x.text()))
+    body = [(x, n) for a, b, _ in kept for x, n in zip(lines[a:b], sizes[a:b], strict=True) if n]
+    longest = {True: 0, False: 0}
+    for element, run in groupby(body, lambda b: b[0].article):
+        longest[element > 0] = max(longest[element > 0], sum(n for _, n in run))
+    only = longest[True] > 0 and longest[True] >= MARKED_SHARE * longest[False]
+    return " ".join(t for x, _ in body if (x.article or not only) and (t := x.text()))
 
 
 def extract(pages: DataFrame, html_col: str = "html", out_col: str = "text") -> DataFrame:

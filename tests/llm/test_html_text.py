@@ -57,3 +57,20 @@ def test_columns_and_empty_table(spark):
     assert got.columns == ["page_id", "url", "text"]
     assert sorted(map(tuple, got.collect()), key=repr) == sorted([(1, "u", "x"), (1, "u", "x"), (None, None, "")], key=repr)
     assert extract(pages.limit(0)).collect() == []
+
+
+def test_supplied_pages_without_the_article_tag():
+    for row in pq.read_table(f"{CHECK_DIR}/pages.parquet").to_pylist():
+        page = row["html"]
+        assert "<article>" in page
+        assert main_text(page.replace("<article>", "<div>").replace("</article>", "</div>")) == main_text(page)
+
+
+def test_article_elements_that_are_teasers_or_quotes():
+    teasers = "".join(f"<article><a href=x{i}>Teaser number {i} with a line of text</a></article>" for i in range(8))
+    body = f"<div><p>{LONG} One.</p><p>{LONG} Two.</p><p>{LONG} Three.</p></div>"
+    assert main_text(teasers + body) == f"{LONG} One. {LONG} Two. {LONG} Three."
+    plain = "".join(f"<article><p>Teaser number {i} without a link</p></article>" for i in range(8))
+    assert f"{LONG} One. {LONG} Two. {LONG} Three." in main_text(plain + body)
+    quoted = f"<div><p>{LONG} One.</p><article><p>A quoted post</p></article><p>{LONG} Two.</p></div>"
+    assert main_text(quoted) == f"{LONG} One. A quoted post {LONG} Two."
