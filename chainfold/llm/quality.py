@@ -11,8 +11,9 @@ is what chance alone adds to the histogram of a short text, and under
 
 The common words are found by lossy counting: a task drops words under
 1 / ``KEEP_SHARE`` of its words, so a total is short by that share at most,
-far below a common word's share. Only these few numbers (a bounded number of
-languages and words) reach the driver and go back to the tasks.
+far below a common word's share. Only these few numbers of each language
+reach the driver and go back to the tasks; every language has a reference,
+and the time of a document grows with the number of languages.
 
 Edge cases: null and empty texts have no words and fail the base rules; rows
 are judged one by one, so repeated ids and rows are kept or dropped alike;
@@ -30,7 +31,6 @@ from pyspark.sql import types as T
 from chainfold.llm import blocks as B
 
 TOP_WORDS = 64
-MOST_LANGUAGES = 64
 KEEP_SHARE = 10_000
 LEAST_JUDGED = 40
 WORD_FLOOR, WORD_SLACK = 0.24, 1.5
@@ -182,7 +182,7 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
         else:
             own["classes"][int(row["item"][6:])] = row["n"]
     refs = []
-    for own in sorted(out.values(), key=lambda r: -r["size"])[:MOST_LANGUAGES]:
+    for own in sorted(out.values(), key=lambda r: -r["size"]):
         if own["size"] and own["words"]:
             words = sorted(own["words"])
             pieces = [w.encode() for w in words]

@@ -92,3 +92,14 @@ def test_empty_table_and_filter(spark):
     rows = [(1, " ".join(f"w{i}" for i in range(30)), None), (1, "short", None), (None, None, None)]
     kept = Q.keep_good(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
     assert [r["doc_id"] for r in kept] == [1]
+
+
+def test_every_language_has_a_reference(spark):
+    rnd = random.Random(3)
+    rows = []
+    for k in range(70):
+        vocab = [f"{chr(97 + k % 26)}{'aeiou'[k // 26]}{rnd.choice('lmnrst')}{i}" for i in range(40)]
+        rows += [(k * 10 + j, " ".join(rnd.choice(vocab) for _ in range(200 - k)), f"l{k}") for j in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert len(Q.references(docs)) == 70
+    assert {r["doc_id"] for r in Q.keep_good(docs).select("doc_id").collect()} == {r[0] for r in rows}
