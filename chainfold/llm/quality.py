@@ -3,11 +3,15 @@
 References are learned from all documents: for each language its histogram of
 character classes and its ``TOP_WORDS`` most common words with the share of
 all others. A document's two histograms are compared with each reference by
-Jensen-Shannon distance, and its nearest reference counts, so a wrong or
-missing language tag or a text of two languages does no harm. A document is
-rejected if a distance is above ``floor + slack / sqrt(n_words)``; the slack
-is what chance alone adds to the histogram of a short text, and under
-``LEAST_JUDGED`` words the distances decide nothing (minimum-length guard).
+Jensen-Shannon distance, so a wrong or missing language tag or a text of two
+languages does no harm. A third distance takes the common words as one class
+against all others: chance adds little to two classes, so it tells a short
+text without common words, which the wide histogram can't. A document is
+rejected unless all its distances from one reference are at most ``floor +
+slack / sqrt(n_words)``; the slack is what chance alone adds to the histogram
+of a short text, and under ``LEAST_JUDGED`` words the distances decide nothing
+(minimum-length guard). ``class_distance`` and ``word_distance`` are the
+smallest over all references.
 
 The common words are found by lossy counting: a task drops words under
 1 / ``KEEP_SHARE`` of its words, so a total is short by that share at most,
@@ -35,6 +39,7 @@ KEEP_SHARE = 10_000
 LEAST_JUDGED = 40
 WORD_FLOOR, WORD_SLACK = 0.24, 1.5
 CLASS_FLOOR, CLASS_SLACK = 0.16, 0.9
+SHARE_FLOOR, SHARE_SLACK = 0.06, 1.7  # the slack is four standard deviations of a share of 0.31
 REPEAT_WINDOW = 8
 
 _CLASSES = 8
@@ -214,16 +219,18 @@ def measure_block(offsets: np.ndarray, data: np.ndarray, refs: list[dict]) -> di
     failed = (n_words < 20) | (100 * repeats > 30 * n_words)
     lower = B.split_words(offsets, data, True).hashes
     owner = np.repeat(np.arange(n), n_words)
-    by_class, by_word = np.ones(n), np.ones(n)
+    by_class, by_word, near = np.ones(n), np.ones(n), np.zeros(n, bool)
+    chance = 1 / np.sqrt(np.maximum(n_words, 1))
     for ref in refs:
         size = len(ref["words"])
         at = np.minimum(np.searchsorted(ref["words"], lower), size - 1)
         at = np.where(ref["words"][at] == lower, at, size)
         counts = np.bincount(owner * (size + 1) + at, minlength=n * (size + 1)).reshape(n, -1)
-        by_word = np.minimum(by_word, _distance(counts, ref["shares"]))
-        by_class = np.minimum(by_class, _distance(classes, ref["classes"]))
-    chance = 1 / np.sqrt(np.maximum(n_words, 1))
-    far = (by_word > WORD_FLOOR + WORD_SLACK * chance) | (by_class > CLASS_FLOOR + CLASS_SLACK * chance)
+        word, of_class = _distance(counts, ref["shares"]), _distance(classes, ref["classes"])
+        common = _distance(np.stack([counts[:, :-1].sum(1), counts[:, -1]], 1), np.array([1 - ref["shares"][-1], ref["shares"][-1]]))
+        by_word, by_class = np.minimum(by_word, word), np.minimum(by_class, of_class)
+        within = (word <= WORD_FLOOR + WORD_SLACK * chance) & (of_class <= CLASS_FLOOR + CLASS_SLACK * chance)
+        near |= within & (common <= SHARE_FLOOR + SHARE_SLACK * chance)
     judged = (n_words >= LEAST_JUDGED) & bool(refs)
     return {
         "n_words": n_words,
@@ -234,7 +241,7 @@ def measure_block(offsets: np.ndarray, data: np.ndarray, refs: list[dict]) -> di
         "base_failed": failed,
         "class_distance": by_class,
         "word_distance": by_word,
-        "kept": ~failed & ~(judged & far),
+        "kept": ~failed & ~(judged & ~near),
     }
 
 

@@ -103,3 +103,28 @@ def test_every_language_has_a_reference(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     assert len(Q.references(docs)) == 70
     assert {r["doc_id"] for r in Q.keep_good(docs).select("doc_id").collect()} == {r[0] for r in rows}
+
+
+def test_short_texts_without_common_words_go(spark):
+    refs = Q.references(spark.read.parquet(f"{CHECK_DIR}/documents.parquet"))
+    rnd = random.Random(4)
+    texts = [" ".join("".join(rnd.choice("etaoinshr") for _ in range(rnd.randint(6, 9))) for _ in range(n)) for n in range(40, 80)]
+    found = Q.measure_block(*B.text_arrays(pa.array(texts)), refs)
+    assert not found["base_failed"].any() and not found["kept"].any()
+
+
+def test_one_reference_vouches_for_words_and_classes():
+    def ref(words, shares, classes):
+        hashes = np.array([B.hash_runs(np.frombuffer(w.encode(), np.uint8), np.array([0]), np.array([len(w)]))[0] for w in words])
+        order = np.argsort(hashes)
+        return {"words": hashes[order], "shares": np.append(np.array(shares)[order], 1 - sum(shares)), "classes": np.array(classes, float)}
+
+    rnd = random.Random(6)
+    text = " ".join(rnd.choice(["ab", "cd", "ef", "gh"]) for _ in range(400))
+    offsets, data = B.text_arrays(pa.array([text]))
+    own = Q.class_counts(offsets, data)[0] / len(text)
+    upper = own[[1, 0, 2, 3, 4, 5, 6, 7]]
+    words, shares = ["ab", "cd", "ef", "gh"], [0.25, 0.25, 0.25, 0.24]
+    split = [ref(words, shares, upper), ref(["zz", "yy"], [0.3, 0.2], own)]
+    assert Q.measure_block(offsets, data, [ref(words, shares, own)])["kept"].tolist() == [True]
+    assert Q.measure_block(offsets, data, split)["kept"].tolist() == [False]
