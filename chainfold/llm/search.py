@@ -6,8 +6,9 @@ counts, and document lengths. Document numbers, average length and document
 frequencies are summed over all shards, so every shard scores with the same
 global statistics.
 
-Queries run in blocks of about ``BLOCK_TERMS`` terms; a block is sent to all
-shards. In a shard, terms in a quarter of the documents or more are the
+Queries with the same terms are one set, asked once; its result is joined
+back to their ids. Sets run in blocks of about ``BLOCK_TERMS`` terms, dealt by
+hash; a block is sent to all shards. In a shard, terms in a quarter of the documents or more are the
 common lists; they are cut at document blocks of ``DOC_BLOCK``, each with its
 largest weight. A query walks the lists of its rare terms, and a document's
 upper bound is what those gave it plus the common terms' block maxima. The
@@ -19,8 +20,8 @@ ever in the result, so pruning is exact. The shards' top k are merged by
 
 BM25 with ``k1`` and ``b``; idf is ``ln(1 + (N - df + 0.5) / (df + 0.5))``; a
 query is its set of distinct terms, words lower-cased over A-Z. Sums run in
-the order of the term hashes, the same everywhere, so equal texts score
-equal. Documents without a common term are no result.
+the order of the term hashes in every shard, whichever lists are common there,
+so equal texts score equal. Documents without a common term are no result.
 
 Edge cases: null and empty texts match nothing and ask nothing; null ids are
 not indexed and not asked; rows that repeat an id are separate documents, and
@@ -170,7 +171,16 @@ class Shard:
         floor = np.partition(scores, len(scores) - k)[len(scores) - k] if len(scores) >= k else 0.0
         docs = np.flatnonzero((bound >= floor) & (bound > 0))
         self.scored += len(docs)
-        scores = score(docs)
+        chosen = np.zeros(len(self.ids), bool)
+        chosen[docs] = True
+        near = chosen[self.docs[places]]
+        order = np.arange(len(at))
+        by = np.concatenate([np.repeat(order[row < 0], size)[near], np.repeat(order[row >= 0], len(docs))])
+        owner = np.concatenate([self.docs[places][near], np.tile(docs, len(often))])
+        value = np.concatenate([(self.weights[places] * np.repeat(idf[row < 0], size))[near], (self.dense[often[:, None], docs] * by_often).ravel()])
+        # bincount adds in the order given: by term, whichever list it came from
+        sequence = np.argsort(by, kind="stable")
+        scores = np.bincount(owner[sequence], weights=value[sequence], minlength=len(self.ids))[docs]
         docs, scores = docs[scores > 0], scores[scores > 0]
         ids = self.ids[docs]
         best = np.lexsort((ids, -scores))[:k]
@@ -190,16 +200,18 @@ def top_k(index: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_
     spark = index.sparkSession
     stats = index.agg(F.sum("n_docs").alias("n"), F.sum("n_words").alias("words")).first()
     asked = queries.select(F.col(id_col).cast("long").alias("query_id"), F.col(text_col).alias("text")).where("query_id is not null")
-    terms = write_intermediate(_query_terms(asked), "search-queries")
+    keyed = write_intermediate(_query_terms(asked).withColumn("key", F.xxhash64("terms")), "search-queries")
+    ids = keyed.select("query_id", "key").distinct()
+    terms = write_intermediate(keyed.select("key", "terms").distinct(), "search-sets")
     frequency = _document_frequency(index).join(terms.select(F.explode("terms").alias("term")).distinct(), "term")
     frequency = write_intermediate(frequency, "search-frequency")
     idf = F.log(1 + (float(stats["n"] or 0) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     size = terms.agg(F.sum(F.size("terms"))).first()[0] or 0
     n_blocks = max(1, -(-size // BLOCK_TERMS))
-    weighted = terms.select("query_id", F.xxhash64("terms").alias("key"), F.posexplode("terms").alias("at", "term")).join(frequency, "term")
-    weighted = weighted.groupBy("query_id", "key").agg(F.array_sort(F.collect_list(F.struct("at", "term", idf.alias("idf")))).alias("t"))
+    weighted = terms.select("key", F.posexplode("terms").alias("at", "term")).join(frequency, "term")
+    weighted = weighted.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("at", "term", idf.alias("idf")))).alias("t"))
     weighted = weighted.select(
-        "query_id", F.pmod("key", F.lit(n_blocks)).alias("block"), F.transform("t", lambda t: t.getField("term")).alias("terms"), F.transform("t", lambda t: t.getField("idf")).alias("idf")
+        "key", F.pmod("key", F.lit(n_blocks)).alias("block"), F.transform("t", lambda t: t.getField("term")).alias("terms"), F.transform("t", lambda t: t.getField("idf")).alias("idf")
     )
     weighted = write_intermediate(weighted, "search-weighted")
     mean_length = (stats["words"] or 0) / max(1, stats["n"] or 0)
@@ -207,14 +219,17 @@ def top_k(index: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_
     for block in range(n_blocks):
         part = write_intermediate(_search_block(index, weighted.where(F.col("block") == block), mean_length, k, spark), "search-found")
         found = part if found is None else found.unionByName(part)
-    best = found.groupBy("query_id", "doc_id").agg(F.max("score").alias("score"))
+    best = found.groupBy("key", "doc_id").agg(F.max("score").alias("score"))
+    of_set = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("score"), "doc_id"))
+    best = best.withColumn("rank", of_set).where(F.col("rank") <= k).join(ids, "key")
+    best = best.groupBy("query_id", "doc_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
 def _search_block(index: DataFrame, block: DataFrame, mean_length: float, k: int, spark) -> DataFrame:
-    asked = block.select("query_id", "terms", "idf").toArrow()
-    ids = asked["query_id"].to_pylist()
+    asked = block.select("key", "terms", "idf").toArrow()
+    ids = asked["key"].to_pylist()
     queries = [
         (q, np.asarray(t.values, np.int64).view(np.uint64), np.asarray(w.values, float))
         for q, t, w in zip(ids, asked["terms"].combine_chunks() if asked.num_rows else [], asked["idf"].combine_chunks() if asked.num_rows else [], strict=True)
@@ -232,6 +247,6 @@ def _search_block(index: DataFrame, block: DataFrame, mean_length: float, k: int
                     out_d.append(docs)
                     out_s.append(scores)
                 if out_q:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (out_q, out_d, out_s)], ["query_id", "doc_id", "score"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (out_q, out_d, out_s)], ["key", "doc_id", "score"])
 
-    return index.drop("shard", "n_docs", "n_words").mapInArrow(run, "query_id long, doc_id long, score double")
+    return index.drop("shard", "n_docs", "n_words").mapInArrow(run, "key long, doc_id long, score double")

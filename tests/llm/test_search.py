@@ -85,3 +85,19 @@ def test_empty_tables(spark):
     assert S.top_k(S.build_index(none), some).collect() == []
     assert S.top_k(S.build_index(some), none).collect() == []
     assert sorted((r["query_id"], r["doc_id"], r["rank"]) for r in S.top_k(S.build_index(some), some).collect()) == [(1, 1, 1), (1, 2, 2), (2, 1, 2), (2, 2, 1)]
+
+
+def test_copies_of_a_query_are_asked_once(spark, monkeypatch):
+    asked = []
+    search = S._search_block
+    monkeypatch.setattr(S, "_search_block", lambda index, block, *rest: asked.append(block.count()) or search(index, block, *rest))
+    docs = spark.createDataFrame([(i, f"w{i % 7} w{i % 5} x") for i in range(60)], "doc_id long, text string")
+    rows = [(i, "x w1 w2") for i in range(40)] + [(100, "w3 x"), (100, "w3 x")]
+    got = S.top_k(S.build_index(docs), spark.createDataFrame(rows, "doc_id long, text string"), k=3).collect()
+    assert sum(asked) == 2 and len(got) == 41 * 3
+    by = {}
+    for r in got:
+        by.setdefault(r["query_id"], []).append((r["rank"], r["doc_id"], r["score"]))
+    assert len({tuple(sorted(by[i])) for i in range(40)}) == 1
+    want = brute([(i, f"w{i % 7} w{i % 5} x") for i in range(60)], rows, 3)
+    assert {q: [(-round(s, 9), d) for _, d, s in sorted(v)] for q, v in by.items()} == want
