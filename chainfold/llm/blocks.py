@@ -86,7 +86,8 @@ class Words:
     hashes: np.ndarray
 
 
-def split_words(offsets: np.ndarray, data: np.ndarray, lower: bool = False) -> Words:
+def split_words(offsets: np.ndarray, data: np.ndarray, lower: bool = False, space: np.ndarray = _SPACE) -> Words:
+    """Words of the documents; ``space`` marks the bytes (of 256) that part them."""
     offsets = offsets - offsets[0]
     if lower:
         data = _LOWER[data]
@@ -94,7 +95,7 @@ def split_words(offsets: np.ndarray, data: np.ndarray, lower: bool = False) -> W
     if not n:
         empty = np.zeros(0, np.int64)
         return Words(data, empty, empty, np.zeros(len(offsets), np.int64), np.zeros(0, _U))
-    word = ~_SPACE[data]
+    word = ~space[data]
     first = np.empty(n, bool)
     first[0] = True
     np.logical_not(word[:-1], out=first[1:])

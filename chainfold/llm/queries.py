@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chainfold.llm import byte_bpe, chat, html_text, mixing, ngram_join, pii, quality, search, substring_dedup, toxicity
+from chainfold.llm import byte_bpe, chat, decontaminate, html_text, mixing, ngram_join, pii, quality, search, substring_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -228,3 +228,41 @@ def op10_pii_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(base_line.cast("binary"), 256).alias("base_sha256"),
         line.alias("spans"),
     )
+
+
+@_query(
+    r"""
+with lower as (
+  select 'd' as kind, doc_id as id, text from documents union all select 'i', item_id, text from benchmark),
+w as materialized (
+  select kind, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words from lower),
+i as (select id, words, least(10, len(words)) as n from w where kind = 'i' and len(words) > 0),
+windows as materialized (
+  select distinct id as item_id, n, array_to_string(words[p:p + n - 1], ' ') as gram
+  from (select id, words, n, unnest(range(1, len(words) - n + 2)) as p from i)),
+grams as (
+  select doc_id, p, n, array_to_string(words[p:p + n - 1], ' ') as gram
+  from (select id as doc_id, words, n, unnest(range(1, len(words) - n + 2)) as p
+        from w cross join (select distinct n from i) where kind = 'd')),
+met as materialized (select doc_id, p, n, item_id from grams join windows using (n, gram)),
+hit as (select doc_id, count(*) as n_hit from (select distinct doc_id, unnest(range(p, p + n)) as place from met) group by doc_id),
+items as (
+  select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items
+  from (select distinct doc_id, item_id::varchar as item from met where item_id is not null) group by doc_id)
+select w.id as doc_id, len(words)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+  sha256(coalesce(items, '')) as items_sha256, n_hit is not null as contaminated
+from w left join hit on hit.doc_id = w.id left join items on items.doc_id = w.id where kind = 'd'
+"""
+)
+def op13_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find(docs, _table(spark, sf_dir, "benchmark"), window=10)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )

@@ -17,7 +17,7 @@ def con():
 
 
 def test_registered():
-    assert sorted(int(k[2:].split("_")[0]) for k in Q.QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in Q.QUERIES) == list(range(1, 14))
     assert set(Q.QUERIES) | {"pipeline"} <= set(E.queries())
     assert set(Q.ORACLE) <= set(E.oracle_sql())
 
