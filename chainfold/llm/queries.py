@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chainfold.llm import byte_bpe, chat, decontaminate, html_text, mixing, ngram_join, pii, quality, search, substring_dedup, toxicity
+from chainfold.llm import byte_bpe, chat, decontaminate, hard_negatives, html_text, mixing, ngram_join, pii, quality, search, substring_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -230,6 +230,33 @@ def op10_pii_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query(
+    """
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) as q
+  from embeddings
+  where label is not null and embedding is not null and vec_id is not null
+    and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x)))),
+s as materialized (
+  select a.vec_id as anchor_id, a.label = b.label as same, b.vec_id as other_id, list_dot_product(a.q, b.q)::bigint as score
+  from v a join v b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+p as (
+  select anchor_id, other_id as positive_id, score as positive_score from s where same
+  qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5)
+select p.anchor_id, positive_id, row_number() over w::int as rank, other_id as negative_id, positive_score, score as negative_score
+from p join s on p.anchor_id = s.anchor_id and not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+window w as (partition by p.anchor_id, positive_id order by score desc, other_id)
+qualify row_number() over w <= 10
+"""
+)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    )
+    return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0)
+
+
 @_query(
     r"""
 with lower as (
