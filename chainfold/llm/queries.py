@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chainfold.llm import byte_bpe, chat, decontaminate, hard_negatives, html_text, mixing, ngram_join, pii, quality, search, substring_dedup, toxicity
+from chainfold.llm import byte_bpe, chat, decontaminate, hard_negatives, html_text, mixing, ngram_join, pii, quality, search, substring_dedup, token_alignment, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -257,6 +257,14 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0)
 
 
+@_query()
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    aligned = token_alignment.align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    digest = F.when(F.col("n_a") == 0, F.lit("")).otherwise(F.sha2(F.col("groups").cast("binary"), 256))
+    return aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256"))
+
+
 @_query(
     r"""
 with lower as (
