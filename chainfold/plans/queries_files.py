@@ -19,10 +19,11 @@ from chainfold.operators.silver import quarantine
 from chainfold.plans import medallion as M
 from chainfold.plans import oracle as O
 from chainfold.plans.registry import query
-from chainfold.plans.testdata import event_transfers, label_inputs
+from chainfold.plans.testdata import event_transfers, label_inputs, table
 from chainfold.schemas import LABELLED, SILVER, conform
 from chainfold.session import scratch_dir
 from chainfold.sinks.files import merge_months, write_days, write_partitions, write_result_pages
+from chainfold.sources.csv_records import scan_csv
 from chainfold.sources.files import (
     CSV_FORMAT,
     read_csv_inferred,
@@ -106,6 +107,43 @@ def q_scan_csv_schema(spark, sf_dir):
     return read_csv_schema(spark, root, EVENT_SCHEMA, base_path=root, options=CSV_FORMAT)
 
 
+# Kinds of records, by event_id % 50: too short, too wide, a bad number, an open quote, a quoted line break.
+_RECORDS_SQL = """
+SELECT event_id, event_type || CASE WHEN event_id % 50 = 4 THEN chr(10) || ', "more"' ELSE '' END AS event_type, user_id,
+       NULL AS reason, NULL AS record
+FROM events WHERE event_id % 50 > 3
+UNION ALL
+SELECT NULL, NULL, NULL,
+  CASE event_id % 50 WHEN 2 THEN 'bad value in user_id' WHEN 3 THEN 'broken quotes' ELSE 'wrong column count' END,
+  CASE event_id % 50 WHEN 0 THEN event_id || ',' || event_type
+    WHEN 1 THEN event_id || ',' || event_type || ',' || user_id || ',9'
+    WHEN 2 THEN event_id || ',' || event_type || ',' || user_id || 'x'
+    ELSE event_id || ',"' || event_type || ',' || user_id END
+FROM events WHERE event_id % 50 < 4"""
+
+
+@query("scan_csv_rejects", _RECORDS_SQL)
+def q_scan_csv_rejects(spark, sf_dir):
+    """Every record of the files is a row or a reject with its reason."""
+    path = scratch_dir(spark, "torn")
+    kind = F.col("event_id") % 50
+    plain = F.concat_ws(",", "event_id", "event_type", "user_id")
+    line = (
+        F.when(kind == 0, F.concat_ws(",", "event_id", "event_type"))
+        .when(kind == 1, F.concat(plain, F.lit(",9")))
+        .when(kind == 2, F.concat(plain, F.lit("x")))
+        .when(kind == 3, F.concat("event_id", F.lit(',"'), "event_type", F.lit(","), "user_id"))
+        .when(kind == 4, F.concat("event_id", F.lit(',"'), "event_type", F.lit('\n, ""more""",'), "user_id"))
+        .otherwise(plain)
+    )
+    events = table(spark, sf_dir, "events").select("event_id", line.alias("line"))
+    parts = events.groupBy(F.floor(F.col("event_id") / 1000)).agg(F.sort_array(F.collect_list(F.struct("event_id", "line"))).alias("all"))
+    parts.select(F.concat(F.lit("event_id,event_type,user_id\n"), F.array_join(F.col("all.line"), "\n"))).write.text(path)
+    schema = T.StructType.fromDDL("event_id bigint, event_type string, user_id bigint")
+    scan = scan_csv(spark, path, schema)
+    return scan.rows.unionByName(scan.rejects.select("reason", "record"), allowMissingColumns=True)
+
+
 @query("scan_result_rows", _EV + O.labelled_as_bronze())
 def q_scan_result_rows(spark, sf_dir):
     path = scratch_dir(spark, "pages")

@@ -1,9 +1,9 @@
 """File sources: day CSV files, landed query-result pages, lake table slices.
 
 Every typed read binds columns by name: CSV files are read with their header
-as strings and then cast to the wanted schema. The first file's header names
-the columns, and a file with another header fails the read, since Spark binds
-CSV values by position within a file set.
+as strings and then cast to the wanted schema. All files of a read must have
+the same header. Records that are no rows of it are rejected with file and
+reason, or fail the read (``csv_records``).
 """
 
 from __future__ import annotations
@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chainfold.schemas import LABELLED, conform
+from chainfold.schemas import LABELLED, OPTIONAL, conform
+from chainfold.sources.csv_records import REJECTED, scan_csv
 from chainfold.storage import write_intermediate
 
 log = logging.getLogger(__name__)
@@ -56,31 +57,32 @@ def _map_strings(df: DataFrame, steps: Sequence[tuple[str, str]]) -> DataFrame:
 
 
 def read_csv_strings(
-    spark: SparkSession, path: str | list[str], base_path: str | None = None, options: dict | None = None
+    spark: SparkSession,
+    path: str | list[str],
+    base_path: str | None = None,
+    options: dict | None = None,
+    rejects_to: str | None = None,
 ) -> DataFrame:
     """Header CSV files (a directory, glob or list); every column a string.
 
     ``base_path`` keeps ``key=value`` directories below it as partition
     columns (for example ``block_date`` of day directories). All files must
-    have the first file's header.
+    have the same header. A record of another width or with broken quotes
+    fails the read, or goes to the Parquet table ``rejects_to`` (file,
+    reason, record); see ``csv_records``.
     """
-    reader = spark.read.options(**{"header": True, "inferSchema": False, **(options or {})})
-    if base_path:
-        reader = reader.option("basePath", base_path)
-    names = reader.csv(path).columns
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
-    return reader.schema(schema).option("enforceSchema", False).csv(path)
+    return scan_csv(spark, path, base_path=base_path, options=options).settle(rejects_to)
 
 
 def read_csv_inferred(
-    spark: SparkSession, path: str | list[str], base_path: str | None = None, options: dict | None = None
+    spark: SparkSession,
+    path: str | list[str],
+    base_path: str | None = None,
+    options: dict | None = None,
+    rejects_to: str | None = None,
 ) -> DataFrame:
-    """Header CSV with type inference (costs one extra pass over the files)."""
-    reader = spark.read.options(**{"header": True, "inferSchema": True, **(options or {})})
-    if base_path:
-        reader = reader.option("basePath", base_path)
-    schema = reader.csv(path).schema
-    return reader.schema(schema).option("inferSchema", False).option("enforceSchema", False).csv(path)
+    """Header CSV with the narrowest types that hold every value (costs one extra pass over the files)."""
+    return scan_csv(spark, path, base_path=base_path, options=options, infer=True).settle(rejects_to)
 
 
 def read_csv_schema(
@@ -90,11 +92,15 @@ def read_csv_schema(
     base_path: str | None = None,
     strict: bool = True,
     options: dict | None = None,
+    rejects_to: str | None = None,
 ) -> DataFrame:
     """Header CSV cast to ``schema`` by column name; a column order in the
     files that differs from the schema is harmless. A column that is missing
-    fails unless it is optional (``schemas.OPTIONAL``) or ``strict`` is off."""
-    return conform(read_csv_strings(spark, path, base_path, options), schema, strict=strict)
+    fails unless it is optional (``schemas.OPTIONAL``) or ``strict`` is off.
+    A value that isn't of its column's type is a reject, too."""
+    required = [f.name for f in schema.fields if f.name not in OPTIONAL] if strict else ()
+    scan = scan_csv(spark, path, schema, base_path=base_path, options=options, required=required)
+    return conform(scan.settle(rejects_to), schema, strict=strict)
 
 
 def envelope_schema(rows: T.StructType = LABELLED) -> T.StructType:
@@ -120,20 +126,42 @@ def read_result_pages(
 
 
 def read_or_fallback(primary: Callable[[], DataFrame], fallback: Callable[[], DataFrame]) -> DataFrame:
-    """``primary()`` unless it cannot be read or holds no row; then ``fallback()``.
+    """``primary()`` unless it is missing, malformed or holds no row; then ``fallback()``.
 
-    The primary is read in full, into an intermediate table, so that an error
-    in the middle of its files selects the fallback too.
+    The primary is read in full, into an intermediate table, so that a
+    malformed record in the middle of its files selects the fallback too.
+    Any other error is raised: a wrong column name, a full disk or a lost
+    store is no reason to land other data.
     """
     try:
         df = write_intermediate(primary(), "primary")
         if not df.isEmpty():
             return df
     except (PySparkException, Py4JJavaError) as err:
-        log.warning("reading the primary source failed, using the fallback: %s", str(err).splitlines()[0])
+        if not is_bad_source(err):
+            raise
+        log.warning("the primary source is missing or malformed, using the fallback: %s", str(err).splitlines()[0])
     return fallback()
 
 
+# Error conditions (and what they contain) that mean a missing or malformed source.
+_BAD_SOURCE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "MALFORMED_RECORD_IN_PARSING", "FAILED_READ_FILE.FILE_NOT_EXIST", "INCOMPLETE_PAGES")
+
+
+def is_bad_source(err: BaseException) -> bool:
+    """True for a missing path, a malformed record or a rejected CSV record anywhere among the causes of ``err``."""
+    name = getattr(err, "getCondition", lambda: None)() or ""
+    if name.startswith(_BAD_SOURCE) or (name == "USER_RAISED_EXCEPTION" and REJECTED in str(err)):
+        return True
+    cause = getattr(err, "java_exception", None) or getattr(err, "_origin", None)
+    while cause is not None:
+        text = str(cause.toString())
+        if any(f"[{c}" in text for c in _BAD_SOURCE) or "FileNotFoundException" in text or ("[USER_RAISED_EXCEPTION]" in text and REJECTED in text):
+            return True
+        cause = cause.getCause()
+    return False
+
+
 def _is_missing(err: AnalysisException) -> bool:
     cond = getattr(err, "getCondition", None) or getattr(err, "getErrorClass", None)
     name = cond() if cond else None
