@@ -88,6 +88,52 @@ def split_hot_join(
     return spread.unionByName(joined(of_hot(big, "left_anti"), small))
 
 
+def two_sided_join(
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner", *, parts: int = HOT_PARTS
+) -> DataFrame:
+    """Join of two large sides that may both repeat a key; ``how`` is inner or left.
+
+    A key is hot if it holds one part in ``parts`` of either side; at most
+    twice as many keys can. The pairs of a hot key are dealt in blocks: its
+    left rows go to row blocks, its right rows to column blocks of about one
+    part each, and every block of pairs is a join key of its own. A left row
+    is copied once per column block and a right row once per row block, which
+    is small beside the pairs they make. The other keys take a plain shuffle
+    join. NULL keys match nothing. Both sides are read several times, so they
+    should be materialized or plain scans; columns of the same name other than
+    the keys clash.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError(f"how is inner or left, not {how!r}")
+    on = list(on)
+    right = right.dropna(subset=on)
+    counted = [
+        side.dropna(subset=on).groupBy(*on).agg(F.count(F.lit(1)).alias(n)) for side, n in ((left, "rows"), (right, "columns"))
+    ]
+    totals = [c.agg(F.coalesce(F.sum(n), F.lit(0))).first()[0] for c, n in zip(counted, ("rows", "columns"), strict=True)]
+    width = [max(1, -(-t // parts)) for t in totals]
+    # a key without a partner makes no pairs and is left to the plain join
+    hot = counted[0].join(counted[1], on).where(((F.col("rows") >= width[0]) & F.lit(totals[0] > parts)) | ((F.col("columns") >= width[1]) & F.lit(totals[1] > parts)))
+    hot = write_intermediate(
+        hot.select(*on, F.ceil(F.col("rows") / width[0]).cast("int").alias("__rows"), F.ceil(F.col("columns") / width[1]).cast("int").alias("__columns")),
+        "hot-pairs",
+    )
+    if hot.isEmpty():
+        return left.join(right, on, how)
+    hot = F.broadcast(hot)
+
+    def dealt(side: DataFrame, own: str, other: str) -> DataFrame:
+        """Rows of the hot keys in a block of their side, one copy for each block of the other."""
+        block = F.pmod(F.monotonically_increasing_id(), F.col(f"__{own}")).cast("int")
+        spread = side.join(hot, on).withColumn(f"__{own}", block)
+        return spread.withColumn(f"__{other}", F.explode(F.sequence(F.lit(0), F.col(f"__{other}") - 1)))
+
+    blocks = [*on, "__rows", "__columns"]
+    pairs = dealt(left, "rows", "columns").join(dealt(right, "columns", "rows"), blocks).drop("__rows", "__columns")
+    cold = left.join(hot, on, "left_anti").join(right.join(hot, on, "left_anti"), on, how)
+    return pairs.unionByName(cold)
+
+
 def join_small_side(
     big: DataFrame,
     small: DataFrame,

@@ -15,9 +15,11 @@ Plan, for ``transfers`` with one day (or many) of rows:
    tables: address labels and contract names per (blockchain, address);
    ENS names and the four address lists (wallet, burn address, created
    contract, staker) per address.
+4. ``receiver_profiles``: type, displayed names, vertical (by the table of
+   rules, see ``name_rules``) and protocol, still one row per receiver.
 5. One join of the transfers to the per-receiver table, one to the
    stablecoin list (broadcast after a size check) and one to the event
-   names; then the classification columns, row by row, as expressions.
+   names, whose hot keys are dealt in blocks of both sides.
 
 The wallet transfers and the receivers each feed several later steps and
 size checks, so ``label_transfers`` materializes them once (Parquet below the
@@ -27,10 +29,13 @@ use.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chainfold.operators import rules as R
+from chainfold.operators.name_rules import classify_vertical, default_rules
 from chainfold.operators.joins import (
     DEFAULT_BROADCAST_ROWS,
     broadcast_if_bounded,
@@ -38,6 +43,7 @@ from chainfold.operators.joins import (
     join_small_side,
     materialize,
     split_hot_join,
+    two_sided_join,
 )
 from chainfold.schemas import LABELLED
 
@@ -318,34 +324,45 @@ def attach_receiver_info(
     return transfers.join(i, conds, "left").drop(*[f"label_{k}" for k in keys])
 
 
-def classify(df: DataFrame) -> DataFrame:
-    """Receiver type, displayed names, vertical and protocol, row by row."""
+def receiver_profiles(
+    info: DataFrame, name_rules: DataFrame, *, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS
+) -> DataFrame:
+    """``receiver_info`` with receiver type, displayed names, vertical and protocol."""
     flag = lambda c: F.coalesce(F.col(c), F.lit(False))
-    rtype = R.receiver_type(flag("is_safe"), flag("is_burn"), flag("is_contract"))
-    df = df.withColumns(
+    named = info.withColumns(
         {
-            "receiver_type": rtype,
+            "receiver_type": R.receiver_type(flag("is_safe"), flag("is_burn"), flag("is_contract")),
             "receiver_contract_name": R.display_contract_name(F.col("contract_name")),
             "receiver_name": R.receiver_name(
                 F.col("label_models"), F.col("label_names"), F.col("contract_name"), F.col("ens")
             ),
         }
     )
-    return df.withColumns(
-        {
-            "vertical": R.vertical(
-                F.col("label_models"),
-                F.col("label_categories"),
-                F.col("receiver_contract_name"),
-                F.col("receiver_name"),
-                F.col("receiver_type"),
-                flag("is_staker"),
-            ),
-            "protocol": R.protocol(F.col("receiver_contract_name"), F.col("receiver_type")),
-        }
+    classified = classify_vertical(named, None, name_rules, max_broadcast_rows=max_broadcast_rows)
+    return classified.withColumn("protocol", R.protocol(F.col("receiver_contract_name"), F.col("receiver_type"))).drop(
+        "contract_name", *FLAGS
     )
 
 
+def logs_of_days(logs: DataFrame, first: object, last: object, *, slack_days: int = 0, day_col: str = "block_date") -> DataFrame:
+    """Logs from ``slack_days`` before ``first`` to as many after ``last`` (dates).
+
+    The bounds are literals, so a log table partitioned by ``day_col`` lists
+    and reads those days only. Logs without that column are returned whole.
+    """
+    if day_col not in logs.columns or first is None:
+        return logs
+    day = F.col(day_col)
+    return logs.where(
+        (day >= F.lit(first - dt.timedelta(days=slack_days))) & (day <= F.lit(last + dt.timedelta(days=slack_days)))
+    )
+
+
+TRANSFER_COLUMNS = (
+    "blockchain block_date block_time tx_hash evt_index from to contract_address token_standard symbol amount amount_usd".split()
+)
+
+
 def label_transfers(
     inputs: dict[str, DataFrame],
     first_day: str | None = None,
@@ -355,12 +372,17 @@ def label_transfers(
     order_by_date: bool = False,
     materialize_steps: bool = True,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    log_slack_days: int = 0,
 ) -> DataFrame:
     """The whole label step; returns the 21 labelled columns.
 
     ``inputs`` holds DataFrames under the keys transfers, wallets, ens,
-    contracts, addresses, logs, burn, creation, stablecoins, stakers.
-    The result keeps the input types (see ``to_labelled_schema``).
+    contracts, addresses, logs, burn, creation, stablecoins, stakers, and
+    optionally name_rules (``name_rules.default_rules`` without it). The
+    result keeps the input types (see ``to_labelled_schema``).
+
+    Logs with a ``block_date`` are read for the days of the transfers only,
+    and ``log_slack_days`` on either side.
 
     ``materialize_steps`` writes the wallet transfers and the receivers
     (see the module docstring); without it every size check re-runs the
@@ -368,19 +390,34 @@ def label_transfers(
     """
     kw = {"max_broadcast_rows": max_broadcast_rows}
     keep = materialize if materialize_steps else (lambda df: df)
-    t = keep(wallet_transfers(inputs["transfers"], inputs["wallets"], first_day, last_day, **kw))
+    transfers = inputs["transfers"].select(*TRANSFER_COLUMNS)
+    t = keep(wallet_transfers(transfers, inputs["wallets"], first_day, last_day, **kw))
     recv = keep(receivers(t))
     # The transfers bound both their transaction ids and their receivers, so
     # one check usually answers both; the receivers are counted on their own
     # only when the transfers exceed the bound.
     t_small = has_at_most(t, max_broadcast_rows)
     small = t_small or has_at_most(recv, max_broadcast_rows)
-    info = receiver_info(recv, inputs, recv_is_small=small, **kw)
-    evt = event_names(inputs["logs"], t, tx_is_small=t_small, **kw).withColumnRenamed("index", "evt_index")
-    j = stablecoin_flag(t, inputs["stablecoins"], **kw)
-    j = attach_receiver_info(j, info, same_chain=same_chain, info_is_small=small, **kw)
-    j = j.join(evt, ["tx_hash", "evt_index"], "left")
-    j = classify(j).withColumn("token_category", R.token_category(F.col("is_stablecoin"), F.col("token_standard")))
+    rules = inputs["name_rules"] if "name_rules" in inputs else default_rules(recv.sparkSession)
+    profiles = receiver_profiles(receiver_info(recv, inputs, recv_is_small=small, **kw), rules, **kw)
+    days = t.agg(F.min("block_date").cast("date"), F.max("block_date").cast("date")).first()
+    logs = logs_of_days(inputs["logs"], days[0], days[1], slack_days=log_slack_days)
+    keys = t.select("tx_hash", F.col("evt_index").alias("index")).dropna()
+    evt = _restrict(logs, keys, ["tx_hash", "index"], t_small).select("tx_hash", F.col("index").alias("evt_index"), "event_name").distinct()
+    # Both the transfers and the event names may repeat a key. Below the bound a plain join holds few rows.
+    j = t.join(evt, ["tx_hash", "evt_index"], "left") if t_small else two_sided_join(t, keep(evt), ["tx_hash", "evt_index"], "left")
+    j = stablecoin_flag(j if t_small else keep(j), inputs["stablecoins"], **kw)
+    j = attach_receiver_info(j if t_small else keep(j), profiles, same_chain=same_chain, info_is_small=small, **kw)
+    # a transfer without a receiver has no profile
+    rtype = F.coalesce("receiver_type", F.lit(R.EOA))
+    j = j.withColumns(
+        {
+            "receiver_type": rtype,
+            "vertical": F.coalesce("vertical", R.unclassified(rtype)),
+            "protocol": F.coalesce("protocol", R.unclassified(rtype)),
+            "token_category": R.token_category(F.col("is_stablecoin"), F.col("token_standard")),
+        }
+    )
     out = j.select(
         "blockchain",
         "block_date",

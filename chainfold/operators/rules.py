@@ -1,7 +1,7 @@
-"""Classification rules of the label step: receiver type, name, vertical, protocol.
+"""Classification rules of the label step: fixed values, receiver type, name, protocol.
 
-Only column expressions (``when`` chains and ``isin`` sets); they compile
-into the generated code of the surrounding stage.
+Only column expressions; they compile into the generated code of the
+surrounding stage. Verticals come from a table of rules (``name_rules``).
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ KEPT_MODELS_DESPITE_TYPE = ("dex_pools", "dao_framework", "mev", "flashbots")
 # Label model of DAO multisigs, whose name comes from the label:
 DAO_MODEL = "dao_multisig"
 DAO_NAME_PREFIX = "Safe: "
-# Verticals decided before the name lists, in rule order:
+# Verticals decided by a label, a contract name or staking:
 BURN_MODEL, BURN_VERTICAL = "burn_addresses", "burn address"
 WRAPPER_CONTRACT, WRAPPER_VERTICAL = "Myname: WETH9", "eth wrapping"
 CEX_MODEL, CEX_VERTICAL = "cex_ethereum", "CEX"
@@ -114,12 +114,6 @@ VERTICAL_NAMES = (
 )
 # ----------------------------------------------------------------------------
 
-_NAMES = dict(VERTICAL_NAMES)
-# Verticals tested by name only, after "ETH staking" is tested:
-_AFTER_STAKING = ("yield", "CDP", "derivatives", "rwa", "farm", "payments")
-_BEFORE_STAKING = ("lending", "liquid staking", "restaking", "liquid restaking")
-
-
 def label_kept() -> Column:
     """Address labels that may be used (applied to the label table)."""
     cat, model, ltype = F.col("category"), F.col("model_name"), F.col("label_type")
@@ -156,37 +150,6 @@ def unclassified(rtype: Column) -> Column:
     return F.concat(F.lit(UNCLASSIFIED), rtype)
 
 
-def vertical(
-    label_models: Column,
-    label_categories: Column,
-    contract_name: Column,
-    name: Column,
-    rtype: Column,
-    is_staker: Column,
-) -> Column:
-    """Business vertical by ordered rules; ``contract_name`` is the displayed
-    contract name, ``name`` the receiver name."""
-    is_contract = rtype == F.lit(SMART_CONTRACT)
-    chain = (
-        F.when(label_models == F.lit(BURN_MODEL), F.lit(BURN_VERTICAL))
-        .when(contract_name == F.lit(WRAPPER_CONTRACT), F.lit(WRAPPER_VERTICAL))
-        .when(label_models == F.lit(CEX_MODEL), F.lit(CEX_VERTICAL))
-        .when((label_categories == F.lit(BRIDGE_CATEGORY)) | name.isin(*_NAMES["bridge"]), F.lit("bridge"))
-        .when(
-            (label_categories == F.lit(DEX_CATEGORY))
-            | name.isin(*_NAMES["DEX"])
-            | (is_contract & F.lower(name).like(SWAP_PATTERN)),
-            F.lit("DEX"),
-        )
-    )
-    for v in _BEFORE_STAKING:
-        chain = chain.when(name.isin(*_NAMES[v]), F.lit(v))
-    chain = chain.when(is_contract & is_staker, F.lit(STAKING_VERTICAL))
-    for v in _AFTER_STAKING:
-        chain = chain.when(name.isin(*_NAMES[v]), F.lit(v))
-    return chain.otherwise(unclassified(rtype))
-
-
 def protocol(contract_name: Column, rtype: Column) -> Column:
     return F.coalesce(contract_name, unclassified(rtype))
 

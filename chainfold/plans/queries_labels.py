@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from chainfold.functions import text as X
 from chainfold.operators import labels as L
 from chainfold.operators import rules as R
-from chainfold.operators.joins import materialize, membership_flag
+from chainfold.operators.joins import materialize, membership_flag, two_sided_join
 from chainfold.plans import oracle as O
 from chainfold.plans.registry import query
 from chainfold.plans.testdata import label_inputs
@@ -282,12 +282,10 @@ LEFT JOIN tx_events ev ON ev.tx_hash = t.tx_hash AND ev."index" = t.evt_index"""
 def q_join_star(spark, sf_dir):
     inp = _inputs(spark, sf_dir)
     t = _safe(inp)
-    lab = L.receiver_labels(L.receivers(t), inp["ens"], inp["contracts"], inp["addresses"]).withColumnRenamed(
-        "address", "to"
-    )
+    lab = materialize(L.receiver_labels(L.receivers(t), inp["ens"], inp["contracts"], inp["addresses"]))
     evt = L.event_names(inp["logs"], t).withColumnRenamed("index", "evt_index")
-    j = L.stablecoin_flag(t, inp["stablecoins"]).join(lab, ["blockchain", "to"], "left")
-    j = j.join(evt, ["tx_hash", "evt_index"], "left")
+    j = two_sided_join(t, materialize(evt), ["tx_hash", "evt_index"], "left")
+    j = L.attach_receiver_info(L.stablecoin_flag(j, inp["stablecoins"]), lab)
     return j.select(
         "tx_hash", "evt_index", "blockchain", "to", "is_stablecoin", "label_names", "contract_name", "ens", "event_name"
     )

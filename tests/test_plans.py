@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import datetime as dt
 import io
 
 from chainfold.operators import labels as L
@@ -110,3 +111,20 @@ def test_size_check_sends_no_rows_to_one_task(spark):
     finally:
         type(spark.range(0)).first = real
     assert "GlobalLimit" not in lines[0] and "partial_count" in lines[0]
+
+
+def test_logs_are_read_for_the_days_of_the_transfers(spark):
+    inp = label_inputs(spark, SMOKE_DIR)
+    path = scratch_dir(spark, "t-plan-logs")
+    inp["logs"].where("block_date IS NOT NULL").write.partitionBy("block_date").parquet(path)
+    day = {"first_day": "1998-04-01", "last_day": "1998-04-30"}
+    pruned = L.label_transfers(inp | {"logs": spark.read.parquet(path)}, **day)
+    plan = _plan(pruned)
+    assert "PartitionFilters: [isnotnull(block_date" in plan and "block_date#" in plan
+    first, last = pruned.selectExpr("min(block_date)", "max(block_date)").first()
+    logs = [part for part in plan.split("\n\n") if path.rsplit("/", 1)[1] in part]
+    assert logs and all(f">= {first}" in p and f"<= {last}" in p for p in logs)
+    whole = L.label_transfers(inp | {"logs": inp["logs"].drop("block_date")}, **day)
+    assert pruned.count() > 0 and pruned.exceptAll(whole).isEmpty() and whole.exceptAll(pruned).isEmpty()
+    wide = _plan(L.logs_of_days(spark.read.parquet(path), first, last, slack_days=2))
+    assert f">= {first - dt.timedelta(days=2)}" in wide and f"<= {last + dt.timedelta(days=2)}" in wide

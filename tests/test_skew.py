@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from chainfold.operators import gold as G
 from chainfold.operators import labels as L
 from chainfold.operators.compare import same_rows
-from chainfold.operators.joins import has_at_most, materialize, split_hot_join
+from chainfold.operators.joins import has_at_most, materialize, split_hot_join, two_sided_join
 from chainfold.plans.testdata import label_inputs
 from tests.conftest import SMOKE_DIR
 
@@ -142,3 +142,54 @@ def test_label_step_hot_receiver(spark):
     counts = {r.vertical: r[1] for r in fast.groupBy("vertical").count().collect()}
     assert counts["lending"] == n - (n + 2) // 3
     assert counts["liquid staking"] == len(range(7, n, 100)) - len([i for i in range(7, n, 100) if i % 3 != 0])
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_two_sided_join_equals_a_plain_join(spark, how):
+    """Keys hot on both sides, on one side only, without a partner, and NULL."""
+    key = F.when(F.col("id") % 3 == 0, F.lit(0)).when(F.col("id") % 3 == 1, F.lit(-1)).when(F.col("id") % 50 == 2, F.lit(None))
+    left = spark.range(1200).select(key.otherwise(F.col("id") % 90).alias("k"), F.lit("x").alias("c"), (F.col("id") % 4).alias("l"))
+    other = F.when(F.col("id") % 3 == 0, F.lit(0)).when(F.col("id") % 50 == 1, F.lit(None)).when(F.col("id") % 7 == 1, F.lit(5))
+    right = spark.range(900).select(other.otherwise(F.col("id") % 200 + 5).alias("k"), (F.col("id") % 5).alias("r"))
+    got = two_sided_join(materialize(left), materialize(right), ["k"], how, parts=20)
+    assert same_rows(got, left.join(right, "k", how)).count() == 0
+
+
+def test_one_transaction_with_a_third_of_all_logs_and_transfers(spark):
+    n = 6000
+    hot = F.col("id") % 3 == 0
+    t = spark.range(n).select(F.when(hot, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("tx_hash"), F.lit(0).alias("evt_index"), F.col("id").alias("row"))
+    logs = spark.range(600).select(
+        F.when(hot, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("tx_hash"), F.lit(0).alias("evt_index"), F.col("id").cast("string").alias("event_name")
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        got = two_sided_join(materialize(t), materialize(logs), ["tx_hash", "evt_index"], "left", parts=20)
+        tasks = [r["count"] for r in got.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    pairs = 2000 * 200
+    assert sum(tasks) == pairs + 4000
+    assert max(tasks) < 0.15 * pairs
+
+
+def test_hot_event_keys_in_the_label_step(label_case):
+    """Beyond the bound, transfers that share a log position with many event names."""
+    inputs, _ = label_case
+    t = inputs["transfers"]
+    first = t.join(inputs["wallets"].withColumnRenamed("address", "from"), "from", "left_semi").select("tx_hash", "evt_index", "block_date").first()
+    same = [F.when(F.col("amount") % 2 == 0, F.lit(first[c])).otherwise(F.col(c)).alias(c) for c in ("tx_hash", "evt_index", "block_date")]
+    hot = t.select(*same, *[c for c in t.columns if c not in ("tx_hash", "evt_index", "block_date")])
+    logs = inputs["logs"]
+    more = logs.limit(50).select(
+        F.lit(first["tx_hash"]).alias("tx_hash"),
+        F.lit(first["evt_index"]).alias("index"),
+        F.monotonically_increasing_id().cast("string").alias("event_name"),
+        F.lit(first["block_date"]).alias("block_date"),
+    )
+    case = inputs | {"transfers": materialize(hot), "logs": materialize(logs.unionByName(more))}
+    plain, beyond = L.label_transfers(case), L.label_transfers(case, max_broadcast_rows=0)
+    assert plain.count() > 20 * 1000
+    assert same_rows(plain, beyond.select(*plain.columns)).count() == 0
