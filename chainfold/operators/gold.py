@@ -85,6 +85,11 @@ def weekly_activity(
     # and the join read a handful of rows instead of recomputing them.
     accounts = silver.select(*keys, F.col(entity_col).alias("safe_account"))
     totals = materialize(accounts.distinct().groupBy(*keys).agg(F.count("safe_account").alias("unique_safes")))
+    return _with_totals(per_entity, totals, keys, dimension, max_broadcast_groups)
+
+
+def _with_totals(per_entity: DataFrame, totals: DataFrame, keys: list[str], dimension: str, max_broadcast_groups: int) -> DataFrame:
+    """Gold rows: the accounts of each group with the group's number of accounts."""
     hinted, small = broadcast_if_bounded(totals, max_broadcast_groups)
     if small:
         joined = per_entity.join(hinted, keys, "inner")
@@ -103,6 +108,36 @@ def weekly_activity(
     return joined.select(*out)
 
 
+def day_states(silver: DataFrame, dimension: str, entity_col: str = "tx_hash", amount_col: str = "amount_usd") -> DataFrame:
+    """Mergeable partial states: per day, week, dimension and account, its transactions and money.
+
+    States of different days add up to the gold rows of their weeks
+    (``gold_of_states``). Money is kept wide, so a sum that overflows the gold
+    column does so only when the week is built, as in ``weekly_activity``.
+    """
+    keys = ["block_date", *_group_keys(silver, dimension)]
+    base = silver.select(*keys, F.col(entity_col).alias("safe_account"), F.col(amount_col).try_cast(MONEY).alias("amount"))
+    return base.groupBy(*keys, "safe_account").agg(
+        F.count("safe_account").alias("n"), F.sum("amount").cast("decimal(38,2)").alias("amount")
+    )
+
+
+def gold_of_states(
+    states: DataFrame, dimension: str, *, max_broadcast_groups: int = DEFAULT_BROADCAST_ROWS
+) -> DataFrame:
+    """The gold rows of whole weeks from all their days' states."""
+    keys = _group_keys(states, dimension)
+    # one merge of the states feeds the accounts' rows and their number
+    per_entity = materialize(
+        states.groupBy(*keys, "safe_account").agg(
+            F.sum("n").alias("total_transactions_per_safe"),
+            F.sum("amount").try_cast(MONEY).alias("total_amount_usd_per_safe"),
+        )
+    )
+    totals = materialize(per_entity.groupBy(*keys).agg(F.count("safe_account").alias("unique_safes")))
+    return _with_totals(per_entity, totals, keys, dimension, max_broadcast_groups)
+
+
 def unique_accounts(silver: DataFrame, dimension: str, entity_col: str = "tx_hash") -> DataFrame:
     """Distinct non-NULL accounts per (week keys, dimension)."""
     keys = _group_keys(silver, dimension)

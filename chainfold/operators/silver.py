@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from chainfold.functions.calendar import parse_date, with_calendar
@@ -63,6 +65,48 @@ def quarantine(
     return with_calendar(cleaned, "block_date", week_start).select(*SILVER_ORDER)
 
 
+REASONS = ("other event", "amount not positive", "missing tx_hash, vertical or protocol")
+
+
+def reject_reason(event_name: str = "Transfer") -> Column:
+    """Why ``quarantine`` drops a row (the first rule that it fails), NULL if it doesn't."""
+    kept_event = F.coalesce(F.col("event_name").cast("string") == F.lit(event_name), F.lit(False))
+    positive = F.coalesce(F.col("amount_usd").try_cast("double") > 0, F.lit(False))
+    complete = F.col("tx_hash").isNotNull() & F.col("vertical").isNotNull() & F.col("protocol").isNotNull()
+    return F.when(~kept_event, F.lit(REASONS[0])).when(~positive, F.lit(REASONS[1])).when(~complete, F.lit(REASONS[2]))
+
+
+@dataclass
+class Accounting:
+    """Row counts of one cleaning pass, filled by the first action on its result."""
+
+    before: Observation
+    after: Observation
+
+    @property
+    def counts(self) -> dict[str, int]:
+        """Rows by outcome: the reasons, "duplicate" and "kept"; they add up to the rows read.
+
+        Waits for the action that reads the cleaned rows."""
+        seen, kept = self.before.get, self.after.get["kept"]
+        out = {reason: seen[f"r{i}"] for i, reason in enumerate(REASONS)}
+        return out | {"duplicate": seen["rows"] - sum(out.values()) - kept, "kept": kept}
+
+
+def quarantine_counted(df: DataFrame, block_date: str | None = None, event_name: str = "Transfer", **kw) -> tuple[DataFrame, Accounting]:
+    """``quarantine`` and what it drops, counted by reason while the rows pass (no second scan)."""
+    name = uuid.uuid4().hex[:8]
+    accounting = Accounting(Observation(f"before-{name}"), Observation(f"after-{name}"))
+    reason = reject_reason(event_name)
+    counted = df.observe(
+        accounting.before,
+        F.count(F.lit(1)).alias("rows"),
+        *(F.count_if(F.coalesce(reason == r, F.lit(False))).alias(f"r{i}") for i, r in enumerate(REASONS)),
+    )
+    clean = quarantine(counted, block_date, event_name, **kw)
+    return clean.observe(accounting.after, F.count(F.lit(1)).alias("kept")), accounting
+
+
 def filter_event(df: DataFrame, event_name: str = "Transfer") -> DataFrame:
     """Rows of that event; NULL is none."""
     return df.where(F.col("event_name") == F.lit(event_name))

@@ -6,6 +6,7 @@ Layout under a root folder (each table partitioned as shown)::
     silver/year=<y>/month=<m>/part-*.parquet  cleaned transfers
     gold/vertical/year=<y>/month=<m>/...      weekly activity per vertical
     gold/protocol/year=<y>/month=<m>/...      weekly activity per protocol
+    gold_states/<dimension>/year=<y>/month=<m>/block_date=<day>/...   each day's share of the weekly activity
 
 Every step works on any number of days or months in one job (the
 partition columns are group keys), so a backfill is one run, not a loop.
@@ -13,18 +14,20 @@ partition columns are group keys), so a backfill is one run, not a loop.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from chainfold.operators.gold import weekly_activity
+from chainfold.operators.gold import day_states, gold_of_states, weekly_activity
 from chainfold.operators.labels import to_labelled_schema
 from chainfold.operators.silver import quarantine
 from chainfold.operators.topk import top_k
-from chainfold.schemas import LABELLED, SILVER, conform, gold_schema
+from chainfold.schemas import LABELLED, PARTITION_KEYS, SILVER, WEEK_KEYS, conform, gold_schema
 from chainfold.sinks.files import merge_months, write_days, write_partitions
-from chainfold.sources.files import CSV_FORMAT, read_csv_strings, read_table_view, unescape_lines
+from chainfold.sources.files import CSV_FORMAT, read_csv_strings, read_table, read_table_view, unescape_lines
 from chainfold.storage import discard, write_intermediate
 
 DIMENSIONS = ("vertical", "protocol")
@@ -48,12 +51,22 @@ def gold_path(root: str, dimension: str) -> str:
     return f"{root.rstrip('/')}/gold/{dimension}"
 
 
+def states_path(root: str, dimension: str) -> str:
+    return f"{root.rstrip('/')}/gold_states/{dimension}"
+
+
 class EmptyInput(ValueError):
     """There is no row to land; nothing was written."""
 
 
 def land_bronze(
-    labelled: DataFrame, root: str, *, day: str | None = None, fmt: str = "parquet", max_files: int | None = None
+    labelled: DataFrame,
+    root: str,
+    *,
+    day: str | None = None,
+    fmt: str = "parquet",
+    max_files: int | None = None,
+    order_by: Sequence[str] = (),
 ) -> list[str]:
     """Write labelled transfers as bronze day files; returns their days.
 
@@ -71,7 +84,7 @@ def land_bronze(
         raise ValueError("labelled transfers without a valid block_date")
     if day is not None and days != [day]:
         raise ValueError(f"labelled transfers of other days than {day}: {days[:5]}")
-    write_days(batch, bronze_path(root), max_files=max_files, fmt=fmt)
+    write_days(batch, bronze_path(root), max_files=max_files, fmt=fmt, order_by=order_by)
     discard(batch)
     return days
 
@@ -135,6 +148,53 @@ def build_gold(
     return out
 
 
+_STATE_KEYS = (*PARTITION_KEYS, "block_date")
+
+
+def state_schema(dimension: str) -> T.StructType:
+    """Schema of a table of day states."""
+    return T.StructType.fromDDL(
+        f"week_of_month int, week_of_year int, {dimension} string, safe_account string, n long, amount decimal(38,2),"
+        " year int, month int, block_date date"
+    )
+
+
+def update_gold(spark: SparkSession, root: str, days: Sequence[str]) -> None:
+    """Bring both gold tables up to date after ``days`` of silver have changed.
+
+    Each day's partial states are computed from that day's silver rows and
+    replace its former states. The weeks of these days are then built from the
+    states of their own days (seven at most, read by partition), and replace
+    the same weeks of the gold table; the other weeks of a touched month are
+    copied. A re-run of a day changes nothing.
+    """
+    dates = [dt.date.fromisoformat(str(d)) for d in days]
+    months = sorted({(d.year, d.month) for d in dates})
+    near = sorted({d + dt.timedelta(days=k) for d in dates for k in range(-6, 7)})
+
+    def of_months(df: DataFrame) -> DataFrame:
+        cond = F.lit(False)
+        for y, m in months:
+            cond = cond | ((F.col("year") == y) & (F.col("month") == m))
+        return df.where(cond)
+
+    def of_weeks(df: DataFrame, weeks: Sequence[Sequence[int]]) -> Column:
+        return F.struct(*PARTITION_KEYS, *WEEK_KEYS).isin([F.struct(*(F.lit(x).cast("int") for x in w)) for w in weeks])
+
+    for dim in DIMENSIONS:
+        silver = of_months(read_table(spark, silver_path(root), SILVER)).where(F.col("block_date").isin(dates))
+        write_partitions(day_states(silver, dim), states_path(root, dim), _STATE_KEYS)
+        states = of_months(read_table(spark, states_path(root, dim), state_schema(dim)))
+        weeks = [tuple(r) for r in states.where(F.col("block_date").isin(dates)).select(*PARTITION_KEYS, *WEEK_KEYS).distinct().collect()]
+        if not weeks:
+            continue
+        touched = states.where(F.col("block_date").isin(near)).where(of_weeks(states, weeks))
+        fresh = gold_of_states(touched, dim)
+        old = of_months(read_table(spark, gold_path(root, dim), gold_schema(dim)))
+        kept = old.where(~of_weeks(old, weeks)).select(*fresh.columns)
+        write_partitions(fresh.unionByName(kept), gold_path(root, dim))
+
+
 def read_gold(spark: SparkSession, root: str, dimension: str) -> DataFrame:
     return spark.read.schema(gold_schema(dimension)).parquet(gold_path(root, dimension))
 
@@ -185,10 +245,10 @@ def daily_pipeline(
 
     With ``day`` (the daily case) rows of any other day fail; without it
     ``labelled`` may hold many days (a backfill). Only the days landed are
-    read back, and gold is rebuilt for the months touched. No rows raise
+    read back, and gold is rebuilt for the weeks touched, from day states. No rows raise
     ``EmptyInput`` and change nothing.
     """
     days = land_bronze(labelled, root, day=day, fmt=fmt)
-    merged = build_silver(spark, root, days, event_name=event_name, fmt=fmt)
-    build_gold(spark, root, silver_rows=merged)
+    build_silver(spark, root, days, event_name=event_name, fmt=fmt)
+    update_gold(spark, root, days)
     return top_k_report(spark, root, k)

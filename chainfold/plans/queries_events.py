@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from chainfold.operators import gold as G
 from chainfold.operators.joins import materialize
 from chainfold.operators.labels import label_transfers
-from chainfold.operators.silver import quarantine
+from chainfold.operators.silver import REASONS, quarantine, quarantine_counted
 from chainfold.operators.topk import top_k
 from chainfold.plans import oracle as O
 from chainfold.plans.registry import query
@@ -40,6 +40,24 @@ def q_quarantine(spark, sf_dir):
     return silver_of(spark, sf_dir)
 
 
+@query(
+    "quarantine_counts",
+    O.with_(O.EVENTS, O.SILVER)
+    + f"""
+, told AS (SELECT CASE WHEN event_name = 'Transfer' THEN CASE WHEN amount_usd > 0 THEN
+    CASE WHEN len(list_filter([tx_hash, vertical, protocol], lambda x: x IS NULL)) = 0 THEN 'clean' ELSE '{REASONS[2]}' END
+    ELSE '{REASONS[1]}' END ELSE '{REASONS[0]}' END AS outcome FROM transfers_ev)
+SELECT outcome, COUNT(*) AS n FROM told WHERE outcome <> 'clean' GROUP BY outcome
+UNION ALL SELECT 'kept', (SELECT COUNT(*) FROM silver)
+UNION ALL SELECT 'duplicate', (SELECT COUNT(*) FROM told WHERE outcome = 'clean') - (SELECT COUNT(*) FROM silver)""",
+)
+def q_quarantine_counts(spark, sf_dir):
+    """What the cleaning pass keeps and drops, by reason; adds up to its input."""
+    clean, accounting = quarantine_counted(event_transfers(spark, sf_dir))
+    materialize(clean)
+    return spark.createDataFrame(list(accounting.counts.items()), "outcome string, n long")
+
+
 @query("gold_vertical", O.with_(O.EVENTS, O.SILVER, O.gold("vertical")) + "\nSELECT * FROM gold_vertical")
 def q_gold_vertical(spark, sf_dir):
     return gold_of(spark, sf_dir, "vertical")
@@ -105,15 +123,9 @@ SELECT tx_hash AS safe_account, block_date, week_of_month, week_of_year, vertica
        CAST(amount_usd AS DECIMAL(15,2)) AS amount_usd FROM silver""",
 )
 def q_project_exprs(spark, sf_dir):
-    return silver_of(spark, sf_dir).selectExpr(
-        "tx_hash as safe_account",
-        "block_date",
-        "week_of_month",
-        "week_of_year",
-        "vertical",
-        "protocol",
-        "try_cast(amount_usd as decimal(15,2)) as amount_usd",
-    )
+    silver = silver_of(spark, sf_dir)
+    weeks_and_names = [F.col(c) for c in ("block_date", "week_of_month", "week_of_year", "vertical", "protocol")]
+    return silver.select(F.col("tx_hash").alias("safe_account"), *weeks_and_names, to_money("amount_usd").alias("amount_usd"))
 
 
 @query("rename_columns", _EV + "\nSELECT tx_hash AS safe_account, vertical AS business_vertical, amount_usd FROM transfers_ev")
@@ -143,19 +155,19 @@ def q_star_plus_computed(spark, sf_dir):
     return _ev(spark, sf_dir).withColumn("is_positive", F.col("amount_usd") > 0)
 
 
-@query("filter_equal_not_null", _EV + "\nSELECT * FROM transfers_ev WHERE event_name IS NOT NULL AND event_name = 'Transfer'")
+@query("filter_equal_not_null", _EV + "\nSELECT * FROM transfers_ev WHERE event_name IN ('Transfer')")
 def q_filter_equal_not_null(spark, sf_dir):
     return filter_event(_ev(spark, sf_dir))
 
 
-@query("filter_positive", _EV + "\nSELECT * FROM transfers_ev WHERE amount_usd IS NOT NULL AND amount_usd > 0")
+@query("filter_positive", _EV + "\nSELECT * FROM transfers_ev WHERE sign(amount_usd) = 1")
 def q_filter_positive(spark, sf_dir):
     return filter_positive(_ev(spark, sf_dir))
 
 
 @query(
     "filter_required_columns",
-    _EV + "\nSELECT * FROM transfers_ev WHERE tx_hash IS NOT NULL AND vertical IS NOT NULL AND protocol IS NOT NULL",
+    _EV + "\nSELECT * FROM transfers_ev WHERE len(list_filter([tx_hash, vertical, protocol], lambda x: x IS NULL)) = 0",
 )
 def q_filter_required_columns(spark, sf_dir):
     return filter_required(_ev(spark, sf_dir))

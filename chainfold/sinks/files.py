@@ -16,7 +16,7 @@ from chainfold.sources.files import CSV_FORMAT, escape_lines, read_table
 from chainfold.storage import discard, write_intermediate
 
 
-def _writer(df: DataFrame, keys: Sequence[str], max_files: int | None):
+def _writer(df: DataFrame, keys: Sequence[str], max_files: int | None, order_by: Sequence[str] = ()):
     """Writer for a table partitioned by ``keys``.
 
     The ``rebalance`` hint shuffles rows by the partition keys so each
@@ -25,22 +25,35 @@ def _writer(df: DataFrame, keys: Sequence[str], max_files: int | None):
     holding a large share of the rows) over several tasks. ``max_files``
     instead caps the number of output tasks; the rows are shuffled to them,
     so the work before keeps its own parallelism.
+
+    ``order_by`` deals and sorts the rows by ranges of the keys and these
+    columns: the files of a directory follow each other in their order, with
+    tight minimum and maximum statistics, and a hot directory spreads over as
+    many tasks as its share of the rows. The ranges are sampled, which reads
+    ``df`` once more.
     """
+    if order_by:
+        by = [*keys, *order_by]
+        ranges = df.repartitionByRange(max_files, *by) if max_files else df.repartitionByRange(*by)
+        return ranges.sortWithinPartitions(*by).write
     if max_files:
         return df.repartition(max_files).write
     return df.hint("rebalance", *keys).write
 
 
-def write_days(df: DataFrame, root: str, *, max_files: int | None = None, fmt: str = "parquet") -> None:
+def write_days(
+    df: DataFrame, root: str, *, max_files: int | None = None, fmt: str = "parquet", order_by: Sequence[str] = ()
+) -> None:
     """Land rows as ``root/block_date=<day>/part-*`` files, one directory per
     day present; days not present are left untouched.
 
     ``block_date`` is stored in the directory name, not in the files. CSV
     files have a header and keep every string value (see ``CSV_FORMAT``).
+    ``order_by`` sorts the rows of a day over its files (see ``_writer``).
     """
     if fmt == "csv":
         df = escape_lines(df)
-    w = _writer(df, ["block_date"], max_files).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    w = _writer(df, ["block_date"], max_files, order_by).mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if fmt == "csv":
         w = w.options(**CSV_FORMAT)
     w.partitionBy("block_date").format(fmt).save(root)
@@ -68,13 +81,15 @@ def write_partitions(
     *,
     fmt: str = "parquet",
     max_files: int | None = None,
+    order_by: Sequence[str] = (),
 ) -> None:
     """Replace the ``keys`` partitions present in ``df`` (dynamic overwrite).
 
-    An empty ``df`` leaves the table as it is.
+    An empty ``df`` leaves the table as it is. ``order_by`` sorts the rows of
+    a partition over its files (see ``_writer``).
     """
     (
-        _writer(df, keys, max_files)
+        _writer(df, keys, max_files, order_by)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys)

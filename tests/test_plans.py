@@ -8,6 +8,7 @@ import io
 
 from chainfold.operators import labels as L
 from chainfold.operators.gold import weekly_activity
+from chainfold.operators.joins import materialize
 from chainfold.operators.silver import quarantine
 from chainfold.operators.topk import top_k
 from chainfold.plans.testdata import event_transfers, label_inputs
@@ -126,10 +127,11 @@ def test_logs_are_read_for_the_days_of_the_transfers(spark):
     assert logs and all(f">= {first}" in p and f"<= {last}" in p for p in logs)
     # the mapping repeats some log positions on other days, which a chain can't
     own_days = inp["logs"].where(f"block_date BETWEEN '{first}' AND '{last}'").drop("block_date")
-    whole = L.label_transfers(inp | {"logs": own_days}, **day)
+    whole = materialize(L.label_transfers(inp | {"logs": own_days}, **day))
+    pruned = materialize(pruned)
     assert pruned.count() > 0 and pruned.exceptAll(whole).isEmpty() and whole.exceptAll(pruned).isEmpty()
-    every = L.label_transfers(inp | {"logs": spark.read.parquet(path)}, **day, log_slack_days=10_000)
-    whole = L.label_transfers(inp | {"logs": inp["logs"].drop("block_date")}, **day)
+    every = materialize(L.label_transfers(inp | {"logs": spark.read.parquet(path)}, **day, log_slack_days=10_000))
+    whole = materialize(L.label_transfers(inp | {"logs": inp["logs"].drop("block_date")}, **day))
     assert every.exceptAll(whole).isEmpty() and whole.exceptAll(every).isEmpty()
     wide = _plan(L.logs_of_days(spark.read.parquet(path), first, last, slack_days=2))
     assert f">= {first - dt.timedelta(days=2)}" in wide and f"<= {last + dt.timedelta(days=2)}" in wide
