@@ -159,6 +159,27 @@ def _address_facts(
     return tagged.groupBy("address").agg(F.min("ens").alias("ens"), *[F.max(f).alias(f) for f in flags])
 
 
+def bucketed_receiver_labels(recv: DataFrame, ens: DataFrame, contracts: DataFrame, addresses: DataFrame) -> DataFrame:
+    """``receiver_labels`` over label tables bucketed by their key (``sinks.files.write_label_tables``).
+
+    Each table is reduced and joined where its buckets lie; only the receivers
+    are shuffled, once by (blockchain, address) and once by address. Meant for
+    receivers beyond the broadcast bound, where ``receiver_labels`` would
+    shuffle the label tables.
+    """
+    ck = ["blockchain", "address"]
+    labels = addresses.where(R.label_kept()).groupBy(*ck).agg(
+        F.min("name").alias("label_names"), F.min("category").alias("label_categories"), F.min("model_name").alias("label_models")
+    )
+    names = contracts.groupBy(*ck).agg(F.min("name").alias("contract_name"))
+    owners = ens.groupBy("address").agg(F.min("name").alias("ens"))
+    # merge joins: a broadcast of a label table would be neither bounded nor needed
+    on_chain = recv.select(*ck).join(labels.hint("merge"), ck, "left").join(names.hint("merge"), ck, "left")
+    return on_chain.join(owners.hint("merge"), "address", "left").select(
+        *ck, "label_names", "label_categories", "label_models", "contract_name", "ens"
+    )
+
+
 def receiver_labels(
     recv: DataFrame,
     ens: DataFrame,

@@ -14,6 +14,7 @@ from chainfold.plans import oracle as O
 from chainfold.plans.registry import query
 from chainfold.plans.testdata import label_inputs
 from chainfold.session import scratch_dir
+from chainfold.sinks.files import write_label_tables
 from chainfold.sources.tables import label_tables
 
 RUN_DATE = "1998-05-15"  # the daily slice is the day before the run date
@@ -46,6 +47,15 @@ def q_receiver_labels(spark, sf_dir):
     return L.receiver_labels(L.receivers(_safe(inp)), inp["ens"], inp["contracts"], inp["addresses"])
 
 
+@query("receiver_labels_bucketed", _sql(O.SAFE_TRANSFERS, O.RECEIVER_FACTS, select="SELECT * FROM recv_info"))
+def q_receiver_labels_bucketed(spark, sf_dir):
+    """The same over bucketed label tables: only the receivers are shuffled."""
+    inp = _inputs(spark, sf_dir)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tables = write_label_tables(spark, {r: inp[r] for r in ("ens", "contracts", "addresses")}, scratch_dir(spark, "labels"), buckets)
+    return L.bucketed_receiver_labels(L.receivers(_safe(inp)), **tables)
+
+
 @query("event_names", _sql(O.SAFE_TRANSFERS, O.RECEIVER_FACTS, select="SELECT * FROM tx_events"))
 def q_event_names(spark, sf_dir):
     inp = _inputs(spark, sf_dir)

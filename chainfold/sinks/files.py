@@ -6,9 +6,10 @@ partition overwrite, set per write, not per session).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chainfold.schemas import PARTITION_KEYS
@@ -148,14 +149,37 @@ def merge_months(
 
 
 def write_result_pages(df: DataFrame, path: str, rows_per_page: int = 1000) -> None:
-    """Write rows as JSON result pages ``{"result": {"rows": [...]}}``, one
-    page per line, at most ``rows_per_page`` rows each (bounded groups)."""
+    """Write rows as JSON result pages ``{"result": {"rows": [...], "metadata":
+    {"row_count": n, "total_row_count": N}}}``, one page per line, at most
+    ``rows_per_page`` rows each (bounded groups). The rows are counted first,
+    so ``df`` is read twice."""
+    total = df.count()
     pid = F.spark_partition_id()
     seq = F.monotonically_increasing_id()
     pages = (
         df.withColumn("__page", F.concat_ws(":", pid.cast("string"), F.floor(seq / rows_per_page).cast("string")))
         .groupBy("__page")
         .agg(F.collect_list(F.struct(*df.columns)).alias("rows"))
-        .select(F.struct(F.col("rows")).alias("result"))
+        .withColumn("metadata", F.struct(F.size("rows").cast("long").alias("row_count"), F.lit(total).cast("long").alias("total_row_count")))
+        .select(F.struct("rows", "metadata").alias("result"))
     )
     pages.write.mode("overwrite").json(path)
+
+
+def write_label_tables(spark: SparkSession, tables: Mapping[str, DataFrame], root: str, buckets: int) -> dict[str, DataFrame]:
+    """Label tables bucketed and sorted by their key, as catalog tables below ``root``; returns them by role.
+
+    Tables with a ``blockchain`` have it and the address as key, the others
+    the address. Grouping or joining by that key then needs no shuffle of the
+    table. ``buckets`` should be the session's number of shuffle partitions or
+    more; a daily job that writes a table once spares every later run its
+    shuffle.
+    """
+    out = {}
+    for role, df in tables.items():
+        keys = [c for c in ("blockchain", "address") if c in df.columns]
+        name = f"label_{role}_{uuid.uuid4().hex[:8]}"
+        writer = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
+        writer.option("path", f"{root.rstrip('/')}/{role}").saveAsTable(name)
+        out[role] = spark.table(name)
+    return out

@@ -103,30 +103,61 @@ def read_csv_schema(
     return conform(scan.settle(rejects_to), schema, strict=strict)
 
 
+class IncompletePages(ValueError):
+    """The landed pages of a result hold fewer or more rows than the result has."""
+
+
+_TOTALS = "row_count: long, total_row_count: long"
+
+
 def envelope_schema(rows: T.StructType = LABELLED) -> T.StructType:
-    """``{"result": {"rows": [ {...}, ... ]}}``"""
-    return T.StructType(
-        [T.StructField("result", T.StructType([T.StructField("rows", T.ArrayType(rows))]))]
-    )
+    """``{"result": {"rows": [ {...}, ... ], "metadata": {"row_count": n, "total_row_count": N}}}``"""
+    result = T.StructType([T.StructField("rows", T.ArrayType(rows)), T.StructField("metadata", T.StructType.fromDDL(_TOTALS.replace(":", "")))])
+    return T.StructType([T.StructField("result", result)])
 
 
 def read_result_pages(
-    spark: SparkSession, path: str, schema: T.StructType = LABELLED, multi_line: bool = False
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType = LABELLED,
+    multi_line: bool = False,
+    require_totals: bool = False,
 ) -> DataFrame:
     """Landed query-result pages to a table of their rows.
 
-    Each JSON document is one page ``{"result": {"rows": [...]}}``; pages are
-    one per line (splittable) or, with ``multi_line``, one per file. The rows
-    are flattened with ``inline`` inside the scan's stage. A torn page or a
-    value of the wrong type fails the read.
+    Each JSON document is one page ``{"result": {"rows": [...], "metadata":
+    {...}}}``; pages are one per line (splittable) or, with ``multi_line``, one
+    per file. The rows are flattened with ``inline`` inside the scan's stage. A
+    torn page or a value of the wrong type fails the read.
+
+    Where pages carry metadata, the set must be complete, or IncompletePages
+    is raised: all name one ``total_row_count``, their ``row_count`` add up to
+    it (a pass that parses the metadata only), and each page holds the rows it
+    says (checked as it is read). ``require_totals`` demands metadata.
     """
-    reader = spark.read.schema(envelope_schema(schema)).option("multiLine", multi_line)
-    raw = reader.option("mode", "FAILFAST").json(path)
-    return raw.select(F.inline(F.col("result.rows")))
+    reader = spark.read.option("multiLine", multi_line).option("mode", "FAILFAST")
+    totals = reader.schema(f"result struct<metadata: struct<{_TOTALS}>>").json(path)
+    seen = totals.agg(
+        F.count(F.lit(1)).alias("pages"),
+        F.count("result.metadata.total_row_count").alias("told"),
+        F.sum("result.metadata.row_count").alias("rows"),
+        F.min("result.metadata.total_row_count").alias("least"),
+        F.max("result.metadata.total_row_count").alias("most"),
+    ).first()
+    if seen["told"] or require_totals:
+        if not seen["told"] == seen["pages"] > 0 or seen["least"] != seen["most"] or seen["rows"] != seen["most"]:
+            raise IncompletePages(
+                f"{seen['pages']} pages ({seen['told']} with metadata) hold {seen['rows']} rows of {seen['least']} to {seen['most']}"
+            )
+    raw = reader.schema(envelope_schema(schema)).json(path)
+    said = F.col("result.metadata.row_count")
+    held = F.coalesce(F.size("result.rows"), F.lit(0))
+    torn = F.raise_error(F.concat(F.lit("[INCOMPLETE_PAGES] a page says "), said, F.lit(" rows and holds "), held)).cast(T.ArrayType(schema))
+    return raw.select(F.inline(F.when(F.coalesce(said, held) == held, F.col("result.rows")).otherwise(torn)))
 
 
 def read_or_fallback(primary: Callable[[], DataFrame], fallback: Callable[[], DataFrame]) -> DataFrame:
-    """``primary()`` unless it is missing, malformed or holds no row; then ``fallback()``.
+    """``primary()`` unless it is missing, malformed, incomplete or holds no row; then ``fallback()``.
 
     The primary is read in full, into an intermediate table, so that a
     malformed record in the middle of its files selects the fallback too.
@@ -137,8 +168,8 @@ def read_or_fallback(primary: Callable[[], DataFrame], fallback: Callable[[], Da
         df = write_intermediate(primary(), "primary")
         if not df.isEmpty():
             return df
-    except (PySparkException, Py4JJavaError) as err:
-        if not is_bad_source(err):
+    except (PySparkException, Py4JJavaError, IncompletePages) as err:
+        if not (isinstance(err, IncompletePages) or is_bad_source(err)):
             raise
         log.warning("the primary source is missing or malformed, using the fallback: %s", str(err).splitlines()[0])
     return fallback()

@@ -17,6 +17,7 @@ from chainfold.schemas import LABELLED, SILVER
 from chainfold.session import scratch_dir
 from chainfold.sinks.files import merge_months, write_day, write_days, write_partitions, write_result_pages
 from chainfold.sources.files import (
+    IncompletePages,
     empty_frame,
     read_csv_inferred,
     read_csv_schema,
@@ -237,3 +238,29 @@ def test_medallion_and_stream_agree(spark):
     assert same_rows(after, spark.createDataFrame(before, after.schema)).count() == 0
     for dim in M.DIMENSIONS:
         assert same_rows(M.read_gold(spark, batch_root, dim), M.read_gold(spark, stream_root, dim)).count() == 0
+
+
+def test_page_sets_are_complete(spark, tmp_path):
+    def page(rows, said=None, total=None):
+        meta = "" if total is None else f', "metadata": {{"row_count": {len(rows) if said is None else said}, "total_row_count": {total}}}'
+        return '{"result": {"rows": [' + ", ".join(f'{{"tx_hash": "{r}"}}' for r in rows) + "]" + meta + "}}"
+
+    def read(*pages, **kw):
+        folder = tmp_path / str(len(list(tmp_path.iterdir())))
+        folder.mkdir()
+        for i, p in enumerate(pages):
+            (folder / f"{i}.json").write_text(p + "\n")
+        return read_result_pages(spark, f"file://{folder}", **kw)
+
+    assert read(page("ab", total=3), page("c", total=3)).count() == 3
+    assert read(page("ab"), page("c")).count() == 3
+    assert read(page("", total=0)).count() == 0
+    for pages in ([page("ab", total=3)], [page("ab", total=3), page("c", total=4)], [page("ab", total=3), page("c")], [page("ab", total=2)] * 2):
+        with pytest.raises(IncompletePages):
+            read(*pages)
+    with pytest.raises(IncompletePages):
+        read(page("ab"), require_totals=True)
+    with pytest.raises(Exception, match="says 3 rows and holds 2"):
+        read(page("ab", said=3, total=3)).collect()
+    assert read_or_fallback(lambda: read(page("ab", total=3)), lambda: spark.range(7)).count() == 7
+    assert read_or_fallback(lambda: read(page("ab", said=3, total=3)), lambda: spark.range(7)).count() == 7

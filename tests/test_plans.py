@@ -135,3 +135,28 @@ def test_logs_are_read_for_the_days_of_the_transfers(spark):
     assert every.exceptAll(whole).isEmpty() and whole.exceptAll(every).isEmpty()
     wide = _plan(L.logs_of_days(spark.read.parquet(path), first, last, slack_days=2))
     assert f">= {first - dt.timedelta(days=2)}" in wide and f"<= {last + dt.timedelta(days=2)}" in wide
+
+
+def test_bucketed_label_tables_are_not_shuffled(spark):
+    """Every exchange of the plan moves receivers; no label table is below one."""
+    from chainfold.operators.compare import same_rows
+    from chainfold.sinks.files import write_label_tables
+
+    inp = label_inputs(spark, SMOKE_DIR)
+    roles = ("ens", "contracts", "addresses")
+    tables = write_label_tables(spark, {r: inp[r] for r in roles}, scratch_dir(spark, "t-labels"), 8)
+    recv = materialize(L.receivers(inp["transfers"]))
+    got = L.bucketed_receiver_labels(recv, **tables)
+    assert same_rows(got, L.receiver_labels(recv, *(inp[r] for r in roles))).isEmpty()
+    tree = got._jdf.queryExecution().executedPlan().toString().splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-*()0123456789")) for line in tree]
+    scans = [i for i, line in enumerate(tree) if "FileScan parquet" in line and "label_" in line]
+    assert len(scans) == 3 and all("Bucketed: true" in tree[i] for i in scans)
+    for i in scans:
+        at = depth[i]
+        for j in range(i, -1, -1):
+            if depth[j] < at:
+                at = depth[j]
+                if "SortMergeJoin" in tree[j]:
+                    break
+                assert "Exchange" not in tree[j], tree[j]
