@@ -10,11 +10,12 @@
    ``sum(r * tokens * posterior)`` by domain equal to the target totals
    (shares of all tokens). Each step is one distributed sum of one number per
    domain; a document's rate is a function of its posteriors and the few
-   gradients so far, so no step writes or shuffles per-document state. The
-   residuals are weighted by one over the domain's mass or target, whichever
-   is larger; in that metric the step size 1 always converges. Steps end when the targets are met, or when
-   a step moves no total any more. Rates end at
-   ``MOST_RATE`` copies, so a domain that hardly exists is not made of one
+   gradients so far, and becomes a column after every ``STEPS_HELD`` steps.
+   The residuals are weighted by the inverse of the domains' Gram matrix
+   (``sum(tokens * p_j * p_k)``): in that metric the step size 1 always
+   converges, and a step that meets no bound ends at the targets. Steps end
+   when the targets are met, or when a step moves no total any more. Rates
+   end at ``MOST_RATE`` copies, so a domain that hardly exists is not made of one
    document; what such a target lacks shows in ``Mix.reached``.
 
 Rates are an expected number of copies; ``take_copies`` draws them by a hash
@@ -36,7 +37,7 @@ from math import log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chainfold.storage import write_intermediate
+from chainfold.storage import discard, write_intermediate
 
 WORD_BUCKETS = 1 << 15
 TAILS = 128
@@ -46,6 +47,8 @@ SHRINK = 3.0
 MOST_RATE = 8.0
 TEMPER = -0.25
 MOST_STEPS = 60
+STEPS_HELD = 6
+RIDGE = 1e-9
 TOLERANCE = 1e-4
 
 _SPLIT = r"[\x20\x09-\x0D]+"
@@ -60,23 +63,21 @@ class Mix:
     steps: int
 
 
-def _words(docs: DataFrame, *keep: Column) -> DataFrame:
-    """The kept columns, w, slot and tail of every word; a text without words gives one row with a null or empty w."""
-    words = F.split(F.lower(F.coalesce(F.col("text"), F.lit(""))), _SPLIT)
-    rows = docs.select(*keep, F.explode(words).alias("w"))
-    return rows.select(
-        "*",
-        F.pmod(F.xxhash64("w"), F.lit(WORD_BUCKETS)).cast("int").alias("slot"),
-        F.least(F.ascii(F.substring("w", -1, 1)), F.lit(TAILS - 1)).alias("tail"),
-    )
+def _slot(word: Column) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(WORD_BUCKETS)).cast("int")
+
+
+def _tail(word: Column) -> Column:
+    return F.least(F.ascii(F.substring(word, -1, 1)), F.lit(TAILS - 1))
 
 
-def _model(docs: DataFrame, labelled: DataFrame, domains: list[str]) -> tuple[DataFrame, DataFrame, list[float]]:
-    """Log likelihoods against the first domain by word slot and by tail (one column per other domain), and the log priors."""
+def _model(docs: DataFrame, labelled: DataFrame, domains: list[str]) -> tuple[list[Column], list[Column], list[float]]:
+    """Log likelihoods against the first domain by word slot and by tail (one array per other domain), and the log priors."""
     known = labelled.where(F.col("domain").isin(domains) & F.col("id").isNotNull()).groupBy("id").agg(F.min("domain").alias("domain"))
     known = known.orderBy(F.xxhash64("id"), "id").limit(MOST_LABELLED)
-    words = _words(docs.join(F.broadcast(known), "id"), F.col("domain")).where("w != ''")
-    features = words.select("domain", F.explode(F.array("slot", F.col("tail") + WORD_BUCKETS)).alias("feature"))
+    split = F.split(F.lower(F.coalesce(F.col("text"), F.lit(""))), _SPLIT)
+    words = docs.join(F.broadcast(known), "id").select("domain", F.explode(split).alias("w")).where("w != ''")
+    features = words.select("domain", F.explode(F.array(_slot(F.col("w")), _tail(F.col("w")) + WORD_BUCKETS)).alias("feature"))
     counts = features.groupBy("domain", "feature").agg(F.count(F.lit(1)).alias("n"))
     counts = write_intermediate(counts, "mixing-counts")
     sizes = {r["domain"]: r["n"] for r in counts.where(F.col("feature") < WORD_BUCKETS).groupBy("domain").agg(F.sum("n").alias("n")).collect()}
@@ -93,25 +94,34 @@ def _model(docs: DataFrame, labelled: DataFrame, domains: list[str]) -> tuple[Da
         likely = [F.log((n[k] + SHRINK * features * common) / (sizes.get(d, 0) + SHRINK * features)) for k, d in enumerate(domains)]
         return rows.select((F.col("feature") - first).alias(key), *((likely[k] - likely[0]).alias(f"{key}{k}") for k in range(1, len(domains))))
 
-    return table(0, WORD_BUCKETS, "slot"), table(WORD_BUCKETS, TAILS, "tail"), priors
+    def values(rows: DataFrame, key: str) -> list[Column]:
+        """For each other domain, the column as one constant array (fixed size, folded when the query is planned)."""
+        held = sorted(rows.collect())
+        return [F.split(F.lit(",".join(str(r[k]) for r in held)), ",").cast("array<double>") for k in range(1, len(domains))]
+
+    return values(table(0, WORD_BUCKETS, "slot"), "slot"), values(table(WORD_BUCKETS, TAILS, "tail"), "tail"), priors
 
 
 def posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str]) -> DataFrame:
-    """id, text_hash, n_tokens, p0, p1, ... (one per domain) of every unit."""
+    """id, text_hash, n_tokens, p0, p1, ... (one per domain) of every unit.
+
+    A text's words become numbers (slot and tail) and their log likelihoods
+    are summed inside its row; no word is ever a row of its own.
+    """
     slots, tails, priors = _model(docs, labelled, domains)
-    words = _words(docs, F.col("id"), F.xxhash64("text").alias("text_hash"))
-    sums = (
-        words.join(F.broadcast(slots), "slot", "left")
-        .join(F.broadcast(tails), "tail", "left")
-        .groupBy("id", "text_hash")
-        .agg(
-            F.count_if(F.col("w") != "").alias("n_tokens"),
-            *(F.coalesce(F.sum(F.when(F.col("w") != "", F.col(f"slot{k}") + F.col(f"tail{k}"))), F.lit(0.0)).alias(f"s{k}") for k in range(1, len(domains))),
-        )
-    )
+    words = F.split(F.lower(F.coalesce(F.col("text"), F.lit(""))), _SPLIT)
+    features = F.transform(F.filter(words, lambda w: w != ""), lambda w: _slot(w) * TAILS + _tail(w))
+    coded = docs.select("id", F.xxhash64("text").alias("text_hash"), features.alias("features"))
+
+    def log_odds(k: int) -> Column:
+        one = lambda f: F.get(slots[k - 1], F.shiftright(f, 7)) + F.get(tails[k - 1], f.bitwiseAND(TAILS - 1))
+        return F.aggregate("features", F.lit(0.0), lambda total, f: total + one(f))
+
+    rows = coded.select("id", "text_hash", F.size("features").cast("long").alias("n"), *(log_odds(k).alias(f"s{k}") for k in range(1, len(domains))))
+    repeated = rows.groupBy("id", "text_hash").agg(F.sum("n").alias("n_tokens"), *(F.sum(f"s{k}").alias(f"s{k}") for k in range(1, len(domains))))
     scale = F.pow(F.greatest(F.col("n_tokens"), F.lit(1)).cast("double"), F.lit(TEMPER))
     # log odds against the first domain
-    sums = sums.withColumn("s0", F.lit(0.0))
+    sums = repeated.withColumn("s0", F.lit(0.0))
     logs = sums.select("id", "text_hash", "n_tokens", *((F.lit(priors[k]) + F.col(f"s{k}") * scale).alias(f"s{k}") for k in range(len(domains))))
     top = F.greatest(*(F.col(f"s{k}") for k in range(len(domains)))) if len(domains) > 1 else F.col("s0")
     odds = logs.select("id", "text_hash", "n_tokens", *(F.exp(F.col(f"s{k}") - top).alias(f"e{k}") for k in range(len(domains))))
@@ -119,15 +129,30 @@ def posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str]) -> Data
     return odds.select("id", "text_hash", "n_tokens", *((F.col(f"e{k}") / total).alias(f"p{k}") for k in range(len(domains))))
 
 
-def _rate(steps: list[list[float]]) -> Column:
-    """The rate after these gradients, from 1, kept in [0, MOST_RATE]."""
-    rate = F.lit(1.0)
+def _rate(start: Column, steps: list[list[float]]) -> Column:
+    """The rate after these steps, from ``start``, kept in [0, MOST_RATE]."""
+    rate = start
     for step in steps:
         move = sum((F.col(f"p{k}") * g for k, g in enumerate(step)), F.lit(0.0))
         rate = F.least(F.lit(MOST_RATE), F.greatest(F.lit(0.0), rate - move))
     return rate
 
 
+def solve(matrix: list[list[float]], right: list[float]) -> list[float]:
+    """``x`` with ``(matrix + a little of its mean diagonal) x = right``, by elimination (domains are few)."""
+    n = len(right)
+    ridge = RIDGE * (sum(matrix[k][k] for k in range(n)) / n or 1.0)
+    rows = [[*(x + (ridge if i == j else 0.0) for j, x in enumerate(row)), right[i]] for i, row in enumerate(matrix)]
+    for i in range(n):
+        pivot = max(range(i, n), key=lambda r: abs(rows[r][i]))
+        rows[i], rows[pivot] = rows[pivot], rows[i]
+        for r in range(n):
+            if r != i:
+                factor = rows[r][i] / rows[i][i]
+                rows[r] = [x - factor * y for x, y in zip(rows[r], rows[i], strict=True)]
+    return [rows[i][n] / rows[i][i] for i in range(n)]
+
+
 def fit_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text") -> Mix:
     """Rates of all units of ``docs``; ``labelled`` has id and domain, ``targets`` the weight of each domain."""
     domains = sorted(targets)
@@ -135,33 +160,39 @@ def fit_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], i
     if not domains or weight <= 0 or min(targets.values()) < 0:
         raise ValueError("targets are nonnegative weights, one at least above zero")
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    units = write_intermediate(posteriors(own, labelled.select(F.col(id_col).alias("id"), "domain"), domains), "mixing-units")
-
-    def totals(steps: list[list[float]]) -> list[float]:
-        rate = _rate(steps)
-        row = units.agg(
-            *(F.sum(rate * F.col("n_tokens") * F.col(f"p{k}")).alias(f"t{k}") for k in range(len(domains))),
-        ).first()
-        return [x or 0.0 for x in row]
-
-    mass = totals([])
-    everything = sum(mass)
+    units = posteriors(own, labelled.select(F.col(id_col).alias("id"), "domain"), domains).withColumn("rate", F.lit(1.0))
+    units = write_intermediate(units, "mixing-units")
+    n = len(domains)
+    # masses at rate 1, and how much one domain's mass moves when rates move along another's posteriors
+    row = units.agg(
+        *(F.sum(F.col("n_tokens") * F.col(f"p{k}")) for k in range(n)),
+        *(F.sum(F.col("n_tokens") * F.col(f"p{j}") * F.col(f"p{k}")) for j in range(n) for k in range(n)),
+    ).first()
+    now = [x or 0.0 for x in row[:n]]
+    gram = [[x or 0.0 for x in row[n + j * n : n + (j + 1) * n]] for j in range(n)]
+    everything = sum(now)
     goal = [everything * targets[d] / weight for d in domains]
-    steps: list[list[float]] = []
-    now = mass
-    moved = everything
+    taken, since, moved = 0, [], everything
 
     def gap(a: list[float], b: list[float]) -> float:
         return max(abs(x - y) for x, y in zip(a, b, strict=True))
 
-    while everything and len(steps) < MOST_STEPS and gap(now, goal) > TOLERANCE * everything and moved > TOLERANCE / 4 * everything:
-        steps.append([(a - b) / max(m, b, TOLERANCE * everything) for a, b, m in zip(now, goal, mass, strict=True)])
-        before, now = now, totals(steps)
+    while everything and taken < MOST_STEPS and gap(now, goal) > TOLERANCE * everything and moved > TOLERANCE / 100 * everything:
+        since.append(solve(gram, [a - b for a, b in zip(now, goal, strict=True)]))
+        taken += 1
+        if len(since) > STEPS_HELD:
+            # the rate so far becomes a column, so its expression keeps a fixed size
+            held = write_intermediate(units.withColumn("rate", _rate(F.col("rate"), since[:-1])), "mixing-units")
+            discard(units)
+            units, since = held, since[-1:]
+        rate = _rate(F.col("rate"), since)
+        row = units.agg(*(F.sum(rate * F.col("n_tokens") * F.col(f"p{k}")) for k in range(n))).first()
+        before, now = now, [x or 0.0 for x in row]
         moved = gap(before, now)
-    named = F.map_from_arrays(F.array(*(F.lit(d) for d in domains)), F.array(*(F.col(f"p{k}") for k in range(len(domains)))))
-    rates = units.select("id", "text_hash", "n_tokens", named.alias("posteriors"), _rate(steps).alias("rate"))
+    named = F.map_from_arrays(F.array(*(F.lit(d) for d in domains)), F.array(*(F.col(f"p{k}") for k in range(n))))
+    rates = units.select("id", "text_hash", "n_tokens", named.alias("posteriors"), _rate(F.col("rate"), since).alias("rate"))
     size = sum(now)
-    return Mix(rates, {d: x / size if size else 0.0 for d, x in zip(domains, now, strict=True)}, len(steps))
+    return Mix(rates, {d: x / size if size else 0.0 for d, x in zip(domains, now, strict=True)}, taken)
 
 
 def copies(rate: Column, *key: Column) -> Column:
