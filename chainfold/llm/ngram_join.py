@@ -15,9 +15,16 @@ extended until the combinations suffice. With ``e`` tokens a set may miss and
 ``a <= e`` rare tokens, ``2 (e - a) + f + 2`` frequent ones do, since a
 missing token breaks two neighbour pairs and an added one breaks one. So
 every linked pair of different sets shares a signature, and the number of
-signatures is linear in the set size. Candidates are first compared by a
-longer prefix, of which linked sets must share half, and what is left is
-verified on the whole sets.
+signatures is linear in the set size.
+
+Of two linked sets the smaller may miss far fewer tokens than the larger: half
+as many as a bound for both roles would say. Every set therefore has two lists
+of signatures, one as the smaller and one as the larger of a pair (sets of
+equal size are both), and a smaller meets larger ones only. Near copies of one
+text below the threshold mostly have enough tokens of their own to fill the
+smaller's list, and never meet. Candidates are first compared by a longer
+prefix, of which linked sets must share half, and what is left is verified on
+the whole sets.
 
 The frequency classes come from a hashed counter table over all shingles of
 all documents; its size is fixed (``COUNTERS``), so it is what gets sent to
@@ -70,27 +77,47 @@ def shingle_sets(offsets: np.ndarray, data: np.ndarray, shingle: int, lower: boo
                 yield row, grams[:0]
 
 
-def signatures(tokens: np.ndarray, counts: np.ndarray, frequent_from: int, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """(prefix of ``2 miss + 1`` tokens in the global order, signatures) of one set; ``counts``: the counter of each token.
+def misses(n: int, num: int, den: int) -> tuple[tuple[int, int], tuple[int, int]]:
+    """(tokens that a set of ``n`` may miss, tokens that its partner may add), as the smaller and as the larger of a linked pair."""
+    both = num + den
+    most, least = n * den // num, -(-n * num // den)
+    smaller = (n * (den - num) // both, (den * most - num * n) // both)
+    return smaller, ((den * n - num * least) // both, n * (den - num) // both)
+
 
-    A set with enough rare tokens has the first ``miss + 1`` tokens of its
-    prefix as signatures; none are returned then.
+def signatures(
+    tokens: np.ndarray, counts: np.ndarray, frequent_from: int, num: int, den: int
+) -> tuple[np.ndarray, np.ndarray, int, int]:
+    """(prefix, signatures, how many of them as the smaller, as the larger of a pair) of one set.
+
+    ``counts`` are the counters of the tokens. The prefix has the first ``2
+    miss + 1`` tokens in the global order, for the most that any partner
+    leaves out. The signatures as the smaller are the first of those as the
+    larger. A set with enough rare tokens has the first tokens of its prefix
+    as signatures; none are returned then.
     """
     n = len(tokens)
     miss = (den - num) * n // den
-    add = (den - num) * (n * den // num) // den
     often = counts >= frequent_from
     order = (often.astype(np.uint64) << np.uint64(63)) | (np.minimum(counts, (1 << 20) - 1).astype(np.uint64) << np.uint64(43)) | (tokens >> np.uint64(21))
     n_rare = n - int(np.count_nonzero(often))
-    if n_rare > miss:
-        least = np.argpartition(order, 2 * miss)[: 2 * miss + 1]
-        return tokens[least[np.argsort(order[least], kind="stable")]], tokens[:0]
-    ranked = tokens[np.argsort(order, kind="stable")]
-    need = n_rare + 2 * (miss - n_rare) + add + 2
-    frequent = ranked[n_rare:need]
+    roles = misses(n, num, den)
+    if n_rare > roles[1][0]:
+        keep = min(2 * miss, n - 1)
+        least = np.argpartition(order, keep)[: keep + 1]
+        ranked = tokens[least[np.argsort(order[least], kind="stable")]]
+    else:
+        ranked = tokens[np.argsort(order, kind="stable")]
+    (e_small, f_small), (e_large, f_large) = roles
+    prefix = ranked[: 2 * miss + 1]
+    if n_rare > e_large or n == 1:
+        return prefix, tokens[:0], e_small + 1, e_large + 1
+    frequent = ranked[n_rare : n_rare + 2 * (e_large - n_rare) + f_large + 2]
     with np.errstate(over="ignore"):
         pairs = B.mix(frequent[:-1] * np.uint64(0x9E3779B97F4A7C15) + B.mix(frequent[1:]))
-    return ranked[: 2 * miss + 1], np.concatenate([ranked[:n_rare], pairs])
+    sigs = np.concatenate([ranked[:n_rare], pairs])
+    n_small = e_small + 1 if n_rare > e_small else n_rare + 2 * (e_small - n_rare) + f_small + 1
+    return prefix, sigs, min(n_small, len(sigs)), len(sigs)
 
 
 def _counts(docs: DataFrame, text: str, shingle: int, lower: bool) -> np.ndarray:
@@ -111,7 +138,7 @@ def _counts(docs: DataFrame, text: str, shingle: int, lower: bool) -> np.ndarray
 
 
 def _sketches(docs: DataFrame, id_col: str, text: str, shingle: int, num: int, den: int, lower: bool) -> DataFrame:
-    """doc_id, n_shingles, set_id (hash of the set), prefix and sigs of every row."""
+    """doc_id, n_shingles, set_id (hash of the set), prefix, sigs, n_small and n_large (signatures by role) of every row."""
     counts = _counts(docs, text, shingle, lower)
     mean = counts.mean()
     frequent_from = int(mean + 32 + 6 * np.sqrt(mean))
@@ -121,21 +148,21 @@ def _sketches(docs: DataFrame, id_col: str, text: str, shingle: int, num: int, d
         table = shared.value
         for batch in batches:
             offsets, data = B.text_arrays(batch.column(1))
-            sizes, sets, prefixes, sigs = [], [], [], []
+            sizes, sets, lists = [], [], []
             for _, tokens in shingle_sets(offsets, data, shingle, lower):
                 sizes.append(len(tokens))
                 sets.append(B.whole(tokens))
-                found = signatures(tokens, table[tokens & np.uint64(COUNTERS - 1)], frequent_from, num, den) if len(tokens) else (tokens, tokens)
-                prefixes.append(found[0])
-                sigs.append(found[1])
-            ids = batch.column(0)
+                counters = table[tokens & np.uint64(COUNTERS - 1)]
+                lists.append(signatures(tokens, counters, frequent_from, num, den) if len(tokens) else (tokens, tokens, 0, 0))
+            arrays = [B.long_array([found[k] for found in lists]) for k in (0, 1)]
+            arrays += [pa.array([found[k] for found in lists], pa.int32()) for k in (2, 3)]
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(sizes, pa.int64()), pa.array(np.array(sets, np.uint64).view(np.int64)), B.long_array(prefixes), B.long_array(sigs)],
-                ["doc_id", "n_shingles", "set_id", "prefix", "sigs"],
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(np.array(sets, np.uint64).view(np.int64)), *arrays],
+                ["doc_id", "n_shingles", "set_id", "prefix", "sigs", "n_small", "n_large"],
             )
 
     return docs.select(F.col(id_col).cast("long"), text).mapInArrow(
-        sketch, "doc_id long, n_shingles long, set_id long, prefix array<long>, sigs array<long>"
+        sketch, "doc_id long, n_shingles long, set_id long, prefix array<long>, sigs array<long>, n_small int, n_large int"
     )
 
 
@@ -198,18 +225,23 @@ def near_duplicates(
     rows = sketch.where("n_shingles > 0 and doc_id is not null")
     nodes = write_intermediate(rows.groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n")), "ngram-nodes")
     first = nodes.select("set_id", F.col("rep").alias("doc_id"))
-    miss = F.floor(F.col("n_shingles") * (den - num) / den).cast("int")
-    own = F.when(F.size("sigs") > 0, F.col("sigs")).otherwise(F.slice("prefix", F.lit(1), miss + 1))
     # Each signature comes with the one before it, the first with the set's own number.
-    listed = rows.join(first, ["set_id", "doc_id"], "left_semi").select("set_id", F.col("n_shingles").alias("n"), own.alias("own"))
-    chain = F.arrays_zip(F.col("own").alias("token"), F.concat(F.array("set_id"), F.slice("own", F.lit(1), F.size("own") - 1)).alias("before"))
-    entries = listed.select("set_id", "n", F.inline(chain))
-    shared = entries.groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("token")
-    # Linked sets differ in size by at most den / num, so they meet in the size class of one of them or the next.
-    size_class = F.floor(F.log(F.col("n").cast("double")) / log(den / num)) if num < den else F.col("n")
-    sized = entries.join(shared, "token").withColumn("size_class", F.explode(F.array(size_class, size_class + 1)))
-    sized = write_intermediate(sized.select(F.xxhash64("token", "size_class").alias("sig"), "set_id", "n", "before"), "ngram-sized")
-    met = sized.groupBy("sig").agg(F.min("set_id").alias("lo"), F.max("set_id").alias("hi")).where("lo < hi").select("sig")
+    own = F.when(F.size("sigs") > 0, F.col("sigs")).otherwise(F.slice("prefix", F.lit(1), F.col("n_large")))
+    listed = rows.join(first, ["set_id", "doc_id"], "left_semi").select("set_id", F.col("n_shingles").alias("n"), "n_small", own.alias("own"))
+    small = F.transform("own", lambda _, at: at < F.col("n_small"))
+    chain = F.arrays_zip(
+        F.col("own").alias("token"), F.concat(F.array("set_id"), F.slice("own", F.lit(1), F.size("own") - 1)).alias("before"), small.alias("small")
+    )
+    # Of interest is a token that two sets have, one of them as the smaller.
+    told = listed.select(F.inline(F.arrays_zip(F.col("own").alias("token"), small.alias("small"))))
+    shared = told.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.max("small").alias("s")).where("m > 1 and s").select("token")
+    entries = listed.select("set_id", "n", F.inline(chain)).join(shared, "token")
+    # Linked sets differ in size by at most den / num, so a smaller meets larger ones of its own size class or the next.
+    size_class = (F.floor(F.log(F.col("n").cast("double")) / log(den / num)) if num < den else F.col("n")).cast("long")
+    sized = entries.withColumn("down", F.explode(F.array(F.lit(0), F.lit(1))))
+    sized = sized.select(F.xxhash64("token", size_class - F.col("down")).alias("sig"), "set_id", "n", "before", (F.col("small") & (F.col("down") == 0)).alias("small"))
+    sized = write_intermediate(sized, "ngram-sized")
+    met = sized.groupBy("sig").agg(F.min("set_id").alias("lo"), F.max("set_id").alias("hi"), F.max("small").alias("s")).where("lo < hi and s").select("sig")
     buckets = write_intermediate(sized.join(met, "sig"), "ngram-buckets")
     discard(sized)
 
@@ -234,10 +266,12 @@ def near_duplicates(
             met = named.join(apart.select("sig", F.col("p.set_id").alias("p"), F.col("p.label").alias("pl"), F.col("p.n").alias("pn")), "sig")
             met = met.where((F.col("label") != F.col("pl")) & close)
         else:
-            own = named.join(apart.select("sig"), "sig")
-            other = own.select("sig", F.col("set_id").alias("p"), F.col("label").alias("pl"), F.col("n").alias("pn"), F.col("before").alias("pb"))
+            left = named.join(apart.select("sig"), "sig")
+            own = left.where("small")
+            other = left.select("sig", F.col("set_id").alias("p"), F.col("label").alias("pl"), F.col("n").alias("pn"), F.col("before").alias("pb"))
             # A pair that also shares the signature before this one meets there.
-            new = (F.col("set_id") < F.col("p")) & (F.col("label") != F.col("pl")) & (F.col("before") != F.col("pb"))
+            ordered = (F.col("n") < F.col("pn")) | ((F.col("n") == F.col("pn")) & (F.col("set_id") < F.col("p")))
+            new = ordered & (F.col("label") != F.col("pl")) & (F.col("before") != F.col("pb"))
             met = own.join(other, "sig").where(new & close)
         pairs = met.select(F.least("set_id", "p").alias("a"), F.greatest("set_id", "p").alias("b")).distinct()
         found = _links(pairs, prefixes, sets_of, num, den)
