@@ -13,11 +13,11 @@ of a short text, and under ``LEAST_JUDGED`` words the distances decide nothing
 (minimum-length guard). ``class_distance`` and ``word_distance`` are the
 smallest over all references.
 
-The common words are found by lossy counting: a task drops words under
-1 / ``KEEP_SHARE`` of its words, so a total is short by that share at most,
-far below a common word's share. Only these few numbers of each language
-reach the driver and go back to the tasks; every language has a reference,
-and the time of a document grows with the number of languages.
+Words are counted exactly, by hash, with partial sums in the tasks. Only the
+common ones of each language reach the driver and go back to the tasks; every
+language has a reference, and the time of a document grows with the number of
+languages. Documents of a language without a reference (no word but marks in
+all its texts) are not judged.
 
 Edge cases: null and empty texts have no words and fail the base rules; rows
 are judged one by one, so repeated ids and rows are kept or dropped alike;
@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,13 +36,13 @@ from pyspark.sql import types as T
 from chainfold.llm import blocks as B
 
 TOP_WORDS = 64
-KEEP_SHARE = 10_000
 LEAST_JUDGED = 40
 WORD_FLOOR, WORD_SLACK = 0.24, 1.5
 CLASS_FLOOR, CLASS_SLACK = 0.16, 0.9
 SHARE_FLOOR, SHARE_SLACK = 0.06, 1.7  # the slack is four standard deviations of a share of 0.31
 REPEAT_WINDOW = 8
 
+_CLASS_ITEM, _SIZE_ITEM, _WORD_ITEM = 0, 1, 2
 _CLASSES = 8
 _CLASS = np.full(256, 7, np.uint8)
 _CLASS[97:123], _CLASS[65:91], _CLASS[48:58] = 0, 1, 3
@@ -129,74 +130,54 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
             langs = batch.column(0).dictionary_encode()
             code = langs.indices.fill_null(-1).to_numpy()
             names = langs.dictionary.to_pylist()
-            found: dict[tuple[str, str], int] = {}
-            pools: dict[int, list] = {k: [] for k in range(len(names))}
+            found: list[tuple[str, int, np.ndarray, np.ndarray]] = []
             for i, j in B.spans(offsets):
                 part, cut = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
                 words = B.split_words(cut, part, True)
                 classes = class_counts(cut, part)
                 owner = np.repeat(code[i:j], np.diff(words.bounds))
+                marks = np.append(0, np.cumsum(_ASCII_MARK[words.data]))
+                is_word = marks[words.ends] - marks[words.starts] < words.ends - words.starts
                 for k in np.unique(code[i:j]):
                     if k < 0:
                         continue
-                    for c, n in enumerate(classes[code[i:j] == k].sum(0).tolist()):
-                        key = (names[k], f"class {c}")
-                        found[key] = found.get(key, 0) + n
                     own = owner == k
-                    hashes, first, n = np.unique(words.hashes[own], return_index=True, return_counts=True)
-                    many = np.argsort(-n)[: KEEP_SHARE]
-                    at = np.flatnonzero(own)[first[many]]
-                    pools[k].append((hashes[many], n[many], [words.data[s:e].tobytes().decode("utf-8", "replace") for s, e in zip(words.starts[at], words.ends[at], strict=True)], int(own.sum())))
-            for k, parts in pools.items():
-                total: dict[str, int] = {}
-                size = sum(p[3] for p in parts)
-                for _, n, texts, _ in parts:
-                    for w, c in zip(texts, n.tolist(), strict=True):
-                        total[w] = total.get(w, 0) + c
-                found[(names[k], "words")] = size
-                for w, c in total.items():
-                    if c * KEEP_SHARE >= size and not _ASCII_MARK[np.frombuffer(w.encode(), np.uint8)].all():
-                        found[(names[k], "w " + w)] = c
-            rows = list(found.items())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k, _ in rows], pa.string()), pa.array([k[1] for k, _ in rows], pa.string()), pa.array([n for _, n in rows], pa.int64())],
-                ["lang", "item", "n"],
-            )
+                    found.append((names[k], _CLASS_ITEM, np.arange(_CLASSES), classes[code[i:j] == k].sum(0)))
+                    found.append((names[k], _SIZE_ITEM, np.zeros(1, np.int64), np.array([own.sum()])))
+                    hashes, n = np.unique(words.hashes[own & is_word], return_counts=True)
+                    found.append((names[k], _WORD_ITEM, hashes.view(np.int64), n))
+            columns = [
+                pa.array([f[0] for f in found], pa.string()).take(pa.array(np.repeat(np.arange(len(found)), [len(f[2]) for f in found]))),
+                pa.array(np.repeat(np.array([f[1] for f in found], np.int32), [len(f[2]) for f in found])),
+                *(pa.array(np.concatenate([np.zeros(0, np.int64), *(f[c] for f in found)])) for c in (2, 3)),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "kind", "key", "n"])
 
     counts = (
         docs.select(F.col(lang_col).cast("string"), text_col)
-        .mapInArrow(count, "lang string, item string, n long")
-        .groupBy("lang", "item")
+        .mapInArrow(count, "lang string, kind int, key long, n long")
+        .groupBy("lang", "kind", "key")
         .agg(F.sum("n").alias("n"))
     )
-    rank = F.row_number().over(Window.partitionBy("lang", "is_word").orderBy(F.desc("n"), "item"))
-    top = (
-        counts.withColumn("is_word", F.col("item").startswith("w "))
-        .withColumn("rank", rank)
-        .where(F.col("rank") <= TOP_WORDS)
-        .collect()
-    )
+    rank = F.row_number().over(Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "key"))
+    top = counts.withColumn("rank", rank).where(F.col("rank") <= TOP_WORDS).collect()
     out: dict[str, dict] = {}
     for row in top:
-        out.setdefault(row["lang"], {"classes": np.zeros(_CLASSES), "words": {}, "size": 0})
-        own = out[row["lang"]]
-        if row["is_word"]:
-            own["words"][row["item"][2:]] = row["n"]
-        elif row["item"] == "words":
+        own = out.setdefault(row["lang"], {"lang": row["lang"], "classes": np.zeros(_CLASSES), "words": {}, "size": 0})
+        if row["kind"] == _WORD_ITEM:
+            own["words"][row["key"]] = row["n"]
+        elif row["kind"] == _SIZE_ITEM:
             own["size"] = row["n"]
         else:
-            own["classes"][int(row["item"][6:])] = row["n"]
+            own["classes"][row["key"]] = row["n"]
     refs = []
     for own in sorted(out.values(), key=lambda r: -r["size"]):
         if own["size"] and own["words"]:
-            words = sorted(own["words"])
-            pieces = [w.encode() for w in words]
-            sizes = np.array([len(p) for p in pieces], np.int64)
-            hashes = B.hash_runs(np.frombuffer(b"".join(pieces), np.uint8), np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes)
-            n = np.array([own["words"][w] for w in words], float)
+            hashes = np.array(list(own["words"]), np.int64).view(np.uint64)
+            n = np.array(list(own["words"].values()), float)
             order = np.argsort(hashes)
             shares = np.append(n[order], max(0, own["size"] - n.sum())) / own["size"]
-            refs.append({"classes": own["classes"] / own["classes"].sum(), "words": hashes[order], "shares": shares})
+            refs.append({"lang": own["lang"], "classes": own["classes"] / own["classes"].sum(), "words": hashes[order], "shares": shares})
     return refs
 
 
@@ -208,8 +189,8 @@ MEASURES = T.StructType(
 )
 
 
-def measure_block(offsets: np.ndarray, data: np.ndarray, refs: list[dict]) -> dict[str, np.ndarray]:
-    """The fields of MEASURES for the documents of a block."""
+def measure_block(offsets: np.ndarray, data: np.ndarray, refs: list[dict], known: np.ndarray | None = None) -> dict[str, np.ndarray]:
+    """The fields of MEASURES for the documents of a block; ``known`` tells whose language has a reference or is null."""
     offsets = offsets - offsets[0]
     n = len(offsets) - 1
     words = B.split_words(offsets, data)
@@ -231,7 +212,7 @@ def measure_block(offsets: np.ndarray, data: np.ndarray, refs: list[dict]) -> di
         by_word, by_class = np.minimum(by_word, word), np.minimum(by_class, of_class)
         within = (word <= WORD_FLOOR + WORD_SLACK * chance) & (of_class <= CLASS_FLOOR + CLASS_SLACK * chance)
         near |= within & (common <= SHARE_FLOOR + SHARE_SLACK * chance)
-    judged = (n_words >= LEAST_JUDGED) & bool(refs)
+    judged = (n_words >= LEAST_JUDGED) & bool(refs) & (True if known is None else known)
     return {
         "n_words": n_words,
         "word_chars": classes.sum(1) - classes[:, 2],
@@ -250,13 +231,15 @@ def measure(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", out
     refs = references(docs, text_col, lang_col)
     rows = docs.drop(out_col)
     names = rows.columns
-    place = names.index(text_col)
+    place, lang_place = names.index(text_col), names.index(lang_col)
+    has_reference = pa.array([None, *(r["lang"] for r in refs)], pa.string())
 
     def run(batches):
         for batch in batches:
             offsets, data = B.text_arrays(batch.column(place))
+            known = np.asarray(pc.is_in(batch.column(lang_place).cast(pa.string()), has_reference))
             for i, j in B.spans(offsets):
-                found = measure_block(offsets[i : j + 1], data[offsets[i] : offsets[j]], refs)
+                found = measure_block(offsets[i : j + 1], data[offsets[i] : offsets[j]], refs, known[i:j])
                 struct = pa.StructArray.from_arrays([pa.array(v) for v in found.values()], list(found))
                 yield pa.RecordBatch.from_arrays([batch.column(k).slice(i, j - i) for k in range(len(names))] + [struct], [*names, out_col])
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -67,13 +68,31 @@ def test_distances_against_a_plain_version(spark):
         assert q["class_distance"] == pytest.approx(best[0], abs=1e-9) and q["word_distance"] == pytest.approx(best[1], abs=1e-9)
 
 
-def test_reference_counts_match_the_corpus(spark):
+def test_reference_counts_are_exact(spark):
     frame = spark.read.parquet(f"{CHECK_DIR}/documents.parquet")
-    english = [w for r in frame.where("lang = 'en'").collect() for w in WORD.findall(r["text"].lower())]
-    ref = max(Q.references(frame), key=lambda r: r["size"] if "size" in r else 0)
-    sizes = [abs((1 - r["shares"][-1]) - 0) for r in Q.references(frame)]
-    assert len(english) and all(0 < s < 1 for s in sizes)
-    assert len(ref["words"]) == len(ref["shares"]) - 1 <= Q.TOP_WORDS
+    rows = [(r["lang"], r["text"]) for r in frame.collect()]
+    for ref in Q.references(frame.repartition(13)):
+        words = [w for lang, t in rows if lang == ref["lang"] for w in WORD.findall(t.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))]
+        counts = Counter(w for w in words if not (w.isascii() and not any(c.isalnum() for c in w)))
+        common = sorted(counts.values(), reverse=True)[: Q.TOP_WORDS]
+        assert sorted(ref["shares"][:-1], reverse=True) == pytest.approx([n / len(words) for n in common], abs=1e-12)
+        assert ref["shares"].sum() == pytest.approx(1)
+
+
+@pytest.mark.parametrize("n", [50, 400])
+def test_a_language_without_common_words_stays(spark, n):
+    """One "word" a clause, none of them common: more documents don't lose the language its reference."""
+    rnd = random.Random(5)
+    english = [w for w in "the of and a in to it is was that for on are with as at be this have from".split()]
+    signs = [chr(c) for c in range(0x4E00, 0x4E00 + 600)]
+    clause = lambda: "".join(rnd.choice(signs) for _ in range(rnd.randint(6, 12))) + "，"
+    rows = [(i, " ".join(clause() for _ in range(60)), "zh") for i in range(n)]
+    rows += [(10_000 + i, " ".join(rnd.choice(english) for _ in range(120)), "en") for i in range(60)]
+    rows += [(20_000, " ".join("-" * rnd.randint(1, 9) for _ in range(200)) + " ??", "marks")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r["doc_id"] for r in Q.keep_good(docs.repartition(3)).select("doc_id").collect()}
+    assert {i for i, _, lang in rows if lang == "zh"} <= kept
+    assert kept == {r["doc_id"] for r in Q.keep_good(docs.coalesce(1)).select("doc_id").collect()}
 
 
 def test_clean_documents_stay_and_junk_goes(spark):
