@@ -21,7 +21,9 @@ end exclusive. The patterns are possessive and start at ``\\G`` or outside
 their own character class, which finds the same matches as plain ones in
 linear time and without recursion.
 
-Only rows with an entity are written out and joined, one of each text. The
+Only rows with an entity are written out and joined, one of each text.
+Entities that occur in the same texts are counted as one, so a list of
+thousands that stand in one text is one partner of that text's terms. The
 document frequency is one pass over all words; the words of a text with n
 copies count 1 / n, so that partial sums give different texts. A pair is
 counted only if it could tell with every possible meeting, which drops no
@@ -42,7 +44,8 @@ from chainfold.storage import write_intermediate
 REMOVE_FROM = 0.95
 GENERALISE_FROM = 0.85
 SMOOTH = 0.5
-LEAST_TEXTS = 3  # no floor here: the brute-force test on 71 texts takes it, where the discount has the same effect
+#: Matches whose positions are summed at once.
+RUN = 256
 
 _SPACE = r"[\x20\x09-\x0D]"
 _TRIM = ".,;:!?\"'()[]{}*#$%&|<>-"
@@ -74,7 +77,7 @@ def _positions(text: Column, pattern: str) -> Column:
     found = F.regexp_extract_all(text, F.lit(pattern), 0)
     gaps = F.split(text, pattern, -1)
     steps = F.zip_with(F.slice(gaps, 1, F.size(found)), found, lambda g, m: F.struct(F.length(g).alias("gap"), m.alias("value")))
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,value:string>>").alias("out"))
+    none = F.array().cast("array<struct<start:int,end:int,value:string>>")
 
     def add(state: Column, step: Column) -> Column:
         start = state.getField("at") + step.getField("gap")
@@ -82,7 +85,18 @@ def _positions(text: Column, pattern: str) -> Column:
         span = F.struct(start.alias("start"), end.alias("end"), step.getField("value").alias("value"))
         return F.struct(end.alias("at"), F.array_append(state.getField("out"), span).alias("out"))
 
-    return F.aggregate(steps, begin, add, lambda s: s.getField("out"))
+    # An array grows by copying, so positions are summed in runs, from where the runs before end.
+    last = F.greatest(F.ceil(F.size(found) / RUN).cast("int") - 1, F.lit(0))
+    runs = F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(steps, k * RUN + 1, F.lit(RUN)))
+    ends = F.transform(runs, lambda run: F.aggregate(run, F.lit(0), lambda n, step: n + step.getField("gap") + F.length(step.getField("value"))))
+    starts = F.aggregate(ends, F.array(F.lit(0)), lambda out, n: F.array_append(out, F.element_at(out, -1) + n))
+    return F.flatten(
+        F.zip_with(
+            runs,
+            F.slice(starts, F.lit(1), F.size(runs)),
+            lambda run, at: F.aggregate(run, F.struct(at.alias("at"), none.alias("out")), add, lambda s: s.getField("out")),
+        )
+    )
 
 
 def _kind_spans(text: Column, kind: str, test: str, pattern: str) -> Column:
@@ -137,9 +151,13 @@ def _disclosing_terms(docs: DataFrame, hits: DataFrame, firsts: DataFrame, text_
     """text_hash, term, disclosure (the largest of the text's entities) at or above the lower threshold."""
     entities = hits.select("text_hash", F.explode("spans").alias("s")).select("text_hash", F.concat_ws(":", "s.kind", F.lower("s.value")).alias("entity"))
     entities = write_intermediate(entities.distinct(), "pii-entities")
-    counts = entities.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
+    # Entities of the same texts give the same counts with every term: they are one, whatever their number in a text.
+    where = F.xxhash64("text_hash").cast("decimal(20,0)"), F.xxhash64(F.lit("second"), "text_hash").cast("decimal(20,0)")
+    counts = entities.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"), F.sum(where[0]).alias("one"), F.sum(where[1]).alias("two"))
+    counts = counts.select("entity", "n_entity", F.xxhash64("n_entity", "one", "two").alias("class"))
+    entities = write_intermediate(entities.join(counts, "entity").select("text_hash", F.col("class").alias("entity"), "n_entity").distinct(), "pii-classes")
     frequency, size = _frequency(docs, text_col)
-    most = counts.agg(F.max("n_entity")).first()[0] or 0
+    most = entities.agg(F.max("n_entity")).first()[0] or 0
 
     def disclosure(n_both: Column) -> Column:
         shared = F.log(n_both * float(size) / ((F.col("n_term") + SMOOTH) * (F.col("n_entity") + SMOOTH)))
@@ -149,7 +167,7 @@ def _disclosing_terms(docs: DataFrame, hits: DataFrame, firsts: DataFrame, text_
     bound = max(most, size ** (1 - GENERALISE_FROM) * most**GENERALISE_FROM) + 1
     rarer = write_intermediate(frequency.where(F.col("n_term") <= bound), "pii-frequency")
     words = hits.join(firsts, "row", "left_semi").select("text_hash", F.explode(_terms(F.col("text"))).alias("term")).join(rarer, "term")
-    sized = entities.join(counts, "entity").where(F.col("n_entity") < size)
+    sized = entities.where(F.col("n_entity") < size)
     able = disclosure(F.least("n_term", "n_entity")) >= GENERALISE_FROM
     pairs = write_intermediate(words.join(sized, "text_hash").where(able), "pii-pairs")
     telling = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"), F.first("n_term").alias("n_term"), F.first("n_entity").alias("n_entity"))

@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -73,8 +74,9 @@ def plain_terms(rows):
     for docs in entities.values():
         for term in {w for i in docs for w in words[i]}:
             both = [i for i in docs if term in words[i]]
-            if len(both) >= pii.LEAST_TEXTS and len(docs) < n:
-                share = math.log(len(both) * n / (sum(term in w for w in words.values()) * len(docs))) / math.log(n / len(docs))
+            if both and len(docs) < n:
+                single = (sum(term in w for w in words.values()) + pii.SMOOTH) * (len(docs) + pii.SMOOTH)
+                share = math.log(len(both) * n / single) / math.log(n / len(docs))
                 if share >= pii.GENERALISE_FROM:
                     for i in both:
                         out.setdefault(i, set()).add(term)
@@ -127,3 +129,18 @@ def test_telling_terms_anywhere_in_the_document(spark):
         terms = [text[s["start"] : s["end"]] for s in found[i] if s["kind"] == "term"]
         assert terms[:2] == ["Zabrinsky", "(zabrinsky),"] and "the" not in terms
     assert found[500] == []
+
+
+def test_a_text_with_thousands_of_entities(spark):
+    """Linear in the matches, and entities of the same texts count once."""
+    many = " ".join(f"u{i}@h{i % 7}.example.org" for i in range(20_000))
+    names = " ".join(f"Name{i}" for i in range(2000))
+    rows = [(i, f"the and of to in with filler{i} words") for i in range(300)] + [(900, f"{many} {names}"), (901, "the u1@h1.example.org Name1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    started = time.monotonic()
+    found = {r["doc_id"]: r["spans"] for r in pii.find(docs).collect()}
+    assert time.monotonic() - started < 120
+    text = dict(rows)[900]
+    emails = [s for s in found[900] if s["kind"] == "email"]
+    assert [text[s["start"] : s["end"]] for s in emails] == many.split(" ")
+    assert sum(s["kind"] == "term" for s in found[900]) >= 1999
