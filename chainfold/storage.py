@@ -11,6 +11,7 @@ back afterwards.
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -35,13 +36,19 @@ def shuffle_cleanup(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(_CLEANUP, before)
 
 
+# Folder of every frame that write_intermediate has returned and that is still in use.
+_FOLDERS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
 def write_intermediate(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the checkpoint folder and read it back."""
     spark = df.sparkSession
     path = scratch_dir(spark, name)
     with shuffle_cleanup(spark):
         df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _FOLDERS[out] = path
+    return out
 
 
 def discard(df: DataFrame) -> None:
@@ -50,9 +57,7 @@ def discard(df: DataFrame) -> None:
     Only for tables whose readers have all run; a frame that still reads
     them would fail.
     """
-    spark = df.sparkSession
-    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if "/chainfold/" in folder:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(conf).delete(path, True)
+    spark, folder = df.sparkSession, _FOLDERS.pop(df, None)
+    if folder:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
