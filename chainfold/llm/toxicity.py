@@ -163,7 +163,9 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
     # at most 4 * SAMPLE_PER_CLASS ids, so the documents need no shuffle
     wanted = F.broadcast(picked[0].unionByName(picked[1]))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where(F.octet_length("text") <= SAMPLE_BYTES)
-    found = write_intermediate(texts.join(wanted, "id").dropDuplicates(["id"]), "toxicity-sample")
+    # of the rows of one id: label 1 before 0, then one text in a fixed order, so that equal tables give one model
+    one = F.max(F.struct("label", F.xxhash64("text").alias("hash"), "text")).alias("one")
+    found = write_intermediate(texts.join(wanted, "id").groupBy("id").agg(one).select("id", "one.label", "one.text"), "toxicity-sample")
     parts = [found.where(F.col("label") == k).orderBy(F.xxhash64("id"), "id").limit(SAMPLE_PER_CLASS).toArrow() for k in (0, 1)]
     sample = pa.concat_tables(parts)
     return train(sample["text"].combine_chunks(), sample["label"].to_numpy().astype(np.int64), prior)

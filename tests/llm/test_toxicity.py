@@ -71,3 +71,16 @@ def test_no_labels_and_empty_table(spark):
     model = X.fit(docs, labels, F.lit(True))
     assert all(r["score"] < 1e-5 for r in X.score(docs, model).collect())
     assert X.score(docs.limit(0), model).collect() == []
+
+
+def test_repeated_ids_give_one_model_in_any_order(spark):
+    rnd = random.Random(8)
+    rows = [(i % 60, " ".join(rnd.choice(["good", "fine", "awful", "nasty"]) for _ in range(12))) for i in range(180)]
+    labels = [(i, int(i % 3 == 0)) for i in range(60)] + [(i, 1) for i in range(0, 60, 7)]
+    models = []
+    for seed in (1, 2):
+        random.Random(seed).shuffle(rows)
+        random.Random(seed).shuffle(labels)
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(seed + 1)
+        models.append(X.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), F.lit(True)))
+    assert np.array_equal(models[0].weight, models[1].weight) and models[0].bias == models[1].bias
