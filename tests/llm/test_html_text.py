@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import html
 import re
+import time
 
 import pyarrow.parquet as pq
 import pytest
@@ -38,6 +39,11 @@ def test_supplied_pages_against_their_article(spark):
         ("<article><p>one</p></article><p>out</p><article><p>two</p></article>", "one two"),
         ("<p>unclosed <b>bold", "unclosed bold"),
         ("a < b and c > d &unknown; &#x41;", "a < b and c > d &unknown; A"),
+        (f"<div class='side-by-side'><p>{LONG}</p></div><p>short</p>", f"{LONG} short"),
+        (f"<div id='legal-news'><p>{LONG}</p></div><div class='legal-notice'>{LONG}</div>", LONG),
+        (f"<p>{LONG}</p><p><a href=x>A paragraph of the article that is one link.</a></p><p>{LONG}</p>", f"{LONG} A paragraph of the article that is one link. {LONG}"),
+        (f"<p>{LONG}</p><div class=share-bar>no</div><p>the short end</p>", f"{LONG} the short end"),
+        (f"<ul><li><a href=a>one</a><li><a href=b>two</a></ul><p>{LONG}</p><ul><li><a href=a>one</a><li><a href=b>two</a></ul>", LONG),
     ],
 )
 def test_pages(page, text):
@@ -48,6 +54,10 @@ def test_long_page_and_many_open_tags():
     page = "<div>" * 3000 + "<p>" + "word " * 200_000 + "</p>"
     assert len(main_text(page)) == 5 * 200_000 - 1
     assert main_text("<a " * 20_000).startswith("<a")
+    started = time.monotonic()
+    for broken in ("<div>" * 20_000 + "</x>" * 20_000, "<head>" * 20_000, "<b><i>" * 10_000 + "</b></u>" * 10_000, "<style>a</style>" * 20_000):
+        assert main_text(broken + "<p>end") == "end"
+    assert time.monotonic() - started < 10
 
 
 def test_columns_and_empty_table(spark):
@@ -74,3 +84,24 @@ def test_article_elements_that_are_teasers_or_quotes():
     assert f"{LONG} One. {LONG} Two. {LONG} Three." in main_text(plain + body)
     quoted = f"<div><p>{LONG} One.</p><article><p>A quoted post</p></article><p>{LONG} Two.</p></div>"
     assert main_text(quoted) == f"{LONG} One. A quoted post {LONG} Two."
+
+
+def test_regions_against_a_plain_version():
+    """Surge and dive points of the windows' sums, by trying every stretch."""
+    import random
+
+    from chainfold.llm.html_text import WINDOW, regions_of
+
+    rnd = random.Random(3)
+    for _ in range(300):
+        sizes = [rnd.choice([0, 0, 0, 5, 60]) for _ in range(rnd.randint(0, 25))]
+        counted = [i for i, n in enumerate(sizes) if n]
+        groups: list[list[int]] = []
+        for i in counted:
+            if groups and i - groups[-1][-1] <= WINDOW:
+                groups[-1].append(i)
+            else:
+                groups.append([i])
+        sums = {i: sum(sizes[i : i + WINDOW]) for i in range(len(sizes))}
+        want = [(g[0], g[-1] + 1, max(sums[i] for i in range(max(0, g[0] - WINDOW + 1), g[-1] + 1))) for g in groups]
+        assert regions_of(sizes) == want
