@@ -33,11 +33,13 @@ token to the frequent class and never loses a link.
 
 Hot groups: equal sets are one node, so copies are never expanded. A bucket
 of a signature is first compared with one pivot per round, and members that
-already share a component are not compared again; what is still apart after
-the pivot rounds is compared in full, once for a run of common signatures.
-That last step is quadratic in texts that are near each other but not linked
-(similarities just below the threshold within one group): being exact, it has
-to look at each of their pairs.
+already share a component are not compared again. What is still apart in
+larger buckets is compared by what it differs in from the bucket's pivot:
+two sets differ in as many tokens as their differences from the pivot do, so
+those near the pivot link only if they share a difference, or if one of them
+links to the nearest of all by size alone (then both do). Near copies of one
+text that differ in other places don't meet. The other pairs of a bucket are
+compared in full, once for a run of common signatures.
 
 Null ids: such rows get their ``n_shingles`` and a null component, and link
 with nothing. Null or empty texts are empty sets. Rows that repeat an id are
@@ -51,7 +53,7 @@ from math import log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chainfold.llm import blocks as B
@@ -60,6 +62,9 @@ from chainfold.storage import discard, write_intermediate
 
 COUNTERS = 1 << 18
 PIVOT_ROUNDS = 2
+#: Members of a pivot from which they are compared by their differences, and how many times the linking one these may be.
+LEAST_AROUND = 16
+NEAR_TIMES = 3
 
 
 def shingle_sets(offsets: np.ndarray, data: np.ndarray, shingle: int, lower: bool) -> Iterator[tuple[int, np.ndarray]]:
@@ -125,8 +130,8 @@ def _counts(docs: DataFrame, text: str, shingle: int, lower: bool) -> np.ndarray
         total = np.zeros(COUNTERS, np.int64)
         for batch in batches:
             offsets, data = B.text_arrays(batch.column(0))
-            found = [s for _, s in shingle_sets(offsets, data, shingle, lower)]
-            if found:
+            for i, j in B.spans(offsets):
+                found = [s for _, s in shingle_sets(offsets[i : j + 1] - offsets[i], data[offsets[i] : offsets[j]], shingle, lower)]
                 total += np.bincount(np.concatenate(found) & np.uint64(COUNTERS - 1), minlength=COUNTERS)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["slot", "n"])
@@ -148,18 +153,19 @@ def _sketches(docs: DataFrame, id_col: str, text: str, shingle: int, num: int, d
         table = shared.value
         for batch in batches:
             offsets, data = B.text_arrays(batch.column(1))
-            sizes, sets, lists = [], [], []
-            for _, tokens in shingle_sets(offsets, data, shingle, lower):
-                sizes.append(len(tokens))
-                sets.append(B.whole(tokens))
-                counters = table[tokens & np.uint64(COUNTERS - 1)]
-                lists.append(signatures(tokens, counters, frequent_from, num, den) if len(tokens) else (tokens, tokens, 0, 0))
-            arrays = [B.long_array([found[k] for found in lists]) for k in (0, 1)]
-            arrays += [pa.array([found[k] for found in lists], pa.int32()) for k in (2, 3)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(np.array(sets, np.uint64).view(np.int64)), *arrays],
-                ["doc_id", "n_shingles", "set_id", "prefix", "sigs", "n_small", "n_large"],
-            )
+            for i, j in B.spans(offsets):
+                sizes, sets, lists = [], [], []
+                for _, tokens in shingle_sets(offsets[i : j + 1] - offsets[i], data[offsets[i] : offsets[j]], shingle, lower):
+                    sizes.append(len(tokens))
+                    sets.append(B.whole(tokens))
+                    counters = table[tokens & np.uint64(COUNTERS - 1)]
+                    lists.append(signatures(tokens, counters, frequent_from, num, den) if len(tokens) else (tokens, tokens, 0, 0))
+                arrays = [B.long_array([found[k] for found in lists]) for k in (0, 1)]
+                arrays += [pa.array([found[k] for found in lists], pa.int32()) for k in (2, 3)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(i, j - i), pa.array(sizes, pa.int64()), pa.array(np.array(sets, np.uint64).view(np.int64)), *arrays],
+                    ["doc_id", "n_shingles", "set_id", "prefix", "sigs", "n_small", "n_large"],
+                )
 
     return docs.select(F.col(id_col).cast("long"), text).mapInArrow(
         sketch, "doc_id long, n_shingles long, set_id long, prefix array<long>, sigs array<long>, n_small int, n_large int"
@@ -209,6 +215,51 @@ def _links(pairs: DataFrame, prefixes: DataFrame, sets_of: Callable[[DataFrame],
     return links
 
 
+def _around_pivots(members: DataFrame, sets_of: Callable[[DataFrame], DataFrame], num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """(pivot, set_id of the members near a pivot; the links (a, b) among them that join components).
+
+    ``members`` has pivot, set_id, label and n. With ``d(x)`` the symmetric
+    difference of ``x`` and the pivot, ``x`` and ``y`` differ in ``|d(x)| +
+    |d(y)| - 2 |d(x) & d(y)|`` tokens, and link up to ``(n(x) + n(y)) (den -
+    num) / (den + num)``.
+    """
+    many = members.groupBy("pivot").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > LEAST_AROUND).select("pivot")
+    members = members.join(many, "pivot")
+    sets = write_intermediate(sets_of(members.select(F.explode(F.array("set_id", "pivot")).alias("set_id")).distinct()), "ngram-sets")
+    pivots = sets.select(F.col("set_id").alias("pivot"), F.col("tokens").alias("of_pivot"))
+    apart = F.concat(F.array_except("tokens", "of_pivot"), F.array_except("of_pivot", "tokens"))
+    size = F.size("d").cast("long")
+    near = members.join(sets, "set_id").join(pivots, "pivot").select("pivot", "set_id", "label", "n", apart.alias("d"))
+    near = near.where(size * (den + num) <= NEAR_TIMES * F.col("n") * (den - num))
+    near = write_intermediate(near.withColumn("size", size).withColumn("over", size * (den + num) - F.col("n") * (den - num)), "ngram-around")
+    discard(sets)
+    # two sets link by size alone if their overs add up to 0 at most, and then both link to the least of all
+    least = near.groupBy("pivot").agg(F.min(F.struct("over", "set_id")).alias("least"))
+    star = near.join(least, "pivot").where((F.col("over") + F.col("least.over") <= 0) & (F.col("set_id") != F.col("least.set_id")))
+    by_size = star.select(F.col("least.set_id").alias("p"), "set_id")
+    # The others share differences. Ordered by ``over``, the lower of a pair shares ``over / (den + num)`` of its own
+    # with the upper at least, the upper half of its and the least over: prefixes in a common order, rare ones first.
+    tokens = near.select("pivot", F.explode("d").alias("token"), "set_id", "label", "over", "size")
+    often = tokens.groupBy("pivot", "token").agg(F.count(F.lit(1)).alias("m"))
+    ranked = tokens.join(often, ["pivot", "token"]).withColumn("at", F.row_number().over(Window.partitionBy("pivot", "set_id").orderBy("m", "token")))
+    floor = near.where("size > 0").groupBy("pivot").agg(F.min("over").alias("floor"))
+    at_least = lambda over, by: F.greatest(F.lit(1), F.ceil(over / by))
+    lower = F.col("at") <= F.col("size") - at_least(F.col("over"), den + num) + 1
+    upper = F.col("at") <= F.col("size") - at_least(F.col("over") + F.col("floor"), 2 * (den + num)) + 1
+    kept = ranked.where("m > 1").join(floor, "pivot").where(upper).select("pivot", "token", "set_id", "label", "over", lower.alias("lower"))
+    kept = write_intermediate(kept, "ngram-differences")
+    other = kept.select("pivot", "token", F.col("set_id").alias("p"), F.col("label").alias("p_label"), F.col("over").alias("p_over"))
+    below = F.struct("over", "set_id") < F.struct(F.col("p_over"), F.col("p"))
+    met = kept.where("lower").join(other, ["pivot", "token"]).where(below & (F.col("label") != F.col("p_label"))).select("pivot", "set_id", "p").distinct()
+    own = near.select("pivot", "set_id", "d", "n", "size")
+    held = met.join(own, ["pivot", "set_id"]).join(own.select("pivot", *(F.col(c).alias(k) for c, k in (("set_id", "p"), ("d", "p_d"), ("n", "p_n"), ("size", "p_size")))), ["pivot", "p"])
+    differ = F.col("size") + F.col("p_size") - 2 * F.size(F.array_intersect("d", "p_d"))
+    by_tokens = held.where(differ * (den + num) <= (F.col("n") + F.col("p_n")) * (den - num)).select("p", "set_id")
+    both = by_size.unionByName(by_tokens)
+    links = both.select(F.least("set_id", "p").alias("a"), F.greatest("set_id", "p").alias("b")).distinct()
+    return near.select("pivot", "set_id"), write_intermediate(links, "ngram-links")
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -266,12 +317,17 @@ def near_duplicates(
             met = named.join(apart.select("sig", F.col("p.set_id").alias("p"), F.col("p.label").alias("pl"), F.col("p.n").alias("pn")), "sig")
             met = met.where((F.col("label") != F.col("pl")) & close)
         else:
-            left = named.join(apart.select("sig"), "sig")
+            left = named.join(apart.select("sig", F.col("p.set_id").alias("pivot")), "sig")
+            near, found = _around_pivots(left.select("pivot", "set_id", "label", "n").distinct(), sets_of, num, den)
+            links = links.unionByName(found)
+            left = left.join(near.withColumn("near", F.lit(True)), ["pivot", "set_id"], "left").withColumn("near", F.coalesce("near", F.lit(False)))
             own = left.where("small")
-            other = left.select("sig", F.col("set_id").alias("p"), F.col("label").alias("pl"), F.col("n").alias("pn"), F.col("before").alias("pb"))
+            other = left.select(
+                "sig", F.col("set_id").alias("p"), F.col("label").alias("pl"), F.col("n").alias("pn"), F.col("before").alias("pb"), F.col("near").alias("p_near")
+            )
             # A pair that also shares the signature before this one meets there.
             ordered = (F.col("n") < F.col("pn")) | ((F.col("n") == F.col("pn")) & (F.col("set_id") < F.col("p")))
-            new = ordered & (F.col("label") != F.col("pl")) & (F.col("before") != F.col("pb"))
+            new = ordered & (F.col("label") != F.col("pl")) & (F.col("before") != F.col("pb")) & ~(F.col("near") & F.col("p_near"))
             met = own.join(other, "sig").where(new & close)
         pairs = met.select(F.least("set_id", "p").alias("a"), F.greatest("set_id", "p").alias("b")).distinct()
         found = _links(pairs, prefixes, sets_of, num, den)

@@ -68,6 +68,26 @@ def test_matches_all_pairs(spark, seed, shingle, num):
     assert sorted(map(tuple, got.collect()), key=repr) == brute(rows, shingle, num, 100)
 
 
+@pytest.mark.parametrize(("num", "shingle", "n_words"), [(90, 3, 62), (80, 5, 70), (80, 1, 30)])
+def test_near_copies_around_a_pivot(spark, monkeypatch, num, shingle, n_words):
+    """Copies that differ from one text in a few places: linked, just apart, and linked with each other only."""
+    from chainfold.llm import ngram_join as N
+
+    monkeypatch.setattr(N, "LEAST_AROUND", 0)
+    rnd = random.Random(num + shingle)
+    base = [f"b{i}" for i in range(n_words)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 170):
+        w = list(base)
+        for _ in range(rnd.choice([1, 2, 2, 3, 4, 6])):
+            at = rnd.randrange(n_words)
+            w[at : at + rnd.choice([1, 1, 1, 0, 2])] = [rnd.choice(["x", f"u{i}", "y"])] * rnd.choice([1, 1, 0, 2])
+        rows.append((i, " ".join(w)))
+    rnd.shuffle(rows)
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=shingle, num=num)
+    assert sorted(map(tuple, got.collect()), key=repr) == brute(rows, shingle, num, 100)
+
+
 def test_hot_tokens_use_pairs_and_lose_nothing(spark, monkeypatch):
     """With every token in the frequent class the signatures are pairs of neighbours only."""
     import numpy as np
