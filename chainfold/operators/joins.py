@@ -5,10 +5,11 @@ bytes of its strings; the check is one aggregation, of which each task sends
 one row. It is applied to input lists (wallets, stablecoins) and to
 materialized intermediates, never to an unmaterialized plan that would be
 computed twice. Beyond the bound the join is a shuffle join. There, keys that
-hold a thousandth of the rows or more are found by a count with partial
-aggregation; at most a thousand keys can. Their rows are joined with a
-broadcast of just those keys' rows of the other side, so a hot key is spread
-over all tasks and nothing is copied for the others.
+hold a thousandth of the rows or more are found by ``hot_keys``, which shuffles
+a few thousand counts a task instead of the keys; at most a thousand keys can.
+Their rows are joined with a broadcast of just those keys' rows of the other
+side, so a hot key is spread over all tasks and nothing is copied for the
+others.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ DEFAULT_BROADCAST_ROWS = 1_000_000
 DEFAULT_BROADCAST_BYTES = 64 << 20
 # A key is hot from one part in this many of all rows.
 HOT_PARTS = 1000
+# Hash buckets of the first count, for each part: a bucket of cold keys holds about an eighth of a hot key's rows.
+BUCKETS_PER_PART = 8
 
 
 def has_at_most(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
@@ -58,21 +61,37 @@ def _same(keys: Sequence[str]) -> Column:
     return cond
 
 
+def hot_keys(df: DataFrame, on: Sequence[str], parts: int = HOT_PARTS) -> DataFrame | None:
+    """Keys that hold at least one part in ``parts`` of the rows of ``df`` (NULL is a key), None if there is none.
+
+    Rows are counted by hash bucket first. A bucket that holds less than a part
+    has no hot key, so only the keys of the others are counted one by one. In a
+    table of up to ``parts`` rows no key is hot.
+    """
+    bucket = F.pmod(F.xxhash64(*on), F.lit(parts * BUCKETS_PER_PART))
+    counted = df.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n")).collect()
+    total = sum(r["n"] for r in counted)
+    full = [r["bucket"] for r in counted if r["n"] * parts >= total]
+    if total <= parts or not full:
+        return None
+    counts = df.where(bucket.isin(full)).groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
+    hot = write_intermediate(counts.where(F.col("n") * parts >= total).select(*on), "hot-keys")
+    return None if hot.isEmpty() else hot
+
+
 def split_hot_join(
     big: DataFrame, small: DataFrame, on: Sequence[str], how: str, *, null_safe: bool = False, parts: int = HOT_PARTS
 ) -> DataFrame:
     """Shuffle join of ``big`` with ``small`` (few rows per key) that splits hot keys of ``big``.
 
     ``how`` is left, inner, left_semi or left_anti; NULL keys match only with
-    ``null_safe``. ``big`` is read three times, so it should be materialized
+    ``null_safe``. ``big`` is read up to four times, so it should be materialized
     or a plain scan. Columns of the same name other than the keys clash.
     """
     on = list(on)
     if not null_safe:
         small = small.dropna(subset=on)
-    counts = big.groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
-    total = big.count()
-    hot = write_intermediate(counts.where(F.col("n") * parts >= total).select(*on), "hot-keys") if total > parts else counts.select(*on).limit(0)
+    hot = hot_keys(big, on, parts)
 
     def joined(left: DataFrame, right: DataFrame) -> DataFrame:
         out = left.alias("big").join(right.alias("small"), _same(on), how)
@@ -81,6 +100,9 @@ def split_hot_join(
         rest = [F.col(f"small.`{c}`") for c in small.columns if c not in on]
         return out.select("big.*", *rest)
 
+    if hot is None:
+        return joined(big, small)
+
     def of_hot(df: DataFrame, kind: str) -> DataFrame:
         return df.alias("big").join(F.broadcast(hot).alias("small"), _same(on), kind).select("big.*")
 
@@ -107,13 +129,18 @@ def two_sided_join(
         raise ValueError(f"how is inner or left, not {how!r}")
     on = list(on)
     right = right.dropna(subset=on)
+    sides = [left.dropna(subset=on), right]
+    found = [hot for hot in (hot_keys(side, on, parts) for side in sides) if hot is not None]
+    if not found:
+        return left.join(right, on, how)
+    either = found[0].unionByName(found[-1]).distinct()
+    width = [max(1, -(-side.count() // parts)) for side in sides]
     counted = [
-        side.dropna(subset=on).groupBy(*on).agg(F.count(F.lit(1)).alias(n)) for side, n in ((left, "rows"), (right, "columns"))
+        side.join(F.broadcast(either), on, "left_semi").groupBy(*on).agg(F.count(F.lit(1)).alias(n))
+        for side, n in zip(sides, ("rows", "columns"), strict=True)
     ]
-    totals = [c.agg(F.coalesce(F.sum(n), F.lit(0))).first()[0] for c, n in zip(counted, ("rows", "columns"), strict=True)]
-    width = [max(1, -(-t // parts)) for t in totals]
     # a key without a partner makes no pairs and is left to the plain join
-    hot = counted[0].join(counted[1], on).where(((F.col("rows") >= width[0]) & F.lit(totals[0] > parts)) | ((F.col("columns") >= width[1]) & F.lit(totals[1] > parts)))
+    hot = counted[0].join(counted[1], on)
     hot = write_intermediate(
         hot.select(*on, F.ceil(F.col("rows") / width[0]).cast("int").alias("__rows"), F.ceil(F.col("columns") / width[1]).cast("int").alias("__columns")),
         "hot-pairs",
@@ -146,12 +173,12 @@ def join_small_side(
     """Join ``big`` to a side that is usually small, unique per key.
 
     Broadcast after the size check; otherwise a shuffle join that splits the
-    hot keys of ``big``. NULL keys match nothing.
+    hot keys of ``big``, which is materialized first. NULL keys match nothing.
     """
     hinted, ok = broadcast_if_bounded(small, max_rows, probe)
     if ok:
         return big.join(hinted, list(on), how)
-    return split_hot_join(big, small, on, how)
+    return split_hot_join(materialize(big), small, on, how)
 
 
 def membership_flag(

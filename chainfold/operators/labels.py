@@ -68,7 +68,7 @@ def wallet_transfers(
     hinted, small = broadcast_if_bounded(w, max_broadcast_rows)
     if small:
         return t.join(hinted, "from", "left_semi")
-    return split_hot_join(t, w.distinct(), ["from"], "left_semi")
+    return split_hot_join(materialize(t), w.distinct(), ["from"], "left_semi")
 
 
 def previous_day_transfers(transfers: DataFrame, run_date: str) -> DataFrame:
@@ -332,14 +332,14 @@ def attach_receiver_info(
     blockchain equality; ``False`` matches on the address only, so a
     receiver seen on several chains gets one row per chain (the original
     behaviour). Broadcast when the receiver table is proven small, else a
-    shuffle join that splits hot receivers.
+    shuffle join of both tables, materialized, that splits hot receivers.
     """
     keys = ["to", "blockchain"] if same_chain else ["to"]
     i = info.withColumnRenamed("address", "to").where(F.col("to").isNotNull())
     if not same_chain:
         i = i.drop("blockchain")
     if not _is_small(i, info_is_small, max_broadcast_rows):
-        return split_hot_join(transfers, i, keys, "left", null_safe=True)
+        return split_hot_join(materialize(transfers), materialize(i), keys, "left", null_safe=True)
     i = F.broadcast(i.withColumnsRenamed({k: f"label_{k}" for k in keys}))
     conds = [F.col(k).eqNullSafe(F.col(f"label_{k}")) for k in keys]
     return transfers.join(i, conds, "left").drop(*[f"label_{k}" for k in keys])
@@ -427,8 +427,9 @@ def label_transfers(
     evt = _restrict(logs, keys, ["tx_hash", "index"], t_small).select("tx_hash", F.col("index").alias("evt_index"), "event_name").distinct()
     # Both the transfers and the event names may repeat a key. Below the bound a plain join holds few rows.
     j = t.join(evt, ["tx_hash", "evt_index"], "left") if t_small else two_sided_join(t, keep(evt), ["tx_hash", "evt_index"], "left")
-    j = stablecoin_flag(j if t_small else keep(j), inputs["stablecoins"], **kw)
-    j = attach_receiver_info(j if t_small else keep(j), profiles, same_chain=same_chain, info_is_small=small, **kw)
+    # Where a list or the profiles exceed the bound, these materialize the rows that they split.
+    j = stablecoin_flag(j, inputs["stablecoins"], **kw)
+    j = attach_receiver_info(j, profiles, same_chain=same_chain, info_is_small=small, **kw)
     # a transfer without a receiver has no profile
     rtype = F.coalesce("receiver_type", F.lit(R.EOA))
     j = j.withColumns(

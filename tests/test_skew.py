@@ -11,9 +11,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from chainfold.operators import gold as G
+from chainfold.operators import joins as J
 from chainfold.operators import labels as L
 from chainfold.operators.compare import same_rows
-from chainfold.operators.joins import has_at_most, materialize, split_hot_join, two_sided_join
+from chainfold.operators.joins import has_at_most, hot_keys, materialize, split_hot_join, two_sided_join
 from chainfold.plans.testdata import label_inputs
 from tests.conftest import SMOKE_DIR
 
@@ -193,3 +194,43 @@ def test_hot_event_keys_in_the_label_step(label_case):
     plain, beyond = L.label_transfers(case), L.label_transfers(case, max_broadcast_rows=0)
     assert plain.count() > 20 * 1000
     assert same_rows(plain, beyond.select(*plain.columns)).count() == 0
+
+
+def _written(monkeypatch) -> list[tuple[str, tuple[str, ...]]]:
+    """Name and columns of each intermediate table that the joins write from now on."""
+    found, write = [], J.write_intermediate
+    monkeypatch.setattr(J, "write_intermediate", lambda df, name: found.append((name, tuple(df.columns))) or write(df, name))
+    return found
+
+
+def test_label_step_beyond_the_bound_writes_transfers_once(spark, label_case, monkeypatch):
+    """More transfers than the bound, but short lists and few receivers: those meet the transfers in passing."""
+    inputs, transfers = label_case
+    bound = transfers.count() - 1
+    assert inputs["stablecoins"].count() <= bound and inputs["wallets"].count() <= bound
+    written = _written(monkeypatch)
+    got = L.label_transfers(inputs, max_broadcast_rows=bound)
+    assert len([columns for _, columns in written if "amount_usd" in columns]) == 1
+    monkeypatch.undo()
+    assert same_rows(got, L.label_transfers(inputs)).count() == 0
+
+
+def test_search_for_hot_keys_counts_the_keys_of_full_buckets_only(spark, monkeypatch):
+    cold = spark.range(50_000).select((F.col("id") % 25_000).alias("k"))
+    written = _written(monkeypatch)
+    assert hot_keys(cold, ["k"], 20) is None and not written
+    assert split_hot_join(cold, cold.distinct(), ["k"], "inner", parts=20).count() == 50_000 and not written
+    assert two_sided_join(cold, cold, ["k"], parts=20).count() == 100_000 and not written
+    none = F.lit(None).cast("long")
+    mixed = cold.unionByName(spark.range(5000).select(F.when(F.col("id") % 2 == 0, none).otherwise(F.lit(7)).alias("k")))
+    assert hot_keys(mixed, ["k"], 21) is None
+    assert {r["k"] for r in hot_keys(mixed, ["k"], 22).collect()} == {7, None}
+    assert hot_keys(mixed.where("k = 7").limit(20), ["k"], 20) is None
+    assert hot_keys(mixed.where("k = 7").limit(21), ["k"], 20).collect() == [(7,)]
+
+
+def test_two_sided_join_with_keys_of_different_types(spark):
+    left = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).cast("int").alias("k"), F.col("id").alias("l"))
+    right = spark.range(300).select(F.when(F.col("id") % 3 == 0, 4).otherwise(F.col("id")).alias("k"), F.col("id").alias("r"))
+    got = two_sided_join(materialize(left), materialize(right), ["k"], "left", parts=20)
+    assert same_rows(got, left.join(right, "k", "left").select(*got.columns)).count() == 0
