@@ -16,7 +16,10 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -166,7 +169,8 @@ def update_gold(spark: SparkSession, root: str, days: Sequence[str]) -> None:
     replace its former states. The weeks of these days are then built from the
     states of their own days (seven at most, read by partition), and replace
     the same weeks of the gold table; the other weeks of a touched month are
-    copied. A re-run of a day changes nothing.
+    copied. A re-run of a day changes nothing. The two dimensions share no
+    table but silver and are brought up to date side by side.
     """
     dates = [dt.date.fromisoformat(str(d)) for d in days]
     months = sorted({(d.year, d.month) for d in dates})
@@ -181,19 +185,25 @@ def update_gold(spark: SparkSession, root: str, days: Sequence[str]) -> None:
     def of_weeks(df: DataFrame, weeks: Sequence[Sequence[int]]) -> Column:
         return F.struct(*PARTITION_KEYS, *WEEK_KEYS).isin([F.struct(*(F.lit(x).cast("int") for x in w)) for w in weeks])
 
-    for dim in DIMENSIONS:
+    def update(dim: str) -> None:
         silver = of_months(read_table(spark, silver_path(root), SILVER)).where(F.col("block_date").isin(dates))
         write_partitions(day_states(silver, dim), states_path(root, dim), _STATE_KEYS)
         states = of_months(read_table(spark, states_path(root, dim), state_schema(dim)))
         weeks = [tuple(r) for r in states.where(F.col("block_date").isin(dates)).select(*PARTITION_KEYS, *WEEK_KEYS).distinct().collect()]
         if not weeks:
-            continue
+            return
         touched = states.where(F.col("block_date").isin(near)).where(of_weeks(states, weeks))
         fresh = gold_of_states(touched, dim)
         old = of_months(read_table(spark, gold_path(root, dim), gold_schema(dim)))
         kept = old.where(~of_weeks(old, weeks)).select(*fresh.columns)
         write_partitions(fresh.unionByName(kept), gold_path(root, dim))
 
+    with ThreadPoolExecutor(len(DIMENSIONS)) as pool:
+        # each call takes a copy of this thread's job group and pool along
+        runs = [pool.submit(inheritable_thread_target(spark)(partial(update, dim))) for dim in DIMENSIONS]
+    for run in runs:
+        run.result()
+
 
 def read_gold(spark: SparkSession, root: str, dimension: str) -> DataFrame:
     return spark.read.schema(gold_schema(dimension)).parquet(gold_path(root, dimension))

@@ -297,7 +297,7 @@ def _all_gold_sql() -> str:
 def q_gold_incremental(spark, sf_dir):
     """Gold brought up to date by days: the first half, all days in another run, and one half again."""
     root = scratch_dir(spark, "root")
-    ev = event_transfers(spark, sf_dir)
+    ev = materialize(event_transfers(spark, sf_dir))  # landed in three parts
     for part in (F.dayofmonth("block_date") <= 15, F.lit(True), F.dayofmonth("block_date") > 15):
         days = M.land_bronze(ev.where(part), root)
         M.build_silver(spark, root, days)

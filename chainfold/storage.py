@@ -6,11 +6,12 @@ recomputation, and later reads keep column pruning. While the write runs,
 the session's ``spark.sql.classic.shuffleDependency.fileCleanup.enabled`` is
 on, so the shuffle files of the finished step are dropped with it instead of
 piling up until the driver's garbage collection; the former value is put
-back afterwards.
+back afterwards, by the last of writes that run side by side.
 """
 
 from __future__ import annotations
 
+import threading
 import weakref
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -22,18 +23,29 @@ from chainfold.session import scratch_dir
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+# Per session, the blocks of shuffle_cleanup that are open and the setting's value before the first.
+_OPEN: weakref.WeakKeyDictionary[SparkSession, tuple[int, str | None]] = weakref.WeakKeyDictionary()
+_LOCK = threading.Lock()
+
+
 @contextmanager
 def shuffle_cleanup(spark: SparkSession) -> Iterator[None]:
     """Drop the shuffle files of every action inside the block when it ends."""
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
+    with _LOCK:
+        blocks, before = _OPEN.get(spark) or (0, spark.conf.get(_CLEANUP, None))
+        _OPEN[spark] = (blocks + 1, before)
+        spark.conf.set(_CLEANUP, "true")
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(_CLEANUP)
-        else:
-            spark.conf.set(_CLEANUP, before)
+        with _LOCK:
+            blocks, before = _OPEN.pop(spark)
+            if blocks > 1:
+                _OPEN[spark] = (blocks - 1, before)
+            elif before is None:
+                spark.conf.unset(_CLEANUP)
+            else:
+                spark.conf.set(_CLEANUP, before)
 
 
 # Folder of every frame that write_intermediate has returned and that is still in use.

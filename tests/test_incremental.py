@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import glob
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from chainfold.schemas import SILVER
 from chainfold.session import scratch_dir
 from chainfold.sinks.files import write_days, write_partitions
 from chainfold.sources.files import read_table
+from chainfold.storage import shuffle_cleanup
 from tests.conftest import SMOKE_DIR
 
 COLUMNS = "tx_hash string, event_name string, vertical string, protocol string, amount_usd double, token_category string, block_date string"
@@ -130,3 +132,34 @@ def test_a_hot_day_lies_in_order_in_several_files(spark, partitioned):
     assert len(by_day["2024-01-01"]) >= 3 and sum(len(v) for v in by_day.values()) <= len(by_day) + 10
     for ranges in by_day.values():
         assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:], strict=False))
+
+
+def test_both_dimensions_are_updated_side_by_side(spark, monkeypatch):
+    together, states = threading.Barrier(len(M.DIMENSIONS)), M.day_states
+
+    def both_here(*args):
+        together.wait(30)
+        return states(*args)
+
+    monkeypatch.setattr(M, "day_states", both_here)
+    root = scratch_dir(spark, "root")
+    land(spark, root, transfers(spark, [("a", "v", 1.0, "2024-01-02"), ("a", "w", 2.0, "2024-01-03")]))
+    assert gold_is_whole(spark, root)
+
+
+@pytest.mark.parametrize("before", [None, "false"])
+def test_cleanup_of_overlapping_writes_puts_the_setting_back(spark, before):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    if before:
+        spark.conf.set(name, before)
+    first, second = shuffle_cleanup(spark), shuffle_cleanup(spark)
+    try:
+        value = spark.conf.get(name, None)
+        first.__enter__()
+        second.__enter__()
+        first.__exit__(None, None, None)
+        assert spark.conf.get(name) == "true"
+        second.__exit__(None, None, None)
+        assert spark.conf.get(name, None) == value
+    finally:
+        spark.conf.unset(name)
