@@ -332,14 +332,14 @@ def attach_receiver_info(
     blockchain equality; ``False`` matches on the address only, so a
     receiver seen on several chains gets one row per chain (the original
     behaviour). Broadcast when the receiver table is proven small, else a
-    shuffle join of both tables, materialized, that splits hot receivers.
+    shuffle join that splits hot receivers of the materialized transfers.
     """
     keys = ["to", "blockchain"] if same_chain else ["to"]
     i = info.withColumnRenamed("address", "to").where(F.col("to").isNotNull())
     if not same_chain:
         i = i.drop("blockchain")
     if not _is_small(i, info_is_small, max_broadcast_rows):
-        return split_hot_join(materialize(transfers), materialize(i), keys, "left", null_safe=True)
+        return split_hot_join(materialize(transfers), i, keys, "left", null_safe=True)
     i = F.broadcast(i.withColumnsRenamed({k: f"label_{k}" for k in keys}))
     conds = [F.col(k).eqNullSafe(F.col(f"label_{k}")) for k in keys]
     return transfers.join(i, conds, "left").drop(*[f"label_{k}" for k in keys])
