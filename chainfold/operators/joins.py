@@ -26,6 +26,9 @@ DEFAULT_BROADCAST_ROWS = 1_000_000
 DEFAULT_BROADCAST_BYTES = 64 << 20
 # A key is hot from one part in this many of all rows.
 HOT_PARTS = 1000
+# Bits of ``key_filter`` for each row of the keys, and the most that there are (a broadcast of 38 MB).
+FILTER_BITS_PER_ROW = 16
+MAX_FILTER_BITS = 1 << 28
 # Hash buckets of the first count, for each part: a bucket of cold keys holds about an eighth of a hot key's rows.
 BUCKETS_PER_PART = 8
 
@@ -79,6 +82,30 @@ def hot_keys(df: DataFrame, on: Sequence[str], parts: int = HOT_PARTS) -> DataFr
     return None if hot.isEmpty() else hot
 
 
+def key_filter(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """Rows of ``df`` whose ``on`` may occur in ``keys``: all of those that do, few of the others.
+
+    A bit per hash of a key, in rows of eight words, is broadcast to where ``df``
+    is read, so that a semi join that follows shuffles little more than it keeps.
+    Beyond ``MAX_FILTER_BITS`` keys, or with keys of different types, whose hashes
+    differ, ``df`` comes back whole. ``keys`` is read twice. NULL occurs in nothing.
+    """
+    if dict(df.dtypes)[on] != dict(keys.dtypes)[on]:
+        return df
+    rows = keys.count()
+    if rows > MAX_FILTER_BITS:
+        return df
+    bits = min(MAX_FILTER_BITS, 1 << max(20, (rows * FILTER_BITS_PER_ROW).bit_length()))
+    slot = F.pmod(F.xxhash64(on), F.lit(bits))
+    word, bit = F.pmod(F.shiftright(slot, 6), F.lit(8)).cast("int"), F.pmod(slot, F.lit(64)).cast("int")
+    held = keys.where(F.col(on).isNotNull()).select(F.shiftright(slot, 9).alias("__block"), word.alias("word"), F.expr("1L").alias("one"), bit.alias("bit"))
+    mask = F.expr("shiftleft(one, bit)")
+    words = [f"__word{i}" for i in range(8)]
+    blocks = held.groupBy("__block").agg(*[F.bit_or(F.when(F.col("word") == i, mask).otherwise(F.lit(0))).alias(w) for i, w in enumerate(words)])
+    found = df.where(F.col(on).isNotNull()).withColumn("__block", F.shiftright(slot, 9)).join(F.broadcast(blocks), "__block")
+    return found.where(F.getbit(F.element_at(F.array(*words), word + 1), bit) == 1).select(*df.columns)
+
+
 def split_hot_join(
     big: DataFrame, small: DataFrame, on: Sequence[str], how: str, *, null_safe: bool = False, parts: int = HOT_PARTS
 ) -> DataFrame:

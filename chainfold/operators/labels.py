@@ -30,6 +30,7 @@ use.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Collection
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,6 +42,7 @@ from chainfold.operators.joins import (
     broadcast_if_bounded,
     has_at_most,
     join_small_side,
+    key_filter,
     materialize,
     split_hot_join,
     two_sided_join,
@@ -99,6 +101,15 @@ def _restrict(table: DataFrame, keys: DataFrame, on: list[str], small: bool) ->
     return table.join(keys.select(*on).distinct(), on, "left_semi")
 
 
+def _logs_at(logs: DataFrame, keys: DataFrame, on: list[str], small: bool) -> DataFrame:
+    """The logs whose key occurs in ``keys``. Beyond the bound most others are dropped where
+    they are read, by their transaction, so that few are shuffled."""
+    if small:
+        return _restrict(logs, keys, on, small)
+    # An inner join with distinct keys: a semi join would be moved below the filter.
+    return key_filter(logs, keys, "tx_hash").join(keys.select(*on).distinct(), on).select(*logs.columns)
+
+
 def _is_small(df: DataFrame, small: bool | None, max_rows: int) -> bool:
     return has_at_most(df, max_rows) if small is None else small
 
@@ -291,7 +302,7 @@ def event_names(
     """Distinct (tx_hash, index, event_name) of the transfers' transactions."""
     tx = transfers.select("tx_hash").where(F.col("tx_hash").isNotNull())
     small = _is_small(tx, tx_is_small, max_broadcast_rows)
-    return _restrict(logs, tx, ["tx_hash"], small).select("tx_hash", "index", "event_name").distinct()
+    return _logs_at(logs, tx, ["tx_hash"], small).select("tx_hash", "index", "event_name").distinct()
 
 
 def stablecoin_flag(
@@ -383,6 +394,16 @@ TRANSFER_COLUMNS = (
     "blockchain block_date block_time tx_hash evt_index from to contract_address token_standard symbol amount amount_usd".split()
 )
 
+# Labelled columns that take a transfer column of which no step makes use.
+CARRIED = {
+    "block_time": "block_time",
+    "token_category": "token_standard",
+    "safe_sender": "from",
+    "symbol": "symbol",
+    "amount": "amount",
+    "amount_usd": "amount_usd",
+}
+
 
 def label_transfers(
     inputs: dict[str, DataFrame],
@@ -394,8 +415,9 @@ def label_transfers(
     materialize_steps: bool = True,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     log_slack_days: int = 0,
+    columns: Collection[str] | None = None,
 ) -> DataFrame:
-    """The whole label step; returns the 21 labelled columns.
+    """The whole label step; returns the 21 labelled columns, or those named in ``columns``.
 
     ``inputs`` holds DataFrames under the keys transfers, wallets, ens,
     contracts, addresses, logs, burn, creation, stablecoins, stakers, and
@@ -405,14 +427,19 @@ def label_transfers(
     Logs with a ``block_date`` are read for the days of the transfers only,
     and ``log_slack_days`` on either side.
 
+    Transfer columns that no step and none of ``columns`` needs are neither
+    shuffled nor written; the steps and their rows are the same.
+
     ``materialize_steps`` writes the wallet transfers and the receivers
     (see the module docstring); without it every size check re-runs the
     plan above it.
     """
     kw = {"max_broadcast_rows": max_broadcast_rows}
     keep = materialize if materialize_steps else (lambda df: df)
-    transfers = inputs["transfers"].select(*TRANSFER_COLUMNS)
-    t = keep(wallet_transfers(transfers, inputs["wallets"], first_day, last_day, **kw))
+    wanted = (lambda name: True) if columns is None else (lambda name: name in columns)
+    idle = {source for name, source in CARRIED.items() if not wanted(name)}
+    transfers = inputs["transfers"].select(*[c for c in TRANSFER_COLUMNS if c not in idle - {"from", "amount_usd"}])
+    t = keep(wallet_transfers(transfers, inputs["wallets"], first_day, last_day, **kw).drop(*idle))
     recv = keep(receivers(t))
     # The transfers bound both their transaction ids and their receivers, so
     # one check usually answers both; the receivers are counted on their own
@@ -424,7 +451,7 @@ def label_transfers(
     days = t.agg(F.min("block_date").cast("date"), F.max("block_date").cast("date")).first()
     logs = logs_of_days(inputs["logs"], days[0], days[1], slack_days=log_slack_days)
     keys = t.select("tx_hash", F.col("evt_index").alias("index")).dropna()
-    evt = _restrict(logs, keys, ["tx_hash", "index"], t_small).select("tx_hash", F.col("index").alias("evt_index"), "event_name").distinct()
+    evt = _logs_at(logs, keys, ["tx_hash", "index"], t_small).select("tx_hash", F.col("index").alias("evt_index"), "event_name").distinct()
     # Both the transfers and the event names may repeat a key. Below the bound a plain join holds few rows.
     j = t.join(evt, ["tx_hash", "evt_index"], "left") if t_small else two_sided_join(t, keep(evt), ["tx_hash", "evt_index"], "left")
     # Where a list or the profiles exceed the bound, these materialize the rows that they split.
@@ -437,33 +464,34 @@ def label_transfers(
             "receiver_type": rtype,
             "vertical": F.coalesce("vertical", R.unclassified(rtype)),
             "protocol": F.coalesce("protocol", R.unclassified(rtype)),
-            "token_category": R.token_category(F.col("is_stablecoin"), F.col("token_standard")),
         }
     )
-    out = j.select(
-        "blockchain",
-        "block_date",
-        "block_time",
-        "tx_hash",
-        "token_category",
-        F.col("from").alias("safe_sender"),
-        F.col("to").alias("receiver"),
-        "receiver_type",
-        "receiver_contract_name",
-        F.col("label_names").alias("receiver_label_names"),
-        F.col("label_categories").alias("receiver_label_categories"),
-        F.col("label_models").alias("receiver_label_models"),
-        F.col("ens").alias("receiver_ens"),
-        "receiver_name",
-        "event_name",
-        "symbol",
-        F.col("contract_address").alias("token_address"),
-        "amount",
-        "amount_usd",
-        "vertical",
-        "protocol",
-    )
-    return out.orderBy("block_date") if order_by_date else out
+    if order_by_date:
+        j = j.orderBy("block_date")
+    out = {
+        "blockchain": F.col("blockchain"),
+        "block_date": F.col("block_date"),
+        "block_time": F.col("block_time"),
+        "tx_hash": F.col("tx_hash"),
+        "token_category": R.token_category(F.col("is_stablecoin"), F.col("token_standard")),
+        "safe_sender": F.col("from"),
+        "receiver": F.col("to"),
+        "receiver_type": F.col("receiver_type"),
+        "receiver_contract_name": F.col("receiver_contract_name"),
+        "receiver_label_names": F.col("label_names"),
+        "receiver_label_categories": F.col("label_categories"),
+        "receiver_label_models": F.col("label_models"),
+        "receiver_ens": F.col("ens"),
+        "receiver_name": F.col("receiver_name"),
+        "event_name": F.col("event_name"),
+        "symbol": F.col("symbol"),
+        "token_address": F.col("contract_address"),
+        "amount": F.col("amount"),
+        "amount_usd": F.col("amount_usd"),
+        "vertical": F.col("vertical"),
+        "protocol": F.col("protocol"),
+    }
+    return j.select(*[column.alias(name) for name, column in out.items() if wanted(name)])
 
 
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSS 'UTC'"

@@ -105,8 +105,8 @@ _PER_RECEIVER_SQL = """SELECT DISTINCT blockchain, receiver, receiver_contract_n
 
 
 def _per_receiver(spark, sf_dir, cols):
-    lab = L.label_transfers(_inputs(spark, sf_dir))
-    return lab.select("blockchain", "receiver", *cols).distinct()
+    cols = ["blockchain", "receiver", *cols]
+    return L.label_transfers(_inputs(spark, sf_dir), columns=cols).select(*cols).distinct()
 
 
 @query("receiver_name", O.LABEL_ALL + "\n" + _PER_RECEIVER_SQL.format(extra=""))
@@ -151,7 +151,7 @@ def q_labelled_transfers_address_join(spark, sf_dir):
     " FROM lab_out GROUP BY vertical, receiver_type",
 )
 def q_vertical_counts(spark, sf_dir):
-    lab = L.label_transfers(_inputs(spark, sf_dir))
+    lab = L.label_transfers(_inputs(spark, sf_dir), columns=["vertical", "receiver_type", "amount_usd"])
     return lab.groupBy("vertical", "receiver_type").agg(
         F.count(F.lit(1)).alias("n_transfers"), F.sum(F.col("amount_usd").cast("decimal(38,2)")).alias("usd")
     )

@@ -234,3 +234,43 @@ def test_two_sided_join_with_keys_of_different_types(spark):
     right = spark.range(300).select(F.when(F.col("id") % 3 == 0, 4).otherwise(F.col("id")).alias("k"), F.col("id").alias("r"))
     got = two_sided_join(materialize(left), materialize(right), ["k"], "left", parts=20)
     assert same_rows(got, left.join(right, "k", "left").select(*got.columns)).count() == 0
+
+
+def test_key_filter_keeps_every_row_with_a_key_and_few_others(spark):
+    null = F.lit(None).cast("long")
+    logs = spark.range(-200, 40_000).select(F.when(F.col("id") % 9 == 0, null).otherwise(F.col("id")).alias("k"), F.col("id").alias("row"))
+    keys = spark.range(-200, 4000, 4).select(F.when(F.col("id") % 5 == 0, null).otherwise(F.col("id")).alias("k"))
+    keys = materialize(keys.unionByName(keys))
+    got = J.key_filter(logs, keys, "k")
+    assert got.columns == logs.columns
+    exact = logs.join(keys.distinct(), "k", "left_semi")
+    assert same_rows(got.join(keys.distinct(), "k", "left_semi"), exact).count() == 0
+    assert exact.count() <= got.count() < exact.count() + 400
+    assert J.key_filter(logs, keys.where("k < 0 and k > 0"), "k").count() == 0
+    # the hash of an int is not that of a long
+    assert J.key_filter(logs, keys.select(F.col("k").cast("int").alias("k")), "k").count() == logs.count()
+
+
+def test_logs_without_a_transfer_are_dropped_before_their_shuffle(label_case, monkeypatch):
+    """Beyond the bound, the logs that reach the exact join are about those it keeps."""
+    inputs, transfers = label_case
+    reached, plain = [], L.key_filter
+    monkeypatch.setattr(L, "key_filter", lambda *a: reached.append(plain(*a)) or reached[-1])
+    got = L.event_names(inputs["logs"], transfers.limit(20), max_broadcast_rows=0)
+    assert same_rows(got, L.event_names(inputs["logs"], transfers.limit(20))).count() == 0
+    assert reached[0].count() < 0.5 * inputs["logs"].count()
+
+
+def test_label_step_writes_no_transfer_column_that_nothing_needs(label_case, monkeypatch):
+    inputs, transfers = label_case
+    whole = L.label_transfers(inputs)
+    for bound in (transfers.count() - 1, 0):
+        with monkeypatch.context() as patch:
+            written = _written(patch)
+            some = L.label_transfers(inputs, max_broadcast_rows=bound, columns=["receiver", "vertical", "amount_usd"])
+            of_transfers = [set(columns) for _, columns in written if {"evt_index", "to"} <= set(columns)]
+        assert of_transfers and not any(columns & {"block_time", "symbol", "amount", "token_standard"} for columns in of_transfers)
+        assert some.columns == ["receiver", "amount_usd", "vertical"]
+        assert same_rows(some, whole.select(*some.columns)).count() == 0
+    dated = L.label_transfers(inputs, order_by_date=True, columns=["receiver_name", "blockchain"])
+    assert same_rows(dated, whole.select("blockchain", "receiver_name")).count() == 0
