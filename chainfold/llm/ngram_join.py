@@ -23,7 +23,7 @@ of signatures, one as the smaller and one as the larger of a pair (sets of
 equal size are both), and a smaller meets larger ones only. Near copies of one
 text below the threshold mostly have enough tokens of their own to fill the
 smaller's list, and never meet. Candidates are first compared by a longer
-prefix, of which linked sets must share half, and what is left is verified on
+prefix, which bounds what the sets can share, and what is left is verified on
 the whole sets.
 
 The frequency classes come from a hashed counter table over all shingles of
@@ -38,8 +38,9 @@ larger buckets is compared by what it differs in from the bucket's pivot:
 two sets differ in as many tokens as their differences from the pivot do, so
 those near the pivot link only if they share a difference, or if one of them
 links to the nearest of all by size alone (then both do). Near copies of one
-text that differ in other places don't meet. The other pairs of a bucket are
-compared in full, once for a run of common signatures.
+text that differ in other places don't meet. Sets too far from the pivot for
+that are compared in full with each other and with those at the rim, once for
+a run of common signatures, as are the members of smaller buckets.
 
 Null ids: such rows get their ``n_shingles`` and a null component, and link
 with nothing. Null or empty texts are empty sets. Rows that repeat an id are
@@ -64,7 +65,7 @@ COUNTERS = 1 << 18
 PIVOT_ROUNDS = 2
 #: Members of a pivot from which they are compared by their differences, and how many times the linking one these may be.
 LEAST_AROUND = 16
-NEAR_TIMES = 3
+NEAR_TIMES = 8
 
 
 def shingle_sets(offsets: np.ndarray, data: np.ndarray, shingle: int, lower: bool) -> Iterator[tuple[int, np.ndarray]]:
@@ -189,25 +190,26 @@ def _sets(docs: DataFrame, id_col: str, text: str, wanted: DataFrame, shingle: i
 
 
 def _with_both(pairs: DataFrame, lists: DataFrame) -> DataFrame:
-    """``pairs`` (a, b) with ``both``, the number of common tokens, and the sizes ``na``, ``nb`` of the lists."""
-    left = lists.select(F.col("set_id").alias("a"), F.col("tokens").alias("ta"))
-    right = lists.select(F.col("set_id").alias("b"), F.col("tokens").alias("tb"))
+    """``pairs`` (a, b) with ``both``, the number of tokens common to their lists, the sizes ``na``, ``nb`` of the sets, and ``rest``, the most tokens that a set has beyond its list."""
+    left = lists.select(F.col("set_id").alias("a"), F.col("tokens").alias("ta"), F.col("n").alias("na"))
+    right = lists.select(F.col("set_id").alias("b"), F.col("tokens").alias("tb"), F.col("n").alias("nb"))
     met = pairs.join(left, "a").join(right, "b")
-    return met.select("a", "b", F.size(F.array_intersect("ta", "tb")).alias("both"), F.size("ta").alias("na"), F.size("tb").alias("nb"))
+    rest = F.greatest(F.col("na") - F.size("ta"), F.col("nb") - F.size("tb"))
+    return met.select("a", "b", F.size(F.array_intersect("ta", "tb")).alias("both"), "na", "nb", rest.alias("rest"))
 
 
 def _links(pairs: DataFrame, prefixes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], num: int, den: int) -> DataFrame:
     """The linked ones among candidate pairs.
 
-    Of two prefixes of ``2 miss + 1`` tokens, the one that ends first in the
-    global order has at most ``miss`` tokens that its partner lacks, so linked
-    sets share ``miss + 1`` prefix tokens or more. What passes is verified on
-    the whole sets.
+    Of two prefixes, take the one that ends first in the global order. What
+    it holds of its partner's tokens stands in the partner's prefix too, so
+    the sets share no more than the prefixes do and the rest of that set.
+    What passes is verified on the whole sets.
     """
-    near = _with_both(pairs, prefixes).where(2 * F.col("both") > F.least("na", "nb")).select("a", "b")
-    near = write_intermediate(near, "ngram-near")
+    enough = (F.col("both") + F.col("rest")) * (den + num) >= (F.col("na") + F.col("nb")) * num
+    near = write_intermediate(_with_both(pairs, prefixes).where(enough).select("a", "b"), "ngram-near")
     nodes = near.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
-    sets = write_intermediate(sets_of(nodes), "ngram-sets")
+    sets = write_intermediate(sets_of(nodes).withColumn("n", F.size("tokens").cast("long")), "ngram-sets")
     same = F.col("both") * den >= (F.col("na") + F.col("nb") - F.col("both")) * num
     links = write_intermediate(_with_both(near, sets).where(same).select("a", "b").distinct(), "ngram-links")
     discard(near)
@@ -216,12 +218,13 @@ def _links(pairs: DataFrame, prefixes: DataFrame, sets_of: Callable[[DataFrame],
 
 
 def _around_pivots(members: DataFrame, sets_of: Callable[[DataFrame], DataFrame], num: int, den: int) -> tuple[DataFrame, DataFrame]:
-    """(pivot, set_id of the members near a pivot; the links (a, b) among them that join components).
+    """(pivot, set_id, inner of the members near a pivot; the links (a, b) among them that join components).
 
     ``members`` has pivot, set_id, label and n. With ``d(x)`` the symmetric
     difference of ``x`` and the pivot, ``x`` and ``y`` differ in ``|d(x)| +
     |d(y)| - 2 |d(x) & d(y)|`` tokens, and link up to ``(n(x) + n(y)) (den -
-    num) / (den + num)``.
+    num) / (den + num)``. They differ in ``|d(x)| - |d(y)|`` at least, so the
+    ``inner`` members link with no set beyond those near the pivot.
     """
     many = members.groupBy("pivot").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > LEAST_AROUND).select("pivot")
     members = members.join(many, "pivot")
@@ -246,18 +249,23 @@ def _around_pivots(members: DataFrame, sets_of: Callable[[DataFrame], DataFrame]
     at_least = lambda over, by: F.greatest(F.lit(1), F.ceil(over / by))
     lower = F.col("at") <= F.col("size") - at_least(F.col("over"), den + num) + 1
     upper = F.col("at") <= F.col("size") - at_least(F.col("over") + F.col("floor"), 2 * (den + num)) + 1
-    kept = ranked.where("m > 1").join(floor, "pivot").where(upper).select("pivot", "token", "set_id", "label", "over", lower.alias("lower"))
+    after = F.col("size") - F.col("at") + 1
+    kept = ranked.where("m > 1").join(floor, "pivot").where(upper).select("pivot", "token", "set_id", "label", "over", after.alias("after"), lower.alias("lower"))
     kept = write_intermediate(kept, "ngram-differences")
-    other = kept.select("pivot", "token", F.col("set_id").alias("p"), F.col("label").alias("p_label"), F.col("over").alias("p_over"))
+    other = kept.select("pivot", "token", *(F.col(c).alias(k) for c, k in (("set_id", "p"), ("label", "p_label"), ("over", "p_over"), ("after", "p_after"))))
     below = F.struct("over", "set_id") < F.struct(F.col("p_over"), F.col("p"))
-    met = kept.where("lower").join(other, ["pivot", "token"]).where(below & (F.col("label") != F.col("p_label"))).select("pivot", "set_id", "p").distinct()
+    # from the first token that a pair shares, both have as many as it must share
+    enough = F.col("over") + F.col("p_over") <= 2 * (den + num) * F.least("after", "p_after")
+    met = kept.where("lower").join(other, ["pivot", "token"]).where(below & enough & (F.col("label") != F.col("p_label"))).select("pivot", "set_id", "p").distinct()
     own = near.select("pivot", "set_id", "d", "n", "size")
     held = met.join(own, ["pivot", "set_id"]).join(own.select("pivot", *(F.col(c).alias(k) for c, k in (("set_id", "p"), ("d", "p_d"), ("n", "p_n"), ("size", "p_size")))), ["pivot", "p"])
     differ = F.col("size") + F.col("p_size") - 2 * F.size(F.array_intersect("d", "p_d"))
     by_tokens = held.where(differ * (den + num) <= (F.col("n") + F.col("p_n")) * (den - num)).select("p", "set_id")
     both = by_size.unionByName(by_tokens)
     links = both.select(F.least("set_id", "p").alias("a"), F.greatest("set_id", "p").alias("b")).distinct()
-    return near.select("pivot", "set_id"), write_intermediate(links, "ngram-links")
+    # A set beyond has more than NEAR_TIMES its n, and its n is num / den of a linked one's at least.
+    inner = (F.col("size") * (den + num) + F.col("n") * (den - num)) * den <= (NEAR_TIMES - 1) * F.col("n") * (den - num) * num
+    return near.select("pivot", "set_id", inner.alias("inner")), write_intermediate(links, "ngram-links")
 
 
 def near_duplicates(
@@ -298,7 +306,7 @@ def near_duplicates(
 
     members = buckets.select("set_id").distinct()
     of_members = rows.join(first, ["set_id", "doc_id"], "left_semi").join(members, "set_id", "left_semi")
-    prefixes = write_intermediate(of_members.select("set_id", F.col("prefix").alias("tokens")), "ngram-prefixes")
+    prefixes = write_intermediate(of_members.select("set_id", F.col("prefix").alias("tokens"), F.col("n_shingles").alias("n")), "ngram-prefixes")
 
     def sets_of(wanted: DataFrame) -> DataFrame:
         return _sets(docs, id_col, text_col, nodes.select("set_id", "rep").join(wanted, "set_id", "left_semi"), shingle, lower)
@@ -320,7 +328,8 @@ def near_duplicates(
             left = named.join(apart.select("sig", F.col("p.set_id").alias("pivot")), "sig")
             near, found = _around_pivots(left.select("pivot", "set_id", "label", "n").distinct(), sets_of, num, den)
             links = links.unionByName(found)
-            left = left.join(near.withColumn("near", F.lit(True)), ["pivot", "set_id"], "left").withColumn("near", F.coalesce("near", F.lit(False)))
+            left = left.join(near.withColumn("near", F.lit(True)), ["pivot", "set_id"], "left").where("inner is null or not inner")
+            left = left.withColumn("near", F.coalesce("near", F.lit(False)))
             own = left.where("small")
             other = left.select(
                 "sig", F.col("set_id").alias("p"), F.col("label").alias("pl"), F.col("n").alias("pn"), F.col("before").alias("pb"), F.col("near").alias("p_near")

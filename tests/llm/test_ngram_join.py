@@ -88,6 +88,35 @@ def test_near_copies_around_a_pivot(spark, monkeypatch, num, shingle, n_words):
     assert sorted(map(tuple, got.collect()), key=repr) == brute(rows, shingle, num, 100)
 
 
+@pytest.mark.parametrize(("num", "shingle", "n_changes"), [(90, 3, 5), (80, 5, 7)])
+def test_near_copies_below_the_threshold_hardly_meet(spark, monkeypatch, num, shingle, n_changes):
+    """Copies that share some of their changes: most pairs are just below the threshold."""
+    from chainfold.llm import ngram_join as N
+
+    written, real = [], N.write_intermediate
+
+    def write(df, name):
+        out = real(df, name)
+        if name in ("ngram-near", "ngram-around"):
+            written.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(N, "write_intermediate", write)
+    rnd = random.Random(num)
+    base = [f"b{i}" for i in range(150)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 240):
+        w = list(base)
+        for at in rnd.sample(range(4, 146, 6), n_changes):
+            w[at] = f"c{at}"
+        rows.append((i, " ".join(w)))
+    expected = brute(rows, shingle, num, 100)
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=shingle, num=num)
+    assert sorted(map(tuple, got.collect()), key=repr) == expected
+    assert max(n for name, n in written if name == "ngram-around") >= 100
+    assert max(n for name, n in written if name == "ngram-near") <= 5 * len(rows)
+
+
 def test_hot_tokens_use_pairs_and_lose_nothing(spark, monkeypatch):
     """With every token in the frequent class the signatures are pairs of neighbours only."""
     import numpy as np
