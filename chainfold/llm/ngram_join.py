@@ -59,7 +59,7 @@ from pyspark.sql import functions as F
 
 from chainfold.llm import blocks as B
 from chainfold.llm.components import component_labels
-from chainfold.storage import discard, write_intermediate
+from chainfold.storage import discard, shuffle_cleanup, write_intermediate
 
 COUNTERS = 1 << 18
 PIVOT_ROUNDS = 2
@@ -137,7 +137,8 @@ def _counts(docs: DataFrame, text: str, shingle: int, lower: bool) -> np.ndarray
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["slot", "n"])
 
-    rows = docs.select(text).mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    with shuffle_cleanup(docs.sparkSession):
+        rows = docs.select(text).mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(COUNTERS, np.int64)
     out[rows["slot"].to_numpy()] = rows["n"].to_numpy()
     return out
@@ -292,9 +293,8 @@ def near_duplicates(
         F.col("own").alias("token"), F.concat(F.array("set_id"), F.slice("own", F.lit(1), F.size("own") - 1)).alias("before"), small.alias("small")
     )
     # Of interest is a token that two sets have, one of them as the smaller.
-    told = listed.select(F.inline(F.arrays_zip(F.col("own").alias("token"), small.alias("small"))))
-    shared = told.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.max("small").alias("s")).where("m > 1 and s").select("token")
-    entries = listed.select("set_id", "n", F.inline(chain)).join(shared, "token")
+    alike = Window.partitionBy("token")
+    entries = listed.select("set_id", "n", F.inline(chain)).select("*", F.count(F.lit(1)).over(alike).alias("m"), F.max("small").over(alike).alias("s")).where("m > 1 and s")
     # Linked sets differ in size by at most den / num, so a smaller meets larger ones of its own size class or the next.
     size_class = (F.floor(F.log(F.col("n").cast("double")) / log(den / num)) if num < den else F.col("n")).cast("long")
     sized = entries.withColumn("down", F.explode(F.array(F.lit(0), F.lit(1))))

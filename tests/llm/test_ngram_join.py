@@ -117,6 +117,26 @@ def test_near_copies_below_the_threshold_hardly_meet(spark, monkeypatch, num, sh
     assert max(n for name, n in written if name == "ngram-near") <= 5 * len(rows)
 
 
+def test_signatures_are_shuffled_once_by_token(spark, monkeypatch):
+    from chainfold.llm import ngram_join as N
+
+    plans, real = [], N.write_intermediate
+
+    def write(df, name):
+        if name == "ngram-sized":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, name)
+
+    monkeypatch.setattr(N, "write_intermediate", write)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        near_duplicates(spark.createDataFrame(corpus(5, 20), "doc_id long, text string")).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert [plan.count("hashpartitioning(token") for plan in plans] == [1]
+
+
 def test_hot_tokens_use_pairs_and_lose_nothing(spark, monkeypatch):
     """With every token in the frequent class the signatures are pairs of neighbours only."""
     import numpy as np
