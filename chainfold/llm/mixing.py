@@ -72,7 +72,12 @@ def _tail(word: Column) -> Column:
 
 
 def _model(docs: DataFrame, labelled: DataFrame, domains: list[str]) -> tuple[list[Column], list[Column], list[float]]:
-    """Log likelihoods against the first domain by word slot and by tail (one array per other domain), and the log priors."""
+    """Log likelihoods against the first domain by word slot and by tail (one array per other domain), and the log priors.
+
+    The arrays are scalar subqueries over written tables: their values stand
+    neither in Python nor in the text of plans, of which the driver makes many
+    copies.
+    """
     known = labelled.where(F.col("domain").isin(domains) & F.col("id").isNotNull()).groupBy("id").agg(F.min("domain").alias("domain"))
     known = known.orderBy(F.xxhash64("id"), "id").limit(MOST_LABELLED)
     split = F.split(F.lower(F.coalesce(F.col("text"), F.lit(""))), _SPLIT)
@@ -95,9 +100,10 @@ def _model(docs: DataFrame, labelled: DataFrame, domains: list[str]) -> tuple[li
         return rows.select((F.col("feature") - first).alias(key), *((likely[k] - likely[0]).alias(f"{key}{k}") for k in range(1, len(domains))))
 
     def values(rows: DataFrame, key: str) -> list[Column]:
-        """For each other domain, the column as one constant array (fixed size, folded when the query is planned)."""
-        held = sorted(rows.collect())
-        return [F.split(F.lit(",".join(str(r[k]) for r in held)), ",").cast("array<double>") for k in range(1, len(domains))]
+        """For each other domain, the column as one array (fixed size), ordered by the key."""
+        arrays = [F.array_sort(F.collect_list(F.struct(key, f"{key}{k}")))[f"{key}{k}"].alias(f"{key}{k}") for k in range(1, len(domains))]
+        held = write_intermediate(rows.agg(*arrays), f"mixing-{key}s") if arrays else None
+        return [held.select(f"{key}{k}").scalar() for k in range(1, len(domains))]
 
     return values(table(0, WORD_BUCKETS, "slot"), "slot"), values(table(WORD_BUCKETS, TAILS, "tail"), "tail"), priors
 
@@ -112,12 +118,18 @@ def posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str]) -> Data
     words = F.split(F.lower(F.coalesce(F.col("text"), F.lit(""))), _SPLIT)
     features = F.transform(F.filter(words, lambda w: w != ""), lambda w: _slot(w) * TAILS + _tail(w))
     coded = docs.select("id", F.xxhash64("text").alias("text_hash"), features.alias("features"))
-
-    def log_odds(k: int) -> Column:
-        one = lambda f: F.get(slots[k - 1], F.shiftright(f, 7)) + F.get(tails[k - 1], f.bitwiseAND(TAILS - 1))
-        return F.aggregate("features", F.lit(0.0), lambda total, f: total + one(f))
-
-    rows = coded.select("id", "text_hash", F.size("features").cast("long").alias("n"), *(log_odds(k).alias(f"s{k}") for k in range(1, len(domains))))
+    # Columns of their own, since Spark takes no subquery inside a lambda function. As they and ``features`` are used
+    # once, Spark puts them where they are used and no row holds the arrays.
+    tables = [(f"{key}{k}", held) for key, arrays in (("slots", slots), ("tails", tails)) for k, held in enumerate(arrays, 1)]
+    others = range(1, len(domains))
+
+    def add(total: Column, f: Column) -> Column:
+        one = lambda k: F.get(f"slots{k}", F.shiftright(f, 7)) + F.get(f"tails{k}", f.bitwiseAND(TAILS - 1))
+        return F.struct((total["n"] + 1).alias("n"), *((total[f"s{k}"] + one(k)).alias(f"s{k}") for k in others))
+
+    nothing = F.struct(F.lit(0).cast("long").alias("n"), *(F.lit(0.0).alias(f"s{k}") for k in others))
+    summed = coded.select("*", *(held.alias(name) for name, held in tables)).select("id", "text_hash", F.aggregate("features", nothing, add).alias("sums"))
+    rows = summed.select("id", "text_hash", "sums.*")
     repeated = rows.groupBy("id", "text_hash").agg(F.sum("n").alias("n_tokens"), *(F.sum(f"s{k}").alias(f"s{k}") for k in range(1, len(domains))))
     scale = F.pow(F.greatest(F.col("n_tokens"), F.lit(1)).cast("double"), F.lit(TEMPER))
     # log odds against the first domain

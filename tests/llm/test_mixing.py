@@ -73,3 +73,19 @@ def test_native_plan(spark):
     docs, labels = corpus(spark)
     mix = M.fit_rates(docs, labels, {"a": 1, "b": 1})
     assert "Python" not in M.take_copies(docs, mix)._jdf.queryExecution().toString()
+
+
+def test_plans_hold_no_values_of_the_model(spark):
+    docs, labels = corpus(spark)
+    own, known = docs.withColumnRenamed("doc_id", "id"), labels.withColumnRenamed("doc_id", "id")
+    plan = M.posteriors(own, known, ["a", "b"])._jdf.queryExecution()
+    assert len(plan.toString()) < M.WORD_BUCKETS
+    # no row carries the arrays: they stand inside the sums
+    assert "AS slots1" not in plan.executedPlan().toString()
+
+
+def test_one_domain(spark):
+    docs, labels = corpus(spark)
+    mix = M.fit_rates(docs, labels, {"a": 1})
+    assert all(r["rate"] == pytest.approx(1) and r["posteriors"] == {"a": 1.0} for r in mix.units.collect())
+    assert mix.reached == {"a": 1.0}
