@@ -101,3 +101,69 @@ def test_copies_of_a_query_are_asked_once(spark, monkeypatch):
     assert len({tuple(sorted(by[i])) for i in range(40)}) == 1
     want = brute([(i, f"w{i % 7} w{i % 5} x") for i in range(60)], rows, 3)
     assert {q: [(-round(s, 9), d) for _, d, s in sorted(v)] for q, v in by.items()} == want
+
+
+def _indexed(seed, n):
+    import pyarrow as pa
+
+    from chainfold.llm import blocks as B
+
+    rng = np.random.default_rng(seed)
+    offsets, data = B.text_arrays(pa.array([" ".join(f"t{int(x)}" for x in rng.zipf(1.3, rng.integers(1, 120)) if x < 3000) + " end" for _ in range(n)]))
+    lengths, terms, at, docs, counts = S._shard(offsets, data)
+    row = {"ids": np.arange(n), "lengths": lengths.astype(np.int32), "terms": terms, "offsets": at.astype(np.int64), "docs": docs, "counts": counts}
+    idf = np.log(1 + (n - np.diff(at) + 0.5) / (np.diff(at) + 0.5))
+    asked = [np.flatnonzero(np.isin(terms, B.split_words(offsets[q : q + 2], data[offsets[q] : offsets[q + 1]], True).hashes)) for q in range(0, n, 40)]
+    return {c: v.tobytes() for c, v in row.items()}, lengths.mean(), idf, asked
+
+
+@pytest.mark.parametrize("common_bytes", [48 << 20, 30_000, 1])
+def test_batched_queries_with_floors_are_exact_and_score_few(monkeypatch, common_bytes):
+    """Floors known from other shards leave nearly all documents unscored, whichever lists are held as common."""
+    monkeypatch.setattr(S, "COMMON_BYTES", common_bytes)
+    row, mean, idf, asked = _indexed(5, 2001)
+    shard = S.Shard(row, mean)
+    assert (len(shard.block_top) > 20) == (common_bytes > 30_000)
+    shard.weigh(shard.terms, idf)
+    queries = np.concatenate(asked), np.cumsum([len(own) for own in asked])
+    full = []
+    for own in asked:
+        total = np.zeros(len(shard.ids))
+        for t in own:
+            a, b = shard.offsets[t], shard.offsets[t + 1]
+            np.add.at(total, shard.docs[a:b], shard.weights[a:b] * idf[t])
+        full.append(total)
+    floors = [np.sort(total)[-3] for total in full]
+    before = shard.scored
+    for (ids, scores), total, floor in zip(shard.tops(*queries, floors, 5), full, floors, strict=True):
+        best = np.lexsort((shard.ids, -total))[:5]
+        best = best[total[best] >= floor]
+        assert ids[: len(best)].tolist() == best.tolist() and scores[: len(best)].tolist() == total[best].tolist()
+    by_floors = shard.scored - before
+    assert [ids.tolist() for ids, _ in shard.tops(*queries, [0.0] * len(asked), 5)] == [np.lexsort((shard.ids, -total))[:5].tolist() for total in full]
+    assert len(asked) <= by_floors < shard.scored - before - by_floors
+
+
+def test_seed_shards_set_floors_for_the_others(spark, monkeypatch):
+    """Half of the shards go first; the others return only what can still be among the best."""
+    monkeypatch.setattr(S, "SEED_SHARE", 2)
+    written = []
+    write = S.write_intermediate
+    monkeypatch.setattr(S, "write_intermediate", lambda df, name: written.append((name, out := write(df, name))) or out)
+    rows = corpus(3, 600)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(12)
+    index = S.build_index(docs)
+    assert 0 < index.where("seed = 1").count() < index.count()
+    asked = [(i, t) for i, t in rows if i is not None and i % 200 == 0] + [(3, "w399 w3 nothing")]
+    got = {}
+    for r in S.top_k(index, spark.createDataFrame(asked, "doc_id long, text string"), k=4).collect():
+        got.setdefault(r["query_id"], {})[r["rank"]] = (-round(r["score"], 9), r["doc_id"])
+    assert {q: [v[k] for k in sorted(v)] for q, v in got.items()} == brute(rows, asked, 4)
+    seeds, others = (out.count() for name, out in written if name == "search-found")
+    assert others < index.where("seed = 0").count() * len(got) * 4 / 2 and seeds > 0
+
+
+def test_shard_without_words(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, " \t "), (3, "b")], "doc_id long, text string").repartitionByRange(3, "doc_id")
+    got = S.top_k(S.build_index(docs), docs, k=2).collect()
+    assert sorted((r["query_id"], r["doc_id"], r["rank"]) for r in got) == [(1, 1, 1), (1, 3, 2), (3, 1, 2), (3, 3, 1)]
