@@ -19,7 +19,9 @@ each dimension adds between ``min(q * lo, q * hi)`` and ``max(q * lo, q * hi)``.
 
 How it runs: the zone maps (pruned read) meet the anchors in packed rows; a
 page is read for an anchor only if one of its blocks is chosen, and each page
-returns its best rows of each window. The anchors are a stated query set:
+returns its best rows of each window. Bounds and scores are worked out for some
+anchors at a time, about ``CELLS`` of them, so a task's memory does not grow
+with anchors times rows. The anchors are a stated query set:
 their work grows with anchors times candidates where bounds don't separate
 blocks (unclustered vectors of many dimensions), and with what is chosen
 where they do. Ranking prunes before its shuffle (row_number limits).
@@ -51,6 +53,8 @@ BLOCK_ROWS = 64
 #: Bytes of the vectors of one page, and of packed anchors or zone maps.
 PAGE_BYTES = 4 << 20
 PACK_BYTES = 1 << 20
+#: Scores or bounds held at once by a task.
+CELLS = 1 << 20
 #: Bits of each dimension on the curve.
 CURVE_BITS = 4
 
@@ -103,7 +107,8 @@ class _Space:
             raise ValueError(f"components up to {most} in {dims} dimensions: scores could exceed 56 bits")
         self.dims, self.low, self.high = max(dims, 1), low, high
         self.store = np.dtype(np.int16 if most < 1 << 15 else np.int32 if most < 1 << 31 else np.int64)
-        self.work = np.dtype(np.float64 if dims * most * most < 1 << 53 else np.int64)
+        self.work = np.dtype(np.float32 if dims * most * most < 1 << 24 else np.float64 if dims * most * most < 1 << 53 else np.int64)
+        self.none = np.iinfo(np.int64).min if self.work == np.int64 else -np.inf
         self.page_rows = max(1, PAGE_BYTES // (self.dims * self.store.itemsize * BLOCK_ROWS)) * BLOCK_ROWS
 
     def read(self, data) -> np.ndarray:
@@ -115,6 +120,13 @@ class _Space:
         return hilbert_keys(np.clip(cell, 0, (1 << CURVE_BITS) - 1).astype(np.uint32), CURVE_BITS)
 
 
+def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """The rows of the batches, one unpacked at a time."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
 def _prepare(vectors: DataFrame, id_col: str, vector_col: str, label_col: str, anchor: Column, scale: int) -> DataFrame:
     """id, label, anchor and the integer vector of the rows that take part."""
     x = F.transform(F.col(f"`{vector_col}`"), lambda v: v.cast("double"))
@@ -195,18 +207,17 @@ def _first_scores(pages: DataFrame, space: _Space, positives: int) -> DataFrame:
     """The anchors, each with the score of the last positive that its own page gives (the least number if it has fewer)."""
 
     def seed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for page in batch.to_pylist():
-                ids, labels = np.frombuffer(page["ids"], np.int64), np.frombuffer(page["labels"], np.int64)
-                stored = np.frombuffer(page["vectors"], space.store).reshape(-1, space.dims)
-                asking = np.flatnonzero(np.frombuffer(page["asking"], np.uint8))
-                vectors, lows = stored.astype(space.work), []
-                for i in asking:
-                    near = (vectors @ vectors[i])[(labels == labels[i]) & (ids != ids[i])]
-                    lows.append(int(np.partition(near, -positives)[-positives]) if len(near) >= positives else _LEAST)
-                own = stored[asking]
-                columns = [ids[asking], labels[asking], [k.tobytes() for k in space.keys(own)], [v.tobytes() for v in own], lows]
-                yield _rows(dict(zip(_SEED_TYPES, columns, strict=True)), _SEED_TYPES)
+        for page in _each(batches):
+            ids, labels = np.frombuffer(page["ids"], np.int64), np.frombuffer(page["labels"], np.int64)
+            stored = np.frombuffer(page["vectors"], space.store).reshape(-1, space.dims)
+            asking = np.flatnonzero(np.frombuffer(page["asking"], np.uint8))
+            vectors, lows = stored.astype(space.work), []
+            for i in asking:
+                near = (vectors @ vectors[i])[(labels == labels[i]) & (ids != ids[i])]
+                lows.append(int(np.partition(near, -positives)[-positives]) if len(near) >= positives else _LEAST)
+            own = stored[asking]
+            columns = [ids[asking], labels[asking], [k.tobytes() for k in space.keys(own)], [v.tobytes() for v in own], lows]
+            yield _rows(dict(zip(_SEED_TYPES, columns, strict=True)), _SEED_TYPES)
 
     read = pages.select("page", "ids", "labels", "asking", "vectors")
     return read.mapInArrow(seed, "id long, label long, key binary, vector binary, low long").withColumn(
@@ -246,13 +257,12 @@ def _packed_zones(pages: DataFrame) -> DataFrame:
         def zones() -> pa.RecordBatch:
             return _rows({k: [b"".join(h[i] for h in held)] for i, k in enumerate(_ZONE_TYPES)}, _ZONE_TYPES)
 
-        for batch in batches:
-            for page in batch.to_pylist():
-                blocks = len(page["label_lo"]) // 8
-                held.append([np.full(blocks, page["page"]).tobytes(), *(page[k] for k in ("lo", "hi", "label_lo", "label_hi"))])
-                if sum(len(h[1]) for h in held) >= PACK_BYTES:
-                    yield zones()
-                    held = []
+        for page in _each(batches):
+            blocks = len(page["label_lo"]) // 8
+            held.append([np.full(blocks, page["page"]).tobytes(), *(page[k] for k in ("lo", "hi", "label_lo", "label_hi"))])
+            if sum(len(h[1]) for h in held) >= PACK_BYTES:
+                yield zones()
+                held = []
         if held:
             yield zones()
 
@@ -282,60 +292,95 @@ def _chosen(anchors: DataFrame, zones: DataFrame, space: _Space, same_label: boo
     dealt = zones.withColumn("pack", F.pmod(F.xxhash64("pages"), F.lit(max(packs, 1))).cast("int"))
     types = {"page": pa.int64()} | _ANCHOR_TYPES | {"blocks": pa.binary()}
 
+    def fits(asked: _Asked, lo: np.ndarray, hi: np.ndarray, label_lo: np.ndarray, label_hi: np.ndarray) -> np.ndarray:
+        """For each anchor, the blocks of a page that can hold a row of one of its windows; some anchors at a time."""
+        out = np.empty((len(asked.ids), len(lo)), bool)
+        step = max(1, CELLS // len(lo))
+        for a in range(0, len(out), step):
+            own = slice(a, a + step)
+            least, most = bounds(asked.vectors[own], lo, hi)
+            label = asked.labels[own, None]
+            same = (label_lo <= label) & (label <= label_hi) if same_label else (label_lo != label) | (label_hi != label)
+            meets = np.zeros(same.shape, bool)
+            for low, high in zip(asked.lows[own].T, asked.highs[own].T, strict=True):
+                meets |= (most >= low[:, None]) & (least <= high[:, None]) & (low <= high)[:, None]
+            out[own] = same & meets
+        return out
+
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                asked = _Asked({k: row[k] for k in _ANCHOR_TYPES}, space)
-                least, most = bounds(asked.vectors, space.read(row["lo"]), space.read(row["hi"]))
-                label_lo, label_hi = (np.frombuffer(row[k], np.int64) for k in ("label_lo", "label_hi"))
-                label = asked.labels[:, None]
-                fits = (label_lo <= label) & (label <= label_hi) if same_label else (label_lo != label) | (label_hi != label)
-                meets = np.zeros(fits.shape, bool)
-                for low, high in zip(asked.lows.T, asked.highs.T, strict=True):
-                    meets |= (most >= low[:, None]) & (least <= high[:, None]) & (low <= high)[:, None]
-                fits &= meets
-                of = np.frombuffer(row["pages"], np.int64)
-                cut = np.append(0, np.flatnonzero(np.diff(of)) + 1)
-                for a, b in zip(cut, np.append(cut[1:], len(of)), strict=True):
-                    chosen = np.flatnonzero(fits[:, a:b].any(axis=1))
-                    if len(chosen):
-                        mask = np.packbits(fits[chosen, a:b], axis=1)
-                        out = {"page": int(of[a]), **asked.part(chosen), "blocks": mask.tobytes()}
-                        yield _rows({k: [v] for k, v in out.items()}, {k: types[k] for k in out})
+        for row in _each(batches):
+            asked = _Asked({k: row[k] for k in _ANCHOR_TYPES}, space)
+            zone = [space.read(row[k]) for k in ("lo", "hi")] + [np.frombuffer(row[k], np.int64) for k in ("label_lo", "label_hi")]
+            of = np.frombuffer(row["pages"], np.int64)
+            cut = np.append(0, np.flatnonzero(np.diff(of)) + 1)
+            for a, b in zip(cut, np.append(cut[1:], len(of)), strict=True):
+                blocks = fits(asked, *(z[a:b] for z in zone))
+                chosen = np.flatnonzero(blocks.any(axis=1))
+                if len(chosen):
+                    out = {"page": int(of[a]), **asked.part(chosen), "blocks": np.packbits(blocks[chosen], axis=1).tobytes()}
+                    yield _rows({k: [v] for k, v in out.items()}, {k: types[k] for k in out})
 
     schema = "page long, ids binary, keys binary, labels binary, lows binary, highs binary, vectors binary, blocks binary"
     return spread.join(dealt, "pack").select(*_ANCHOR_TYPES, "pages", "lo", "hi", "label_lo", "label_hi").mapInArrow(choose, schema)
 
 
+def _of_page(
+    q: _Asked, own: slice, mask: np.ndarray, scores: np.ndarray, ids: np.ndarray, labels: np.ndarray, none: float, same_label: bool, count: int
+) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(anchor, window, row ids, scores): the best ``count`` rows of a page in each window of the anchors ``own``; ``scores`` is used up.
+
+    ``count`` blocks whose best score is not above the lowest upper end hold
+    ``count`` rows from the least of these scores on, so lower rows are in no
+    window's result.
+    """
+    starts = np.arange(0, len(ids), BLOCK_ROWS)
+    fitting = {label: labels == label if same_label else labels != label for label in np.unique(q.labels[own]).tolist()}
+    found = []
+    for i, s, blocks in zip(range(own.start, own.start + len(scores)), scores, mask, strict=True):
+        real = q.lows[i] <= q.highs[i]
+        if not real.any():
+            continue
+        fits = fitting[int(q.labels[i])]
+        if not blocks.all():
+            fits = fits & np.repeat(blocks, BLOCK_ROWS)[: len(ids)]
+        if same_label:
+            fits = fits & (ids != q.ids[i])
+        s[~fits] = none
+        # in the type of the scores, which holds every score exactly
+        low, end, high = (s.dtype.type(v) for v in (q.lows[i][real].min(), q.highs[i][real].min(), q.highs[i][real].max()))
+        tops = np.maximum.reduceat(np.where(s <= end, s, none), starts)
+        if len(tops) >= count:
+            low = max(low, np.partition(tops, -count)[-count])
+        some = np.flatnonzero((s >= low) & (s <= high))
+        got = s[some].astype(np.int64)
+        order = np.lexsort((ids[some], -got))
+        some, got = some[order], got[order]
+        for w, (lo, hi) in enumerate(zip(q.lows[i], q.highs[i], strict=True)):
+            a, b = np.searchsorted(-got, -hi), np.searchsorted(-got, -lo, "right")
+            b = min(a + count, b)
+            if a < b:
+                found.append((i, w, ids[some[a:b]], got[a:b]))
+    return found
+
+
 def _best(asked: DataFrame, pages: DataFrame, space: _Space, same_label: bool, count: int) -> DataFrame:
     """(anchor id, key, window, row id, score): the best ``count`` rows of every window in each chosen page."""
     held = pages.select("page", F.col("ids").alias("page_ids"), F.col("labels").alias("page_labels"), F.col("vectors").alias("page_vectors"))
     types = {"anchor": pa.int64(), "uid": pa.int64(), "window": pa.int32(), "id": pa.int64(), "score": pa.int64()}
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                q = _Asked({k: row[k] for k in _ANCHOR_TYPES}, space)
-                ids, labels = np.frombuffer(row["page_ids"], np.int64), np.frombuffer(row["page_labels"], np.int64)
-                vectors = space.read(row["page_vectors"])
-                blocks = -(-len(ids) // BLOCK_ROWS)
-                mask = np.unpackbits(np.frombuffer(row["blocks"], np.uint8).reshape(len(q.ids), -1), axis=1, count=blocks).astype(bool)
-                read = np.repeat(mask.any(axis=0), BLOCK_ROWS)[: len(ids)]
-                ids, labels = ids[read], labels[read]
-                block = (np.arange(len(read)) // BLOCK_ROWS)[read]
-                scores = (q.vectors @ vectors[read].T).astype(np.int64)
-                found = []
-                for i in range(len(q.ids)):
-                    rest = (labels == q.labels[i]) & (ids != q.ids[i]) if same_label else labels != q.labels[i]
-                    rest &= mask[i][block] & (scores[i] >= q.lows[i].min()) & (scores[i] <= q.highs[i].max())
-                    some = np.flatnonzero(rest)
-                    some = some[np.lexsort((ids[some], -scores[i][some]))]
-                    falling = -scores[i][some]
-                    for w, (low, high) in enumerate(zip(q.lows[i], q.highs[i], strict=True)):
-                        a, b = np.searchsorted(falling, -high), np.searchsorted(falling, -low, "right")
-                        got = some[a : min(a + count, b)]
-                        if len(got):
-                            found.append((i, w, ids[got], scores[i][got]))
+        for row in _each(batches):
+            q = _Asked({k: row[k] for k in _ANCHOR_TYPES}, space)
+            ids, labels = np.frombuffer(row["page_ids"], np.int64), np.frombuffer(row["page_labels"], np.int64)
+            blocks = -(-len(ids) // BLOCK_ROWS)
+            mask = np.unpackbits(np.frombuffer(row["blocks"], np.uint8).reshape(len(q.ids), -1), axis=1, count=blocks).astype(bool)
+            read = np.repeat(mask.any(axis=0), BLOCK_ROWS)[: len(ids)]
+            ids, labels, mask = ids[read], labels[read], mask[:, mask.any(axis=0)]
+            vectors = space.read(row["page_vectors"])[read]
+            step = max(1, CELLS // len(ids))
+            for a in range(0, len(q.ids), step):
+                own = slice(a, a + step)
+                found = _of_page(q, own, mask[own], q.vectors[own] @ vectors.T, ids, labels, space.none, same_label, count)
                 n = [len(f[2]) for f in found]
                 who = np.repeat([f[0] for f in found], n).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(

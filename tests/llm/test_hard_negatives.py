@@ -3,8 +3,10 @@ from __future__ import annotations
 import itertools
 import math
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -101,3 +103,85 @@ def test_few_pages_are_read_where_vectors_cluster(spark):
     blocks = sum(len(r["label_lo"]) // 8 for r in pages.collect())
     assert 0 < sent < 0.5 * 20 * blocks
     pages.unpersist()
+
+
+class _Table:
+    """Stands for a frame; hands back the function that would run over its rows."""
+
+    def __getattr__(self, name):
+        return lambda *args: args[0] if name == "mapInArrow" else 2 if name == "count" else self
+
+
+def _packed(space, rng, n, **windows):
+    anchors = {"ids": np.arange(n) * 100, "keys": np.arange(n), "labels": rng.integers(0, 4, n), "vectors": rng.integers(-100, 100, (n, space.dims)).astype(space.store)}
+    return anchors | {k: np.tile(np.array(v, np.int64), (n, 1)) for k, v in windows.items()}
+
+
+def _peak(fn, rows):
+    """(batches, most bytes held beyond the input) of a run over batches of one row."""
+    batches = [pa.RecordBatch.from_pylist([{k: v.tobytes() if isinstance(v, np.ndarray) else v for k, v in row.items()}]) for row in rows]
+    tracemalloc.start()
+    out = list(fn(iter(batches)))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return out, most
+
+
+def test_memory_of_a_page_does_not_grow_with_anchors_times_rows(spark):
+    """All scores of 4,000 anchors and a full page would take over half a gigabyte."""
+    rng = np.random.default_rng(3)
+    space = H._Space(64, -100, 100)
+    n, rows = 4000, 16 * 1024
+    page = {"page_ids": np.arange(rows), "page_labels": rng.integers(0, 4, rows), "page_vectors": rng.integers(-100, 100, (rows, 64)).astype(space.store)}
+    q = _packed(space, rng, n, lows=[20_000, 15_000, 1], highs=[60_000, 55_000, 0])
+    blocks = np.packbits(rng.random((n, rows // H.BLOCK_ROWS)) < 0.9, axis=1)
+    for same in (True, False):
+        out, most = _peak(H._best(_Table(), _Table(), space, same, 3), [page | q | {"blocks": blocks}])
+        assert most < 100 << 20
+        got = {}
+        for r in pa.Table.from_batches(out).to_pylist():
+            got.setdefault((r["anchor"], r["window"]), []).append((-r["score"], r["id"]))
+        mask = np.repeat(np.unpackbits(blocks, axis=1), H.BLOCK_ROWS, axis=1).astype(bool)
+        for i in range(0, n, 400):
+            fits = mask[i] & ((page["page_labels"] == q["labels"][i]) == same) & ~(same & (page["page_ids"] == q["ids"][i]))
+            scores = page["page_vectors"].astype(np.int64) @ q["vectors"][i].astype(np.int64)
+            for w, (low, high) in enumerate(zip(q["lows"][i], q["highs"][i], strict=True)):
+                some = np.flatnonzero(fits & (scores >= low) & (scores <= high))
+                assert got.get((q["ids"][i], w), []) == sorted((-int(scores[r]), int(r)) for r in some)[:3]
+
+
+def test_memory_of_the_bounds_does_not_grow_with_anchors_times_blocks(spark):
+    """All bounds of 4,000 anchors and 8,000 blocks would take over half a gigabyte."""
+    rng = np.random.default_rng(4)
+    space = H._Space(64, -100, 100)
+    n, blocks, of = 4000, 8000, 500
+    zones = {"pages": np.arange(blocks) // of, "label_lo": np.zeros(blocks, np.int64), "label_hi": np.full(blocks, 3)}
+    zones |= {"lo": rng.integers(-100, 0, (blocks, 64)).astype(space.store), "hi": rng.integers(0, 100, (blocks, 64)).astype(space.store)}
+    q = _packed(space, rng, n, lows=[150_000], highs=[H._MOST])
+    out, most = _peak(H._chosen(_Table(), _Table(), space, True), [zones | q])
+    assert most < 150 << 20
+    chosen = pa.Table.from_batches(out).to_pylist()
+    assert [r["page"] for r in chosen] == list(range(blocks // of))
+    i, page = 1234, 7
+    own = slice(page * of, page * of + of)
+    x, lo, hi = q["vectors"][i].astype(np.int64), zones["lo"][own].astype(np.int64), zones["hi"][own].astype(np.int64)
+    want = np.maximum(x * lo, x * hi).sum(1) >= 150_000
+    at = np.flatnonzero(np.frombuffer(chosen[page]["keys"], np.int64) == i)
+    mask = np.unpackbits(np.frombuffer(chosen[page]["blocks"], np.uint8).reshape(-1, -(-of // 8)), axis=1, count=of)
+    assert mask[at].astype(bool).tolist() == ([want.tolist()] if want.any() else [])
+
+
+@pytest.mark.parametrize(("low", "high"), [(-100, 100), (-2000, 2000), (-(1 << 24), 1 << 24)])
+def test_ties_and_types_of_scores(low, high):
+    """Rows that tie at the last place of a page's share are all weighed by id, whatever type scores have."""
+    rng = np.random.default_rng(5)
+    space = H._Space(64, low, high)
+    vectors = np.repeat(rng.integers(low, high, (40, 64)), 20, axis=0).astype(space.store)
+    ids, labels = rng.permutation(800), rng.integers(0, 2, 800)
+    top = int((vectors[0].astype(np.int64) @ vectors[0].astype(np.int64)))
+    asked = H._Asked({k: v.tobytes() for k, v in {"ids": ids[:1], "keys": ids[:1], "labels": labels[:1], "vectors": vectors[:1], "lows": np.array([-top, top // 9]), "highs": np.array([top, top // 2])}.items()}, space)
+    scores = (vectors.astype(np.int64) @ vectors[0].astype(np.int64)).tolist()
+    found = H._of_page(asked, slice(0, 1), np.ones((1, 13), bool), asked.vectors @ vectors.astype(space.work).T, ids, labels, space.none, False, 5)
+    for w, (a, b) in enumerate(((-top, top), (top // 9, top // 2))):
+        want = sorted((-s, int(i)) for s, i, k in zip(scores, ids, labels, strict=True) if k != labels[0] and a <= s <= b)[:5]
+        assert [(-int(s), int(i)) for f in found if f[1] == w for s, i in zip(f[3], f[2], strict=True)] == want
