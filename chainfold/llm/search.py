@@ -45,7 +45,7 @@ from chainfold.llm import blocks as B
 from chainfold.storage import write_intermediate
 
 K1, LENGTH_B = 1.2, 0.75
-SHARD_BYTES = 64 << 20
+SHARD_BYTES = 32 << 20
 DOC_BLOCK = 4
 COMMON_SHARE = 16
 COMMON_BYTES = 32 << 20
@@ -55,7 +55,7 @@ QUERY_BATCH = 64
 WEIGH_POSTINGS = 1 << 18
 BATCH_BYTES = 4 << 20
 SEED_SHARE = 16
-BLOCK_TERMS = 2_000_000
+BLOCK_TERMS = 1_000_000
 _SHARD = ("ids", "lengths", "terms", "offsets", "docs", "counts")
 _INDEX = "shard long, seed int, n_docs long, n_words long, ids binary, lengths binary, terms binary, offsets binary, docs binary, counts binary"
 
@@ -84,6 +84,18 @@ def _shard(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, ...]:
     return np.concatenate(lengths), terms, offsets, docs, counts
 
 
+def _narrow(values: np.ndarray) -> np.ndarray:
+    """Numbers from 0 on in 1, 2 or 4 bytes each."""
+    most = int(values.max()) if len(values) else 0
+    return values.astype(np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.int32)
+
+
+def _widen(data, n: int) -> np.ndarray:
+    """``n`` numbers of a cell written from ``_narrow``."""
+    values = np.frombuffer(data, np.uint8)
+    return values.view((np.uint8, np.uint16, np.int32)[len(values) // n // 2]) if n else values.view(np.int32)
+
+
 def _cell(values: np.ndarray) -> pa.Array:
     """The bytes of an array as the only row of a binary column, not copied."""
     return pa.Array.from_buffers(pa.binary(), 1, [None, pa.py_buffer(np.array([0, values.nbytes], np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
@@ -96,13 +108,15 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         for batch in batches:
             offsets, data = B.text_arrays(batch.column(1))
             ids = batch.column(0).to_numpy()
-            for i, j in B.spans(offsets, SHARD_BYTES):
+            # shards of about the same size, instead of full ones and a rest
+            parts = max(1, -(-int(offsets[-1]) // SHARD_BYTES))
+            for i, j in B.spans(offsets, int(offsets[-1] / parts * 1.02) + 1):
                 own = offsets[i : j + 1] - offsets[i]
                 if own[-1] == 0:
                     continue
                 lengths, terms, at, places, counts = _shard(own, data[offsets[i] : offsets[j]])
                 row = [int(ids[i]), int(B.mix(ids[i : i + 1])[0] % np.uint64(SEED_SHARE) == 0), j - i, int(lengths.sum())]
-                cells = [ids[i:j], lengths.astype(np.int32), terms, at.astype(np.int64), places, counts]
+                cells = [ids[i:j], lengths.astype(np.int32), terms, at.astype(np.int64), _narrow(places), _narrow(counts)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([v], t) for v, t in zip(row, (pa.int64(), pa.int32(), pa.int64(), pa.int64()), strict=True)] + [_cell(c) for c in cells],
                     ["shard", "seed", "n_docs", "n_words", "ids", "lengths", "terms", "offsets", "docs", "counts"],
@@ -153,21 +167,20 @@ class Shard:
         lengths = np.frombuffer(row["lengths"], np.int32)
         self.terms = np.frombuffer(row["terms"], np.uint64)
         self.offsets = np.frombuffer(row["offsets"], np.int64)
-        self.docs = np.frombuffer(row["docs"], np.int32)
-        self.counts = counts = np.frombuffer(row["counts"], np.int32)
+        self.docs, self.counts = (_widen(row[c], int(self.offsets[-1])) for c in ("docs", "counts"))
+        counts = self.counts
         self.norm = K1 * (1 - LENGTH_B + LENGTH_B * lengths / mean_length)
         n = len(self.ids)
         self.size = np.diff(self.offsets)
         common = np.flatnonzero(self.size * COMMON_SHARE >= n)
-        kind = np.dtype(np.uint16 if not len(counts) or counts.max() < 1 << 16 else np.int32)
-        most = max(1, COMMON_BYTES // (n * (kind.itemsize + 4)))
+        most = max(1, COMMON_BYTES // (n * (counts.itemsize + 4)))
         if len(common) > most:
             common = np.sort(common[np.argsort(-self.size[common], kind="stable")[:most]])
         self.row_of = np.full(len(self.terms), -1)
         self.row_of[common] = np.arange(len(common))
         self.n_blocks = -(-n // DOC_BLOCK)
         self.block_top = np.zeros((len(common), self.n_blocks), np.float32)
-        often = np.zeros((len(common), n), kind)
+        often = np.zeros((len(common), n), counts.dtype)
         rounded = np.zeros((len(common), n), np.float32)
         for k, t in enumerate(common.tolist()):
             a, b = self.offsets[t], self.offsets[t + 1]
@@ -191,16 +204,18 @@ class Shard:
 
     def weigh(self, terms: np.ndarray, idf: np.ndarray) -> None:
         """Take up the terms that queries name by place: list, row if common, idf; and what each posting adds, rounded, next to its document."""
-        at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
-        here = np.flatnonzero(self.terms[at] == terms) if len(self.terms) else at[:0]
-        at = at[here]
-        # in one row, so that a term is one reach into memory; a term that is not there has no postings
+        # a term is one row, so one reach into memory; a term that is not there has no postings
         self.lists = np.zeros((len(terms), 4), np.int64)
         self.lists[:, 2] = -1
-        self.lists[here, :3] = np.stack([self.offsets[at], self.size[at], self.row_of[at]], axis=1)
         self.lists[:, 3] = idf.astype(np.float64).view(np.int64)
         by_term = np.zeros(len(self.terms))
-        by_term[at] = idf[here]
+        for i in range(0, len(terms) if len(self.terms) else 0, WEIGH_POSTINGS):
+            part = terms[i : i + WEIGH_POSTINGS]
+            at = np.minimum(np.searchsorted(self.terms, part), len(self.terms) - 1)
+            here = np.flatnonzero(self.terms[at] == part)
+            at, here = at[here], here + i
+            self.lists[here, 0], self.lists[here, 1], self.lists[here, 2] = self.offsets[at], self.size[at], self.row_of[at]
+            by_term[at] = idf[here]
         self.postings = np.empty(len(self.docs), "<i8")
         for a, b in B.spans(self.offsets, WEIGH_POSTINGS):
             own = slice(self.offsets[a], self.offsets[b])

@@ -167,3 +167,12 @@ def test_shard_without_words(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, " \t "), (3, "b")], "doc_id long, text string").repartitionByRange(3, "doc_id")
     got = S.top_k(S.build_index(docs), docs, k=2).collect()
     assert sorted((r["query_id"], r["doc_id"], r["rank"]) for r in got) == [(1, 1, 1), (1, 3, 2), (3, 1, 2), (3, 3, 1)]
+
+
+@pytest.mark.parametrize("most", [0, 1, 255, 256, 65_535, 65_536, 3_000_000])
+def test_numbers_of_the_index_are_narrow(most):
+    values = np.array([0, most, 1], np.int32)
+    small = S._narrow(values)
+    assert small.itemsize == (1 if most < 256 else 2 if most < 65_536 else 4)
+    assert S._widen(small.tobytes(), 3).tolist() == S._widen(values.tobytes(), 3).tolist() == values.tolist()
+    assert S._widen(b"", 0).tolist() == []
